@@ -6,13 +6,17 @@ MONEY_DIRTY = r"(?d)[$€£₹(),]|\d+[KMBkmb]$"
 YEAR = r"(19\d{2}|20\d{2})"
 YEAR_RANGE = r"(?d)(19\d{2}|20\d{2}).*(19\d{2}|20\d{2})"
 
+# Any cell that fits TEXT_DIRTY holds one of these characters; a cheaper test to make first.
+TEXT_DIRTY_CHARACTERS = r"[\[†‡*\x00-\x1F\x7F]"
+
 # --- patterns that describe a clean cell
 ID_VALUE = r"^(?=.*[A-Za-z])(?=.*\d)[A-Za-z0-9\-_]{8,}$"
 HAS_LETTER = r"[A-Za-z]"
 PLAIN_NUMBER = r"^\d+(\.\d+)?$"
-NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
+NUMBER = r"^\s*+[+-]?+(?:(?:\d++(?:\.\d*+)?+|\.\d++)(?:[eE][+-]?+\d++)?+|(?i:inf(?:inity)?+))\s*+$"
+WHOLE_NUMBER = r"^\s*+[+-]?+\d++\s*+$"
 DELIMITER = r"[;/,:]"
+EDGE_SPACE = r"^[\s\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]|[\s\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]\z"
 
 # --- thresholds on measured ratios
 TEXT_THRESHOLD = 0.6
@@ -43,7 +47,6 @@ IQR_FACTOR = 1.5
 # --- words
 BOOLEAN_WORDS = ("0", "1", "true", "false", "yes", "no")
 TRUE_WORDS = ("1", "true", "yes")
-INFINITY_WORDS = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
 ID_NAMES = ("id", "uuid", "guid")
 MISSING_WORDS = (
     "", " ", "  ", "   ", "\t", "\n",

@@ -12,8 +12,7 @@ def parse_number(cell: Column) -> Column:
 
     Spark's own cast also takes ``1d`` or ``1f``, so the shape is checked first.
     """
-    fits = cell.rlike(fv.NUMBER) | F.trim(F.lower(cell)).isin(*fv.INFINITY_WORDS)
-    return F.when(fits, cell.try_cast("double"))
+    return F.when(cell.rlike(fv.NUMBER), cell.try_cast("double"))
 
 
 def is_whole(number: Column) -> Column:

@@ -54,17 +54,14 @@ def derive_keys(
     df: DataFrame,
     schema: dict[str, str],
     year_names: bool = True,
-    known_distinct: dict[str, int] | None = None,
+    stats: dict[str, ColumnStats] | None = None,
 ) -> list[str]:
     """All well-filled id columns; without any, up to three business keys.
 
-    ``known_distinct`` spares a count for columns whose distinct values an
-    earlier step already counted on the same rows.
+    ``stats`` of the group "identity", with distinct counts where they are
+    known, spare a pass over the table.
     """
-    stats = collect_stats(df, groups=("identity",))
-    for name, distinct in (known_distinct or {}).items():
-        if name in stats:
-            stats[name].distinct = distinct
+    stats = collect_stats(df, groups=("identity",)) if stats is None else dict(stats)
     add_uniqueness(df, stats)
     ids = [
         c for c, s in stats.items()
@@ -132,7 +129,7 @@ def remove_duplicates(
     order_by: str | Column | None = None,
     limit: float = fv.REMOVAL_LIMIT,
     year_names: bool = True,
-    known_distinct: dict[str, int] | None = None,
+    stats: dict[str, ColumnStats] | None = None,
 ) -> Deduplicated:
     """Remove repeats on the keys, unless that would cost more than ``limit`` of all rows."""
     status = DedupStatus()
@@ -141,7 +138,7 @@ def remove_duplicates(
             from sluicebox.operators.schema import detect_schema
 
             schema = detect_schema(df)
-        keys = derive_keys(df, schema, year_names, known_distinct)
+        keys = derive_keys(df, schema, year_names, stats)
     keys = [k for k in keys if k in df.columns]
     if not keys:
         status.reason = "No valid deduplication keys"

@@ -2,15 +2,16 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sluicebox import fixed_values as fv
 from sluicebox.functions.parsing import parse_number
 from sluicebox.functions.text import null_missing
 from sluicebox.operators.profile import (
-    ColumnStats, collect_modes, collect_stats, column, data_columns, kinds, without_nan,
+    ColumnStats, collect_modes, collect_stats, column, data_columns, kinds,
 )
 
 log = logging.getLogger(__name__)
@@ -68,6 +69,7 @@ def is_year_like(stats: ColumnStats, present: str = "parsed") -> bool:
 @dataclass
 class Imputed:
     df: DataFrame
+    stats: dict[str, ColumnStats] = field(default_factory=dict)
     dropped: list[str] = field(default_factory=list)
     coerced: list[str] = field(default_factory=list)
     filled: list[str] = field(default_factory=list)
@@ -76,68 +78,82 @@ class Imputed:
     datetime: int = 0
 
 
-def coerce_numeric_like(df: DataFrame, stats: dict[str, ColumnStats] | None = None) -> tuple[DataFrame, list[str]]:
-    """Text columns of which at least 0.6 of all rows are numbers, as doubles."""
-    if stats is None:
-        stats = collect_stats(df, groups=("numbers",))
-    kind = kinds(df)
-    coerced = [
+def _numeric_like(stats: dict[str, ColumnStats]) -> list[str]:
+    return [
         c for c, s in stats.items()
-        if kind.get(c) == "text" and s.rows and s.of_rows("parsed") >= fv.NUMERIC_LIKE_THRESHOLD
+        if s.kind == "text" and s.rows and s.of_rows("parsed") >= fv.NUMERIC_LIKE_THRESHOLD
     ]
-    out = [parse_number(column(c)).alias(c) if c in coerced else column(c) for c in df.columns]
-    return df.select(*out), coerced
 
 
-def impute(df: DataFrame, also_numeric: tuple[str, ...] = ()) -> Imputed:
+def _as_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.select(*[parse_number(column(c)).alias(c) if c in columns else column(c) for c in df.columns])
+
+
+def coerce_numeric_like(df: DataFrame, stats: dict[str, ColumnStats] | None = None) -> tuple[DataFrame, list[str]]:
+    """Text columns of which at least 0.6 of all rows are numbers, as doubles."""
+    stats = collect_stats(df, groups=("numbers",)) if stats is None else stats
+    coerced = _numeric_like(stats)
+    return _as_numbers(df, coerced), coerced
+
+
+def _after_fill(df: DataFrame, modes: dict[str, Column], stats: dict[str, ColumnStats], groups: Sequence[str]) -> dict[str, ColumnStats]:
+    """Counts after each gap took its column's mode: the mode's own counts, once per gap."""
+    if not modes:
+        return stats
+    one_row = df.sparkSession.range(1).select(*[value.alias(c) for c, value in modes.items()])
+    out = dict(stats)
+    for name, mode in collect_stats(one_row, groups=groups, parse_dates=False).items():
+        s = stats[name]
+        counts = {n: s.counts[n] + s.nulls * k for n, k in mode.counts.items() if n in s.counts}
+        out[name] = s.changed(filled=s.rows, counts=counts)
+    return out
+
+
+def impute(
+    df: DataFrame,
+    also_numeric: tuple[str, ...] = (),
+    stats: dict[str, ColumnStats] | None = None,
+    groups: Sequence[str] = ("numbers",),
+) -> Imputed:
     """Empty columns dropped, numeric-like text coerced, remaining gaps filled with the mode.
 
     Year columns keep their gaps.  ``also_numeric`` names text columns that came
-    out of the amount cleaner: they become numbers whenever every filled cell is one.
+    out of the amount cleaner: they become numbers whenever every filled cell is
+    one.  ``stats`` of these groups, taken with missing words as NULL, spare a
+    pass; the result carries the counts of the imputed table.
     """
     df = normalize_missing(df)
-    stats = collect_stats(df, groups=("numbers",))
+    stats = collect_stats(df, groups=groups, parse_dates=False) if stats is None else stats
     empty = [c for c, s in stats.items() if s.filled == 0]
     df = df.drop(*[column(c) for c in empty])
     stats = {c: s for c, s in stats.items() if s.filled}
 
-    kind = kinds(df)
-    df, coerced = coerce_numeric_like(df, stats)
-    whole_amounts = [
+    coerced = _numeric_like(stats)
+    coerced += [
         c for c in also_numeric
-        if c in stats and c not in coerced and kind[c] == "text"
+        if c in stats and c not in coerced and stats[c].kind == "text"
         and stats[c].counts["parsed"] == stats[c].filled
     ]
-    if whole_amounts:
-        df = df.select(*[
-            parse_number(column(c)).alias(c) if c in whole_amounts else column(c) for c in df.columns
-        ])
-        coerced = coerced + whole_amounts
-
-    gaps = []
-    for name, s in stats.items():
-        numeric = kind[name] in ("whole", "fraction") or name in coerced
-        if numeric:
-            has_gap = s.counts["parsed"] < s.rows
-            if has_gap and not is_year_like(s):
-                gaps.append(name)
-        elif s.nulls and kind[name] in ("text", "time", "flag"):
-            gaps.append(name)
+    df = _as_numbers(df, coerced)
+    for name in coerced:
+        s = stats[name]
+        text_only = dict.fromkeys({"boolean_word", "date_like", "id_value"} & set(s.counts), 0)
+        stats[name] = s.changed(kind="fraction", filled=s.counts["parsed"], counts=text_only)
+
+    gaps = [
+        c for c, s in stats.items()
+        if s.nulls and s.kind != "other" and not (s.kind in ("whole", "fraction") and is_year_like(s))
+    ]
     modes = collect_modes(df, gaps)
-    out = []
-    for name in df.columns:
-        if name in modes:
-            out.append(F.coalesce(column(name), modes[name]).alias(name))
-        elif name in gaps and kinds(df)[name] == "text":
-            out.append(F.coalesce(column(name), F.lit(fv.TEXT_FILL)).alias(name))
-        else:
-            out.append(column(name))
-    final = kinds(df)
+    out = [
+        F.coalesce(column(c), modes[c]).alias(c) if c in modes else column(c) for c in df.columns
+    ]
+    held = [s.kind for s in stats.values()]
     return Imputed(
-        df.select(*out), empty, coerced, [c for c in gaps if c in modes],
-        numeric=sum(final[c] in ("whole", "fraction") for c in stats),
-        text=sum(final[c] == "text" for c in stats),
-        datetime=sum(final[c] == "time" for c in stats),
+        df.select(*out), _after_fill(df, modes, stats, groups), empty, coerced, list(modes),
+        numeric=held.count("whole") + held.count("fraction"),
+        text=held.count("text"),
+        datetime=held.count("time"),
     )
 
 

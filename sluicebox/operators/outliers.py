@@ -46,13 +46,17 @@ def as_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ])
 
 
-def quartile_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
+def quartile_bounds(
+    df: DataFrame, columns: Sequence[str], stats: dict[str, ColumnStats] | None = None
+) -> dict[str, tuple]:
     """Per column: lowest, Q1, median, Q3, highest value and the two clip bounds.
 
     The clip bounds are ``None`` where the quartiles coincide or are missing.
+    ``stats`` with parsed counts spare a counting pass.
     """
     out = {}
-    found = exact_quantiles(as_numbers(df, columns), columns, (0.0, 0.25, 0.5, 0.75, 1.0))
+    filled = {c: stats[c].counts["parsed"] for c in columns} if stats else None
+    found = exact_quantiles(as_numbers(df, columns), columns, (0.0, 0.25, 0.5, 0.75, 1.0), filled)
     for name, (low, q1, median, q3, high) in found.items():
         lower = upper = None
         if q1 is not None and q3 - q1 > 0:

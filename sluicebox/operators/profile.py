@@ -6,8 +6,8 @@ column and task.  Everything the driver reads is a handful of counts per column.
 """
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -21,7 +21,7 @@ _FRACTION_TYPES = (T.FloatType, T.DoubleType, T.DecimalType)
 _TIME_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 # Groups of counts that `measure` can take.
-ALL_GROUPS = ("dirt", "identity", "letters", "numbers", "flags", "dates", "marks")
+ALL_GROUPS = ("dirt", "identity", "letters", "numbers", "values", "flags", "dates", "marks", "missing")
 
 # Above this many rows, distinct counts are estimated first (see `distinct_counts`).
 EXACT_DISTINCT_ROWS = 2_000_000
@@ -99,6 +99,11 @@ class ColumnStats:
     high: float | None = None
     distinct: int | None = None
 
+    def changed(self, **changes) -> ColumnStats:
+        """A copy with other counts, for a column that a step rewrote in a known way."""
+        counts = {**self.counts, **changes.pop("counts", {})}
+        return replace(self, counts=counts, **changes)
+
     @property
     def nulls(self) -> int:
         return self.rows - self.filled
@@ -127,76 +132,151 @@ class ColumnStats:
         return best, fits
 
 
-def _counters(groups: Iterable[str]) -> dict[str, Column]:
-    kind, txt, number = F.col("kind"), F.col("txt"), F.col("number")
-    is_text = kind == "text"
-    is_number = kind.isin("whole", "fraction")
-    out: dict[str, Column] = {}
-    for group in groups:
-        if group == "dirt":
-            out["text_dirty"] = is_text & txt.rlike(fv.TEXT_DIRTY)
-            out["money_dirty"] = is_text & txt.rlike(fv.MONEY_DIRTY)
-            out["year"] = txt.rlike(fv.YEAR)
-            out["year_range"] = (F.octet_length(txt) >= 8) & txt.rlike(fv.YEAR_RANGE)
-        elif group == "identity":
-            out["id_value"] = is_text & txt.rlike(fv.ID_VALUE)
-        elif group == "letters":
-            out["letters"] = txt.rlike(fv.HAS_LETTER)
-            out["plain_number"] = txt.rlike(fv.PLAIN_NUMBER)
-        elif group == "numbers":
-            out["parsed"] = number.isNotNull()
-            out["whole"] = is_whole(number)
-            out["infinite"] = F.abs(number) == F.lit(float("inf"))
-            out["in_years"] = number.between(fv.YEAR_LOW, fv.YEAR_HIGH)
-        elif group == "flags":
-            out["boolean_word"] = (F.octet_length(txt) <= 5) & F.lower(txt).isin(*fv.BOOLEAN_WORDS)
-        elif group == "dates":
-            for name, _, _ in fv.DATE_FORMATS:
-                out[f"date_{name}"] = is_text & parse_date(txt, name).isNotNull()
-        elif group == "marks":
-            out["delimiter"] = is_text & txt.rlike(fv.DELIMITER)
-            out["dash"] = is_text & txt.contains("-")
-            out["edge_blank"] = is_text & (txt.startswith(" ") | txt.endswith(" "))
-        else:
-            raise ValueError(f"unknown group of counts: {group}")
-    return out
+def spread(df: DataFrame) -> DataFrame:
+    """A fresh scan with at least as many partitions as there are cores.
+
+    Small files, or files of one row group, may leave most cores idle.  Tables
+    with enough partitions, as all large ones have, are returned as they are.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
+def _date_like(txt: Column) -> Column:
+    shapes = "|".join(shape.strip("^$") for _, shape, _ in fv.DATE_FORMATS)
+    return F.octet_length(txt).between(8, fv.LONGEST_DATE) & txt.rlike(f"^(?:{shapes})$")
+
+
+def _text_counters(groups: Sequence[str]) -> dict[str, Column]:
+    txt, number = F.col("txt"), F.col("number")
+    of = {
+        "dirt": lambda: {
+            "text_dirty": txt.rlike(fv.TEXT_DIRTY_CHARACTERS) & txt.rlike(fv.TEXT_DIRTY),
+            "money_dirty": txt.rlike(fv.MONEY_DIRTY),
+            "year": txt.rlike(fv.YEAR),
+            "year_range": (F.octet_length(txt) >= 8) & txt.rlike(fv.YEAR_RANGE),
+        },
+        "identity": lambda: {"id_value": (F.octet_length(txt) >= 8) & txt.rlike(fv.ID_VALUE)},
+        "letters": lambda: {"letters": txt.rlike(fv.HAS_LETTER), "plain_number": txt.rlike(fv.PLAIN_NUMBER)},
+        # "numbers" parses text, "values" only looks at columns that are numeric already.
+        "numbers": lambda: _number_counters(number),
+        "values": lambda: {} if "numbers" in groups else dict.fromkeys(_number_counters(number), F.lit(False)),
+        "flags": lambda: {"boolean_word": (F.octet_length(txt) <= 5) & F.lower(txt).isin(*fv.BOOLEAN_WORDS)},
+        "dates": lambda: {"date_like": _date_like(txt)},
+        "marks": lambda: {
+            "delimiter": txt.rlike(fv.DELIMITER),
+            "dash": txt.contains("-"),
+            "edge_blank": txt.startswith(" ") | txt.endswith(" "),
+        },
+        "missing": lambda: {
+            "missing_word": txt.isin(*fv.MISSING_WORDS),
+            "edge_space": txt.rlike(fv.EDGE_SPACE),
+        },
+    }
+    return {name: test for group in groups for name, test in of[group]().items()}
+
+
+def _number_counters(number: Column) -> dict[str, Column]:
+    return {
+        "parsed": number.isNotNull(),
+        "whole": is_whole(number),
+        "infinite": F.abs(number) == F.lit(float("inf")),
+        "in_years": number.between(fv.YEAR_LOW, fv.YEAR_HIGH),
+    }
+
+
+def _aggregate(long: DataFrame, counters: dict[str, Column], names: Sequence[str], with_range: bool) -> DataFrame:
+    """Grouped by a small integer instead of the column's name; counts that do not apply are 0."""
+    out = [F.count(F.lit(1)).alias("rows"), F.count_if("is_filled").alias("filled")]
+    out += [
+        (F.count_if(counters[n]) if n in counters else F.lit(0).cast("bigint")).alias(n) for n in names
+    ]
+    if with_range:
+        finite = F.when(F.abs(F.col("number")) < F.lit(float("inf")), F.col("number"))
+        out += [F.min(finite).alias("low"), F.max(finite).alias("high")]
+    return long.groupBy("position").agg(*out)
 
 
 def measure(df: DataFrame, columns: Sequence[str] | None = None, groups: Sequence[str] = ()) -> DataFrame:
-    """Counts per column as a table: column, kind, rows, filled, then one column per count."""
+    """Counts per column as a table: column, kind, rows, filled, then one column per count.
+
+    Text and other columns are stacked apart, so that each side reads only its
+    columns and runs only the tests that can apply.  The tests together must stay
+    small enough for the JVM to compile; dates are therefore only recognised by
+    shape here and parsed by `date_counts`.
+    """
     columns = data_columns(df) if columns is None else list(columns)
-    kind = kinds(df)
-    groups = list(groups)
-    # Text of a number is only built where a count looks at it.
-    reads_text = {"dirt", "letters", "flags"} & set(groups)
-    rows = []
-    for position, name in enumerate(columns):
-        k = kind[name]
-        if k in ("text", "other", "flag") or (reads_text and k != "time"):
-            txt = cell_text(name, k)
-        else:
-            txt = F.lit(None).cast("string")
-        rows.append((
-            F.lit(position), F.lit(name), F.lit(k), txt, cell_number(name, k),
-            without_nan(name, k).isNotNull(),
-        ))
-    if not rows:
+    if not columns:
         raise ValueError("a table without columns cannot be measured")
-    long = stack(df, rows, ("position", "column", "kind", "txt", "num", "is_filled"))
-    if "numbers" in groups:
-        long = long.withColumn(
-            "number", F.when(F.col("kind") == "text", parse_number(F.col("txt"))).otherwise(F.col("num"))
-        )
-    aggregates = [F.count(F.lit(1)).alias("rows"), F.count_if("is_filled").alias("filled")]
-    aggregates += [F.count_if(test).alias(name) for name, test in _counters(groups).items()]
-    if "numbers" in groups:
-        finite = F.when(F.abs(F.col("number")) < F.lit(float("inf")), F.col("number"))
-        aggregates += [F.min(finite).alias("low"), F.max(finite).alias("high")]
-    return long.groupBy("position", "column", "kind").agg(*aggregates)
+    unknown = set(groups) - set(ALL_GROUPS)
+    if unknown:
+        raise ValueError(f"unknown groups of counts: {sorted(unknown)}")
+    kind = kinds(df)
+    names = list(_text_counters(groups))
+    with_range = "numbers" in groups or "values" in groups
+    parts = []
+
+    texts = [(i, c) for i, c in enumerate(columns) if kind[c] == "text"]
+    if texts:
+        long = stack(df, [(F.lit(i), column(c)) for i, c in texts], ("position", "txt"))
+        long = long.withColumn("is_filled", F.col("txt").isNotNull())
+        number = parse_number(F.col("txt")) if "numbers" in groups else F.lit(None).cast("double")
+        if with_range:
+            long = long.withColumn("number", number)
+        parts.append(_aggregate(long, _text_counters(groups), names, with_range))
+
+    others = [(i, c) for i, c in enumerate(columns) if kind[c] != "text"]
+    if others:
+        rows = []
+        for i, c in others:
+            k = kind[c]
+            is_number = k in ("whole", "fraction")
+            word = cell_text(c, k) if "dirt" in groups and is_number else F.lit(None).cast("string")
+            rows.append((
+                F.lit(i), cell_number(c, k) if is_number else F.lit(None).cast("double"), word,
+                without_nan(c, k).isNotNull(), F.lit(k == "whole"), F.lit(k == "flag"),
+            ))
+        long = stack(df, rows, ("position", "number", "txt", "is_filled", "is_whole", "is_flag"))
+        tests = {
+            **_number_counters(F.col("number")),
+            "year": F.col("txt").rlike(fv.YEAR),
+            "year_range": (F.octet_length("txt") >= 8) & F.col("txt").rlike(fv.YEAR_RANGE),
+            "boolean_word": F.when(F.col("is_flag"), F.col("is_filled")).otherwise(
+                F.col("is_whole") & F.col("number").isin(0.0, 1.0)
+            ),
+            "letters": F.col("is_flag") & F.col("is_filled"),
+        }
+        parts.append(_aggregate(long, {n: t for n, t in tests.items() if n in names}, names, with_range))
+
+    counted = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    by_position = F.array(*[F.lit(c) for c in columns]), F.array(*[F.lit(kind[c]) for c in columns])
+    named = [F.get(values, F.col("position")) for values in by_position]
+    return counted.select(
+        "position", named[0].alias("column"), named[1].alias("kind"),
+        *[c for c in counted.columns if c != "position"],
+    )
+
+
+def date_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, int]]:
+    """How many cells of each text column can be read with each date format."""
+    wanted = [(c, name) for c in columns for name, _, _ in fv.DATE_FORMATS]
+    found: dict[str, dict[str, int]] = {c: {} for c in columns}
+    if wanted:
+        counts = df.agg(*[
+            F.count(parse_date(column(c), name)).alias(str(i)) for i, (c, name) in enumerate(wanted)
+        ]).first()
+        for i, (c, name) in enumerate(wanted):
+            found[c][f"date_{name}"] = counts[i]
+    return found
 
 
-def collect_stats(df: DataFrame, columns: Sequence[str] | None = None, groups: Sequence[str] = ()) -> dict[str, ColumnStats]:
-    """`measure` read to the driver: one small row per column, in schema order."""
+def collect_stats(
+    df: DataFrame, columns: Sequence[str] | None = None, groups: Sequence[str] = (), parse_dates: bool = True
+) -> dict[str, ColumnStats]:
+    """`measure` read to the driver: one small row per column, in schema order.
+
+    Columns that mostly look like dates get a second pass that parses them.
+    """
     columns = data_columns(df) if columns is None else list(columns)
     kind = kinds(df)
     found = {}
@@ -209,6 +289,9 @@ def collect_stats(df: DataFrame, columns: Sequence[str] | None = None, groups: S
                 {k: v for k, v in values.items() if k not in fixed},
                 values.get("low"), values.get("high"),
             )
+        dates = [c for c, s in found.items() if s.of_filled("date_like") >= fv.DATE_THRESHOLD]
+        for name, counts in date_counts(df, dates if parse_dates else []).items():
+            found[name].counts.update(counts)
     return {c: found.get(c, ColumnStats(c, kind[c])) for c in columns}
 
 

@@ -1,11 +1,12 @@
 """Exact linear quantiles of many columns without holding a column in one task.
 
-A quantile between two ranks is the line between two order statistics.  Each
-wanted rank carries an open interval that is known to hold it.  A pass counts
-the values left of the interval and takes an evenly spaced grid of approximate
-quantiles inside it; the grid cells around the rank become the next interval.
-A pass shrinks the candidates several hundredfold, so 10^12 rows need about
-four scans, and only the last one gathers values, at most ``bound`` per rank.
+A quantile between two ranks is the line between two order statistics.  A first
+scan draws an evenly spaced grid of approximate quantiles per column; the grid
+cells around a wanted rank, widened by the sketch's error, must hold it.  The
+next scan counts the values left of that interval.  If the interval can only
+hold a few values they are gathered in the same scan and the rank is read off;
+otherwise a new grid inside the interval narrows it several hundredfold.  So
+10^12 rows take about four scans, and no scan shuffles the values.
 """
 from __future__ import annotations
 
@@ -16,19 +17,28 @@ from pyspark.sql import DataFrame, functions as F
 
 from sluicebox.operators.profile import cell_number, kinds, stack
 
-# Groups up to this size may be gathered in one task (eight bytes a value).
-BOUND = 500_000
+# Columns up to this size are sorted in one task each (eight bytes a value).
+SMALL = 100_000
+# At most so many values are gathered per interval.
+BOUND = 200_000
 GRID = 500
 ACCURACY = 10_000
+# Spark sorts its input once an aggregate of objects sees more groups than this.
+GROUPS = 100
 
 
-def _percentiles(df, columns, probabilities):
-    """Spark's own exact percentile, for columns known to be small."""
+def _rank_pair(n: int, p: float) -> tuple[int, int]:
+    position = (n - 1) * p
+    return math.floor(position), math.ceil(position)
+
+
+def _chunks(items: Sequence, size: int = GROUPS):
+    return [items[i:i + size] for i in range(0, len(items), size)]
+
+
+def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     kind = kinds(df)
-    long = stack(df, [(F.lit(c), cell_number(c, kind[c])) for c in columns], ("column", "value"))
-    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-    rows = long.groupBy("column").agg(F.percentile("value", wanted).alias("q")).collect()
-    return {r["column"]: r["q"] for r in rows}
+    return stack(df, [(F.lit(i), cell_number(c, kind[c])) for i, c in enumerate(columns)], ("position", "value"))
 
 
 def exact_quantiles(
@@ -36,6 +46,7 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     filled: Mapping[str, int] | None = None,
+    small: int | None = None,
     bound: int | None = None,
 ) -> dict[str, list[float | None]]:
     """Linear-interpolation quantiles per numeric column; ``None`` for columns without values.
@@ -43,106 +54,110 @@ def exact_quantiles(
     ``filled`` gives the non-NULL counts when the caller already has them.
     """
     columns = list(columns)
+    small = SMALL if small is None else small
     bound = BOUND if bound is None else bound
     if not columns:
         return {}
     if filled is None:
-        kind = kinds(df)
-        counts = df.agg(*[F.count(cell_number(c, kind[c])).alias(str(i)) for i, c in enumerate(columns)]).first()
-        filled = {c: counts[i] for i, c in enumerate(columns)}
+        counted = _numbers(df, columns).groupBy("position").agg(F.count("value").alias("n"))
+        counts = {r["position"]: r["n"] for r in counted.collect()}
+        filled = {c: counts.get(i, 0) for i, c in enumerate(columns)}
     out: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
-    small = [c for c in columns if 0 < filled[c] <= bound]
-    if small:
-        for name, values in _percentiles(df, small, probabilities).items():
-            out[name] = list(values)
-    large = [c for c in columns if filled[c] > bound]
-    if large:
-        ranks = {(c, r) for c in large for p in probabilities for r in _rank_pair(filled[c], p)}
-        found = _order_statistics(df, sorted(ranks), filled, bound)
-        for c in large:
-            for i, p in enumerate(probabilities):
-                lower, upper = _rank_pair(filled[c], p)
-                share = (filled[c] - 1) * p - lower
-                low, high = found[c, lower], found[c, upper]
-                out[c][i] = low if low == high else low + (high - low) * share
+    for few in _chunks([c for c in columns if 0 < filled[c] <= small]):
+        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
+        rows = _numbers(df, few).groupBy("position").agg(F.percentile("value", wanted).alias("q"))
+        for row in rows.collect():
+            out[few[row["position"]]] = list(row["q"])
+    large = [c for c in columns if filled[c] > small]
+    ranks = sorted({(c, r) for c in large for p in probabilities for r in _rank_pair(filled[c], p)})
+    found = _order_statistics(df, ranks, filled, bound)
+    for c in large:
+        for i, p in enumerate(probabilities):
+            lower, upper = _rank_pair(filled[c], p)
+            share = (filled[c] - 1) * p - lower
+            low, high = found[c, lower], found[c, upper]
+            out[c][i] = low if low == high else low + (high - low) * share
     return out
 
 
-def _rank_pair(n: int, p: float) -> tuple[int, int]:
-    position = (n - 1) * p
-    return math.floor(position), math.ceil(position)
-
+class _Interval:
+    """Between two values that enclose the wanted ranks, and how many values it may hold."""
 
-def _cells_around(grid: Sequence[float], inner: int, size: int) -> tuple[float, float]:
-    """Grid values that enclose the zero-based ``inner`` rank, with room for the sketch's error."""
-    steps = len(grid) - 1
-    slack = 2 * size / ACCURACY + 1
-    left = max(0, math.floor((inner - slack) / size * steps))
-    right = min(steps, math.ceil((inner + 1 + slack) / size * steps))
-    return grid[left], grid[right]
+    def __init__(self, grid: Sequence[float], inner: int, size: int):
+        steps = len(grid) - 1
+        slack = 2 * size / ACCURACY + 1
+        left = max(0, math.floor((inner - slack) / size * steps))
+        right = min(steps, math.ceil((inner + 1 + slack) / size * steps))
+        self.low, self.high = grid[left], grid[right]
+        self.most = (right - left) / steps * size + 2 * size / ACCURACY
 
 
 def _order_statistics(df, ranks, filled, bound):
     """The value at each (column, zero-based rank)."""
     kind = kinds(df)
     fractions = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
-    columns = sorted({c for c, _ in ranks})
-    long = stack(df, [(F.lit(c), cell_number(c, kind[c])) for c in columns], ("column", "value"))
-    first = long.groupBy("column").agg(F.percentile_approx("value", fractions, ACCURACY).alias("grid"))
-    grids = {r["column"]: r["grid"] for r in first.collect()}
-
     found: dict[tuple[str, int], float] = {}
-    gather: dict[tuple[str, int], tuple[float, float, int]] = {}
-    open_: dict[tuple[str, int], tuple[float, float]] = {}
+    open_: dict[tuple[str, int], _Interval] = {}
+    wanted: dict[str, list[int]] = {}
     for c, r in ranks:
-        open_[c, r] = _cells_around(grids[c], r, filled[c])
+        wanted.setdefault(c, []).append(r)
 
-    while open_:
-        targets = sorted(open_)
-        rows = [
-            (F.lit(i), cell_number(c, kind[c]), F.lit(open_[c, r][0]), F.lit(open_[c, r][1]))
-            for i, (c, r) in enumerate(targets)
-        ]
-        value, low, high = F.col("value"), F.col("low"), F.col("high")
-        inside = (value > low) & (value < high)
-        passed = stack(df, rows, ("target", "value", "low", "high")).groupBy("target").agg(
-            F.count_if(value < low).alias("before"),
-            F.count_if(value <= low).alias("up_to_low"),
-            F.count_if(value < high).alias("before_high"),
-            F.count_if(value <= high).alias("up_to_high"),
-            F.percentile_approx(F.when(inside, value), fractions, ACCURACY).alias("grid"),
+    for columns in _chunks(list(wanted)):
+        first = _numbers(df, columns).groupBy("position").agg(
+            F.percentile_approx("value", fractions, ACCURACY).alias("grid"),
+            F.min("value").alias("low"), F.max("value").alias("high"),
         )
-        for row in passed.collect():
-            c, r = key = targets[row["target"]]
-            low_value, high_value = open_.pop(key)
-            if row["before"] <= r < row["up_to_low"]:
-                found[key] = low_value
-            elif row["before_high"] <= r < row["up_to_high"]:
-                found[key] = high_value
-            elif row["up_to_low"] <= r < row["before_high"]:
-                inner, size = r - row["up_to_low"], row["before_high"] - row["up_to_low"]
-                if size <= bound:
-                    gather[key] = (low_value, high_value, inner)
+        for row in first.collect():
+            c = columns[row["position"]]
+            for r in wanted[c]:
+                if r == 0:
+                    found[c, r] = row["low"]
+                elif r == filled[c] - 1:
+                    found[c, r] = row["high"]
                 else:
-                    open_[key] = _cells_around(row["grid"], inner, size)
-            else:
-                raise RuntimeError(f"rank {r} of {c} lies outside [{low_value}, {high_value}]")
-
-    if gather:
-        targets = sorted(gather)
-        rows = []
-        for i, (c, r) in enumerate(targets):
-            low_value, high_value, inner = gather[c, r]
-            number = cell_number(c, kind[c])
-            rows.append((
-                F.lit(i), F.when((number > low_value) & (number < high_value), number), F.lit(inner + 1),
-            ))
-        picked = (
-            stack(df, rows, ("target", "value", "pick")).where("value IS NOT NULL")
-            .groupBy("target", "pick")
-            .agg(F.sort_array(F.collect_list("value")).alias("sorted"))
-            .select("target", F.element_at("sorted", F.col("pick").cast("int")).alias("value"))
-        )
-        for row in picked.collect():
-            found[targets[row["target"]]] = row["value"]
+                    open_[c, r] = _Interval(row["grid"], r, filled[c])
+
+    while open_:
+        # Ranks of one column that share an interval share its scan.
+        targets: dict[tuple[str, float, float], list[tuple[int, _Interval]]] = {}
+        for (c, r), interval in open_.items():
+            targets.setdefault((c, interval.low, interval.high), []).append((r, interval))
+        open_ = {}
+        for part in _chunks(list(targets)):
+            rows = []
+            for i, (c, low, high) in enumerate(part):
+                gather = max(interval.most for _, interval in targets[c, low, high]) <= bound
+                rows.append((F.lit(i), cell_number(c, kind[c]), F.lit(low), F.lit(high), F.lit(gather)))
+            value, low, high = F.col("value"), F.col("low"), F.col("high")
+            inside = (value > low) & (value < high)
+            scanned = stack(df, rows, ("target", "value", "low", "high", "gather")).groupBy("target").agg(
+                F.count_if(value < low).alias("before"),
+                F.count_if(value == low).alias("at_low"),
+                F.count_if(inside).alias("inside"),
+                F.count_if(value == high).alias("at_high"),
+                F.sort_array(F.collect_list(F.when(inside & F.col("gather"), value))).alias("values"),
+                F.percentile_approx(F.when(inside & ~F.col("gather"), value), fractions, ACCURACY).alias("grid"),
+            )
+            # Only the wanted entries of a gathered interval come back, not its values.
+            wanted_ranks = F.get(
+                F.array(*[F.array(*[F.lit(r).cast("bigint") for r, _ in targets[key]]) for key in part]),
+                F.col("target"),
+            )
+            inner = F.col("before") + F.col("at_low")
+            picked = F.transform(wanted_ranks, lambda r: F.get("values", (r - inner).cast("int")))
+            for row in scanned.withColumn("picked", picked).drop("values").collect():
+                c, low_value, high_value = part[row["target"]]
+                start = row["before"] + row["at_low"]
+                for (r, interval), picked in zip(targets[part[row["target"]]], row["picked"]):
+                    if row["before"] <= r < start:
+                        found[c, r] = low_value
+                    elif start <= r < start + row["inside"]:
+                        if row["grid"] is None:
+                            found[c, r] = picked
+                        else:
+                            open_[c, r] = _Interval(row["grid"], r - start, row["inside"])
+                    elif start + row["inside"] <= r < start + row["inside"] + row["at_high"]:
+                        found[c, r] = high_value
+                    else:
+                        raise RuntimeError(f"rank {r} of {c} lies outside [{low_value}, {high_value}]")
     return found

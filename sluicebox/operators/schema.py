@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sluicebox import fixed_values as fv
 from sluicebox.functions.parsing import parse_boolean, parse_date, parse_number
 from sluicebox.operators.profile import (
-    ROW_ORDER, ColumnStats, cell_text, collect_stats, column, data_columns, distinct_counts, kinds,
+    ROW_ORDER, ColumnStats, cell_text, collect_stats, column, date_counts, distinct_counts, kinds,
 )
 
 log = logging.getLogger(__name__)
@@ -43,10 +43,15 @@ def detected_type(stats: ColumnStats) -> str:
     return CATEGORY if stats.uniqueness <= fv.CATEGORY_LIMIT else TEXT
 
 
-def profile_types(df: DataFrame) -> dict[str, ColumnStats]:
-    """The counts type detection needs; distinct values only where they can matter."""
-    stats = collect_stats(df, groups=DETECT_GROUPS)
+def profile_types(df: DataFrame, stats: dict[str, ColumnStats] | None = None) -> dict[str, ColumnStats]:
+    """The counts type detection needs; dates and distinct values only where they can matter."""
+    if stats is None:
+        stats = collect_stats(df, groups=DETECT_GROUPS, parse_dates=False)
     open_ = {c: s for c, s in stats.items() if type_before_distinct(s) is None}
+    dates = [c for c, s in open_.items() if s.of_filled("date_like") >= fv.TYPE_THRESHOLD]
+    for name, counts in date_counts(df, dates).items():
+        stats[name] = stats[name].changed(counts=counts)
+    open_ = {c: stats[c] for c in open_ if type_before_distinct(stats[c]) is None}
     if open_:
         limits = {
             c: [
@@ -57,7 +62,7 @@ def profile_types(df: DataFrame) -> dict[str, ColumnStats]:
         }
         rows = max(s.rows for s in open_.values())
         for name, distinct in distinct_counts(df, list(open_), rows, limits).items():
-            stats[name].distinct = distinct
+            stats[name] = stats[name].changed(distinct=distinct)
     return stats
 
 
@@ -70,7 +75,7 @@ def detect_schema(df: DataFrame, stats: dict[str, ColumnStats] | None = None) ->
 @dataclass
 class Typed:
     df: DataFrame
-    null_ratios: dict[str, float] = field(default_factory=dict)
+    stats: dict[str, ColumnStats] = field(default_factory=dict)
     warnings: list[str] = field(default_factory=list)
 
 
@@ -101,7 +106,8 @@ def apply_schema(
     """
     stats = collect_stats(df, groups=DETECT_GROUPS) if stats is None else stats
     kind = kinds(df)
-    out, ratios, warnings = [], {}, []
+    out, warnings = [], []
+    filled = {c: s.filled for c, s in stats.items()}
 
     for name in df.columns:
         cell = column(name)
@@ -136,7 +142,6 @@ def apply_schema(
                 cast = cell.cast("timestamp") if k != "time" else cell
         elif logical == CATEGORY:
             out.append(cell.cast("string").alias(name, metadata={"logical": CATEGORY}))
-            ratios[name] = s.null_ratio
             continue
         elif logical == TEXT:
             cast = cell if k == "other" else cell.cast("string")
@@ -144,7 +149,15 @@ def apply_schema(
             warnings.append(f"{name}: unknown or unfitting type {logical}")
             cast = cell
         out.append(cast.alias(name))
-        ratios[name] = 1 - kept / s.rows if s.rows else 0.0
+        filled[name] = kept
     for message in warnings:
         log.warning(message)
-    return Typed(df.select(*out), ratios, warnings)
+    typed = df.select(*out)
+    after = {}
+    for name, k in kinds(typed).items():
+        if name in stats:
+            s = stats[name]
+            counts = {} if k == "text" or "id_value" not in s.counts else {"id_value": 0}
+            distinct = s.distinct if k == kind[name] and filled[name] == s.filled else None
+            after[name] = s.changed(kind=k, filled=filled[name], distinct=distinct, counts=counts)
+    return Typed(typed, after, warnings)

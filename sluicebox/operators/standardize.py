@@ -9,7 +9,7 @@ from sluicebox import fixed_values as fv
 from sluicebox.functions.parsing import clean_numeric_or_keep, parse_date, year_bounds
 from sluicebox.functions.text import clean_text, strip
 from sluicebox.operators.profile import (
-    ColumnStats, cell_text, collect_stats, column, distinct_counts, kinds,
+    ColumnStats, cell_text, collect_stats, column, data_columns, distinct_counts, kinds,
 )
 
 ID, DATE, YEAR, MONEY, TEXT, STRIP, KEEP = "id", "date", "year", "numeric", "text", "strip", "keep"
@@ -106,7 +106,7 @@ def profile_routes(
     maybe_dates = [c for c, s in stats.items() if s.of_filled("text_dirty") >= fv.TEXT_THRESHOLD]
     if maybe_dates:
         cleaned = df.select(*[clean_text(column(c)).alias(c) for c in maybe_dates])
-        raw_dates = collect_stats(df.select(*[column(c) for c in maybe_dates]), groups=("dates",))
+        raw_dates = collect_stats(df, maybe_dates, ("dates",))
         clean_dates = collect_stats(cleaned, groups=("dates",))
         for name in maybe_dates:
             stats[name].counts.update(raw_dates[name].counts)
@@ -114,6 +114,34 @@ def profile_routes(
     return {c: route(s) for c, s in stats.items()}, stats
 
 
+# The groups that hold for a column as long as its cells stay the same.
+LASTING_GROUPS = ("identity", "numbers", "flags", "dates")
+PROFILE_GROUPS = ("dirt", "letters", "missing", *LASTING_GROUPS)
+
+
+def lasting_stats(standard: Standardized) -> dict[str, ColumnStats]:
+    """Counts of the standardised table with missing words as NULL, measuring rewritten columns only.
+
+    Needs stats with all `PROFILE_GROUPS`.  No missing word is a number, a truth
+    value, a date or an id, so only the filled count of a kept column changes.
+    """
+    from sluicebox.operators.missing import normalize_missing
+
+    kept, again = {}, []
+    for name in data_columns(standard.df):
+        s, chosen = standard.stats.get(name), standard.routes.get(name)
+        same = chosen == KEEP or (chosen in SKIPPING_ROUTES and s.counts["edge_space"] == 0)
+        if not same:
+            again.append(name)
+            continue
+        kind = "text" if chosen in SKIPPING_ROUTES else s.kind
+        kept[name] = s.changed(kind=kind, filled=s.filled - s.counts["missing_word"])
+    if again:
+        rewritten = normalize_missing(standard.df.select(*[column(c) for c in again]))
+        kept.update(collect_stats(rewritten, groups=LASTING_GROUPS, parse_dates=False))
+    return {c: kept[c] for c in data_columns(standard.df)}
+
+
 def standardize(df: DataFrame, stats: dict[str, ColumnStats] | None = None) -> Standardized:
     """Each column cleaned by its route, in one lazy projection."""
     routes, stats = profile_routes(df, stats)

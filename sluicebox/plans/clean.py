@@ -6,15 +6,14 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from sluicebox import fixed_values as fv
 from sluicebox.operators import outliers
 from sluicebox.operators.columns import drop_sparse_columns
 from sluicebox.operators.dedup import DedupStatus, remove_duplicates
 from sluicebox.operators.missing import drop_null_rows, fill_constant, impute, normalize_missing
-from sluicebox.operators.profile import ROW_ORDER, collect_stats, column
+from sluicebox.operators.profile import ColumnStats, collect_stats
 from sluicebox.operators.report import missing_counts
 from sluicebox.operators.schema import apply_schema, detected_type, profile_types
-from sluicebox.operators.standardize import MONEY, standardize
+from sluicebox.operators.standardize import LASTING_GROUPS, MONEY, PROFILE_GROUPS, lasting_stats, standardize
 from sluicebox.operators.validate import Validation, validate
 from sluicebox.plans.workspace import Workspace
 from sluicebox.sources.artifacts import Artifacts
@@ -42,8 +41,10 @@ class CleanRun:
     workspace: Workspace | None = None
 
 
-def _box_plots(df: DataFrame, columns: list[str]) -> DataFrame | None:
-    return outliers.boxplot_stats(df, columns) if columns else None
+def _box_plots(df: DataFrame, columns: list[str], stats: dict[str, ColumnStats]) -> DataFrame | None:
+    if not columns:
+        return None
+    return outliers.boxplot_stats(df, columns, outliers.quartile_bounds(df, columns, stats))
 
 
 def clean_frame(
@@ -63,7 +64,9 @@ def clean_frame(
     The only actions are aggregates with one row per column (or per key for the
     duplicate count) and the tables written between passes: one after loading,
     so that raw text is parsed once, one after imputation, and one after a
-    deduplication that removed rows.  ``order_by`` tells which of several
+    deduplication that removed rows.  A column is profiled once and again only
+    if a step rewrote its cells; how coercing and filling change its counts is
+    known without a look.  ``order_by`` tells which of several
     duplicates comes first; without it the row order of the source decides, or
     else the smallest row.
     """
@@ -72,19 +75,19 @@ def clean_frame(
         df = load_frame(df)
     df = workspace.stage(df, "loaded")
 
-    # One pass counts for the missing-value report, outlier columns and routes alike.
-    stats = collect_stats(df, groups=("dirt", "identity", "letters", "numbers"))
+    # One pass counts for the missing-value report, outlier columns, routes and types alike.
+    stats = collect_stats(df, groups=PROFILE_GROUPS, parse_dates=False)
     rows = max((s.rows for s in stats.values()), default=0)
     missing_before = missing_counts(df, stats)
     width = len(stats)
-    box_before = _box_plots(df, outliers.eligible_by_values(df, stats)) if with_outliers else None
+    box_before = _box_plots(df, outliers.eligible_by_values(df, stats), stats) if with_outliers else None
 
     standard = standardize(df, stats)
-    dropped, counts = [], {}
+    dropped, counts, known = [], {}, None
     if strategy == "auto":
         amounts = tuple(c for c, r in standard.routes.items() if r == MONEY)
-        imputed = impute(standard.df, amounts)
-        filled, dropped = imputed.df, list(imputed.dropped)
+        imputed = impute(standard.df, amounts, lasting_stats(standard), LASTING_GROUPS)
+        filled, dropped, known = imputed.df, list(imputed.dropped), imputed.stats
         counts = {"numeric": imputed.numeric, "text": imputed.text, "datetime": imputed.datetime}
     elif strategy == "drop":
         filled = drop_null_rows(standard.df)
@@ -94,19 +97,22 @@ def clean_frame(
         filled = normalize_missing(standard.df)
     filled = workspace.stage(filled, "filled")
 
-    type_stats = profile_types(filled)
+    if known is None:
+        known = collect_stats(filled, groups=LASTING_GROUPS, parse_dates=False)
+    type_stats = profile_types(filled, known)
     schema = {c: detected_type(s) for c, s in type_stats.items()}
     if artifacts is not None:
         artifacts.save(dataset, Artifacts.SCHEMA, schema)
     typed = apply_schema(filled, schema, type_stats, strict_boolean)
-    kept, sparse = drop_sparse_columns(typed.df, null_ratios=typed.null_ratios)
-    box_after = _box_plots(kept, outliers.eligible_by_schema(kept, schema)) if with_outliers else None
+    null_ratios = {c: s.null_ratio for c, s in typed.stats.items()}
+    kept, sparse = drop_sparse_columns(typed.df, null_ratios=null_ratios)
+    box_after = _box_plots(kept, outliers.eligible_by_schema(kept, schema), typed.stats) if with_outliers else None
 
-    known = {c: s.distinct for c, s in type_stats.items() if s.distinct is not None}
-    unique = remove_duplicates(kept, schema=schema, order_by=order_by, known_distinct=known)
+    kept_stats = {c: s for c, s in typed.stats.items() if c not in sparse}
+    unique = remove_duplicates(kept, schema=schema, order_by=order_by, stats=kept_stats)
     final = workspace.stage(unique.df, "unique") if unique.status.removed else unique.df
 
-    final_stats = collect_stats(final, groups=("numbers",))
+    final_stats = collect_stats(final, groups=("values",))
     missing_after = missing_counts(final, final_stats)
     result = validate(final, dataset, schema, unique.status, rows_before=rows, stats=final_stats)
     if artifacts is not None:
