@@ -98,11 +98,17 @@ def keep_one(df: DataFrame, keys: Sequence[str], keep: str | bool = "first", ord
     The kept row is an aggregate, so the copies of a hot key are reduced inside
     each task before the shuffle; a window would gather them in one task.
     """
+    row = F.struct(*[column(c) for c in df.columns])
+    last = keep == "last"
+    if order_by is None and ROW_ORDER in df.columns:
+        order_by = ROW_ORDER
     if order_by is None:
-        order_by = ROW_ORDER if ROW_ORDER in df.columns else F.struct(*[column(c) for c in df.columns])
-    order = F.col(order_by) if isinstance(order_by, str) else order_by
-    pick = {"first": F.min_by, "last": F.max_by, False: F.min_by}[keep]
-    aggregates = [pick(F.struct(*[column(c) for c in df.columns]), order).alias("row")]
+        # Without an order the smallest or largest row stays; it orders itself.
+        best = F.max(row) if last else F.min(row)
+    else:
+        order = F.col(order_by) if isinstance(order_by, str) else order_by
+        best = F.max_by(row, order) if last else F.min_by(row, order)
+    aggregates = [best.alias("row")]
     if keep is False:
         aggregates.append(F.count(F.lit(1)).alias("n"))
     named = [column(k).alias(f"key_{i}") for i, k in enumerate(keys)]
