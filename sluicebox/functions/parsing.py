@@ -8,11 +8,13 @@ from sluicebox.functions.text import strip
 
 
 def parse_number(cell: Column) -> Column:
-    """A string as double; NULL where the whole cell is not a number.
+    """A string as double; NULL where the whole cell is not a number, or too large for a double.
 
     Spark's own cast also takes ``1d`` or ``1f``, so the shape is checked first.
     """
-    return F.when(cell.rlike(fv.NUMBER), cell.try_cast("double"))
+    value = cell.try_cast("double")
+    in_range = (F.abs(value) < F.lit(float("inf"))) | cell.rlike("(?i)inf")
+    return F.when(cell.rlike(fv.NUMBER) & in_range, value)
 
 
 def is_whole(number: Column) -> Column:

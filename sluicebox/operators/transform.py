@@ -87,8 +87,8 @@ def bin_labels(edges: Sequence[float]) -> list[str]:
     """``(low, high]`` per bin, with as few digits as keep the edges apart, at least three."""
     digits = next(d for d in range(3, 20) if d == 19 or len({_rounded(e, d) for e in edges}) == len(edges))
     shown = [_rounded(e, digits) for e in edges]
-    shown[0] -= 10 ** -digits
-    shown[0] = _rounded(shown[0], digits)
+    # A step of the last digit below the lowest edge, without the noise of the subtraction.
+    shown[0] = round(shown[0] - 10 ** -digits, 12)
     return [f"({low}, {high}]" for low, high in zip(shown, shown[1:])]
 
 
