@@ -2,7 +2,8 @@
 
 # --- patterns that mark a cell as dirty (Java regex; (?d) makes "." and "$" see only \n as a line end)
 TEXT_DIRTY = r"\[[^\]]*\]|[†‡*]|[\x00-\x1F\x7F]"
-MONEY_DIRTY = r"(?d)[$€£₹(),]|\d+[KMBkmb]$"
+MONEY_CHARACTERS = "$€£₹(),"
+MONEY_SUFFIX = r"(?d)\d[KMBkmb]$"
 YEAR = r"(19\d{2}|20\d{2})"
 YEAR_RANGE = r"(?d)(19\d{2}|20\d{2}).*(19\d{2}|20\d{2})"
 
@@ -16,7 +17,6 @@ PLAIN_NUMBER = r"^\d+(\.\d+)?$"
 NUMBER = r"^\s*+[+-]?+(?:(?:\d++(?:\.\d*+)?+|\.\d++)(?:[eE][+-]?+\d++)?+|(?i:inf(?:inity)?+))\s*+$"
 WHOLE_NUMBER = r"^\s*+[+-]?+\d++\s*+$"
 DELIMITER = r"[;/,:]"
-EDGE_SPACE = r"^[\s\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]|[\s\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]\z"
 
 # --- thresholds on measured ratios
 TEXT_THRESHOLD = 0.6

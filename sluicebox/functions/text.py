@@ -34,18 +34,27 @@ def plain_punctuation(cell: Column) -> Column:
     return F.translate(cell, "“”‘’–—", "\"\"''--")
 
 
-def clean_text(cell: Column, keep_punctuation: bool = False) -> Column:
+def needs_cleaning(cell: Column) -> Column:
+    """Whether `clean_text` or `fix_mojibake` could change the cell; one quick look for most cells."""
+    return (
+        cell.rlike(r"[^\x20-\x7E]|[\[*]") | cell.contains("  ") | cell.startswith(" ") | cell.endswith(" ")
+    )
+
+
+def clean_text(cell: Column, keep_punctuation: bool = False, mend: bool = False) -> Column:
     """Printable ASCII only: no bracketed notes, daggers, asterisks or control characters.
 
     One pass drops notes and unwanted characters together, which equals dropping
     them one after another because none of them is a bracket. With
     ``keep_punctuation`` typographic quotes and dashes become ASCII first
-    instead of being dropped.
+    instead of being dropped; with ``mend`` broken encodings are mended first.
     """
+    raw = fix_mojibake(cell) if mend else cell
     if keep_punctuation:
-        cell = plain_punctuation(cell)
-    kept = F.regexp_replace(nfkc(cell), r"\[[^\]]*\]|[*]|[^\x20-\x7E]", "")
-    return F.trim(F.regexp_replace(kept, " {2,}", " "))
+        raw = plain_punctuation(raw)
+    kept = F.regexp_replace(nfkc(raw), r"\[[^\]]*\]|[*]|[^\x20-\x7E]", "")
+    cleaned = F.trim(F.regexp_replace(kept, " {2,}", " "))
+    return F.when(needs_cleaning(cell), cleaned).otherwise(cell)
 
 
 def null_missing(cell: Column, words=fv.MISSING_WORDS) -> Column:

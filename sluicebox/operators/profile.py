@@ -6,13 +6,16 @@ column and task.  Everything the driver reads is a handful of counts per column.
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+import operator
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sluicebox import fixed_values as fv
 from sluicebox.functions.parsing import is_whole, number_text, parse_date, parse_number
+from sluicebox.functions.text import strip
 
 ROW_ORDER = "_row_ord"
 
@@ -21,7 +24,7 @@ _FRACTION_TYPES = (T.FloatType, T.DoubleType, T.DecimalType)
 _TIME_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 # Groups of counts that `measure` can take.
-ALL_GROUPS = ("dirt", "identity", "letters", "numbers", "values", "flags", "dates", "marks", "missing")
+ALL_GROUPS = ("dirt", "years", "identity", "letters", "numbers", "values", "flags", "dates", "marks", "missing")
 
 # Above this many rows, distinct counts are estimated first (see `distinct_counts`).
 EXACT_DISTINCT_ROWS = 2_000_000
@@ -147,17 +150,29 @@ def _date_like(txt: Column) -> Column:
     return F.octet_length(txt).between(8, fv.LONGEST_DATE) & txt.rlike(f"^(?:{shapes})$")
 
 
+def _any(tests: Iterable[Column]) -> Column:
+    return functools.reduce(operator.or_, tests)
+
+
 def _text_counters(groups: Sequence[str]) -> dict[str, Column]:
+    """The tests on a text cell.  Plain substring looks spare most cells the regex behind them."""
     txt, number = F.col("txt"), F.col("number")
+    suffixed = _any(txt.endswith(c) for c in "KMBkmb\n") & txt.rlike(fv.MONEY_SUFFIX)
+    plain = txt.rlike(fv.PLAIN_NUMBER)
     of = {
         "dirt": lambda: {
             "text_dirty": txt.rlike(fv.TEXT_DIRTY_CHARACTERS) & txt.rlike(fv.TEXT_DIRTY),
-            "money_dirty": txt.rlike(fv.MONEY_DIRTY),
-            "year": txt.rlike(fv.YEAR),
-            "year_range": (F.octet_length(txt) >= 8) & txt.rlike(fv.YEAR_RANGE),
+            "money_dirty": _any(txt.contains(c) for c in fv.MONEY_CHARACTERS) | suffixed,
+            "year_range": (txt.contains("19") | txt.contains("20")) & txt.rlike(fv.YEAR_RANGE),
+        },
+        "years": lambda: {"year": txt.rlike(fv.YEAR)},
+        "identity": lambda: {
+            "id_value": (F.octet_length(txt) >= 8) & ~txt.contains(" ") & txt.rlike(fv.ID_VALUE)
+        },
+        "letters": lambda: {
+            "letters": txt.rlike(fv.HAS_LETTER),
+            "plain_number": number.isNotNull() & plain if "numbers" in groups else plain,
         },
-        "identity": lambda: {"id_value": (F.octet_length(txt) >= 8) & txt.rlike(fv.ID_VALUE)},
-        "letters": lambda: {"letters": txt.rlike(fv.HAS_LETTER), "plain_number": txt.rlike(fv.PLAIN_NUMBER)},
         # "numbers" parses text, "values" only looks at columns that are numeric already.
         "numbers": lambda: _number_counters(number),
         "values": lambda: {} if "numbers" in groups else dict.fromkeys(_number_counters(number), F.lit(False)),
@@ -170,7 +185,7 @@ def _text_counters(groups: Sequence[str]) -> dict[str, Column]:
         },
         "missing": lambda: {
             "missing_word": txt.isin(*fv.MISSING_WORDS),
-            "edge_space": txt.rlike(fv.EDGE_SPACE),
+            "edge_space": F.octet_length(strip(txt)) < F.octet_length(txt),
         },
     }
     return {name: test for group in groups for name, test in of[group]().items()}
@@ -231,7 +246,7 @@ def measure(df: DataFrame, columns: Sequence[str] | None = None, groups: Sequenc
         for i, c in others:
             k = kind[c]
             is_number = k in ("whole", "fraction")
-            word = cell_text(c, k) if "dirt" in groups and is_number else F.lit(None).cast("string")
+            word = cell_text(c, k) if {"dirt", "years"} & set(groups) and is_number else F.lit(None).cast("string")
             rows.append((
                 F.lit(i), cell_number(c, k) if is_number else F.lit(None).cast("double"), word,
                 without_nan(c, k).isNotNull(), F.lit(k == "whole"), F.lit(k == "flag"),
@@ -257,6 +272,20 @@ def measure(df: DataFrame, columns: Sequence[str] | None = None, groups: Sequenc
     )
 
 
+def _gaps(df: DataFrame, columns: Sequence[str]) -> dict[str, ColumnStats]:
+    """Rows and filled cells by one plain aggregate; nothing has to be stacked for that."""
+    kind = kinds(df)
+    row = df.agg(F.count(F.lit(1)), *[F.count(without_nan(c, kind[c])) for c in columns]).first()
+    return {c: ColumnStats(c, kind[c], row[0], n) for c, n in zip(columns, row[1:])}
+
+
+def gap_stats(df: DataFrame) -> dict[str, ColumnStats]:
+    """`collect_stats` for reports on gaps: numeric columns that have some are also counted by value."""
+    stats = collect_stats(df)
+    wanted = [c for c, s in stats.items() if s.nulls and s.kind in ("whole", "fraction")]
+    return {**stats, **collect_stats(df, wanted, ("values",))}
+
+
 def date_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, int]]:
     """How many cells of each text column can be read with each date format."""
     wanted = [(c, name) for c in columns for name, _, _ in fv.DATE_FORMATS]
@@ -280,7 +309,9 @@ def collect_stats(
     columns = data_columns(df) if columns is None else list(columns)
     kind = kinds(df)
     found = {}
-    if columns:
+    if columns and not groups:
+        found = _gaps(df, columns)
+    elif columns:
         fixed = {"position", "column", "kind", "rows", "filled", "low", "high"}
         for row in measure(df, columns, groups).collect():
             values = row.asDict()

@@ -6,8 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from sluicebox.operators.profile import (
-    ColumnStats, cell_number, collect_stats, column, data_columns, kinds, measure, stack, value_counts,
-    without_nan,
+    ColumnStats, cell_number, collect_stats, column, data_columns, gap_stats, kinds, measure, stack, value_counts,
 )
 from sluicebox.operators.quantiles import exact_quantiles
 from sluicebox.operators.validate import is_structural
@@ -15,7 +14,7 @@ from sluicebox.operators.validate import is_structural
 
 def missing_counts(df: DataFrame, stats: dict[str, ColumnStats] | None = None) -> DataFrame:
     """NULLs per column that has any, structural columns aside; zeros for all if none has."""
-    stats = collect_stats(df, groups=("values",)) if stats is None else stats
+    stats = gap_stats(df) if stats is None else stats
     some = [(c, s.nulls) for c, s in stats.items() if s.nulls and not is_structural(s)]
     rows = some or [(c, 0) for c in stats]
     return df.sparkSession.createDataFrame(rows, "column string, missing bigint")

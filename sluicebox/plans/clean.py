@@ -10,7 +10,7 @@ from sluicebox.operators import outliers
 from sluicebox.operators.columns import drop_sparse_columns
 from sluicebox.operators.dedup import DedupStatus, remove_duplicates
 from sluicebox.operators.missing import drop_null_rows, fill_constant, impute, normalize_missing
-from sluicebox.operators.profile import ColumnStats, collect_stats
+from sluicebox.operators.profile import ColumnStats, collect_stats, gap_stats
 from sluicebox.operators.report import missing_counts
 from sluicebox.operators.schema import apply_schema, detected_type, profile_types
 from sluicebox.operators.standardize import LASTING_GROUPS, MONEY, PROFILE_GROUPS, lasting_stats, standardize
@@ -112,9 +112,11 @@ def clean_frame(
     unique = remove_duplicates(kept, schema=schema, order_by=order_by, stats=kept_stats)
     final = workspace.stage(unique.df, "unique") if unique.status.removed else unique.df
 
-    final_stats = collect_stats(final, groups=("values",))
+    final_stats = gap_stats(final)
     missing_after = missing_counts(final, final_stats)
-    result = validate(final, dataset, schema, unique.status, rows_before=rows, stats=final_stats)
+    result = validate(
+        final, dataset, schema, unique.status, rows, final_stats, count_keys=unique.status.removed > 0
+    )
     if artifacts is not None:
         artifacts.save(dataset, Artifacts.VALIDATION, result.as_dict())
     return CleanRun(

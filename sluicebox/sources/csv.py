@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sluicebox import fixed_values as fv
 from sluicebox.functions.parsing import parse_number
-from sluicebox.functions.text import clean_text, fix_mojibake, null_missing
+from sluicebox.functions.text import clean_text, null_missing
 from sluicebox.operators.columns import clean_names, header_names
 from sluicebox.operators.profile import ROW_ORDER, column, data_columns, kinds, stack
 
@@ -65,17 +65,17 @@ def _value_kinds(df: DataFrame) -> dict[str, dict]:
     columns = [c for c, k in kinds(df).items() if k == "text" and c != ROW_ORDER]
     if not columns:
         return {}
-    long = stack(df, [(F.lit(c), column(c)) for c in columns], ("column", "txt"))
-    txt = F.col("txt")
-    counted = long.groupBy("column").agg(
+    txt, number = F.col("txt"), F.col("number")
+    long = stack(df, [(F.lit(i), column(c)) for i, c in enumerate(columns)], ("position", "txt"))
+    counted = long.withColumn("number", parse_number(txt)).groupBy("position").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("txt").alias("filled"),
-        F.count_if(txt.rlike(fv.WHOLE_NUMBER) & txt.try_cast("bigint").isNotNull()).alias("whole"),
-        F.count_if(parse_number(txt).isNotNull()).alias("number"),
+        F.count_if(number.isNotNull() & txt.rlike(fv.WHOLE_NUMBER) & txt.try_cast("bigint").isNotNull()).alias("whole"),
+        F.count("number").alias("number"),
         F.count_if(txt.isin(*fv.CSV_BOOLEANS)).alias("boolean"),
         F.count_if(txt.contains(REPLACEMENT)).alias("undecoded"),
     )
-    return {r["column"]: r.asDict() for r in counted.collect()}
+    return {columns[r["position"]]: r.asDict() for r in counted.collect()}
 
 
 def infer_types(df: DataFrame, found: dict[str, dict] | None = None) -> DataFrame:
@@ -102,7 +102,7 @@ def clean_text_columns(df: DataFrame, keep_punctuation: bool = False) -> DataFra
     """Every text column with broken encodings mended and reduced to clean ASCII."""
     kind = kinds(df)
     return df.select(*[
-        clean_text(fix_mojibake(column(c)), keep_punctuation).alias(c)
+        clean_text(column(c), keep_punctuation, mend=True).alias(c)
         if kind[c] == "text" and c != ROW_ORDER else column(c)
         for c in df.columns
     ])

@@ -27,7 +27,7 @@ def _dirty_sql(source: str, columns) -> str:
 
 
 def _dirty(df):
-    return profile.measure(df, groups=("dirt",)).select(
+    return profile.measure(df, groups=("dirt", "years")).select(
         "column", *[(F.col(n) / F.col("filled")).alias(n) for n in _DIRT]
     )
 
