@@ -1,13 +1,18 @@
 """Whole runs on dirtied tables: load, clean, transform, write, read back."""
+import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
 from sluicebox.operators.profile import ROW_ORDER
 from sluicebox.operators.validate import check_written
-from sluicebox.plans.clean import clean_frame
+from sluicebox.operators.schema import apply_schema, detect_schema, profile_types
+from sluicebox.plans.clean import clean_csv, clean_frame
+from sluicebox.plans.overview import overview
+from sluicebox.plans.transform import save_plan, transform_to_table
 from sluicebox.plans.workspace import Workspace, shared_folder
 from sluicebox.sources import csv, tables
+from sluicebox.sources.artifacts import Artifacts
 from workload.registry import CSV_MISSING_SQL, ORDERS, Dirt, query, sql_mode, table, union_all
 
 MESSY_LINES = Dirt("lineitem", {
@@ -74,18 +79,28 @@ MESSY_ORDERS = Dirt("orders", {
 _ORDER_STATUS = "CASE WHEN \"Status\" IN ('-', 'nan', '<NA>', '  ') THEN NULL ELSE \"Status\" END"
 
 
-@query(
-    "full_clean_orders",
+_CLEAN_ORDERS = (
     "SELECT \" Order ID \" AS order_id, coalesce(" + _ORDER_STATUS + ", " + sql_mode(_ORDER_STATUS, MESSY_ORDERS.sql) +
     ") AS status, cast(regexp_extract(\"Total\", '[0-9]+') AS bigint) AS total, "
     r"""regexp_replace("Priority", '^\s+|\s+$', '', 'g') AS priority, coalesce("Customer", """ + sql_mode('"Customer"', MESSY_ORDERS.sql) +
-    f") AS customer, cast(\"Ordered in Year\" AS bigint) AS ordered_in_year FROM ({MESSY_ORDERS.sql})",
+    f") AS customer, cast(\"Ordered in Year\" AS bigint) AS ordered_in_year FROM ({MESSY_ORDERS.sql})"
 )
+
+
+@query("full_clean_orders", _CLEAN_ORDERS)
 def full_clean_orders(spark, sf_dir):
     """An id column, so nothing repeats; year gaps stay."""
     return clean_frame(MESSY_ORDERS.frame(spark, sf_dir), "orders", with_outliers=False).df
 
 
+@query("full_clean_csv", _CLEAN_ORDERS)
+def full_clean_csv(spark, sf_dir):
+    """The same table, read as CSV."""
+    path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    tables.write_csv(MESSY_ORDERS.frame(spark, sf_dir), path)
+    return clean_csv(spark, path, with_outliers=False).df.drop(ROW_ORDER)
+
+
 @query(
     "full_clean_checks",
     union_all([
@@ -172,3 +187,44 @@ def text_export(spark, sf_dir):
     path = f"{shared_folder(spark)}/text-{uuid.uuid4().hex}"
     tables.write_text(table(spark, sf_dir, "customer").drop("c_acctbal"), path, "|")
     return spark.read.text(path)
+
+
+@query(
+    "full_transform_part",
+    "SELECT cast(p_partkey AS DOUBLE) AS p_partkey, p_name, p_brand, p_type, cast(p_size AS DOUBLE) AS p_size, "
+    "p_retailprice, regexp_replace(regexp_replace(lower(concat(p_brand, ';', p_type, ' / ', p_name)), '[;:/]', ',', 'g'), "
+    r"'\s*,\s*', ',', 'g') AS tags FROM (SELECT p_partkey, lower(p_name) AS p_name, lower(p_brand) AS p_brand, "
+    "lower(p_type) AS p_type, p_size, p_retailprice FROM part)",
+)
+def full_transform_part(spark, sf_dir):
+    """A plan suggested, saved, applied, written to a table and checked there."""
+    df = table(spark, sf_dir, "part").withColumn("tags", F.expr("concat(p_brand, ';', p_type, ' / ', p_name)"))
+    dataset = f"part_{uuid.uuid4().hex[:8]}"
+    artifacts = Artifacts(tempfile.mkdtemp(prefix="sluicebox-"))
+    save_plan(df, dataset, artifacts)
+    return spark.table(transform_to_table(spark, df, dataset, artifacts).table)
+
+
+@query(
+    "stored_overview",
+    "SELECT count(*) AS rows, cast(6 AS bigint) AS columns, count(*) FILTER (WHERE o_orderkey % 4 = 0) AS missing, "
+    "'year_made_end' AS structural FROM orders",
+)
+def stored_overview(spark, sf_dir):
+    """Found in the catalog by a part of its name, with its headline numbers."""
+    df = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "year(o_orderdate) AS year_made",
+        "CASE WHEN o_orderkey % 4 <> 0 THEN year(o_orderdate) + 1 END AS year_made_end",
+    )
+    dataset = f"orders_{uuid.uuid4().hex[:8]}"
+    tables.write_table(df, dataset)
+    found = overview(spark, dataset.upper())
+    return found.headline.withColumn("structural", F.lit(",".join(found.structural_gaps)))
+
+
+@query("boolean_labels", "SELECT doc_id, quality = 1 AS quality, toxic = 1 AS toxic FROM labels")
+def boolean_labels(spark, sf_dir):
+    """Columns of 0 and 1 become truth values."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    stats = profile_types(labels)
+    return apply_schema(labels, detect_schema(labels, stats), stats).df
