@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sluicebox import fixed_values as fv
 from sluicebox.operators.profile import (
-    ROW_ORDER, ColumnStats, collect_stats, column, data_columns, distinct_counts,
+    ROW_ORDER, ColumnStats, collect_stats, column, data_columns, distinct_counts, kinds,
 )
 from sluicebox.operators.standardize import add_uniqueness, is_id
 
@@ -92,16 +92,19 @@ def duplicate_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def keep_one(df: DataFrame, keys: Sequence[str], keep: str | bool = "first", order_by: str | Column | None = None) -> DataFrame:
+def keep_one(df: DataFrame, keys: list[str], keep: str | bool = "first", order_by: str | Column | None = None) -> DataFrame:
     """One row per key: the first or last in order, or with ``keep=False`` only rows without a twin.
 
     The kept row is an aggregate, so the copies of a hot key are reduced inside
     each task before the shuffle; a window would gather them in one task.
     """
-    row = F.struct(*[column(c) for c in df.columns])
+    kind = kinds(df)
     last = keep == "last"
     if order_by is None and ROW_ORDER in df.columns:
         order_by = ROW_ORDER
+    # Keys need not travel twice; fractions do, as grouping turns -0.0 into 0.0.
+    carried = [c for c in df.columns if c not in keys or kind[c] == "fraction"] or df.columns
+    row = F.struct(*[column(c) for c in carried])
     if order_by is None:
         # Without an order the smallest or largest row stays; it orders itself.
         best = F.max(row) if last else F.min(row)
@@ -115,7 +118,10 @@ def keep_one(df: DataFrame, keys: Sequence[str], keep: str | bool = "first", ord
     kept = df.groupBy(*named).agg(*aggregates)
     if keep is False:
         kept = kept.where("n = 1")
-    return kept.select("row.*")
+    return kept.select(*[
+        F.col("row").getField(c).alias(c) if c in carried else F.col(f"key_{keys.index(c)}").alias(c)
+        for c in df.columns
+    ])
 
 
 def drop_repeated_rows(df: DataFrame, order_by: str | Column | None = None) -> DataFrame:
