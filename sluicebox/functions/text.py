@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -57,9 +58,14 @@ def clean_text(cell: Column, keep_punctuation: bool = False, mend: bool = False)
     return F.when(needs_cleaning(cell), cleaned).otherwise(cell)
 
 
-def null_missing(cell: Column, words=fv.MISSING_WORDS) -> Column:
+def is_one_of(cell: Column, words: Sequence[str]) -> Column:
+    """Whether the cell is one of the words; the list is one literal, whatever its length."""
+    return F.array_contains(F.split(F.lit("\x00".join(words)), "\x00"), cell)
+
+
+def null_missing(cell: Column, words: Sequence[str] = fv.MISSING_WORDS) -> Column:
     """NULL for cells that only spell out that a value is missing."""
-    return F.when(~cell.isin(*words), cell)
+    return F.when(~is_one_of(cell, words), cell)
 
 
 def normalize_delimiters(cell: Column) -> Column:

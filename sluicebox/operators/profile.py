@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sluicebox import fixed_values as fv
 from sluicebox.functions.parsing import is_whole, number_text, parse_date, parse_number
-from sluicebox.functions.text import strip
+from sluicebox.functions.text import is_one_of, strip
 
 ROW_ORDER = "_row_ord"
 
@@ -184,7 +184,7 @@ def _text_counters(groups: Sequence[str]) -> dict[str, Column]:
             "edge_blank": txt.startswith(" ") | txt.endswith(" "),
         },
         "missing": lambda: {
-            "missing_word": txt.isin(*fv.MISSING_WORDS),
+            "missing_word": is_one_of(txt, fv.MISSING_WORDS),
             "edge_space": F.octet_length(strip(txt)) < F.octet_length(txt),
         },
     }
@@ -200,18 +200,69 @@ def _number_counters(number: Column) -> dict[str, Column]:
     }
 
 
-def _aggregate(long: DataFrame, counters: dict[str, Column], names: Sequence[str], with_range: bool) -> DataFrame:
-    """Grouped by a small integer instead of the column's name; counts that do not apply are 0."""
+def _aggregate(long: DataFrame, counters: dict[str, Column], with_range: bool) -> DataFrame:
+    """Grouped by a small integer instead of the column's name."""
     out = [F.count(F.lit(1)).alias("rows"), F.count_if("is_filled").alias("filled")]
-    out += [
-        (F.count_if(counters[n]) if n in counters else F.lit(0).cast("bigint")).alias(n) for n in names
-    ]
+    out += [F.count_if(test).alias(name) for name, test in counters.items()]
     if with_range:
         finite = F.when(F.abs(F.col("number")) < F.lit(float("inf")), F.col("number"))
         out += [F.min(finite).alias("low"), F.max(finite).alias("high")]
     return long.groupBy("position").agg(*out)
 
 
+def _count_text(df: DataFrame, texts: Sequence[tuple[int, str]], counters: dict[str, Column], groups: Sequence[str]) -> DataFrame:
+    long = stack(df, [(F.lit(i), column(c)) for i, c in texts], ("position", "txt"))
+    added = [F.col("txt").isNotNull().alias("is_filled")]
+    if "numbers" in groups:
+        added.append(parse_number(F.col("txt")).alias("number"))
+    elif "values" in groups:
+        added.append(F.lit(None).cast("double").alias("number"))
+    return _aggregate(long.select("*", *added), counters, len(added) > 1)
+
+
+def _count_others(df: DataFrame, others: Sequence[tuple[int, str]], wanted: Iterable[str], groups: Sequence[str]) -> DataFrame:
+    kind = kinds(df)
+    nothing, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    rows = []
+    for i, c in others:
+        k = kind[c]
+        is_number = k in ("whole", "fraction")
+        rows.append((
+            F.lit(i), cell_number(c, k) if is_number else nothing,
+            cell_text(c, k) if {"dirt", "years"} & set(groups) and is_number else no_text,
+            without_nan(c, k).isNotNull(), F.lit(k),
+        ))
+    long = stack(df, rows, ("position", "number", "txt", "is_filled", "kind"))
+    txt, number, kind_ = F.col("txt"), F.col("number"), F.col("kind")
+    flag = (kind_ == "flag") & F.col("is_filled")
+    tests = {
+        **_number_counters(number),
+        "year": txt.rlike(fv.YEAR),
+        "year_range": (F.octet_length(txt) >= 8) & txt.rlike(fv.YEAR_RANGE),
+        "boolean_word": flag | ((kind_ == "whole") & number.isin(0.0, 1.0)),
+        "letters": flag,
+    }
+    return _aggregate(long, {n: tests[n] for n in wanted if n in tests}, {"numbers", "values"} & set(groups))
+
+
+def _counted(df: DataFrame, columns: Sequence[str], groups: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Counts by position of the column, and their names; a count that cannot apply to a column is NULL."""
+    unknown = set(groups) - set(ALL_GROUPS)
+    if unknown:
+        raise ValueError(f"unknown groups of counts: {sorted(unknown)}")
+    kind = kinds(df)
+    counters = _text_counters(groups)
+    texts = [(i, c) for i, c in enumerate(columns) if kind[c] == "text"]
+    others = [(i, c) for i, c in enumerate(columns) if kind[c] != "text"]
+    parts = []
+    if texts:
+        parts.append(_count_text(df, texts, counters, groups))
+    if others:
+        parts.append(_count_others(df, others, counters, groups))
+    counted = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    return counted, list(counters)
+
+
 def measure(df: DataFrame, columns: Sequence[str] | None = None, groups: Sequence[str] = ()) -> DataFrame:
     """Counts per column as a table: column, kind, rows, filled, then one column per count.
 
@@ -223,52 +274,17 @@ def measure(df: DataFrame, columns: Sequence[str] | None = None, groups: Sequenc
     columns = data_columns(df) if columns is None else list(columns)
     if not columns:
         raise ValueError("a table without columns cannot be measured")
-    unknown = set(groups) - set(ALL_GROUPS)
-    if unknown:
-        raise ValueError(f"unknown groups of counts: {sorted(unknown)}")
     kind = kinds(df)
-    names = list(_text_counters(groups))
-    with_range = "numbers" in groups or "values" in groups
-    parts = []
-
-    texts = [(i, c) for i, c in enumerate(columns) if kind[c] == "text"]
-    if texts:
-        long = stack(df, [(F.lit(i), column(c)) for i, c in texts], ("position", "txt"))
-        long = long.withColumn("is_filled", F.col("txt").isNotNull())
-        number = parse_number(F.col("txt")) if "numbers" in groups else F.lit(None).cast("double")
-        if with_range:
-            long = long.withColumn("number", number)
-        parts.append(_aggregate(long, _text_counters(groups), names, with_range))
-
-    others = [(i, c) for i, c in enumerate(columns) if kind[c] != "text"]
-    if others:
-        rows = []
-        for i, c in others:
-            k = kind[c]
-            is_number = k in ("whole", "fraction")
-            word = cell_text(c, k) if {"dirt", "years"} & set(groups) and is_number else F.lit(None).cast("string")
-            rows.append((
-                F.lit(i), cell_number(c, k) if is_number else F.lit(None).cast("double"), word,
-                without_nan(c, k).isNotNull(), F.lit(k == "whole"), F.lit(k == "flag"),
-            ))
-        long = stack(df, rows, ("position", "number", "txt", "is_filled", "is_whole", "is_flag"))
-        tests = {
-            **_number_counters(F.col("number")),
-            "year": F.col("txt").rlike(fv.YEAR),
-            "year_range": (F.octet_length("txt") >= 8) & F.col("txt").rlike(fv.YEAR_RANGE),
-            "boolean_word": F.when(F.col("is_flag"), F.col("is_filled")).otherwise(
-                F.col("is_whole") & F.col("number").isin(0.0, 1.0)
-            ),
-            "letters": F.col("is_flag") & F.col("is_filled"),
-        }
-        parts.append(_aggregate(long, {n: t for n, t in tests.items() if n in names}, names, with_range))
-
-    counted = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    counted, names = _counted(df, columns, groups)
     by_position = F.array(*[F.lit(c) for c in columns]), F.array(*[F.lit(kind[c]) for c in columns])
-    named = [F.get(values, F.col("position")) for values in by_position]
+    labels = [F.get(values, F.col("position")) for values in by_position]
+    counts = [
+        F.coalesce(F.col(n), F.lit(0)).alias(n) if n in counted.columns else F.lit(0).cast("bigint").alias(n)
+        for n in names
+    ]
+    rest = [c for c in ("low", "high") if c in counted.columns]
     return counted.select(
-        "position", named[0].alias("column"), named[1].alias("kind"),
-        *[c for c in counted.columns if c != "position"],
+        "position", labels[0].alias("column"), labels[1].alias("kind"), "rows", "filled", *counts, *rest
     )
 
 
@@ -312,12 +328,11 @@ def collect_stats(
     if columns and not groups:
         found = _gaps(df, columns)
     elif columns:
-        fixed = {"position", "column", "kind", "rows", "filled", "low", "high"}
-        for row in measure(df, columns, groups).collect():
-            values = row.asDict()
-            found[row["column"]] = ColumnStats(
-                row["column"], row["kind"], row["rows"], row["filled"],
-                {k: v for k, v in values.items() if k not in fixed},
+        counted, names = _counted(df, columns, groups)
+        for row in counted.collect():
+            values, c = row.asDict(), columns[row["position"]]
+            found[c] = ColumnStats(
+                c, kind[c], row["rows"], row["filled"], {n: values.get(n) or 0 for n in names},
                 values.get("low"), values.get("high"),
             )
         dates = [c for c, s in found.items() if s.of_filled("date_like") >= fv.DATE_THRESHOLD]

@@ -95,7 +95,7 @@ class _Interval:
 def _order_statistics(df, ranks, filled, bound):
     """The value at each (column, zero-based rank)."""
     kind = kinds(df)
-    fractions = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    fractions = F.expr("array(" + ", ".join(f"{i / GRID!r}D" for i in range(GRID + 1)) + ")")
     found: dict[tuple[str, int], float] = {}
     open_: dict[tuple[str, int], _Interval] = {}
     wanted: dict[str, list[int]] = {}

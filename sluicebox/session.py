@@ -9,6 +9,8 @@ SETTINGS = {
     # The JVM does not compile methods above 8000 bytes; on wide tables smaller
     # generated methods are about twice as fast as one interpreted method.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Capturing the caller of every column expression takes longer than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Times are compared and shown without a local offset.
     "spark.sql.session.timeZone": "UTC",
 }
