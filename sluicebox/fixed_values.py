@@ -62,7 +62,6 @@ CSV_BOOLEANS = ("True", "TRUE", "true", "False", "FALSE", "false")
 MOJIBAKE = (("â€ ", ""), ("â€¡", ""), ("Ã©", "é"))
 SUFFIX_SCALE = (("K", 1e3), ("M", 1e6), ("B", 1e9))
 SYSTEM_DATABASES = ("mysql", "information_schema", "performance_schema", "sys")
-TEXT_FILL = "Unknown"
 
 # --- one row per date format: name, shape the cell must have, Spark pattern
 DATE_FORMATS = (

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sluicebox import fixed_values as fv
 from sluicebox.functions.parsing import parse_number
 from sluicebox.operators.profile import (
-    ColumnStats, cell_number, collect_stats, column, data_columns, kinds, stack,
+    ColumnStats, cell_number, collect_stats, column, kinds, stack,
 )
 from sluicebox.operators.quantiles import exact_quantiles
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from sluicebox import fixed_values as fv
 from sluicebox.functions.parsing import clean_numeric_or_keep, parse_date, year_bounds

@@ -13,7 +13,7 @@ from sluicebox import fixed_values as fv
 from sluicebox.functions.parsing import is_whole, parse_number, split_year
 from sluicebox.functions.text import normalize_delimiters, split_multi_values, strip
 from sluicebox.operators.profile import (
-    ROW_ORDER, cell_number, collect_stats, column, data_columns, distinct_counts, kinds,
+    cell_number, collect_stats, column, distinct_counts, kinds,
 )
 from sluicebox.operators.quantiles import exact_quantiles
 

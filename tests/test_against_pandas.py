@@ -1,12 +1,10 @@
 """The rules against pandas on random cells."""
-import io
 import random
 import warnings
 
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from sluicebox.functions import parsing
 from sluicebox.operators import dedup, profile, transform

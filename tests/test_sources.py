@@ -1,5 +1,3 @@
-import datetime
-
 import pytest
 from pyspark.sql import functions as F
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from sluicebox.functions import parsing, text
 from sluicebox.operators.missing import normalize_missing
 from workload.registry import (
-    MISSING_SQL, ORDERS, PARTS, query, sql_amount, sql_clean_text, sql_null_missing, sql_years, table,
+    ORDERS, PARTS, query, sql_amount, sql_clean_text, sql_null_missing, sql_years, table,
 )
 
 

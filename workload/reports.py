@@ -2,7 +2,6 @@
 from pyspark.sql import functions as F
 
 from sluicebox.operators import columns, report, validate
-from sluicebox.operators.schema import detect_schema
 from workload.registry import LINES, ORDERS, query, table, union_all
 
 _LINE_COLUMNS = list(LINES.columns)
