@@ -1,14 +1,24 @@
 """The registered queries of this subpackage and their SQL."""
 from __future__ import annotations
 
+from sluicebox.llm.minhash import op2_minhash_fingerprints
 from sluicebox.llm.mixing import op8_sainte_lague_mixing
+from sluicebox.llm.prefix_join import op10_ngram_jaccard_join
 from sluicebox.llm.sql import SQL
+from sluicebox.llm.templates import op6_license_templates
+from sluicebox.llm.toxicity import op5_ngram_toxicity
+from sluicebox.llm.warc import op3_warc_bundles
 from sluicebox.llm.winnowing import op4_winnowing_decontamination
 
 QUERIES = {
     f.__name__: f for f in (
+        op2_minhash_fingerprints,
+        op3_warc_bundles,
         op4_winnowing_decontamination,
+        op5_ngram_toxicity,
+        op6_license_templates,
         op8_sainte_lague_mixing,
+        op10_ngram_jaccard_join,
     )
 }
 __all__ = ["QUERIES", "SQL"]
