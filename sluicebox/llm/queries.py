@@ -4,6 +4,7 @@ from __future__ import annotations
 from sluicebox.llm.minhash import op2_minhash_fingerprints
 from sluicebox.llm.mixing import op8_sainte_lague_mixing
 from sluicebox.llm.prefix_join import op10_ngram_jaccard_join
+from sluicebox.llm.repeats import op9_bounded_repeats
 from sluicebox.llm.sql import SQL
 from sluicebox.llm.templates import op6_license_templates
 from sluicebox.llm.toxicity import op5_ngram_toxicity
@@ -18,6 +19,7 @@ QUERIES = {
         op5_ngram_toxicity,
         op6_license_templates,
         op8_sainte_lague_mixing,
+        op9_bounded_repeats,
         op10_ngram_jaccard_join,
     )
 }

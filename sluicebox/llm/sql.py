@@ -126,3 +126,21 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
   CASE WHEN page_id > first_id THEN first_id END AS refers_to
 FROM p LEFT JOIN f USING (digest)
 """
+
+SQL["op9_bounded_repeats"] = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT doc_id, i, substr(h, CAST(2 * i + 1 AS BIGINT), 200) AS g
+      FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM d WHERE len(h) >= 200)),
+f AS (SELECT g, min((doc_id, i)) AS first_place, count(*) AS n FROM s GROUP BY g HAVING count(*) > 1),
+r AS (SELECT doc_id, i FROM s JOIN f USING (g) WHERE (doc_id, i) > first_place),
+p AS (SELECT doc_id, i, i - 100 > lag(i) OVER (PARTITION BY doc_id ORDER BY i) OR lag(i) OVER (PARTITION BY doc_id ORDER BY i) IS NULL AS opens FROM r),
+g AS (SELECT doc_id, i, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM p),
+x AS (SELECT doc_id, span, min(i) AS b, max(i) + 100 AS e FROM g GROUP BY doc_id, span),
+k AS (SELECT x.doc_id, span, b, e, h, coalesce(lag(e) OVER (PARTITION BY x.doc_id ORDER BY b), 0) AS past FROM x JOIN d ON x.doc_id = d.doc_id),
+c AS (SELECT doc_id, CAST(sum(e - b) AS BIGINT) AS n_removed, count(*) AS n_spans,
+        string_agg(substr(h, CAST(2 * past + 1 AS BIGINT), CAST(2 * (b - past) AS BIGINT)), '' ORDER BY b)
+        || substr(any_value(h), CAST(2 * max(e) + 1 AS BIGINT)) AS left_h FROM k GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(left_h, d.h))) AS kept_sha256
+FROM d LEFT JOIN c ON d.doc_id = c.doc_id
+"""
