@@ -1,6 +1,7 @@
 """The registered queries of this subpackage and their SQL."""
 from __future__ import annotations
 
+from sluicebox.llm.ctw import op1_context_tree_weighting
 from sluicebox.llm.minhash import op2_minhash_fingerprints
 from sluicebox.llm.mixing import op8_sainte_lague_mixing
 from sluicebox.llm.prefix_join import op10_ngram_jaccard_join
@@ -13,6 +14,7 @@ from sluicebox.llm.winnowing import op4_winnowing_decontamination
 
 QUERIES = {
     f.__name__: f for f in (
+        op1_context_tree_weighting,
         op2_minhash_fingerprints,
         op3_warc_bundles,
         op4_winnowing_decontamination,
