@@ -5,9 +5,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sluicebox.llm.common import table, workspace
 from sluicebox.llm.mixing import mix_sources
+from sluicebox.llm.prefix_join import keep_one_per_component
+from sluicebox.llm.repeats import cut_repeats
+from sluicebox.llm.toxicity import drop_toxic
 from sluicebox.llm.winnowing import drop_contaminated
 
 
+def filter_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; it learns from the labelled ones."""
+    return drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the least doc_id stays."""
+    return keep_one_per_component(docs)
+
+
+def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 100 bytes that stand earlier are cut out of the texts; every document stays."""
+    return cut_repeats(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose share of benchmark words is too large go."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -19,6 +37,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", filter_toxic),
+    ("ngram_jaccard_join", drop_near_duplicates),
+    ("suffix_array_dedup", cut_repeated_strings),
     ("benchmark_decontamination", decontaminate),
     ("source_mixing", mix),
 ]

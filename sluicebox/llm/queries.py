@@ -1,6 +1,7 @@
 """The registered queries of this subpackage and their SQL."""
 from __future__ import annotations
 
+from sluicebox.llm.blocks import op7_block_labeller
 from sluicebox.llm.ctw import op1_context_tree_weighting
 from sluicebox.llm.minhash import op2_minhash_fingerprints
 from sluicebox.llm.mixing import op8_sainte_lague_mixing
@@ -20,6 +21,7 @@ QUERIES = {
         op4_winnowing_decontamination,
         op5_ngram_toxicity,
         op6_license_templates,
+        op7_block_labeller,
         op8_sainte_lague_mixing,
         op9_bounded_repeats,
         op10_ngram_jaccard_join,
