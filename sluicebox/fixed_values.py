@@ -40,6 +40,7 @@ MAX_BUSINESS_KEYS = 3
 REMOVAL_LIMIT = 0.3
 ROW_DROP_LIMIT = 0.3
 NULL_RATIO_LIMIT = 0.3
+STRUCTURAL_SUFFIXES = ("_end",)
 BIN_UNIQUE_LIMIT = 0.2
 BIN_COUNT = 4
 IQR_FACTOR = 1.5
@@ -79,7 +80,6 @@ DATE_FORMATS = (
     ("month_full", r"^\s*[A-Za-z]{4,9} \d{1,2}, \d{4}\s*$", "MMMM d, yyyy"),
     ("day_month_name", r"^\s*\d{1,2} [A-Za-z]{3} \d{4}\s*$", "d MMM yyyy"),
 )
-LONGEST_DATE = 40
 
 # --- texts of the transform plan
 REASONS = {

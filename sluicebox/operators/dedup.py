@@ -75,9 +75,7 @@ def derive_keys(
         and s.filled / s.rows > fv.KEY_UNIQUE_LOW
     ]
     if open_:
-        rows = max(stats[c].rows for c in open_)
-        limits = [(fv.KEY_UNIQUE_LOW, rows), (fv.KEY_UNIQUE_HIGH, rows)]
-        for name, distinct in distinct_counts(df, open_, rows, limits).items():
+        for name, distinct in distinct_counts(df, open_).items():
             stats[name].distinct = distinct
     return choose_business_keys(schema, stats, year_names)
 

@@ -85,15 +85,26 @@ def _numeric_like(stats: dict[str, ColumnStats]) -> list[str]:
     ]
 
 
-def _as_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.select(*[parse_number(column(c)).alias(c) if c in columns else column(c) for c in df.columns])
+def keeps_digits(stats: ColumnStats) -> bool:
+    """Text whose numbers are all whole and of 64 bits, some of them beyond what a double holds."""
+    counts = stats.counts
+    return counts.get("beyond_double", 0) > 0 and counts["fits"] == counts["parsed"]
+
+
+def _as_numbers(df: DataFrame, columns: Sequence[str], stats: dict[str, ColumnStats]) -> DataFrame:
+    """The text columns as doubles, or as 64-bit numbers where a double would change a digit."""
+    def number(c):
+        if keeps_digits(stats[c]):
+            return F.when(column(c).rlike(fv.WHOLE_NUMBER), column(c).try_cast("bigint"))
+        return parse_number(column(c))
+    return df.select(*[number(c).alias(c) if c in columns else column(c) for c in df.columns])
 
 
 def coerce_numeric_like(df: DataFrame, stats: dict[str, ColumnStats] | None = None) -> tuple[DataFrame, list[str]]:
-    """Text columns of which at least 0.6 of all rows are numbers, as doubles."""
+    """Text columns of which at least 0.6 of all rows are numbers, as numbers."""
     stats = collect_stats(df, groups=("numbers",)) if stats is None else stats
     coerced = _numeric_like(stats)
-    return _as_numbers(df, coerced), coerced
+    return _as_numbers(df, coerced, stats), coerced
 
 
 def _after_fill(df: DataFrame, modes: dict[str, Column], stats: dict[str, ColumnStats], groups: Sequence[str]) -> dict[str, ColumnStats]:
@@ -134,11 +145,11 @@ def impute(
         if c in stats and c not in coerced and stats[c].kind == "text"
         and stats[c].counts["parsed"] == stats[c].filled
     ]
-    df = _as_numbers(df, coerced)
+    df = _as_numbers(df, coerced, stats)
     for name in coerced:
         s = stats[name]
-        text_only = dict.fromkeys({"boolean_word", "date_like", "id_value"} & set(s.counts), 0)
-        stats[name] = s.changed(kind="fraction", filled=s.counts["parsed"], counts=text_only)
+        text_only = dict.fromkeys({"boolean_word", "date_like", "id_value", "fits", "beyond_double"} & set(s.counts), 0)
+        stats[name] = s.changed(kind="whole" if keeps_digits(s) else "fraction", filled=s.counts["parsed"], counts=text_only)
 
     gaps = [
         c for c, s in stats.items()

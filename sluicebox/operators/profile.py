@@ -26,16 +26,11 @@ _TIME_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 # Groups of counts that `measure` can take.
 ALL_GROUPS = ("dirt", "years", "identity", "letters", "numbers", "values", "flags", "dates", "marks", "missing")
 
-# Above this many rows, distinct counts are estimated first (see `distinct_counts`).
-EXACT_DISTINCT_ROWS = 2_000_000
-# Relative standard deviation of the estimate, and how many of them count as "near".
-DISTINCT_RSD, DISTINCT_SIGMAS = 0.01, 6
-
 
 def kind_of(data_type: T.DataType) -> str:
     if isinstance(data_type, T.StringType):
         return "text"
-    if isinstance(data_type, _WHOLE_TYPES):
+    if isinstance(data_type, _WHOLE_TYPES) or isinstance(data_type, T.DecimalType) and data_type.scale == 0 and data_type.precision <= 18:
         return "whole"
     if isinstance(data_type, _FRACTION_TYPES):
         return "fraction"
@@ -135,19 +130,9 @@ class ColumnStats:
         return best, fits
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A fresh scan with at least as many partitions as there are cores.
-
-    Small files, or files of one row group, may leave most cores idle.  Tables
-    with enough partitions, as all large ones have, are returned as they are.
-    """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
-
-
 def _date_like(txt: Column) -> Column:
     shapes = "|".join(shape.strip("^$") for _, shape, _ in fv.DATE_FORMATS)
-    return F.octet_length(txt).between(8, fv.LONGEST_DATE) & txt.rlike(f"^(?:{shapes})$")
+    return (F.octet_length(txt) >= 8) & txt.rlike(f"^(?:{shapes})$")
 
 
 def _any(tests: Iterable[Column]) -> Column:
@@ -174,7 +159,7 @@ def _text_counters(groups: Sequence[str]) -> dict[str, Column]:
             "plain_number": number.isNotNull() & plain if "numbers" in groups else plain,
         },
         # "numbers" parses text, "values" only looks at columns that are numeric already.
-        "numbers": lambda: _number_counters(number),
+        "numbers": lambda: {**_number_counters(number), **_digit_counters(txt)},
         "values": lambda: {} if "numbers" in groups else dict.fromkeys(_number_counters(number), F.lit(False)),
         "flags": lambda: {"boolean_word": (F.octet_length(txt) <= 5) & F.lower(txt).isin(*fv.BOOLEAN_WORDS)},
         "dates": lambda: {"date_like": _date_like(txt)},
@@ -200,6 +185,12 @@ def _number_counters(number: Column) -> dict[str, Column]:
     }
 
 
+def _digit_counters(txt: Column) -> dict[str, Column]:
+    """Whole numbers of 64 bits, and those of them that a double cannot hold."""
+    digits = F.when(txt.rlike(fv.WHOLE_NUMBER), txt.try_cast("bigint"))
+    return {"fits": digits.isNotNull(), "beyond_double": digits.cast("double").try_cast("bigint") != digits}
+
+
 def _aggregate(long: DataFrame, counters: dict[str, Column], with_range: bool) -> DataFrame:
     """Grouped by a small integer instead of the column's name."""
     out = [F.count(F.lit(1)).alias("rows"), F.count_if("is_filled").alias("filled")]
@@ -341,12 +332,10 @@ def collect_stats(
     return {c: found.get(c, ColumnStats(c, kind[c])) for c in columns}
 
 
-def cells(df: DataFrame, columns: Sequence[str], short_text: bool = False) -> DataFrame:
+def cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Filled cells in long form: column, and the value as txt, num or whole by its kind.
 
-    Whole numbers keep 64 bits, and text sorts as text.  With ``short_text`` a
-    long text is replaced by its MD5, enough to count distinct texts without
-    shuffling them.
+    Whole numbers keep 64 bits, and text sorts as text.
     """
     kind = kinds(df)
     none = {"txt": F.lit(None).cast("string"), "num": F.lit(None).cast("double"), "whole": F.lit(None).cast("bigint")}
@@ -360,8 +349,6 @@ def cells(df: DataFrame, columns: Sequence[str], short_text: bool = False) -> Da
             value["whole"] = column(name).cast("int").cast("bigint")
         elif k == "fraction":
             value["num"] = without_nan(name, k)
-        elif k == "text" and short_text:
-            value["txt"] = F.when(F.octet_length(column(name)) > 64, F.md5(column(name))).otherwise(column(name))
         elif k == "other":
             value["txt"] = F.to_json(F.struct(column(name)))
         else:
@@ -371,55 +358,26 @@ def cells(df: DataFrame, columns: Sequence[str], short_text: bool = False) -> Da
     return long.where("txt IS NOT NULL OR num IS NOT NULL OR whole IS NOT NULL")
 
 
-def value_counts(df: DataFrame, columns: Sequence[str], short_text: bool = False) -> DataFrame:
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """How often each value occurs; a hot value shrinks to one row per task before the shuffle."""
-    return cells(df, columns, short_text).groupBy("column", "txt", "num", "whole").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    return cells(df, columns).groupBy("column", "txt", "num", "whole").agg(F.count(F.lit(1)).alias("n"))
 
 
 def distinct_frame(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exact number of distinct filled values per column."""
-    return value_counts(df, columns, short_text=True).groupBy("column").agg(
-        F.count(F.lit(1)).alias("distinct")
-    )
+    """Number of distinct filled values per column, counted over 128 bits of hash of every value.
 
+    Two numbers travel per distinct value and task, however long the values are.
+    """
+    value = F.struct("txt", (F.col("num") + 0.0).alias("num"), "whole")
+    hashed = cells(df, columns).select(
+        "column", F.xxhash64(value).alias("h1"), F.xxhash64(F.lit(1), value).alias("h2"))
+    return hashed.distinct().groupBy("column").agg(F.count(F.lit(1)).alias("distinct"))
 
-def distinct_counts(
-    df: DataFrame,
-    columns: Sequence[str],
-    rows: int,
-    limits: Sequence[tuple[float, int]] | dict[str, Sequence[tuple[float, int]]] = (),
-    exact_rows: int | None = None,
-) -> dict[str, int]:
-    """Distinct counts good enough to decide against ``limits``.
 
-    ``limits`` lists, per column, pairs of a ratio and the row count it refers
-    to.  Small tables are counted exactly.  Larger ones are estimated in one
-    scan without a value shuffle, and only the columns whose estimate lies
-    within six standard deviations of a limit are counted exactly.
-    """
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """`distinct_frame` read to the driver; columns without values have 0."""
     columns = list(columns)
-    if not columns:
-        return {}
-    exact_rows = EXACT_DISTINCT_ROWS if exact_rows is None else exact_rows
-    if rows > exact_rows:
-        long = cells(df, columns)
-        estimate = long.groupBy("column").agg(
-            F.approx_count_distinct(F.xxhash64("txt", "num", "whole"), DISTINCT_RSD).alias("distinct")
-        )
-        counts = {r["column"]: r["distinct"] for r in estimate.collect()}
-        near = []
-        for name in columns:
-            pairs = limits.get(name, ()) if isinstance(limits, dict) else limits
-            guess = counts.get(name, 0)
-            margin = DISTINCT_SIGMAS * DISTINCT_RSD * max(guess, 1)
-            if any(abs(guess - ratio * base) <= margin for ratio, base in pairs):
-                near.append(name)
-    else:
-        counts, near = {}, columns
-    if near:
-        counts.update({r["column"]: r["distinct"] for r in distinct_frame(df, near).collect()})
+    counts = {r["column"]: r["distinct"] for r in distinct_frame(df, columns).collect()} if columns else {}
     return {name: counts.get(name, 0) for name in columns}
 
 

@@ -17,8 +17,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from sluicebox.operators.profile import cell_number, kinds, stack
 
-# Columns up to this size are sorted in one task each (eight bytes a value).
-SMALL = 100_000
 # At most so many values are gathered per interval.
 BOUND = 200_000
 GRID = 500
@@ -46,7 +44,6 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     filled: Mapping[str, int] | None = None,
-    small: int | None = None,
     bound: int | None = None,
 ) -> dict[str, list[float | None]]:
     """Linear-interpolation quantiles per numeric column; ``None`` for columns without values.
@@ -54,7 +51,6 @@ def exact_quantiles(
     ``filled`` gives the non-NULL counts when the caller already has them.
     """
     columns = list(columns)
-    small = SMALL if small is None else small
     bound = BOUND if bound is None else bound
     if not columns:
         return {}
@@ -63,12 +59,7 @@ def exact_quantiles(
         counts = {r["position"]: r["n"] for r in counted.collect()}
         filled = {c: counts.get(i, 0) for i, c in enumerate(columns)}
     out: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
-    for few in _chunks([c for c in columns if 0 < filled[c] <= small]):
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        rows = _numbers(df, few).groupBy("position").agg(F.percentile("value", wanted).alias("q"))
-        for row in rows.collect():
-            out[few[row["position"]]] = list(row["q"])
-    large = [c for c in columns if filled[c] > small]
+    large = [c for c in columns if filled[c]]
     ranks = sorted({(c, r) for c in large for p in probabilities for r in _rank_pair(filled[c], p)})
     found = _order_statistics(df, ranks, filled, bound)
     for c in large:
@@ -91,6 +82,13 @@ class _Interval:
         self.low, self.high = grid[left], grid[right]
         self.most = (right - left) / steps * size + 2 * size / ACCURACY
 
+    @classmethod
+    def between(cls, low: float, high: float):
+        """A wider interval of unknown content, to be scanned with a new grid."""
+        made = cls([low, high], 0, 1)
+        made.most = math.inf
+        return made
+
 
 def _order_statistics(df, ranks, filled, bound):
     """The value at each (column, zero-based rank)."""
@@ -99,6 +97,7 @@ def _order_statistics(df, ranks, filled, bound):
     found: dict[tuple[str, int], float] = {}
     open_: dict[tuple[str, int], _Interval] = {}
     wanted: dict[str, list[int]] = {}
+    ends: dict[str, tuple[float, float]] = {}
     for c, r in ranks:
         wanted.setdefault(c, []).append(r)
 
@@ -109,6 +108,7 @@ def _order_statistics(df, ranks, filled, bound):
         )
         for row in first.collect():
             c = columns[row["position"]]
+            ends[c] = row["low"], row["high"]
             for r in wanted[c]:
                 if r == 0:
                     found[c, r] = row["low"]
@@ -159,5 +159,7 @@ def _order_statistics(df, ranks, filled, bound):
                     elif start + row["inside"] <= r < start + row["inside"] + row["at_high"]:
                         found[c, r] = high_value
                     else:
-                        raise RuntimeError(f"rank {r} of {c} lies outside [{low_value}, {high_value}]")
+                        # The sketch was worse than promised: look on the side where the rank must be.
+                        least, most = ends[c]
+                        open_[c, r] = _Interval.between(least, low_value) if r < row["before"] else _Interval.between(high_value, most)
     return found

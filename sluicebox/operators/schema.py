@@ -4,7 +4,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sluicebox import fixed_values as fv
 from sluicebox.functions.parsing import parse_boolean, parse_date, parse_number
@@ -53,15 +53,7 @@ def profile_types(df: DataFrame, stats: dict[str, ColumnStats] | None = None) ->
         stats[name] = stats[name].changed(counts=counts)
     open_ = {c: stats[c] for c in open_ if type_before_distinct(stats[c]) is None}
     if open_:
-        limits = {
-            c: [
-                (fv.CATEGORY_LIMIT, s.filled), (fv.UNIQUE_THRESHOLD, s.filled),
-                (fv.KEY_UNIQUE_LOW, s.rows), (fv.KEY_UNIQUE_HIGH, s.rows),
-            ]
-            for c, s in open_.items()
-        }
-        rows = max(s.rows for s in open_.values())
-        for name, distinct in distinct_counts(df, list(open_), rows, limits).items():
+        for name, distinct in distinct_counts(df, list(open_)).items():
             stats[name] = stats[name].changed(distinct=distinct)
     return stats
 
@@ -88,7 +80,10 @@ def _whole_number(name: str, kind: str) -> Column:
     return column(name).try_cast("bigint")
 
 
-def _number(name: str, kind: str) -> Column:
+def _number(name: str, kind: str, exact: bool = False) -> Column:
+    """``exact`` columns, decimals, keep their type: a double would lose digits."""
+    if exact:
+        return column(name)
     return parse_number(column(name)) if kind == "text" else column(name).cast("double")
 
 
@@ -106,6 +101,7 @@ def apply_schema(
     """
     stats = collect_stats(df, groups=DETECT_GROUPS) if stats is None else stats
     kind = kinds(df)
+    scales = {f.name: f.dataType.scale for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)}
     out, warnings = [], []
     filled = {c: s.filled for c, s in stats.items()}
 
@@ -123,10 +119,10 @@ def apply_schema(
                 and s.counts["infinite"] == 0
                 and all(b < 2.0 ** 63 for b in bounds)
             )
-            cast = _whole_number(name, k) if safe else _number(name, k)
+            cast = _whole_number(name, k) if safe and scales.get(name, 0) == 0 else _number(name, k, name in scales)
             kept = s.counts["parsed"]
         elif logical == FLOAT and k != "time":
-            cast, kept = _number(name, k), s.counts["parsed"]
+            cast, kept = _number(name, k, name in scales), s.counts["parsed"]
         elif logical == BOOLEAN:
             if k == "text" and strict_boolean:
                 warnings.append(f"{name}: text is not cast to boolean")

@@ -53,9 +53,7 @@ def add_uniqueness(df: DataFrame, stats: dict[str, ColumnStats]) -> None:
     """Fill in `distinct` for the columns whose id decision depends on it."""
     open_ = {c: s for c, s in stats.items() if s.filled and s.distinct is None and needs_uniqueness(s)}
     if open_:
-        limits = {c: [(fv.UNIQUE_THRESHOLD, s.filled)] for c, s in open_.items()}
-        rows = max(s.rows for s in open_.values())
-        for name, distinct in distinct_counts(df, list(open_), rows, limits).items():
+        for name, distinct in distinct_counts(df, list(open_)).items():
             stats[name].distinct = distinct
 
 
@@ -134,7 +132,7 @@ def lasting_stats(standard: Standardized) -> dict[str, ColumnStats]:
         if not same:
             again.append(name)
             continue
-        kind = "text" if chosen in SKIPPING_ROUTES else s.kind
+        kind = "text" if chosen in SKIPPING_ROUTES and s.kind != "whole" else s.kind
         kept[name] = s.changed(kind=kind, filled=s.filled - s.counts["missing_word"])
     if again:
         rewritten = normalize_missing(standard.df.select(*[column(c) for c in again]))
@@ -161,7 +159,7 @@ def standardize(df: DataFrame, stats: dict[str, ColumnStats] | None = None) -> S
             projected.append(clean_numeric_or_keep(cell).alias(name))
         elif chosen == TEXT:
             projected.append(clean_text(cell).alias(name))
-        elif chosen in (ID, STRIP):
+        elif chosen in (ID, STRIP) and kind[name] != "whole":
             projected.append(strip(cell_text(name, kind[name])).alias(name))
         else:
             projected.append(cell)

@@ -29,7 +29,7 @@ def suggest_plan(df: DataFrame, dataset: str, enable_all: bool = False) -> dict:
     kind = kinds(df)
     numeric = [c for c, s in stats.items() if kind[c] in ("whole", "fraction", "flag") and s.filled]
     rows = max((s.rows for s in stats.values()), default=0)
-    distinct = distinct_counts(df, numeric, rows, [(fv.BIN_UNIQUE_LIMIT, rows)])
+    distinct = distinct_counts(df, numeric)
     columns = {}
     for name, s in stats.items():
         steps: dict[str, dict] = {}

@@ -18,9 +18,12 @@ def clean_directory(
 ) -> Iterator[CleanRun]:
     """Clean each file, write ``<target>/<dataset>_cleaned`` and free what the run staged."""
     write = {"csv": write_csv, "parquet": write_parquet}[file_format]
-    for path in list_csv(source):
+    for path in list_csv(spark, source):
         run = clean_csv(spark, path, artifacts=artifacts, **options)
         where = write(run.df, f"{target}/{run.dataset}_cleaned")
+        # One row per column: kept, so that they can be read once the staged tables are gone.
+        run.outliers_before, run.outliers_after = (
+            None if df is None else spark.createDataFrame(df.collect(), df.schema) for df in (run.outliers_before, run.outliers_after))
         run.workspace.close()
         run.df = spark.read.parquet(where) if file_format == "parquet" else read_csv(spark, where, clean=False)
         yield run

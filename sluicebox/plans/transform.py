@@ -5,6 +5,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluicebox import fixed_values as fv
 from sluicebox.operators.transform import Transformed, apply_plan, suggest_plan
 from sluicebox.operators.validate import check_written
 from sluicebox.sources.artifacts import Artifacts
@@ -35,10 +36,18 @@ def apply_saved_plan(df: DataFrame, dataset: str, artifacts: Artifacts) -> Trans
 
 
 def transform_to_table(
-    spark: SparkSession, df: DataFrame, dataset: str, artifacts: Artifacts, allowed_nulls: tuple[str, ...] = ("*_end",)
+    spark: SparkSession, df: DataFrame, dataset: str, artifacts: Artifacts,
+    allowed_nulls: tuple[str, ...] = fv.STRUCTURAL_SUFFIXES, expected_rows: int | None = None, strict: bool = False,
 ) -> Written:
-    """Apply the saved plan, write the transformed table and check what was written."""
+    """Apply the saved plan, write the transformed table, check what was written and only then replace the old one.
+
+    Casts and splits may make NULLs; they are reported, and refused only with ``strict``.
+    """
     done = apply_saved_plan(df, dataset, artifacts)
-    table = write_table(done.df, dataset)
-    nulls, rows = check_written(spark, table, allowed=allowed_nulls)
-    return Written(table, rows, nulls, done)
+    found = {}
+
+    def check(staged):
+        found["nulls"], found["rows"] = check_written(spark, staged, expected_rows, allowed_nulls, strict)
+
+    table = write_table(done.df, dataset, check=check)
+    return Written(table, found["rows"], found["nulls"], done)

@@ -2,7 +2,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -17,12 +18,13 @@ log = logging.getLogger(__name__)
 
 FALLBACK_ENCODING = "ISO-8859-1"
 REPLACEMENT = "�"
+MALFORMED = "_malformed_record"
 
 
 def resolve(path: str | Path, data_dir: str | Path | None = None) -> str:
     """The file meant: ``.csv`` added if missing, relative names looked up in ``data_dir``."""
     text = str(path)
-    if "://" in text:
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]+:/", text):
         return text
     found = Path(text)
     if data_dir is not None and not found.is_absolute():
@@ -41,23 +43,39 @@ def _reader(spark: SparkSession, encoding: str, multi_line: bool):
     )
 
 
-def read_strings(spark: SparkSession, path: str, encoding: str = "utf-8", multi_line: bool = False) -> tuple[DataFrame, list[str]]:
-    """The file as strings under positional names, with the order of its rows, and its header."""
+def read_strings(spark: SparkSession, path: str, encoding: str = "utf-8", multi_line: bool = True) -> tuple[DataFrame, list[str]]:
+    """The file as strings under positional names, with the order of its rows, and its header.
+
+    Records with more or fewer cells than the header are also kept whole in the
+    column MALFORMED.  Quoted cells may span lines; ``multi_line=False`` reads
+    large files in splits where no cell does.
+    """
     head = _reader(spark, encoding, multi_line).option("header", False).csv(path).first()
     if head is None:
         raise ValueError(f"no header in {path}")
-    names = header_names([(n.lstrip("﻿").strip() or None) if n else None for n in head])
-    fields = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-    df = _reader(spark, encoding, multi_line).option("header", True).schema(fields).csv(path)
+    names = header_names([(n.lstrip("\ufeff").strip() or None) if n else None for n in head])
+    # Under the header's own names every file's header is compared with the first one's.
+    plain = all(head) and len({n.lower() for n in head}) == len(head) and MALFORMED not in head and "\ufeff" not in head[0]
+    fields = [T.StructField(n if plain else f"c{i}", T.StringType()) for i, n in enumerate(head)]
+    df = (
+        _reader(spark, encoding, multi_line).option("header", True).option("enforceSchema", not plain)
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        .schema(T.StructType([*fields, T.StructField(MALFORMED, T.StringType())])).csv(path)
+    )
+    df = df.select(*[column(f.name).alias(f"c{i}") for i, f in enumerate(fields)], MALFORMED, F.col("_metadata").alias("_file"))
     order = F.monotonically_increasing_id()
     if len(df.inputFiles()) > 1:
         # Scans pack several files by size; the path and offset restore the order across files.
         order = F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
+            F.col("_file.file_path").alias("file"),
+            F.col("_file.file_block_start").alias("block"),
             order.alias("row"),
         )
-    return df.select("*", order.alias(ROW_ORDER)), names
+    return df.select("*", order.alias(ROW_ORDER)).drop("_file"), names
+
+
+def _digits(txt):
+    return F.when(txt.rlike(fv.WHOLE_NUMBER), txt.try_cast("bigint"))
 
 
 def _value_kinds(df: DataFrame) -> dict[str, dict]:
@@ -71,6 +89,7 @@ def _value_kinds(df: DataFrame) -> dict[str, dict]:
         F.count(F.lit(1)).alias("rows"),
         F.count("txt").alias("filled"),
         F.count_if(number.isNotNull() & txt.rlike(fv.WHOLE_NUMBER) & txt.try_cast("bigint").isNotNull()).alias("whole"),
+        F.count_if(_digits(txt).cast("double").try_cast("bigint") != _digits(txt)).alias("beyond_double"),
         F.count("number").alias("number"),
         F.count_if(txt.isin(*fv.CSV_BOOLEANS)).alias("boolean"),
         F.count_if(txt.contains(REPLACEMENT)).alias("undecoded"),
@@ -81,7 +100,8 @@ def _value_kinds(df: DataFrame) -> dict[str, dict]:
 def infer_types(df: DataFrame, found: dict[str, dict] | None = None) -> DataFrame:
     """String columns as bigint, double or boolean where every filled cell is one.
 
-    Whole numbers with gaps become double, and booleans with gaps stay text.
+    Whole numbers with gaps become double, unless that changes a digit, and
+    booleans with gaps stay text.
     """
     found = _value_kinds(df) if found is None else found
     out = []
@@ -90,6 +110,8 @@ def infer_types(df: DataFrame, found: dict[str, dict] | None = None) -> DataFram
         if v is not None:
             if v["whole"] == v["filled"] == v["rows"]:
                 cell = cell.cast("bigint")
+            elif v["whole"] == v["filled"] and v["beyond_double"]:
+                cell = cell.cast("bigint")
             elif v["number"] == v["filled"]:
                 cell = parse_number(cell)
             elif v["boolean"] == v["filled"] == v["rows"]:
@@ -125,12 +147,15 @@ def read_csv(
     path: str | Path,
     data_dir: str | Path | None = None,
     encoding: str = "utf-8",
-    multi_line: bool = False,
+    multi_line: bool = True,
     missing_words: Sequence[str] = fv.CSV_MISSING_WORDS,
     clean: bool = True,
+    strict: bool = False,
 ) -> DataFrame:
     """A CSV file or directory as a typed table with clean names and, unless switched off, clean text.
 
+    Records that do not have as many cells as the header are counted and
+    reported; ``strict`` refuses them.  Files whose headers differ are refused.
     The pass that finds the types also finds bytes that are not valid UTF-8; a
     file with such bytes is read again as Latin-1.
     """
@@ -138,11 +163,17 @@ def read_csv(
 
     def scan(charset: str) -> tuple[DataFrame, dict[str, dict]]:
         strings, header = read_strings(spark, where, charset, multi_line)
-        named = strings.toDF(*clean_names(header), ROW_ORDER)
+        named = strings.toDF(*clean_names(header), MALFORMED, ROW_ORDER)
         marked = named.select(*[
-            null_missing(column(c), missing_words).alias(c) if c != ROW_ORDER else column(c) for c in named.columns
+            column(c) if c in (ROW_ORDER, MALFORMED) else null_missing(column(c), missing_words).alias(c) for c in named.columns
         ])
-        return marked, _value_kinds(marked)
+        found = _value_kinds(marked)
+        malformed = found.pop(MALFORMED, {}).get("filled", 0)
+        if malformed:
+            log.warning("%s: %s records do not have as many cells as the header", where, malformed)
+            if strict:
+                raise ValueError(f"{where}: {malformed} records do not have as many cells as the header")
+        return marked.drop(MALFORMED), found
 
     df, found = scan(encoding)
     if encoding.lower() in ("utf-8", "utf8") and any(v["undecoded"] for v in found.values()):
@@ -153,12 +184,8 @@ def read_csv(
     return clean_text_columns(typed) if clean else typed
 
 
-def list_csv(directory: str | Path) -> list[Path]:
-    """The CSV files of a directory, sorted by name."""
-    return sorted(p for p in Path(directory).iterdir() if p.suffix.lower() == ".csv")
-
-
-def each_dataset(spark: SparkSession, directory: str | Path, **options) -> Iterator[tuple[str, DataFrame]]:
-    """Name and table of every CSV file in a directory."""
-    for path in list_csv(directory):
-        yield path.stem, read_csv(spark, path, **options)
+def list_csv(spark: SparkSession, directory: str | Path) -> list[str]:
+    """The CSV files of a directory in any store that Spark reads, sorted by name."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(str(directory))
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    return sorted(f.getPath().toString() for f in files if f.getPath().getName().lower().endswith(".csv"))

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -50,13 +51,28 @@ def read_table(spark: SparkSession, database: str, table: str) -> DataFrame:
     return spark.table(f"{_quoted(database)}.{_quoted(table)}")
 
 
-def write_table(df: DataFrame, dataset: str, file_format: str = "parquet") -> str:
-    """Replace ``<dataset>.transformed_<dataset>``, creating the database if needed."""
+def write_table(df: DataFrame, dataset: str, file_format: str = "parquet", check=None) -> str:
+    """Replace ``<dataset>.transformed_<dataset>``, creating the database if needed.
+
+    With ``check`` the rows are first written under another name; only if
+    ``check(name)`` does not raise does that table take the place of the old one.
+    """
     base = clean_name(base_name(dataset))
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(base)}")
     name = f"{_quoted(base)}.{_quoted('transformed_' + base)}"
-    _public(df).write.mode("overwrite").format(file_format).saveAsTable(name)
+    if check is None:
+        _public(df).write.mode("overwrite").format(file_format).saveAsTable(name)
+        return name
+    staged = f"{_quoted(base)}.{_quoted(f'staged_{base}_{uuid.uuid4().hex[:8]}')}"
+    _public(df).write.format(file_format).saveAsTable(staged)
+    try:
+        check(staged)
+    except BaseException:
+        spark.sql(f"DROP TABLE {staged}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
     return name
 
 
@@ -92,8 +108,11 @@ def write_jdbc(
 # --- files
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """A directory of CSV files with a header, replacing what was there."""
-    _public(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """A directory of CSV files with a header, replacing what was there; blanks at the edges of cells stay."""
+    (
+        _public(df).write.mode("overwrite").option("header", True).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    )
     return path
 
 

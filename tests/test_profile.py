@@ -49,7 +49,7 @@ def test_other_kinds_count_gaps(spark):
 def test_odd_column_names(spark):
     df = spark.createDataFrame([("x", 1)], "`a.b` string, `c``d e` int")
     assert list(profile.collect_stats(df)) == ["a.b", "c`d e"]
-    assert profile.distinct_counts(df, df.columns, 1) == {"a.b": 1, "c`d e": 1}
+    assert profile.distinct_counts(df, df.columns) == {"a.b": 1, "c`d e": 1}
 
 
 def test_values_group_skips_text(spark):
@@ -58,23 +58,18 @@ def test_values_group_skips_text(spark):
     assert found["t"].counts["parsed"] == 0 and found["n"].counts["in_years"] == 1
 
 
-def test_distinct_counts_estimate_then_settle(spark):
-    """Columns far from a limit keep the estimate; the ones near it are exact."""
+def test_distinct_counts_are_exact(spark):
     n = 20_000
     df = spark.range(n).select(
         F.col("id").alias("all"), (F.col("id") % 2000).alias("tenth"), (F.col("id") % 10).alias("few"),
     )
-    limits = [(0.1, n), (0.95, n)]
-    found = profile.distinct_counts(df, df.columns, n, limits, exact_rows=0)
-    assert found["tenth"] == 2000
-    assert found["all"] == n
-    assert abs(found["few"] - 10) <= 1
+    assert profile.distinct_counts(df, df.columns) == {"all": n, "tenth": 2000, "few": 10}
 
 
 def test_distinct_keeps_long_texts_and_large_integers_apart(spark):
     long = "x" * 500
     df = spark.createDataFrame([(long + "a", 2 ** 60), (long + "b", 2 ** 60 + 1), (long + "a", None)], "t string, n bigint")
-    assert profile.distinct_counts(df, ["t", "n"], 3) == {"t": 2, "n": 2}
+    assert profile.distinct_counts(df, ["t", "n"]) == {"t": 2, "n": 2}
 
 
 def test_modes(spark):
@@ -91,8 +86,8 @@ def test_modes(spark):
     assert types["n"] == "bigint" and types["x"] == "int" and types["ts"] == "timestamp_ntz"
 
 
-@pytest.mark.parametrize("small, bound", [(10 ** 9, 10), (0, 10 ** 9), (0, 50), (0, 2)])
-def test_quantiles_agree_on_every_path(spark, small, bound):
+@pytest.mark.parametrize("bound", [10 ** 9, 50, 2])
+def test_quantiles_agree_on_every_path(spark, bound):
     import numpy as np
 
     rng = random.Random(7)
@@ -102,7 +97,7 @@ def test_quantiles_agree_on_every_path(spark, small, bound):
     df = spark.createDataFrame(list(zip(smooth, hot, gaps)), "smooth double, hot double, gaps double").repartition(4)
     df = df.withColumn("none", F.lit(None).cast("double"))
     probabilities = (0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0)
-    found = quantiles.exact_quantiles(df, df.columns, probabilities, small=small, bound=bound)
+    found = quantiles.exact_quantiles(df, df.columns, probabilities, bound=bound)
     for name, values in (("smooth", smooth), ("hot", hot), ("gaps", [v for v in gaps if v is not None])):
         assert found[name] == pytest.approx(list(np.quantile(values, probabilities)), rel=1e-12, abs=1e-12)
     assert found["none"] == [None] * len(probabilities)
@@ -110,7 +105,7 @@ def test_quantiles_agree_on_every_path(spark, small, bound):
 
 def test_quantiles_in_more_groups_than_one_job_takes(spark):
     df = spark.range(300).select(*[(F.col("id") * i).cast("double").alias(f"c{i}") for i in range(1, 130)])
-    found = quantiles.exact_quantiles(df, df.columns, (0.5,), small=0, bound=5)
+    found = quantiles.exact_quantiles(df, df.columns, (0.5,), bound=5)
     assert all(found[f"c{i}"] == [149.5 * i] for i in range(1, 130))
 
 

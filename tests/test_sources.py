@@ -38,7 +38,7 @@ def test_latin1_is_recognised(spark, tmp_path):
     assert csv.read_csv(spark, path, clean=False).first()["name"] == "Café �"
 
 
-def test_paths(tmp_path):
+def test_paths(spark, tmp_path):
     write(tmp_path / "a.csv", "x\n1\n")
     assert csv.resolve("a", tmp_path) == str(tmp_path / "a.csv")
     assert csv.resolve("s3://bucket/a") == "s3://bucket/a"
@@ -46,7 +46,7 @@ def test_paths(tmp_path):
         csv.resolve("b", tmp_path)
     write(tmp_path / "B.CSV", "x\n1\n")
     write(tmp_path / "c.txt", "")
-    assert [p.name for p in csv.list_csv(tmp_path)] == ["B.CSV", "a.csv"]
+    assert [p.rsplit("/", 1)[1] for p in csv.list_csv(spark, tmp_path)] == ["B.CSV", "a.csv"]
 
 
 def test_row_order_over_several_files(spark, tmp_path):
@@ -62,6 +62,35 @@ def test_quoted_line_breaks(spark, tmp_path):
     assert [tuple(r)[:2] for r in df.orderBy(ROW_ORDER).collect()] == [("xy", 1), ("z", 2)]
 
 
+def test_quoted_line_breaks_by_default(spark, tmp_path):
+    path = write(tmp_path / "m.csv", 'a,b\n"x\ny",1\nz,2\n')
+    df = csv.read_csv(spark, path, clean=False)
+    assert [tuple(r)[:2] for r in df.orderBy(ROW_ORDER).collect()] == [("x\ny", 1), ("z", 2)]
+
+
+def test_malformed_records_are_reported(spark, tmp_path, caplog):
+    path = write(tmp_path / "m.csv", "a,b\n1,2\n3,4,5\n")
+    assert csv.read_csv(spark, path).count() == 2
+    assert "1 records" in caplog.text
+    with pytest.raises(ValueError):
+        csv.read_csv(spark, path, strict=True)
+
+
+def test_headers_must_agree(spark, tmp_path):
+    (tmp_path / "x").mkdir()
+    write(tmp_path / "x" / "p0.csv", "a,b\n1,2\n")
+    write(tmp_path / "x" / "p1.csv", "b,a\n1,2\n")
+    with pytest.raises(Exception):
+        csv.read_csv(spark, tmp_path / "x").collect()
+
+
+def test_large_whole_numbers_keep_their_digits(spark, tmp_path):
+    path = write(tmp_path / "n.csv", "a,b,c\n9007199254740993,1,x\n,2,y\n1200000000000000251,,z\n")
+    df = csv.read_csv(spark, path)
+    assert dict(df.dtypes)["a"] == "bigint" and dict(df.dtypes)["b"] == "double"
+    assert {r["a"] for r in df.collect()} == {9007199254740993, None, 1200000000000000251}
+
+
 def test_custom_missing_words(spark, tmp_path):
     path = write(tmp_path / "q.csv", "a\n?\n1\n")
     assert dict(csv.read_csv(spark, path).dtypes)["a"] == "string"

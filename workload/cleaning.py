@@ -204,7 +204,7 @@ def quartiles(spark, sf_dir):
     from sluicebox.operators.quantiles import exact_quantiles
 
     found = exact_quantiles(
-        table(spark, sf_dir, "lineitem"), ["l_extendedprice", "l_orderkey", "l_tax"], (0.25, 0.5, 0.75), small=0, bound=100
+        table(spark, sf_dir, "lineitem"), ["l_extendedprice", "l_orderkey", "l_tax"], (0.25, 0.5, 0.75), bound=100
     )
     rows = [(c, *[round(q, 6) for q in qs]) for c, qs in found.items()]
     return spark.createDataFrame(rows, "column string, q25 double, q50 double, q75 double")

@@ -75,9 +75,7 @@ def id_signals(spark, sf_dir):
         "c_nationkey",
     )
     stats = profile.collect_stats(df, groups=("identity",))
-    rows = max(s.rows for s in stats.values())
-    limits = [(0.95, rows)]
-    for name, distinct in profile.distinct_counts(df, list(stats), rows, limits).items():
+    for name, distinct in profile.distinct_counts(df, list(stats)).items():
         stats[name].distinct = distinct
     out = [
         (c, standardize.name_looks_like_id(c), standardize.value_looks_like_id(s),

@@ -9,8 +9,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicebox.operators.profile import spread
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -37,7 +35,7 @@ class Dirt:
         self.source, self.columns = source, columns
 
     def frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return spread(table(spark, sf_dir, self.source)).selectExpr(*[f"{e} AS `{c}`" for c, e in self.columns.items()])
+        return table(spark, sf_dir, self.source).selectExpr(*[f"{e} AS `{c}`" for c, e in self.columns.items()])
 
     @property
     def sql(self) -> str:

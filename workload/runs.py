@@ -63,7 +63,7 @@ _UNIQUE_LINES = (
 @query("full_clean_lineitem", _UNIQUE_LINES)
 def full_clean_lineitem(spark, sf_dir):
     """Ten messy columns to clean ones; the keys found are the line reference and the years."""
-    run = clean_frame(MESSY_LINES.frame(spark, sf_dir), "lineitem", with_outliers=False)
+    run = clean_frame(MESSY_LINES.frame(spark, sf_dir), "lineitem")
     return run.df.withColumn("shipped", F.date_format("shipped", "yyyy-MM-dd"))
 
 
@@ -90,7 +90,7 @@ _CLEAN_ORDERS = (
 @query("full_clean_orders", _CLEAN_ORDERS)
 def full_clean_orders(spark, sf_dir):
     """An id column, so nothing repeats; year gaps stay."""
-    return clean_frame(MESSY_ORDERS.frame(spark, sf_dir), "orders", with_outliers=False).df
+    return clean_frame(MESSY_ORDERS.frame(spark, sf_dir), "orders").df
 
 
 @query("full_clean_csv", _CLEAN_ORDERS)
@@ -98,7 +98,7 @@ def full_clean_csv(spark, sf_dir):
     """The same table, read as CSV."""
     path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
     tables.write_csv(MESSY_ORDERS.frame(spark, sf_dir), path)
-    return clean_csv(spark, path, with_outliers=False).df.drop(ROW_ORDER)
+    return clean_csv(spark, path).df.drop(ROW_ORDER)
 
 
 @query(
@@ -112,7 +112,7 @@ def full_clean_csv(spark, sf_dir):
     ]),
 )
 def full_clean_checks(spark, sf_dir):
-    run = clean_frame(MESSY_ORDERS.frame(spark, sf_dir), "orders", with_outliers=False)
+    run = clean_frame(MESSY_ORDERS.frame(spark, sf_dir), "orders")
     return run.validation.as_frame(spark).select("dataset", "check", "status", "metric")
 
 
