@@ -7,7 +7,9 @@ hashes (a fixed share of the hash space) by document count, and all others
 after them by hash, so counts are needed of that share only.  Tokens that occur
 once fill prefixes without ever making a candidate.  The other orders are
 permutations by multiplication.  A pair must pass the filters of all orders
-before its sets are compared.
+before its sets are compared.  Ahead of that, while pairs are joined, a bitmap of
+each set (the parity of its tokens in BITS places) bounds their difference from
+below, so that pairs that only resemble each other are never written.
 
 Documents with equal sets are one class.  Links are first sought from a few
 pivots of each token's group; then only pairs of different components are
@@ -37,6 +39,9 @@ PIVOTS = 4
 BROADCAST_ROWS = 1_000_000
 
 _THRESHOLD = np.uint64(int(COUNTED * 2 ** 64))
+#: Width of the bitmaps.
+BITS = 1024
+_PLACE = np.uint64(0x8CB92BA72F3D8DD7)
 _ORDERS = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 
 
@@ -60,6 +65,13 @@ def _sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
         at = end
 
 
+def _bitmap(tokens: np.ndarray) -> np.ndarray:
+    """Parity of the tokens in each of BITS places; two sets differ in at least as many tokens as their bitmaps in bits."""
+    with np.errstate(over="ignore"):
+        places = ((tokens * _PLACE) >> np.uint64(40)).astype(np.int64) % BITS
+    return np.packbits((np.bincount(places, minlength=BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _class(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "big", signed=True)
 
@@ -70,23 +82,24 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
 
 
-_MARKS = "doc_id bigint, n bigint, class bigint, counted int, pool array<bigint>"
+_MARKS = "doc_id bigint, n bigint, class bigint, counted int, pool array<bigint>, bits array<bigint>"
 
 
 def _marks(size: int, percent: int):
     """Each document's set: its size, its class, and the tokens that can be in its first prefix."""
     def run(batches):
         for batch in batches:
-            n, classes, counted, pools = [], [], [], []
+            n, classes, counted, pools, bits = [], [], [], [], []
             for tokens in _sets(batch.column("text").to_pylist(), size):
                 low = int(np.searchsorted(tokens, _THRESHOLD))
                 n.append(len(tokens))
                 classes.append(_class(tokens))
                 counted.append(low)
+                bits.append(_bitmap(tokens))
                 pools.append(tokens[:max(low, prefix_length(len(tokens), percent))])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(classes, pa.int64()),
-                 pa.array(counted, pa.int32()), _lists(pools)], names=["doc_id", "n", "class", "counted", "pool"])
+                 pa.array(counted, pa.int32()), _lists(pools), _lists(bits)], names=["doc_id", "n", "class", "counted", "pool", "bits"])
     return run
 
 
@@ -124,7 +137,7 @@ def similar_components(documents: DataFrame, size: int = SHINGLE, percent: int =
     classes = work.stage(marks.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least_id")), "classes")
     pools = work.stage(
         marks.where("n > 0").join(classes.withColumnRenamed("class", "c"), F.col("class").eqNullSafe(F.col("c")) & F.col("doc_id").eqNullSafe(F.col("least_id")))
-        .select("class", "n", "counted", "pool"), "pools")
+        .select("class", "n", "counted", "pool", "bits"), "pools")
 
     # Tokens that at least two classes have; the others cannot make a candidate.
     tokens = pools.select("class", F.explode("pool").alias("token"))
@@ -146,14 +159,13 @@ def similar_components(documents: DataFrame, size: int = SHINGLE, percent: int =
             length > counted, F.col("high")).otherwise(F.array().cast("array<struct<df:bigint,token:bigint>>")))).alias("s"))
         .select("class", "n", "s.token").distinct(), "prefixes")
 
-    # Whole sets of the classes that have candidates.
-    near = work.stage(prefixes.select("class").distinct().join(classes, "class").select("least_id").distinct(), "near")
-    chosen = F.broadcast(near) if near.count() <= BROADCAST_ROWS else near
-    texts = documents.select("doc_id", "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("least_id")), "left_semi")
-    sets = work.stage(texts.mapInArrow(_full(size, percent), _FULL).dropDuplicates(["class"]), "sets")
-
     def linked(pairs: DataFrame, name: str) -> DataFrame:
         """Pairs (left, right) that pass the other orders and then the comparison of their sets."""
+        involved = pairs.select(F.col("left").alias("class")).union(pairs.select("right")).distinct()
+        near = work.stage(involved.join(classes, "class").select("least_id").distinct(), f"{name}-near")
+        chosen = F.broadcast(near) if near.count() <= BROADCAST_ROWS else near
+        texts = documents.select("doc_id", "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("least_id")), "left_semi")
+        sets = work.stage(texts.mapInArrow(_full(size, percent), _FULL).dropDuplicates(["class"]), f"{name}-sets")
         orders = sets.select("class", "orders")
         passed = pairs.join(orders.toDF("left", "a"), "left").join(orders.toDF("right", "b"), "right")
         for k in range(len(_ORDERS)):
@@ -166,29 +178,37 @@ def similar_components(documents: DataFrame, size: int = SHINGLE, percent: int =
             .withColumn("both", both).where(100 * F.col("both") >= percent * (F.size("a") + F.size("b") - F.col("both")))
             .select("left", "right"), f"{name}-links")
 
+    def close(a: str, b: str):
+        """Sizes and bitmaps allow the similarity: (100 - percent)(n + n') >= (100 + percent) * difference."""
+        apart = sum((F.bit_count(F.col(f"bits_{a}")[k].bitwiseXOR(F.col(f"bits_{b}")[k])) for k in range(1, BITS // 64)),
+                    F.bit_count(F.col(f"bits_{a}")[0].bitwiseXOR(F.col(f"bits_{b}")[0])))
+        n_a, n_b = F.col(f"n_{a}"), F.col(f"n_{b}")
+        return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & ((100 + percent) * apart <= (100 - percent) * (n_a + n_b))
+
     # A group's pivot is the least of its classes by a seeded hash; PIVOTS seeds take turns over the tokens.
-    seeded = prefixes.withColumn("seed", F.pmod("token", F.lit(PIVOTS)))
-    pivots = work.stage(
-        seeded.groupBy("token").agg(F.min(F.struct(F.xxhash64("class", "seed").alias("h"), "class", "n")).alias("p"), F.count("*").alias("m"))
-        .where("m > 1").select("token", F.col("p.class").alias("pivot"), F.col("p.n").alias("pivot_n")), "pivots")
-    sized = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
-    stars = prefixes.join(pivots, "token").where((F.col("class") != F.col("pivot")) & sized(n, F.col("pivot_n"))).select(
-        F.least("class", "pivot").alias("left"), F.greatest("class", "pivot").alias("right")).distinct()
-    stars = work.stage(stars, "stars")
+    bits = pools.select(F.col("class").alias("c"), "bits")
+    members = work.stage(prefixes.join(bits, F.col("class") == F.col("c")).select(
+        "token", F.col("class").alias("class_a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "members")
+    seed = F.pmod("token", F.lit(PIVOTS))
+    pivots = prefixes.groupBy("token").agg(F.min(F.struct(F.xxhash64("class", seed).alias("h"), "class", "n")).alias("p"), F.count("*").alias("m")).where(
+        "m > 1").select("token", F.col("p.class").alias("class_b"), F.col("p.n").alias("n_b"))
+    pivots = work.stage(pivots.join(bits, F.col("class_b") == F.col("c")).select("token", "class_b", "n_b", F.col("bits").alias("bits_b")), "pivots")
+    pair = [F.least("class_a", "class_b").alias("left"), F.greatest("class_a", "class_b").alias("right")]
+    stars = work.stage(members.join(pivots, (members["token"] == pivots["token"]) & (F.col("class_a") != F.col("class_b")) & close("a", "b"))
+                       .select(*pair).distinct(), "stars")
     found = linked(stars, "first")
     joined = components(found, work, "first-components")
 
     # Groups that still hold several components: each pair of different components is compared.
-    labelled = prefixes.join(joined, F.col("class") == F.col("node"), "left").select(
-        "token", "class", "n", F.coalesce("component", "class").alias("component"))
+    labelled = members.join(joined, F.col("class_a") == F.col("node"), "left").select(
+        "token", "class_a", "n_a", "bits_a", F.coalesce("component", "class_a").alias("component_a"))
     labelled = work.stage(labelled, "labelled")
-    mixed = work.stage(labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(
-        "lo <> hi").select("token"), "mixed")
-    open_rows = work.stage(labelled.join(mixed, "token"), "open")
-    other = open_rows.select(F.col("token"), F.col("class").alias("class_b"), F.col("n").alias("n_b"), F.col("component").alias("component_b"))
-    rest = open_rows.join(other, "token").where(
-        (F.col("class") < F.col("class_b")) & (F.col("component") != F.col("component_b")) & sized(n, F.col("n_b"))
-    ).select(F.col("class").alias("left"), F.col("class_b").alias("right")).distinct()
+    mixed = work.stage(labelled.groupBy("token").agg(F.min("component_a").alias("lo"), F.max("component_a").alias("hi")).where(
+        "lo <> hi").select(F.col("token").alias("several")), "mixed")
+    left = work.stage(labelled.join(mixed, F.col("token") == F.col("several")).drop("several"), "open")
+    right = left.select(*[F.col(c).alias(c.replace("_a", "_b") if c != "token" else "token_b") for c in left.columns])
+    rest = left.join(right, (F.col("token") == F.col("token_b")) & (F.col("class_a") < F.col("class_b"))
+                     & (F.col("component_a") != F.col("component_b")) & close("a", "b")).select(*pair).distinct()
     rest = work.stage(rest.join(stars, ["left", "right"], "left_anti"), "rest")
     links = found.unionByName(linked(rest, "second"))
 
