@@ -1,7 +1,9 @@
 """Duplicate rows: which columns identify a row, how many repeat, and a guarded removal."""
 from __future__ import annotations
 
+import functools
 import logging
+import operator
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
@@ -15,6 +17,9 @@ from sluicebox.operators.standardize import add_uniqueness, is_id
 
 log = logging.getLogger(__name__)
 
+#: Keys that repeat, at most, for them to be sent to all tasks.
+REPEATED_KEYS = 200_000
+
 
 @dataclass
 class DedupStatus:
@@ -122,6 +127,23 @@ def keep_one(df: DataFrame, keys: list[str], keep: str | bool = "first", order_b
     ])
 
 
+def keep_one_of_few(df: DataFrame, keys: list[str], repeats: int, keep: str | bool = "first", order_by: str | Column | None = None) -> DataFrame:
+    """`keep_one`, reducing only rows of keys that repeat; rows with a key of their own are passed on unshuffled.
+
+    ``repeats`` bounds the number of keys that repeat.  Only up to REPEATED_KEYS of
+    them are sent to all tasks; with more, every row goes through `keep_one`.
+    """
+    if repeats > REPEATED_KEYS:
+        return keep_one(df, keys, keep, order_by)
+    names = [f"repeated_{i}" for i in range(len(keys))]
+    repeated = df.groupBy(*[column(k).alias(n) for k, n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("times")).where("times > 1").select(*names)
+    same = functools.reduce(operator.and_, [column(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    alone = df.join(F.broadcast(repeated), same, "left_anti")
+    if keep is False:
+        return alone
+    return alone.unionByName(keep_one(df.join(F.broadcast(repeated), same, "left_semi"), keys, keep, order_by))
+
+
 def drop_repeated_rows(df: DataFrame, order_by: str | Column | None = None) -> DataFrame:
     """One copy of each fully equal row."""
     columns = data_columns(df)
@@ -170,4 +192,4 @@ def remove_duplicates(
     status.executed, status.removed = True, removed
     if not removed:
         return Deduplicated(df, status)
-    return Deduplicated(keep_one(df, keys, keep, order_by), status)
+    return Deduplicated(keep_one_of_few(df, keys, removed, keep, order_by), status)

@@ -368,10 +368,7 @@ def distinct_frame(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Two numbers travel per distinct value and task, however long the values are.
     """
-    value = F.struct("txt", (F.col("num") + 0.0).alias("num"), "whole")
-    hashed = cells(df, columns).select(
-        "column", F.xxhash64(value).alias("h1"), F.xxhash64(F.lit(1), value).alias("h2"))
-    return hashed.distinct().groupBy("column").agg(F.count(F.lit(1)).alias("distinct"))
+    return _hashed(cells(df, columns)).select("column", "h1", "h2").distinct().groupBy("column").agg(F.count(F.lit(1)).alias("distinct"))
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
@@ -381,17 +378,27 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     return {name: counts.get(name, 0) for name in columns}
 
 
+def _hashed(long: DataFrame) -> DataFrame:
+    """Cells with 128 bits of hash of their value."""
+    value = F.struct("txt", (F.col("num") + 0.0).alias("num"), "whole")
+    return long.withColumn("h1", F.xxhash64(value)).withColumn("h2", F.xxhash64(F.lit(1), value))
+
+
 def mode_frame(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Most frequent value per column, the smallest among equally frequent ones.
 
-    Values are counted in a distributed group-by first, so no task ever holds
-    the values of a whole column.
+    Values are counted by their hashes, so texts do not travel; only cells
+    whose hash has the greatest count are looked at again for the value itself,
+    and reduced to the smallest one inside each task.
     """
-    best = F.min(F.struct((-F.col("n")).alias("minus_n"), "whole", "num", "txt")).alias("best")
-    return (
-        value_counts(df, columns).groupBy("column").agg(best)
-        .select("column", (-F.col("best.minus_n")).alias("n"), "best.whole", "best.num", "best.txt")
-    )
+    hashed = _hashed(cells(df, columns))
+    counted = hashed.groupBy("column", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+    most = counted.groupBy("column").agg(F.max("n").alias("most"))
+    # One row per column: never more than a table has columns.
+    best = counted.join(F.broadcast(most), "column").where("n = most").select("column", "n", "h1", "h2")
+    value = F.min(F.struct("whole", "num", "txt")).alias("best")
+    return hashed.join(best, ["column", "h1", "h2"]).groupBy("column").agg(F.first("n").alias("n"), value).select(
+        "column", "n", "best.whole", "best.num", "best.txt")
 
 
 def collect_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
