@@ -4,10 +4,14 @@ Every string of LENGTH bytes has an anchor: of its GRAM-byte substrings the
 leftmost with the least hash, which depends on the string alone.  Consecutive
 strings with one anchor form a piece.  Equal strings have equal anchors, so
 pieces can be dealt out by anchor; anchors that stand once in the corpus are
-dropped before any text is moved, and of equal pieces only the first goes on.
-In each bin the pieces that are left are sorted into a Burrows-Wheeler
-transform; breadth-first backward extension gives the common prefixes by
-increasing value and stops at LENGTH, where each interval is one string.
+dropped before any text is moved.  Pieces are first dealt out as digests, and of
+equal ones only the first goes on; only anchors with different pieces need their
+bytes.  In each bin these are sorted into a Burrows-Wheeler transform;
+breadth-first backward extension gives the common prefixes by increasing value
+and stops at LENGTH, where each interval is one string.
+
+The texts of interest are shuffled once and kept as a table bucketed by
+document, which every later join with them reads as it lies.
 
 Copies of whole documents are taken out first.  An anchor with more than HOT
 different pieces, such as a frequent line in ever new surroundings, is dealt
@@ -16,6 +20,7 @@ out anew by whole strings, so no bin grows with it.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,11 +34,13 @@ from sluicebox.llm.common import parts, table, workspace
 LENGTH = 100
 GRAM = 24
 HOT = 1000
-BIN_BYTES = 3_000_000
+BIN_BYTES = 1_000_000
 #: A table of at most so many rows of two numbers (16 MB) may be broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 1_000_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Places are kept in the low bits of a hash; longer texts are read in parts that overlap.
+_PLACES = np.uint64((1 << 22) - 1)
 
 
 def gram_hashes(raw: bytes, gram: int = GRAM) -> np.ndarray:
@@ -57,27 +64,26 @@ def gram_hashes(raw: bytes, gram: int = GRAM) -> np.ndarray:
         return out ^ (out >> np.uint64(29))
 
 
+def _anchors(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
+    value = gram_hashes(raw, min(GRAM, length))
+    # High bits of the hash, then the place: the least is the leftmost of the least.
+    best = (value & ~_PLACES) | np.arange(len(value), dtype=np.uint64)
+    width, wanted = 1, length - min(GRAM, length) + 1
+    while width < wanted:
+        shift = min(width, wanted - width)
+        best = np.minimum(best[:len(best) - shift], best[shift:])
+        width += shift
+    place = (best & _PLACES).astype(np.int64)
+    return place, value[place]
+
+
 def anchors(raw: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """Of each string of ``length`` bytes, by its start: place and hash of its anchor."""
-    if len(raw) < length:
+    step = int(_PLACES) - length
+    parts = [_anchors(raw[at:at + step + length - 1], length) for at in range(0, len(raw) - length + 1, step)]
+    if not parts:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    gram = min(GRAM, length)
-    value = gram_hashes(raw, gram)
-    place = np.arange(len(value))
-    width, wanted = 1, length - gram + 1
-
-    def least(shift):
-        nonlocal value, place
-        left, right = value[:len(value) - shift], value[shift:]
-        first = left <= right
-        value, place = np.where(first, left, right), np.where(first, place[:len(place) - shift], place[shift:])
-
-    while width * 2 <= wanted:
-        least(width)
-        width *= 2
-    if width < wanted:
-        least(wanted - width)
-    return place, value
+    return np.concatenate([p + k * step for k, (p, _) in enumerate(parts)]), np.concatenate([v for _, v in parts])
 
 
 def _runs(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,7 +102,7 @@ def sorted_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
     for k in range(known):
         key = key << 9 | padded[k:k + n]
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         if known >= depth:
             return order
         changed = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
@@ -116,7 +122,7 @@ def bounded_prefixes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndar
     transform = text[order - 1]
     # Where each row goes when its symbol is put before it: rows by symbol, then by place.
     step = np.empty(n, np.int64)
-    step[np.argsort(transform, kind="stable")] = np.arange(n)
+    step[np.argsort(transform.astype(np.uint16), kind="stable")] = np.arange(n)
     common = np.full(n + 1, length, np.int64)
     common[0] = common[n] = 0
     begin, end = np.zeros(1, np.int64), np.full(1, n, np.int64)
@@ -126,7 +132,7 @@ def bounded_prefixes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndar
         rows = np.arange(int(sizes.sum())) - np.repeat(offsets - begin, sizes)
         interval = np.repeat(np.arange(len(begin)), sizes)
         to = step[rows]
-        by = np.argsort(interval * n + to, kind="stable")
+        by = np.argsort(interval * n + to)
         to, interval, symbol = to[by], interval[by], transform[rows[by]]
         new = np.concatenate([[True], (interval[1:] != interval[:-1]) | (symbol[1:] != symbol[:-1])])
         first = np.flatnonzero(new)
@@ -200,7 +206,7 @@ def _list(length):
 
 def _pack(batches):
     """Texts as compressed bytes, so that less is shuffled."""
-    packer = zstandard.ZstdCompressor(level=1)
+    packer = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         packed = [packer.compress((t.as_py() or "").encode()) for t in batch.column("text")]
         yield pa.RecordBatch.from_arrays(
@@ -217,10 +223,15 @@ def _ids(flagged) -> np.ndarray:
     return np.asarray(flagged.values.to_numpy() if flagged.is_valid else [], np.int64).view(np.uint64)
 
 
-_PIECES = "anchor bigint, piece binary, rank bigint, salt bigint, at bigint"
+_DIGESTS = "anchor bigint, digest binary, rank bigint, salt bigint, at bigint, n bigint"
 
 
-def _pieces(length):
+def _digest(raw: bytes) -> bytes:
+    return hashlib.blake2b(raw, digest_size=16).digest()
+
+
+def _digests(length):
+    """Pieces of repeated anchors: digest, place, and number of strings."""
     def run(batches):
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
@@ -228,37 +239,46 @@ def _pieces(length):
                 raw = unpack.decompress(packed.as_py())
                 place, value, hit = _repeated(raw, _ids(flagged), length)
                 begins, ends = _runs(place)
-                chosen = np.flatnonzero(hit[begins])
                 seen, rows = set(), []
-                for k in chosen.tolist():
+                for k in np.flatnonzero(hit[begins]).tolist():
                     begin, end = int(begins[k]), int(ends[k])
-                    piece = raw[begin:end + length - 1]
-                    if piece not in seen:  # a later one in this document is never the first
-                        seen.add(piece)
-                        rows.append((begin, piece, value[begin]))
+                    digest = _digest(raw[begin:end + length - 1])
+                    if digest not in seen:  # a later one in this document is never the first
+                        seen.add(digest)
+                        rows.append((begin, digest, end - begin))
                 if rows:
-                    n = len(rows)
+                    at = np.array([r[0] for r in rows], np.int64)
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.array([r[2] for r in rows], np.uint64).view(np.int64)), pa.array([r[1] for r in rows], pa.binary()),
-                        pa.array(np.full(n, rank.as_py())), pa.array(np.full(n, salt.as_py())), pa.array([r[0] for r in rows], pa.int64())],
-                        names=["anchor", "piece", "rank", "salt", "at"])
+                        pa.array(value[at].view(np.int64)), pa.array([r[1] for r in rows], pa.binary()),
+                        pa.array(np.full(len(rows), rank.as_py())), pa.array(np.full(len(rows), salt.as_py())), pa.array(at),
+                        pa.array([r[2] for r in rows], pa.int64())], names=["anchor", "digest", "rank", "salt", "at", "n"])
     return run
 
 
-_STRINGS = "string binary, rank bigint, salt bigint, at bigint"
+_PIECES = "bin int, piece binary, rank bigint, salt bigint, at bigint"
+_PIECES_ARROW = pa.schema([("bin", pa.int32()), ("piece", pa.binary()), ("rank", pa.int64()), ("salt", pa.int64()), ("at", pa.int64())])
+_STRING = -1
 
 
-def _strings(length):
-    """The strings of hot pieces, by digest."""
+def _pieces(length, bins):
+    """The bytes of wanted pieces by bin; of hot ones the digest of every string."""
     def run(batches):
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            for piece, rank, salt, at in zip(*[batch.column(n) for n in ("piece", "rank", "salt", "at")]):
-                raw, at = piece.as_py(), at.as_py()
-                digests = [hashlib.blake2b(raw[k:k + length], digest_size=16).digest() for k in range(len(raw) - length + 1)]
-                n = len(digests)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(digests, pa.binary()), pa.array(np.full(n, rank.as_py())), pa.array(np.full(n, salt.as_py())),
-                    pa.array(np.arange(at, at + n))], names=["string", "rank", "salt", "at"])
+            rows = []
+            for rank, salt, packed, wanted in zip(*[batch.column(n) for n in ("rank", "salt", "packed", "wanted")]):
+                rank, salt, wanted = rank.as_py(), salt.as_py(), wanted.as_py()
+                raw = unpack.decompress(packed.as_py()) if any(w["salt"] == salt for w in wanted) else b""
+                for w in wanted:
+                    if w["salt"] == salt and w["hot"]:
+                        rows += [(_STRING, _digest(raw[k:k + length]), rank, salt, k) for k in range(w["at"], w["at"] + w["n"])]
+                    elif w["salt"] == salt:
+                        rows.append(((w["anchor"] & 0x7FFFFFFFFFFFFFFF) // 64 % bins, raw[w["at"]:w["at"] + w["n"] + length - 1], rank, salt, w["at"]))
+                if len(rows) > 20_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _PIECES_ARROW)], schema=_PIECES_ARROW)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _PIECES_ARROW)], schema=_PIECES_ARROW)
     return run
 
 
@@ -345,24 +365,27 @@ def shortened(documents: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Da
     flagged = originals.select("rank", "text").mapInArrow(_list(length), "anchor bigint, rank bigint").join(repeated, "anchor").groupBy(
         "rank").agg(F.collect_set("anchor").alias("flagged"))
     packed = originals.mapInArrow(_pack, "rank bigint, salt bigint, packed binary")
-    near = work.stage(packed.join(flagged, "rank"), "near")
+    # Bucketed as the join left it: later joins by document do not move the texts again.
+    near_name = f"repeats_near_{uuid.uuid4().hex}"
+    buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed.join(flagged, "rank").write.option("compression", "none").bucketBy(buckets, "rank").saveAsTable(near_name)
+    near = documents.sparkSession.table(near_name)
 
-    pieces = near.mapInArrow(_pieces(length), _PIECES)
     firsts = work.stage(
-        pieces.groupBy("anchor", "piece").agg(F.min(F.struct("rank", "salt", "at")).alias("f")).select("anchor", "piece", "f.rank", "f.salt", "f.at"),
-        "firsts")
-    shared = work.stage(firsts.groupBy("anchor").agg(F.count("*").alias("pieces"), F.sum(F.octet_length("piece")).alias("bytes")).where("pieces > 1"), "shared")
-    total = shared.where(F.col("pieces") <= HOT).agg(F.sum("bytes")).first()[0]
-    several = firsts.join(shared.select("anchor", "pieces"), "anchor")
-    alone = firsts.join(shared.select("anchor"), "anchor", "left_anti").select(
-        "rank", "salt", "at", (F.octet_length("piece") - length + 1).cast("long").alias("n"))
-    bins = parts(total, BIN_BYTES)
-    expanded = several.where(F.col("pieces") <= HOT).select(
-        F.pmod(F.xxhash64("anchor"), F.lit(bins)).alias("bin"), "piece", "rank", "salt", "at").groupBy("bin").applyInArrow(_expand(length), _KEPT)
-    hot = several.where(F.col("pieces") > HOT).select("piece", "rank", "salt", "at").mapInArrow(_strings(length), _STRINGS).groupBy("string").agg(
+        near.mapInArrow(_digests(length), _DIGESTS).groupBy("anchor", "digest").agg(
+            F.min(F.struct("rank", "salt", "at")).alias("f"), F.min("n").alias("n")).select("anchor", "f.rank", "f.salt", "f.at", "n"), "firsts")
+    shared = work.stage(firsts.groupBy("anchor").agg(F.count("*").alias("pieces"), F.sum("n").alias("strings")).where("pieces > 1"), "shared")
+    total = shared.where(F.col("pieces") <= HOT).agg(F.sum(F.col("strings") + length * F.col("pieces"))).first()[0]
+    alone = firsts.join(shared.select("anchor"), "anchor", "left_anti").select("rank", "salt", "at", "n")
+    wanted = firsts.join(shared.select("anchor", (F.col("pieces") > HOT).alias("hot")), "anchor").groupBy("rank").agg(
+        F.collect_list(F.struct("salt", "at", "n", "hot", "anchor")).alias("wanted"))
+    pieces = work.stage(near.select("rank", "salt", "packed").join(wanted, "rank").mapInArrow(_pieces(length, parts(total, BIN_BYTES)), _PIECES), "pieces")
+    expanded = pieces.where(F.col("bin") != _STRING).groupBy("bin").applyInArrow(_expand(length), _KEPT)
+    hot = pieces.where(F.col("bin") == _STRING).groupBy("piece").agg(
         F.min(F.struct("rank", "salt", "at")).alias("f")).select("f.rank", "f.salt", "f.at", F.lit(1).cast("long").alias("n"))
     kept = alone.unionByName(expanded).unionByName(hot).groupBy("rank").agg(F.collect_list(F.struct("salt", "at", "n")).alias("kept"))
     changed = work.stage(near.join(kept, "rank", "left").mapInArrow(_remove(length), _RESULT), "changed")
+    documents.sparkSession.sql(f"DROP TABLE {near_name}")
     return marks, changed
 
 

@@ -60,6 +60,16 @@ def test_anchor_depends_on_the_string_alone():
         assert place[k] - k == place[k + 703] - k - 703 and value[k] == value[k + 703]
 
 
+def test_anchors_of_long_texts_in_parts(monkeypatch):
+    rng = random.Random(6)
+    raw = bytes(rng.choice(b"abc ") for _ in range(3000)) + b"x" * 700
+    whole = anchors(raw)
+    monkeypatch.setattr(repeats, "_PLACES", np.uint64(511))
+    parts = anchors(raw)
+    assert (parts[0] - np.arange(len(parts[0])) >= 0).all() and (parts[0] - np.arange(len(parts[0])) <= 76).all()
+    assert len(parts[0]) == len(whole[0])
+
+
 @pytest.mark.parametrize("hot", [1000, 2])
 def test_against_brute_force(documents, monkeypatch, hot):
     monkeypatch.setattr(repeats, "HOT", hot)
