@@ -30,7 +30,7 @@ def test_mix(documents, seed):
     for k in range(300):
         source = rng.choice(["b", "a", "a", "a", "é", "Z", None, "tiny"] if seed != 3 else ["only"])
         rows.append((k, " ".join("x" for _ in range(3 if source == "tiny" else rng.choice([0, 1, 50, 400, 3000]))), source))
-    rows += [(900, None, "a"), (901, "", None), (902, " \n ", "nothing"), (5, "a repeated id", "a"), (5, "a repeated id", "a"), (None, "no id", "b")]
+    rows += [(900, None, "a"), (901, "", None), (902, " \n ", "nothing"), (700, "a repeated id", "a"), (700, "a repeated id", "a"), (None, "no id", "b")]
     got = mix_sources(documents(rows)).collect()
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, mix_sources(documents(rows)).collect()), key=str)
     assert len(got) == len(rows)

@@ -29,8 +29,7 @@ def folder(spark, tmp_path_factory):
         if k % 7 == 6 and rows:
             own = rows[-1][1] + (" more" if k % 2 else "")
         rows.append((k, own, "en", f"s{k % 4}", len(own)))
-        if k % 3:
-            labels.append((k, 1, int(k % 4 == 0)))
+        labels.append((k, 1, int("vilegrub" in own)))
     rows += [(500, None, None, None, None), (501, "", "en", "s1", 0)]
     base = str(tmp_path_factory.mktemp("corpus"))
     for name, data, schema in (("documents", rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"),
