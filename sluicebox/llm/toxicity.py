@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicebox.llm.common import table
+from sluicebox.llm.common import table, workspace
 
 GRAMS = (4, 5, 6)
 BUCKETS = 1 << 18
@@ -24,12 +24,14 @@ SMOOTH = 1.0
 #: n-grams of fewer training documents carry no weight.
 SUPPORT = 5
 #: Rows of each label that the regression is fitted on, at most.
-SAMPLE = 1500
+SAMPLE = 1200
 #: Bytes of those rows' texts, at most; rows beyond are not used for the fit.
-SAMPLE_BYTES = 24_000_000
+SAMPLE_BYTES = 16_000_000
 RIDGE = 10.0
 ROUNDS = 40
 FOLDS = 5
+#: A table of at most so many labels (12 MB) may be broadcast; larger ones are shuffled.
+BROADCAST_ROWS = 1_000_000
 HELD_OUT = 0
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -75,10 +77,12 @@ _COUNTS = "bucket int, toxic bigint, clean bigint"
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    grams, counts = Grams(), np.zeros((2, BUCKETS), np.int64)
+    """Documents of either label that hold each n-gram, and at BUCKETS all of them."""
+    grams, counts = Grams(), np.zeros((2, BUCKETS + 1), np.int64)
     for batch in batches:
         for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
             counts[toxic, grams(text.as_py())] += 1
+            counts[toxic, BUCKETS] += 1
     some = np.flatnonzero(counts.any(axis=0))
     yield pa.RecordBatch.from_arrays(
         [pa.array(some.astype(np.int32)), pa.array(counts[1, some]), pa.array(counts[0, some])], names=["bucket", "toxic", "clean"])
@@ -97,27 +101,24 @@ def fit(rows: list[tuple[np.ndarray, int]], ratios: np.ndarray, prior: float) ->
     ``prior`` is the share of toxic rows among all labelled ones; rows are
     weighed so that the sample has it too.
     """
-    rows = [(b[ratios[b] != 0], y) for b, y in rows]
-    used, flat = np.unique(np.concatenate([b for b, _ in rows]), return_inverse=True)
     y = np.array([y for _, y in rows], float)
-    row = np.repeat(np.arange(len(rows)), [len(b) for b, _ in rows])
-    scale = ratios[used]
-    value = scale[flat]
     weigh = np.where(y == 1, prior / max(y.mean(), 1e-9), (1 - prior) / max(1 - y.mean(), 1e-9)) / len(rows)
-    w, bias = np.zeros(len(used)), float(np.log(prior / (1 - prior)))
+    w, bias = np.zeros(BUCKETS), float(np.log(prior / (1 - prior)))
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for k in range(1, ROUNDS + 1):
-        margin = bias + np.bincount(row, weights=w[flat] * value, minlength=len(rows))
+        scaled = w * ratios
+        margin = bias + np.array([scaled[b].sum() for b, _ in rows])
         error = (1.0 / (1.0 + np.exp(-np.clip(margin, -60, 60))) - y) * weigh
-        g = np.bincount(flat, weights=error[row] * value, minlength=len(used)) + RIDGE * w / len(rows)
+        g = np.zeros(BUCKETS)
+        for e, (b, _) in zip(error, rows):
+            g[b] += e  # a row's buckets are distinct
+        g = g * ratios + RIDGE * w / len(rows)
         gb = error.sum()
         m, v, mb, vb = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g, 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         rate = 0.02 if k <= ROUNDS // 2 else 0.005
         w -= rate * (m / (1 - 0.9 ** k)) / (np.sqrt(v / (1 - 0.99 ** k)) + 1e-9)
         bias -= rate * (mb / (1 - 0.9 ** k)) / (np.sqrt(vb / (1 - 0.99 ** k)) + 1e-9)
-    weights = np.zeros(BUCKETS, np.float32)
-    weights[used] = w * scale
-    return Model(weights, float(bias))
+    return Model((w * ratios).astype(np.float32), float(bias))
 
 
 def _fold():
@@ -131,30 +132,38 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     labels do not count.  Without rows of both labels every text gets the
     smoothed share of toxic ones.
     """
+    work = workspace(documents)
     marks = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    # The text stays out of the join's shuffle only if labels are few; either way each row is read once.
-    known = documents.select("doc_id", "text").where(_fold() != HELD_OUT).join(marks.where("toxic IN (0, 1)"), "doc_id")
+    marks = work.stage(marks.where("toxic IN (0, 1)").where(_fold() != HELD_OUT), "marks")
+    few = marks.count() <= BROADCAST_ROWS
+    # Few labels go to the texts; many meet them in one shuffle, and the labelled texts are written once.
+    known = documents.select("doc_id", "text").join(F.broadcast(marks) if few else marks, "doc_id")
+    known = known if few else work.stage(known, "known")
     counted = known.select("text", "toxic").mapInArrow(_count, _COUNTS)
-    # At most BUCKETS rows, whatever the input.
+    # At most BUCKETS + 1 rows, whatever the input.
     counts = counted.groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toArrow()
-    totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    share = (totals.get(1, 0) + 0.1) / (sum(totals.values()) + 1.0)
-    if len(totals) < 2:
-        return Model(np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share))))
-    toxic, clean = np.zeros(BUCKETS), np.zeros(BUCKETS)
     bucket = counts.column("bucket").to_numpy()
+    toxic, clean = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
     toxic[bucket], clean[bucket] = counts.column("toxic").to_numpy(), counts.column("clean").to_numpy()
+    totals = toxic[BUCKETS], clean[BUCKETS]
+    share = (totals[0] + 0.1) / (sum(totals) + 1.0)
+    if not all(totals):
+        return Model(np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share))))
+    ratios = log_count_ratios(toxic[:BUCKETS], clean[:BUCKETS])
     grams, rows = Grams(), []
     for label in (1, 0):
         left = SAMPLE_BYTES // 2
-        sample = known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id", "text").select("text").limit(SAMPLE)
-        for text in sample.toArrow().column("text"):
+        # Ids first, without their texts; at most SAMPLE rows.
+        ids = known.where(F.col("toxic") == label).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+        sample = known.select("doc_id", "text").join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+        for text in sample.select("text").toArrow().column("text"):
             text = text.as_py()
             left -= len(text or "")
             if left < 0:
                 break
-            rows.append((grams(text).astype(np.int32), label))
-    return fit(rows, log_count_ratios(toxic, clean), share)
+            buckets = grams(text)
+            rows.append((buckets[ratios[buckets] != 0].astype(np.int32), label))
+    return fit(rows, ratios, share)
 
 
 _SCORES = "doc_id bigint, held_out boolean, score double, predicted int"
