@@ -17,8 +17,8 @@ def filter_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least doc_id stays."""
-    return keep_one_per_component(docs)
+    """Of each group of linked documents (Jaccard >= 0.8 of five-word shingles) the one with the least doc_id stays."""
+    return keep_one_per_component(docs, size=5, percent=80)
 
 
 def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

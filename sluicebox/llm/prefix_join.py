@@ -222,9 +222,9 @@ def similar_components(documents: DataFrame, size: int = SHINGLE, percent: int =
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def keep_one_per_component(documents: DataFrame) -> DataFrame:
+def keep_one_per_component(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Of each component the rows of its least doc_id, all columns; documents without words stay."""
-    gone = similar_components(documents).where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    gone = similar_components(documents, size, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
     gone = workspace(documents).stage(gone, "gone")
     chosen = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
     return documents.join(chosen, F.col("doc_id") == F.col("gone"), "left_anti")
