@@ -2,23 +2,27 @@
 
 A text is coded as its tokens: the bytes of a word, then a space; at the end of
 the text, a line feed.  Each byte is eight binary decisions.  A decision has a
-context: the bits of its byte so far and the DEPTH bytes before it within the
-token (before the token's first byte stand spaces).  Every context holds a
-Krichevsky-Trofimov estimate of its counts; a node's weighted probability is
-half its own estimate and half the product of its children's, so every
-prediction mixes the estimates of all depths.  A context that the training
-texts never show leaves its share to its parent.
-
-As a token's bytes depend on the token alone, its code length does too: texts
-are scored by joining their words with a vocabulary, and the tree is computed
-from the vocabulary with its counts.  The two upper levels of the tree have at
-most 256 * 255 nodes; below them, contexts that end in the same two bytes make
-one group.  No table that grows with the corpus is broadcast.
+context: the bits of its byte so far and the DEPTH bytes before it in the text,
+those of earlier words included (before the text's first byte stand spaces).
+Every context holds a Krichevsky-Trofimov estimate of its counts; a node's
+weighted probability is half its own estimate and half the product of its
+children's, so every prediction mixes the estimates of all depths.  A context
+that the training texts never show leaves its share to its parent.
+
+A byte's code length depends on its gram, the byte and its context.  Grams are
+counted over the texts, and the tree is computed from them: its two upper levels
+have at most 256 * 255 nodes; below them, contexts that end in the same two
+bytes make one group.  Texts are dealt into chunks; a chunk asks for each of its
+grams and words once, in lists by bucket, and its texts add up the answers.  No
+table that grows with the corpus is broadcast.
 """
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +32,11 @@ DEPTH = 5
 FOLDS = 5
 HELD_OUT = 1
 CHUNK_BYTES = 24_000_000
-SHARD_WORDS = 150_000
+#: Bytes of text whose grams are made in one go.
+GROUP_BYTES = 4_000_000
+#: Grams that a task hands on at once; grams and words of a bucket.
+HELD_GRAMS = 4_000_000
+BUCKET_GRAMS = 40_000
 SPACE, END = 0x20, 0x0A
 
 _HALF = np.log(0.5)
@@ -53,21 +61,33 @@ def kt_block(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1) - np.log(np.pi)
 
 
-def grams_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(context, byte, word): of each coded byte its context, most recent byte highest, and the word it belongs to."""
+def stream_of(tokens: list[bytes]) -> bytes:
+    """What is coded of a text."""
+    return b" ".join([*tokens, bytes([END])])
+
+
+def grams_of(streams: list[bytes]) -> np.ndarray:
+    """Context, most recent byte highest, and byte (lowest) of every byte of all streams."""
     pad = bytes([SPACE]) * DEPTH
-    sizes = np.array([len(w) for w in words], np.int64)
-    buf = np.frombuffer(pad + b"".join(w + pad for w in words), np.uint8).astype(np.int64)
-    begin = DEPTH + np.cumsum(sizes + DEPTH) - (sizes + DEPTH)
-    # The end of a text is coded like a first byte; other words get a space at the end.
-    ends = np.array([w == bytes([END]) for w in words], bool) if len(words) else np.zeros(0, bool)
-    count = sizes + np.where(ends, 0, 1)
-    word = np.repeat(np.arange(len(words)), count)
-    at = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + begin[word]
-    context = np.zeros(len(at), np.int64)
+    buf = np.frombuffer(b"".join(pad + s for s in streams), np.uint8).astype(np.int64)
+    grams = buf[DEPTH:].copy()
     for k in range(1, DEPTH + 1):
-        context = context << 8 | buf[at - k]
-    return context, buf[at], word
+        grams |= buf[DEPTH - k:len(buf) - k] << (8 * (DEPTH - k + 1))
+    sizes = np.full(2 * len(streams), DEPTH)
+    sizes[::2] = [len(s) for s in streams]
+    return grams[np.repeat(np.tile([True, False], len(streams)), sizes)[:len(grams)]]
+
+
+def in_groups(items: list, size) -> list[list]:
+    """Runs of items of about GROUP_BYTES bytes."""
+    groups, room = [], 0
+    for item in items:
+        if not groups or room + size(item) > GROUP_BYTES:
+            groups.append([])
+            room = 0
+        groups[-1].append(item)
+        room += size(item)
+    return groups
 
 
 def _nodes(context: np.ndarray, byte: np.ndarray, depth: int) -> np.ndarray:
@@ -180,13 +200,28 @@ def _count_words(batches):
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
 
+def _added(names: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each name once, with the sum of its numbers."""
+    by = np.argsort(names, kind="stable")
+    names, n = names[by], n[by]
+    first = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]])) if len(names) else np.zeros(0, np.int64)
+    return names[first], np.add.reduceat(n, first) if len(first) else n
+
+
 def _count_grams(batches):
+    """Grams of a task's texts with their number in training texts."""
+    names, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for batch in batches:
-        words, n = batch.column("word").to_pylist(), batch.column("n").to_numpy()
-        context, byte, word = grams_of(words)
-        names, index = np.unique(context << 8 | byte, return_inverse=True)
-        total = np.bincount(index, weights=n[word], minlength=len(names)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(total)], names=["gram", "n"])
+        held_out = np.array(batch.column("held_out").to_pylist(), bool)
+        for out in (False, True):
+            streams = [stream_of(tokens_of(t.as_py())) for t, o in zip(batch.column("text"), held_out) if o == out]
+            for group in in_groups(streams, len):
+                own, count = np.unique(grams_of(group), return_counts=True)
+                names, n = _added(np.concatenate([names, own]), np.concatenate([n, 0 * count if out else count]))
+                if len(names) > HELD_GRAMS:
+                    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(n)], names=["gram", "n"])
+                    names, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(n)], names=["gram", "n"])
 
 
 def _split(rows: pa.Table):
@@ -202,33 +237,96 @@ def _weigh(rows: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(v) for v in (parent, n0, n1, weighted)], names=["node", "n0", "n1", "weighted"])
 
 
-def _log10(upper: Upper):
+def _bucket(grams: np.ndarray, buckets: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return ((grams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % buckets
+
+
+def _log10(upper: Upper, buckets: int):
     def run(rows: pa.Table) -> pa.Table:
         context, byte, n = _split(rows)
         scores = Subtree(context, byte, n, 2).log10(*upper.enter(context, byte))
-        return pa.Table.from_arrays([rows.column("gram"), pa.array(scores)], names=["gram", "log10"])
+        gram = rows.column("gram").to_numpy()
+        return pa.Table.from_arrays([pa.array(_bucket(gram, buckets).astype(np.int32)), pa.array(gram), pa.array(scores)],
+                                    names=["bucket", "gram", "log10"])
     return run
 
 
-def _shard_grams(rows: pa.Table) -> pa.Table:
-    context, byte, _ = grams_of(rows.column("word").to_pylist())
-    grams = np.unique(context << 8 | byte)
-    return pa.Table.from_arrays([pa.array(np.full(len(grams), rows.column("shard")[0].as_py(), np.int32)), pa.array(grams)], names=["shard", "gram"])
+_WANTED = "chunk int, bucket int, grams binary, words array<binary>"
 
 
-def _score_words(words: pa.Table, grams: pa.Table) -> pa.Table:
-    context, byte, word = grams_of(words.column("word").to_pylist())
-    names, scores = grams.column("gram").to_numpy(), grams.column("log10").to_numpy()
-    by = np.argsort(names)
-    total = np.bincount(word, weights=scores[by][np.searchsorted(names[by], context << 8 | byte)], minlength=words.num_rows)
-    return pa.Table.from_arrays([words.column("word"), words.column("n"), pa.array(total)], names=["word", "n", "log10"])
+def _chunk_wanted(buckets: int):
+    """The distinct grams and words of a chunk, a row for each bucket."""
+    def run(rows: pa.Table) -> pa.Table:
+        words, grams = {bytes([END])}, np.zeros(0, np.int64)
+        texts = [t.as_py() or "" for t in rows.column("text")]
+        for group in in_groups(texts, len):
+            streams = []
+            for text in group:
+                tokens = tokens_of(text)
+                words.update(tokens)
+                streams.append(stream_of(tokens))
+            grams = np.union1d(grams, grams_of(streams))
+        at = _bucket(grams, buckets)
+        by = np.argsort(at, kind="stable")
+        edges = np.searchsorted(at[by], np.arange(buckets + 1))
+        listed = [[] for _ in range(buckets)]
+        for word in words:
+            listed[zlib.crc32(word) % buckets].append(word)
+        return pa.Table.from_arrays(
+            [pa.array([rows.column("chunk")[0].as_py()] * buckets, pa.int32()), pa.array(range(buckets), pa.int32()),
+             pa.array([grams[by[edges[k]:edges[k + 1]]].tobytes() for k in range(buckets)], pa.binary()),
+             pa.array(listed, pa.list_(pa.binary()))], names=["chunk", "bucket", "grams", "words"])
+    return run
 
 
-def _chunk_words(rows: pa.Table) -> pa.Table:
-    words = {bytes([END])}
-    for text in rows.column("text"):
-        words.update(tokens_of(text.as_py()))
-    return pa.Table.from_arrays([pa.array([rows.column("chunk")[0].as_py()] * len(words), pa.int32()), pa.array(list(words), pa.binary())], names=["chunk", "word"])
+_ANSWERS = "chunk int, grams binary, logs binary, words array<binary>, numbers binary"
+
+
+def _answer(wanted: pa.Table, known: pa.Table) -> pa.Table:
+    """The predictions and counts that each chunk wants of a bucket."""
+    is_word = known.column("word").is_valid()
+    predicted, vocabulary = known.filter(pc.invert(is_word)), known.filter(is_word)
+    names, logs = predicted.column("gram").to_numpy(), predicted.column("log10").to_numpy()
+    by = np.argsort(names)
+    names, logs = names[by], logs[by]
+    number = dict(zip(vocabulary.column("word").to_pylist(), vocabulary.column("n").to_pylist()))
+    scores, numbers = [], []
+    for grams, words in zip(wanted.column("grams"), wanted.column("words")):
+        asked = np.frombuffer(grams.as_py(), np.int64)
+        at = np.searchsorted(names, asked)
+        if not (names[at] == asked).all():
+            raise ValueError("a gram has no prediction")
+        scores.append(logs[at].tobytes())
+        numbers.append(np.array([number[w] for w in words.as_py()], np.int64).tobytes())
+    return pa.Table.from_arrays(
+        [wanted.column("chunk"), wanted.column("grams"), pa.array(scores, pa.binary()), wanted.column("words"), pa.array(numbers, pa.binary())],
+        names=["chunk", "grams", "logs", "words", "numbers"])
+
+
+class Places:
+    """Finds grams among known ones: a slot for most, a binary search for those whose slot is another's."""
+
+    def __init__(self, names: np.ndarray, values: np.ndarray):
+        by = np.argsort(names)
+        self.names, self.values = names[by], values[by]
+        self.shift = np.uint64(64 - max(1, int(len(names) * 2).bit_length()))
+        slot = self._slot(self.names)
+        self.keys = np.full(1 << int(np.uint64(64) - self.shift), -1, np.int64)
+        self.held = np.zeros(len(self.keys))
+        self.keys[slot] = self.names
+        self.held[slot] = self.values
+
+    def _slot(self, grams: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def of(self, grams: np.ndarray) -> np.ndarray:
+        slot = self._slot(grams)
+        out = self.held[slot]
+        other = np.flatnonzero(self.keys[slot] != grams)
+        out[other] = self.values[np.searchsorted(self.names, grams[other])]
+        return out
 
 
 _SCORES = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, "
@@ -236,20 +334,24 @@ _SCORES = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, tr
 
 
 def _score_texts(total: int, distinct: int):
-    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
-        place = dict(zip(words.column("word").to_pylist(), range(words.num_rows)))
-        n, log10 = words.column("n").to_numpy(), words.column("log10").to_numpy()
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        whole = lambda name, kind: np.frombuffer(b"".join(answers.column(name).to_pylist()), kind)
+        places = Places(whole("grams", np.int64), whole("logs", np.float64))
+        words = [w for listed in answers.column("words").to_pylist() for w in listed]
+        place, n = dict(zip(words, range(len(words)))), whole("numbers", np.int64)
         base = np.log10((n + 0.5) / (total + 0.5 * (distinct + 1)))
         end = place[bytes([END])]
         rows = []
-        for doc_id, held_out, text in zip(texts.column("doc_id").to_pylist(), texts.column("held_out").to_pylist(), texts.column("text")):
-            tokens = tokens_of(text.as_py())
-            at = np.fromiter((place[t] for t in tokens), np.int64, len(tokens))
-            at = np.append(at, end)
-            coded = sum(map(len, tokens)) + len(tokens) + 1
-            score = float(log10[at].sum())
-            rows.append((doc_id, held_out, len(at), int((n[at] > 0).sum()), total, float(base[at].sum()), score,
-                         coded, -score / np.log10(2.0) / coded))
+        given = list(zip(texts.column("doc_id").to_pylist(), texts.column("held_out").to_pylist(), texts.column("text").to_pylist()))
+        for group in in_groups(given, lambda r: len(r[2] or "")):
+            listed = [tokens_of(text) for _, _, text in group]
+            streams = [stream_of(tokens) for tokens in listed]
+            begin = np.cumsum([0, *map(len, streams)])[:-1]
+            scores = np.add.reduceat(places.of(grams_of(streams)), begin)
+            for (doc_id, held_out, _), tokens, stream, score in zip(group, listed, streams, scores.tolist()):
+                at = np.append(np.fromiter((place[t] for t in tokens), np.int64, len(tokens)), end)
+                rows.append((doc_id, held_out, len(at), int((n[at] > 0).sum()), total, float(base[at].sum()), score,
+                             len(stream), -score / np.log10(2.0) / len(stream)))
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.float64()]
         names = [p.split()[0] for p in _SCORES.split(", ")]
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
@@ -261,7 +363,7 @@ def _score_texts(total: int, distinct: int):
 def score_texts(documents: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte; a row per input row.
 
-    score is the model's log10 probability of the text's tokens, base_score
+    score is the model's log10 probability of the text's tokens in their order, base_score
     that of smoothed word counts; n_bytes and bits_per_byte give the code
     length.  Null and empty texts consist of their end.  A null doc_id is not
     held out.  Repeated rows are texts of their own, in training too.  Without
@@ -282,25 +384,23 @@ def score_texts(documents: DataFrame) -> DataFrame:
     words = work.stage(counted.unionByName(ending), "words")
     known = words.agg(F.sum("n").alias("total"), F.sum((F.col("n") > 0).cast("long")).alias("distinct"), F.count("*").alias("words")).first()
 
-    # Unseen grams of held-out words ride along with count 0, so that each has its prediction.
-    grams = work.stage(words.mapInArrow(_count_grams, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+    # Unseen grams of held-out texts ride along with count 0, so that each has its prediction.
+    grams = work.stage(rows.select("text", "held_out").mapInArrow(_count_grams, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+    buckets = parts(grams.count() + known["words"], BUCKET_GRAMS)
     recent = F.shiftright("gram", 8 * (DEPTH - 1)).alias("recent")  # the last two bytes before the decision
     grouped = grams.groupBy(recent)
     below = grouped.applyInArrow(_weigh, "node bigint, n0 double, n1 double, weighted double").groupBy("node").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("weighted").alias("below")).orderBy("node").toArrow()
     upper = Upper(*[below.column(c).to_numpy() for c in ("node", "n0", "n1", "below")])
-    predicted = work.stage(grouped.applyInArrow(_log10(upper), "gram bigint, log10 double"), "predicted")
-
-    shards = parts(known["words"], SHARD_WORDS)
-    sharded = words.withColumn("shard", F.pmod(F.xxhash64("word"), F.lit(shards)).cast("int"))
-    needed = sharded.select("shard", "word").groupBy("shard").applyInArrow(_shard_grams, "shard int, gram bigint").join(predicted, "gram")
-    vocabulary = work.stage(
-        sharded.groupBy("shard").cogroup(needed.groupBy("shard")).applyInArrow(_score_words, "word binary, n bigint, log10 double"), "vocabulary")
+    predicted = grouped.applyInArrow(_log10(upper, buckets), "bucket int, gram bigint, log10 double")
+    vocabulary = words.select((F.crc32("word") % buckets).cast("int").alias("bucket"), "word", "n")
+    answers = work.stage(predicted.unionByName(vocabulary, allowMissingColumns=True), "answers")
 
     chunks = parts(facts["bytes"], CHUNK_BYTES)
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(chunks)).cast("int"))
-    wanted = dealt.select("chunk", "text").groupBy("chunk").applyInArrow(_chunk_words, "chunk int, word binary").join(vocabulary, "word")
-    return dealt.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(_score_texts(known["total"], known["distinct"]), _SCORES)
+    wanted = dealt.select("chunk", "text").groupBy("chunk").applyInArrow(_chunk_wanted(buckets), _WANTED)
+    answered = wanted.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_answer, _ANSWERS)
+    return dealt.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(_score_texts(known["total"], known["distinct"]), _SCORES)
 
 
 def op1_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:

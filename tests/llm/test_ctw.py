@@ -113,3 +113,35 @@ def test_empty_and_untrained(documents):
     held = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 5 == 1)
     row = score_texts(documents([(held, "ab", "a")])).first()
     assert row["train_tokens"] == 0 and row["n_known"] == 0 and math.isclose(row["score"], -32 * math.log10(2))
+
+
+class TextBrute(Brute):
+    """The recursion over whole texts: contexts reach across the words."""
+
+    @staticmethod
+    def coded(stream):
+        data = bytes([32]) * DEPTH + stream
+        return [(data[k - DEPTH:k], data[k]) for k in range(DEPTH, len(data))]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_contexts_reach_across_words(documents, monkeypatch, small):
+    if small:
+        for name, value in (("CHUNK_BYTES", 900), ("GROUP_BYTES", 200), ("HELD_GRAMS", 50), ("BUCKET_GRAMS", 20)):
+            monkeypatch.setattr(ctw, name, value)
+    out = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
+    held = [k for k in range(600, 700) if out(k)][:2]
+    rows = texts() + [(held[0], "ba lo ké mi", "a"), (held[1], "mi ké lo ba", "a")]
+    stream = lambda text: b" ".join([*tokens_of(text), b"\n"])
+    counts = {}
+    for i, text, _ in rows:
+        counts[stream(text)] = counts.get(stream(text), 0) + (not out(i))
+    brute = TextBrute(counts)
+    got = score_texts(documents(rows)).collect()
+    wanted = sorted((repr(i), len(stream(t)), brute.log10(stream(t))) for i, t, _ in rows)
+    seen = sorted((repr(r["doc_id"]), r["n_bytes"], r["score"]) for r in got)
+    assert len(seen) == len(wanted)
+    for a, b in zip(seen, wanted):
+        assert a[:2] == b[:2] and math.isclose(a[2], b[2], rel_tol=1e-6)
+    one, other = ([r["score"] for r in got if r["doc_id"] == k][0] for k in held)
+    assert abs(one - other) > 1e-3
