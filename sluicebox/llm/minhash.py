@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicebox.llm.common import parts, table, workspace
+from sluicebox.llm.components import components
 
 PERMUTATIONS = 128
 SHINGLE = 5
@@ -225,12 +226,15 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def similar_documents(documents: DataFrame, similar: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, class_id) of every document, and verified links (left, right, jaccard) between classes.
+    """(doc_id, class_id, component_id) of every document, and verified links (left, right, jaccard) between classes.
 
     A class is all documents with one shingle set, named by its smallest
     doc_id; documents without words are classes of their own.  Classes that
     share a band of the signature are compared with the smallest class of
-    that bucket, so a bucket of any size gives one pair per member.
+    that bucket first, one pair per member; in a bucket that then still holds
+    several components, each pair of classes of different ones is compared.  So
+    the links join all that links of every pair in a bucket would join.  The
+    component is the least doc_id that links reach.
     """
     work = workspace(documents)
     sets = documents.select("doc_id", "text").mapInArrow(_sets, _SET_SCHEMA)
@@ -239,14 +243,31 @@ def similar_documents(documents: DataFrame, similar: float = SIMILAR) -> tuple[D
     classes = work.stage(sets.groupBy("digest").agg(F.min("doc_id").alias("class_id")), "classes")
     members = sets.select("doc_id", "digest").join(classes, "digest").select("doc_id", "class_id")
     first = sets.join(classes.select(F.col("class_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    banded = first.select("doc_id", F.posexplode("bands").alias("band", "part"))
-    least = work.stage(banded.groupBy("band", "part").agg(F.min("doc_id").alias("left"), F.count("*").alias("n")).where("n > 1"), "least")
-    pairs = banded.join(least, ["band", "part"]).where("left < doc_id").select("left", F.col("doc_id").alias("right")).distinct()
-    own = first.select("doc_id", "shingles").dropDuplicates(["doc_id"])
-    verified = (
-        pairs.join(own.toDF("left", "a"), "left").join(own.toDF("right", "b"), "right")
-        .withColumn("both", F.size(F.array_intersect("a", "b")))
-        .withColumn("jaccard", F.col("both") / (F.size("a") + F.size("b") - F.col("both")))
-        .where(F.col("jaccard") >= similar).select("left", "right", "jaccard")
-    )
-    return members, verified
+    banded = work.stage(first.select("doc_id", F.size("shingles").alias("n"), F.posexplode("bands").alias("band", "part")), "banded")
+    least = work.stage(banded.groupBy("band", "part").agg(F.min("doc_id").alias("left"), F.count("*").alias("m")).where("m > 1").drop("m"), "least")
+    stars = work.stage(banded.join(least, ["band", "part"]).where("left < doc_id").select("left", F.col("doc_id").alias("right")).distinct(), "stars")
+    own = work.stage(first.select("doc_id", "shingles").dropDuplicates(["doc_id"]), "own")
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        return work.stage(
+            pairs.join(own.toDF("left", "a"), "left").join(own.toDF("right", "b"), "right")
+            .withColumn("both", F.size(F.array_intersect("a", "b")))
+            .withColumn("jaccard", F.col("both") / (F.size("a") + F.size("b") - F.col("both")))
+            .where(F.col("jaccard") >= similar).select("left", "right", "jaccard"), name)
+
+    found = verified(stars, "first-links")
+    joined = components(found, work, "first-components")
+    labelled = work.stage(banded.join(joined, F.col("doc_id") == F.col("node"), "left").select(
+        "band", "part", "doc_id", "n", F.coalesce("component", "doc_id").alias("component")), "labelled")
+    mixed = labelled.groupBy("band", "part").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band", "part")
+    left = work.stage(labelled.join(mixed, ["band", "part"]), "open")
+    right = left.toDF("band", "part", "right", "n_right", "component_right")
+    # Sets whose sizes alone keep them apart are no pair.
+    rest = left.withColumnRenamed("doc_id", "left").join(right, ["band", "part"]).where(
+        (F.col("left") < F.col("right")) & (F.col("component") != F.col("component_right"))
+        & (F.least("n", "n_right") / F.greatest("n", "n_right") >= similar)).select("left", "right").distinct()
+    links = found.unionByName(verified(rest.join(stars, ["left", "right"], "left_anti"), "second-links"))
+    labels = components(links, work, "components")
+    members = members.join(labels, F.col("class_id") == F.col("node"), "left").select(
+        "doc_id", "class_id", F.coalesce("component", "class_id").alias("component_id"))
+    return members, links

@@ -73,3 +73,14 @@ def test_similar_documents(documents):
     for r in links.collect():
         x, y = brute_set(texts[r["left"]]), brute_set(texts[r["right"]])
         assert r["jaccard"] == len(x & y) / len(x | y) >= 0.8
+
+
+def test_links_are_found_beside_a_less_similar_least_member(documents):
+    """A boilerplate of 300 shingles with 80 own ones in small ids, with 17 own ones in the last two (Jaccard 0.898)."""
+    base = " ".join(f"b{k}" for k in range(304))
+    text = lambda name, n: base + "".join(f" {name}{k}" for k in range(n))
+    rows = [(k, text(f"own{k}x", 80), "a") for k in range(60)] + [(900, text("p", 17), "a"), (901, text("q", 17), "a"), (902, text("p", 17).upper(), "a")]
+    members, links = similar_documents(documents(rows))
+    assert [(r["left"], r["right"]) for r in links.collect()] == [(900, 901)]
+    wanted = {k: k for k in range(60)} | {900: 900, 901: 900, 902: 900}
+    assert {r["doc_id"]: r["component_id"] for r in members.collect()} == wanted
