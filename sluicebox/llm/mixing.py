@@ -22,8 +22,6 @@ SHARE = 1.5
 REPEATS = 2
 BLOCK = 64
 SEED = "mix-1"
-#: Seats on either side of the proportional number among which quotients decide.
-MARGIN = 3
 
 
 def _seeded(*parts: Column) -> Column:
@@ -70,20 +68,29 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, repeats=REPEA
 def highest_quotients(votes: DataFrame, group: list[str], order: list[Column], seats: Column) -> DataFrame:
     """``votes`` (column votes) with ``quota``: Sainte-Laguë seats of each row among its group.
 
-    ``seats`` is the number to deal out in the group.  A row's last seats lie
-    within MARGIN of its proportional number, so only those quotients are ranked.
+    ``seats`` is the number to deal out in the group.  With n rows that have
+    votes, rounding votes / d deals out at most seats for d = total / (seats - n / 2)
+    and at least seats for d = total / (seats + n / 2).  Only the quotients
+    between the two, one more on either side for the floating point, are ranked:
+    at most four a row on average.
     """
     every = Window.partitionBy(*(group or [F.lit(0)]))
     ranked = Window.partitionBy(*(group or [F.lit(0)])).orderBy(F.col("_quotient").desc(), *order)
     columns = votes.columns
     total = F.sum("votes").over(every)
+    half = F.sum((F.col("votes") > 0).cast("long")).over(every) / 2
+
+    def rounded(dealt: Column) -> Column:
+        """Seats if a divisor is used that gives ``dealt`` proportional seats."""
+        return F.when(total > 0, F.floor(F.col("votes") * dealt / total + 0.5)).otherwise(F.lit(0)).cast("long")
+
     based = (
         votes.withColumn("_seats", seats)
-        .withColumn("_fair", F.when(total > 0, F.col("votes") * F.col("_seats") / total).otherwise(F.lit(0.0)))
-        .withColumn("_base", F.greatest(F.floor("_fair") - MARGIN, F.lit(0)).cast("long"))
+        .withColumn("_base", F.greatest(rounded(F.greatest(F.col("_seats") - half, F.lit(0.0))) - 1, F.lit(0)).cast("long"))
+        .withColumn("_top", rounded(F.col("_seats") + half))
         .withColumn("_left", F.col("_seats") - F.sum("_base").over(every))
-        .withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(2 * MARGIN))))
-        .withColumn("_quotient", F.col("votes") / (2 * (F.col("_base") + F.col("_step")) + 1))
+        .withColumn("_seat", F.explode(F.sequence("_base", "_top")))
+        .withColumn("_quotient", F.col("votes") / (2 * F.col("_seat") + 1))
         .withColumn("_won", ((F.row_number().over(ranked) <= F.col("_left")) & (F.col("votes") > 0)).cast("long"))
     )
     return based.groupBy(*columns).agg((F.first("_base") + F.sum("_won")).cast("long").alias("quota"))

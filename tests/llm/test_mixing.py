@@ -65,3 +65,17 @@ def test_quotas_are_sainte_lague(spark):
 def test_empty(documents):
     assert mix_sources(documents([])).count() == 0
     assert mix_sources(documents([(1, None, None)])).collect()[0][:] == (1, 0, 0, 0.0, 0)
+
+
+@pytest.mark.parametrize("big,tiny,seats,wanted", [(1000.0, 1.0, 520, 500), (20000.0, 20.0, 406, 406), (1e6, 1.0, 90, 90), (5.0, 4.0, 301, 1)])
+def test_quotas_of_one_big_row_and_many_tiny_ones(spark, big, tiny, seats, wanted):
+    from pyspark.sql import functions as F
+
+    votes = [(0, "g", big)] + [(k, "g", tiny) for k in range(1, 301)]
+    got = {r["k"]: r["quota"] for r in highest_quotients(
+        spark.createDataFrame(votes, "k int, g string, votes double"), ["g"], [F.col("k")], F.lit(seats)).collect()}
+    won = dict.fromkeys(range(301), 0)
+    for _ in range(seats):
+        best = max((v / (2 * won[k] + 1), -k) for k, _, v in votes)
+        won[-best[1]] += 1
+    assert got == won and got[0] == wanted
