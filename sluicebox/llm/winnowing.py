@@ -48,8 +48,13 @@ def _spans(words: Column, length: int) -> Column:
         i.alias("start"), F.array_join(F.slice(w, i + 1, length), " ").alias("span"))))
 
 
+def row_key() -> Column:
+    """Names a row by its doc_id and its text; never null.  Rows with one key have one text and so the same hits."""
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64("text").cast("string"))
+
+
 def hit_spans(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """doc_id, start, length, item_id: every place of a document where an item's window stands.
+    """row, start, length, item_id: every place of a text where an item's window stands; row is the text's ``row_key``.
 
     Items with fewer words than ``window`` are one window each; their whole
     word sequence is their fingerprint.
@@ -69,7 +74,7 @@ def hit_spans(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         spans.append(own.select("item_id", F.lit(length).alias("length"), F.explode(_spans(F.col("words"), length)).alias("s"))
                      .select("item_id", "length", F.col("s.span").alias("span")))
     if not lengths:
-        return documents.select("doc_id", F.lit(0).alias("start"), F.lit(0).alias("length"),
+        return documents.select(row_key().alias("row"), F.lit(0).alias("start"), F.lit(0).alias("length"),
                                 F.lit("").alias("item_id")).where(F.lit(False))
 
     def union(frames):
@@ -87,13 +92,13 @@ def hit_spans(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                 else F.array_distinct(gram_hashes(words, length)))
         return F.transform(kept, lambda fp: F.struct(F.lit(length).alias("length"), fp.alias("fp")))
 
-    prints = documents.select("doc_id", F.explode(let(words_of(F.col("text")), lambda words: F.concat(
-        *[doc_prints(words, n) for n in lengths]))).alias("p")).select("doc_id", "p.length", "p.fp")
-    met = prints.join(item_prints, ["length", "fp"]).groupBy("doc_id").agg(
+    prints = documents.select(row_key().alias("row"), F.explode(let(words_of(F.col("text")), lambda words: F.concat(
+        *[doc_prints(words, n) for n in lengths]))).alias("p")).select("row", "p.length", "p.fp")
+    met = prints.join(item_prints, ["length", "fp"]).groupBy("row").agg(
         F.collect_set(F.struct("length", "fp")).alias("met"))
     met = work.stage(met, "met")
 
-    near = documents.select("doc_id", "text").join(met, "doc_id")
+    near = documents.select(row_key().alias("row"), "text").join(met, "row")
 
     def near_spans(words, hashes, length):
         """Spans that hold a gram whose hash met an item's."""
@@ -102,14 +107,14 @@ def hit_spans(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         places = F.filter(
             F.transform(gram_hashes(words, gram), lambda h, i: F.when(F.array_contains(hashes, h), i)),
             lambda i: i.isNotNull())
-        starts = F.array_distinct(F.flatten(F.transform(places, lambda p: F.sequence(
-            F.greatest(p - (window - gram), F.lit(0)), F.least(p, F.size(words) - window)))))
+        starts = F.when(F.size(words) >= window, F.array_distinct(F.flatten(F.transform(places, lambda p: F.sequence(
+            F.greatest(F.least(p, F.size(words) - window) - (window - gram), F.lit(0)), F.least(p, F.size(words) - window))))))
         return F.transform(starts, lambda i: F.struct(
             i.alias("start"), F.array_join(F.slice(words, i + 1, window), " ").alias("span")))
 
     def of_length(length):
         mine = F.transform(F.filter("met", lambda m: m["length"] == length), lambda m: m["fp"])
-        return near.select("doc_id", F.lit(length).alias("length"), F.explode(
+        return near.select("row", F.lit(length).alias("length"), F.explode(
             let(mine, lambda hashes: F.when(F.size(hashes) > 0, let(
                 words_of(F.col("text")), lambda words: near_spans(words, hashes, length))))).alias("s"))
 
@@ -117,39 +122,43 @@ def hit_spans(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     all_found = found[0]
     for frame in found[1:]:
         all_found = all_found.unionByName(frame)
-    return all_found.select("doc_id", "length", "s.start", "s.span").join(item_spans, ["length", "span"]).select(
-        "doc_id", "start", "length", "item_id").distinct()
+    return all_found.select("row", "length", "s.start", "s.span").join(item_spans, ["length", "span"]).select(
+        "row", "start", "length", "item_id").distinct()
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
-
-    One row per input row.  Null and empty texts have no words and no hits.
-    Rows that share a doc_id are one document: each gets the hits of all of
-    them.  Repeated items count once; items without words never occur.  Empty
-    tables give no rows or no hits.  Other columns are not read.
-    """
+def _contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``contamination`` with each row's ``row_key`` as row."""
     work = workspace(documents)
     hits = work.stage(hit_spans(documents, benchmark), "hits")
     hit_words = (
-        hits.select("doc_id", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("word"))
-        .distinct().groupBy("doc_id").agg(F.count("*").alias("n_hit"))
+        hits.select("row", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("word"))
+        .distinct().groupBy("row").agg(F.count("*").alias("n_hit"))
     )
-    hit_items = hits.groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
-    found = work.stage(hit_words.join(hit_items, "doc_id"), "found")
-    counted = documents.select("doc_id", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    hit_items = hits.groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    found = work.stage(hit_words.join(hit_items, "row"), "found")
+    counted = documents.select(row_key().alias("row"), "doc_id", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     items = F.coalesce("items", F.array().cast("array<string>"))
-    return counted.join(found, "doc_id", "left").select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+    return counted.join(found, "row", "left").select(
+        "row", "doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
 
 
+def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+
+    One row per input row.  Null and empty texts have no words and no hits.
+    Rows without a doc_id and rows that repeat one are documents of their own.  Repeated items count once; items without words never occur.  Empty
+    tables give no rows or no hits.  Other columns are not read.
+    """
+    return _contamination(documents, benchmark).drop("row")
+
+
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, all columns."""
-    bad = contamination(documents, benchmark).where("contaminated").select("doc_id").distinct()
-    return documents.join(workspace(documents).stage(bad, "contaminated"), "doc_id", "left_anti").select(*documents.columns)
+    bad = _contamination(documents, benchmark).where("contaminated").select(F.col("row").alias("_bad")).distinct()
+    return documents.join(workspace(documents).stage(bad, "contaminated"), row_key() == F.col("_bad"), "left_anti").select(*documents.columns)
 
 
 def op4_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,3 +63,19 @@ def test_edges(spark, documents):
     assert drop_contaminated(documents([(1, "a b", "x")]), none).count() == 1
     twice = contamination(documents([(1, "a b", "x"), (1, "a b", "x"), (None, "a b", "x")]), bench).collect()
     assert len(twice) == 3 and sorted(r["n_hit"] for r in twice) == [0, 2, 2]
+
+
+def test_null_and_repeated_ids(spark, documents):
+    rng = random.Random(4)
+    item, clean = " ".join(f"i{k}" for k in range(20)), " ".join(f"c{rng.randrange(99)}" for _ in range(60))
+    short = " ".join(f"i{k}" for k in range(8))
+    items = [(1, item), (2, "v1 v2 v3")]
+    rows = [(None, item, "a"), (None, clean, "a"), (None, "v1 v2 v3", "b"), (None, None, "a"), (7, item, "a"), (7, clean, "a"),
+            (7, short, "a"), (7, clean + " " + item, "a"), (8, item, "a"), (8, item, "a"), (9, "v1 v2 v3 v1 v2 v3", "a")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    key = lambda r: (repr(r[0]), *r[1:])
+    wanted = [b for r in rows for b in brute([r], items)]
+    assert sorted(map(tuple, contamination(documents(rows), bench).collect()), key=key) == sorted(wanted, key=key)
+    kept = drop_contaminated(documents(rows), bench).collect()
+    assert sorted((repr(r["doc_id"]), repr(r["text"])) for r in kept) == sorted(
+        (repr(r[0]), repr(r[1])) for r in rows if not brute([r], items)[0][5])
