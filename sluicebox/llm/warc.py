@@ -192,9 +192,10 @@ def write_bundles(pages: DataFrame) -> DataFrame:
         marks.where(f"bytes >= {REVISIT_BYTES}").groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
         .where("n > 1"), "repeated")
     revisits = work.stage(
-        marks.join(first, "digest").where("page_id > first").select(F.col("page_id").alias("id"), F.col("first").alias("refers_to")).distinct(),
-        "revisits")
-    rows = pages.select("page_id", "url", "html").join(revisits, F.col("page_id") == F.col("id"), "left")
+        marks.join(first, "digest").where("page_id > first").select(
+            F.col("page_id").alias("id"), F.col("digest").alias("of"), F.col("first").alias("refers_to")).distinct(), "revisits")
+    rows = pages.select("page_id", "url", "html", F.sha2(html, 256).alias("digest")).join(
+        revisits, (F.col("page_id") == F.col("id")) & (F.col("digest") == F.col("of")), "left")
     return work.stage(rows.select("page_id", "url", "html", "refers_to").mapInArrow(_write, _BUNDLES), f"bundles-{uuid.uuid4().hex[:8]}")
 
 

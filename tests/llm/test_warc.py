@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 
 from sluicebox.llm import warc
@@ -52,3 +54,13 @@ def test_index_leads_to_records(spark):
 
 def test_no_file_is_left_by_tasks():
     assert warc.BUNDLE_BYTES > warc.FRAME_BYTES
+
+
+def test_one_id_with_other_payloads(spark):
+    """Only the payload that stands under a smaller id is left out."""
+    a, b, c = "a" * 200, "b" * 200, "c" * 300
+    rows = [(1, "u", a), (2, "u", b), (5, "u", a), (5, "u", b), (5, "u", c)]
+    got = sorted(map(tuple, archive_pages(pages(spark, rows)).select("page_id", "payload_digest", "record_type", "refers_to").collect()), key=str)
+    digest = lambda html: hashlib.sha256(html.encode()).hexdigest()
+    assert got == sorted([(1, digest(a), "response", None), (2, digest(b), "response", None), (5, digest(a), "revisit", 1),
+                          (5, digest(b), "revisit", 2), (5, digest(c), "response", None)], key=str)
