@@ -25,7 +25,7 @@ SMOOTH = 1.0
 SUPPORT = 5
 #: Rows of each label that the regression is fitted on, at most.
 SAMPLE = 1200
-#: Bytes of those rows' texts, at most; rows beyond are not used for the fit.
+#: Bytes of those rows' texts, at most; a row that does not fit is passed over, and later ones that do are used.
 SAMPLE_BYTES = 16_000_000
 RIDGE = 10.0
 ROUNDS = 40
@@ -125,6 +125,20 @@ def _fold():
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
 
 
+def chosen(sizes: list[dict], room: int) -> dict[tuple[int, int], int]:
+    """How often each text (id, mark) is used, in order while it fits into ``room`` bytes; the smallest if none does."""
+    times = {}
+    for r in sizes:
+        fits = r["m"] if not r["size"] else min(r["m"], room // r["size"])
+        if fits:
+            times[r["id"], r["mark"]] = fits
+            room -= fits * r["size"]
+    if sizes and not times:
+        least = min(sizes, key=lambda r: r["size"])
+        times[least["id"], least["mark"]] = 1
+    return times
+
+
 def train(documents: DataFrame, labels: DataFrame) -> Model:
     """The model of all labelled rows whose fold is not HELD_OUT.
 
@@ -150,19 +164,33 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     if not all(totals):
         return Model(np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share))))
     ratios = log_count_ratios(toxic[:BUCKETS], clean[:BUCKETS])
-    grams, rows = Grams(), []
+    rows, useful = [], ratios != 0
+
+    def listed(batches):
+        """The buckets of a text that carry weight: of any text at most BUCKETS numbers."""
+        grams = Grams()
+        for batch in batches:
+            found = [grams(t.as_py()) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("mark"), pa.array([b[useful[b]].astype(np.int32) for b in found], pa.list_(pa.int32()))],
+                names=["id", "mark", "buckets"])
+
     for label in (1, 0):
-        left = SAMPLE_BYTES // 2
         # Ids first, without their texts; at most SAMPLE rows.
         ids = known.where(F.col("toxic") == label).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-        sample = known.select("doc_id", "text").join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-        for text in sample.select("text").toArrow().column("text"):
-            text = text.as_py()
-            left -= len(text or "")
-            if left < 0:
-                break
-            buckets = grams(text)
-            rows.append((buckets[ratios[buckets] != 0].astype(np.int32), label))
+        sample = known.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(
+            F.col("doc_id").alias("id"), F.xxhash64("text").alias("mark"), "text")
+        # Then the texts' sizes; no text reaches the driver.
+        size = F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")
+        sizes = sample.groupBy("id", "mark", size).agg(F.count("*").alias("m")).orderBy(F.xxhash64("id"), "id", "mark").toArrow().to_pylist()
+        times = chosen(sizes, SAMPLE_BYTES // 2)
+        if not times:
+            continue
+        picked = documents.sparkSession.createDataFrame(list(times), "id bigint, mark bigint")
+        lists = sample.join(F.broadcast(picked), ["id", "mark"]).dropDuplicates(["id", "mark"]).select("id", "mark", "text").mapInArrow(
+            listed, "id bigint, mark bigint, buckets array<int>").toArrow()
+        found = {(i, m): b.values.to_numpy() for i, m, b in zip(lists.column("id").to_pylist(), lists.column("mark").to_pylist(), lists.column("buckets"))}
+        rows += [(found[name], label) for name, m in times.items() for _ in range(m)]
     return fit(rows, ratios, share)
 
 

@@ -1,6 +1,7 @@
 import random
 import zlib
 
+from sluicebox.llm import toxicity as toxicity_module
 from sluicebox.llm.toxicity import drop_toxic, toxicity
 
 
@@ -41,3 +42,20 @@ def test_without_labels(spark, documents):
     got = toxicity(documents([(1, "a", "a")]), none).collect()
     assert got[0]["predicted"] == 0 and 0 <= got[0]["score"] <= 1
     assert toxicity(documents([]), none).count() == 0
+
+
+def test_a_text_beyond_the_sample_does_not_end_it(spark, documents, monkeypatch):
+    """One labelled text larger than the sample's bytes stands first among the toxic ones, in whatever order."""
+    monkeypatch.setattr(toxicity_module, "SAMPLE_BYTES", 400_000)
+    rows, labels = corpus(400, random.Random(3))
+    huge = [(i, "vilegrub " + "word " * 60_000, "a") for i in range(2000, 2030)]
+    marks = spark.createDataFrame(labels + [(i, None, 1) for i, _, _ in huge], "doc_id bigint, quality int, toxic int")
+    truth = {i: y for i, _, y in labels}
+    held = [r for r in toxicity(documents(rows + huge), marks).collect() if r["held_out"] and r["doc_id"] in truth]
+    assert sum(r["predicted"] == truth[r["doc_id"]] for r in held) / len(held) > 0.97
+
+
+def test_chosen():
+    sizes = [{"id": k, "mark": 9, "size": s, "m": m} for k, (s, m) in enumerate([(500, 1), (40, 3), (0, 2), (30, 1), (10, 1)])]
+    assert toxicity_module.chosen(sizes, 100) == {(1, 9): 2, (2, 9): 2, (4, 9): 1}
+    assert toxicity_module.chosen(sizes[:1], 100) == {(0, 9): 1} and toxicity_module.chosen([], 5) == {}
