@@ -193,14 +193,14 @@ def _list(length):
     def run(batches):
         for batch in batches:
             ids, found = [], []
-            for doc_id, text in zip(batch.column("rank").to_pylist(), batch.column("text")):
+            for row, text in zip(batch.column("row").to_pylist(), batch.column("text")):
                 place, value = anchors((text.as_py() or "").encode(), length)
                 if len(place):
                     found.append(np.unique(value[_runs(place)[0]]))
-                    ids.append(np.full(len(found[-1]), doc_id, np.int64))
+                    ids.append(np.full(len(found[-1]), row, np.int64))
             values = np.concatenate(found) if found else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(values.view(np.int64)), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int64))], names=["anchor", "rank"])
+                [pa.array(values.view(np.int64)), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int64))], names=["anchor", "row"])
     return run
 
 
@@ -337,6 +337,11 @@ def _rank():
     return F.coalesce("doc_id", F.lit(2 ** 63 - 1))
 
 
+def _row():
+    """One number for a row's rank and salt; lists by it hold the salt, so that a row of the same number takes nothing else."""
+    return F.xxhash64("rank", "salt").alias("row")
+
+
 def shortened(documents: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """(marks, changed) of the documents.
 
@@ -362,13 +367,13 @@ def shortened(documents: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Da
     repeated = work.stage(
         originals.select("text").mapInArrow(_count(length), "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n"))
         .where("n > 1").select("anchor"), "repeated")
-    flagged = originals.select("rank", "text").mapInArrow(_list(length), "anchor bigint, rank bigint").join(repeated, "anchor").groupBy(
-        "rank").agg(F.collect_set("anchor").alias("flagged"))
-    packed = originals.mapInArrow(_pack, "rank bigint, salt bigint, packed binary")
+    flagged = originals.select(_row(), "text").mapInArrow(_list(length), "anchor bigint, row bigint").join(repeated, "anchor").groupBy(
+        "row").agg(F.collect_set("anchor").alias("flagged"))
+    packed = originals.mapInArrow(_pack, "rank bigint, salt bigint, packed binary").select(_row(), "rank", "salt", "packed")
     # Bucketed as the join left it: later joins by document do not move the texts again.
     near_name = f"repeats_near_{uuid.uuid4().hex}"
     buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed.join(flagged, "rank").write.option("compression", "none").bucketBy(buckets, "rank").saveAsTable(near_name)
+    packed.join(flagged, "row").write.option("compression", "none").bucketBy(buckets, "row").saveAsTable(near_name)
     near = documents.sparkSession.table(near_name)
 
     firsts = work.stage(
@@ -377,14 +382,14 @@ def shortened(documents: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Da
     shared = work.stage(firsts.groupBy("anchor").agg(F.count("*").alias("pieces"), F.sum("n").alias("strings")).where("pieces > 1"), "shared")
     total = shared.where(F.col("pieces") <= HOT).agg(F.sum(F.col("strings") + length * F.col("pieces"))).first()[0]
     alone = firsts.join(shared.select("anchor"), "anchor", "left_anti").select("rank", "salt", "at", "n")
-    wanted = firsts.join(shared.select("anchor", (F.col("pieces") > HOT).alias("hot")), "anchor").groupBy("rank").agg(
+    wanted = firsts.join(shared.select("anchor", (F.col("pieces") > HOT).alias("hot")), "anchor").groupBy(_row()).agg(
         F.collect_list(F.struct("salt", "at", "n", "hot", "anchor")).alias("wanted"))
-    pieces = work.stage(near.select("rank", "salt", "packed").join(wanted, "rank").mapInArrow(_pieces(length, parts(total, BIN_BYTES)), _PIECES), "pieces")
+    pieces = work.stage(near.select("row", "rank", "salt", "packed").join(wanted, "row").mapInArrow(_pieces(length, parts(total, BIN_BYTES)), _PIECES), "pieces")
     expanded = pieces.where(F.col("bin") != _STRING).groupBy("bin").applyInArrow(_expand(length), _KEPT)
     hot = pieces.where(F.col("bin") == _STRING).groupBy("piece").agg(
         F.min(F.struct("rank", "salt", "at")).alias("f")).select("f.rank", "f.salt", "f.at", F.lit(1).cast("long").alias("n"))
-    kept = alone.unionByName(expanded).unionByName(hot).groupBy("rank").agg(F.collect_list(F.struct("salt", "at", "n")).alias("kept"))
-    changed = work.stage(near.join(kept, "rank", "left").mapInArrow(_remove(length), _RESULT), "changed")
+    kept = alone.unionByName(expanded).unionByName(hot).groupBy(_row()).agg(F.collect_list(F.struct("salt", "at", "n")).alias("kept"))
+    changed = work.stage(near.join(kept, "row", "left").mapInArrow(_remove(length), _RESULT), "changed")
     documents.sparkSession.sql(f"DROP TABLE {near_name}")
     return marks, changed
 

@@ -101,3 +101,29 @@ def test_edges_and_cut(documents):
     assert cut.columns == docs.columns and cut.dtypes == docs.dtypes
     texts = {r["doc_id"]: (r["text"], r["n_chars"]) for r in cut.collect()}
     assert texts[5] == ("head  tail", 10) and texts[2] == ("", 0) and texts[3] == (None, None) and texts[None] == ("", 0)
+
+
+def test_rows_without_id_take_their_own_strings_only(documents, monkeypatch):
+    real_remove, real_pieces = repeats._remove, repeats._pieces
+
+    def own_only(real, name):
+        def make(*args):
+            inner = real(*args)
+
+            def run(batches):
+                def checked():
+                    for batch in batches:
+                        for salt, listed in zip(batch.column("salt").to_pylist(), batch.column(name).to_pylist()):
+                            if any(w["salt"] != salt for w in listed or []):
+                                raise ValueError("strings of another row")
+                        yield batch
+                yield from inner(checked())
+            return run
+        return make
+
+    monkeypatch.setattr(repeats, "_remove", own_only(real_remove, "kept"))
+    monkeypatch.setattr(repeats, "_pieces", own_only(real_pieces, "wanted"))
+    passage = " ".join(f"shared{j}" for j in range(40))
+    rows = [(None, f"{k} " + " ".join(f"own{k}x{j}" for j in range(30)) + " " + passage, "a") for k in range(30)]
+    got = remove_repeats(documents(rows)).collect()
+    assert len(got) == 30 and sorted(r["n_removed"] > 0 for r in got) == [False] + [True] * 29
