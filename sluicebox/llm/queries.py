@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from sluicebox.llm.blocks import op7_block_labeller
+from sluicebox.llm.collocations import op11_rollup_collocations
 from sluicebox.llm.ctw import op1_context_tree_weighting
 from sluicebox.llm.minhash import op2_minhash_fingerprints
 from sluicebox.llm.mixing import op8_sainte_lague_mixing
@@ -25,6 +26,7 @@ QUERIES = {
         op8_sainte_lague_mixing,
         op9_bounded_repeats,
         op10_ngram_jaccard_join,
+        op11_rollup_collocations,
     )
 }
 __all__ = ["QUERIES", "SQL"]

@@ -144,3 +144,25 @@ SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0
   sha256(unhex(coalesce(left_h, d.h))) AS kept_sha256
 FROM d LEFT JOIN c ON d.doc_id = c.doc_id
 """
+
+SQL["op11_rollup_collocations"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS piece, regexp_extract_all(s, '[^\x20\x09]+') AS w FROM (
+    SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS s FROM documents)),
+t AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS k FROM p),
+f AS (
+  SELECT lang, m, w[k:k + m - 1] AS words, count(*) AS f FROM t, (SELECT unnest([1, 2, 3]) AS m) WHERE k + m - 1 <= len(w) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, words, f AS a FROM f WHERE m > 1 AND f >= 10),
+x AS (
+  SELECT c.lang, c.words, c.m, a, k, l.f AS l, r.f AS r, CAST(1000000 * CAST(a AS HUGEINT) * a // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c
+  JOIN f l ON l.lang = c.lang AND l.words = c.words[1:k] JOIN f r ON r.lang = c.lang AND r.words = c.words[k + 1:]),
+y AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+kept AS (
+  SELECT y.*, array_to_string(words, ' ') AS phrase FROM y WHERE NOT EXISTS (
+    SELECT 1 FROM c o WHERE o.lang = y.lang AND o.m = 3 AND y.m = 2 AND 100 * o.a >= 50 * y.a AND (o.words[1:2] = y.words OR o.words[2:3] = y.words))),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM z JOIN n USING (lang) WHERE rank <= 2000
+"""
