@@ -6,8 +6,10 @@ from sluicebox.llm.collocations import op11_rollup_collocations
 from sluicebox.llm.ctw import op1_context_tree_weighting
 from sluicebox.llm.minhash import op2_minhash_fingerprints
 from sluicebox.llm.mixing import op8_sainte_lague_mixing
+from sluicebox.llm.passages import op13_attention_quality
 from sluicebox.llm.prefix_join import op10_ngram_jaccard_join
 from sluicebox.llm.repeats import op9_bounded_repeats
+from sluicebox.llm.spelling import op12_qchunk_spelling
 from sluicebox.llm.sql import SQL
 from sluicebox.llm.templates import op6_license_templates
 from sluicebox.llm.toxicity import op5_ngram_toxicity
@@ -27,6 +29,8 @@ QUERIES = {
         op9_bounded_repeats,
         op10_ngram_jaccard_join,
         op11_rollup_collocations,
+        op12_qchunk_spelling,
+        op13_attention_quality,
     )
 }
 __all__ = ["QUERIES", "SQL"]

@@ -166,3 +166,34 @@ kept AS (
 z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
 SELECT lang, rank, phrase, a, l, r, n, score FROM z JOIN n USING (lang) WHERE rank <= 2000
 """
+
+#: CRC-32 by its table, as the engine has no function for it; characters here are ASCII or U+00C0 to U+00FF.
+SQL["op12_qchunk_spelling"] = r"""
+WITH RECURSIVE steps AS (SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), range(8)),
+    lambda c, s: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c FROM range(256) t(i)),
+crc AS (SELECT list(c ORDER BY i) AS crc FROM steps),
+r AS (
+  SELECT run, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS s, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents) WHERE length(run) >= 6 GROUP BY ALL),
+h AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(s, ''),
+      lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)] ELSE [195, ord(c) - 64] END))),
+    lambda c, b: xor(c // 256, crc[xor(c % 256, b) + 1])), 4294967295) AS h FROM r, crc),
+w AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM h)
+  GROUP BY word HAVING sum(n) >= 5 AND length(word) >= 6),
+d AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS (
+  SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n FROM d a JOIN d b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM d a JOIN w b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM d a JOIN w b ON a.rest = b.word),
+q AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM p GROUP BY word),
+f AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * w.n THEN near END AS form, CASE WHEN near_n >= 5 * w.n THEN near_n END AS form_n
+  FROM w LEFT JOIN q USING (word)),
+g AS (
+  SELECT word, word AS root, form AS up FROM f UNION ALL SELECT g.word, f.word, f.form FROM g JOIN f ON g.up = f.word)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN g ON f.word = g.word AND g.up IS NULL
+"""
