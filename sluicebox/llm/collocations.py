@@ -35,9 +35,9 @@ PERCENT = 50
 TOP = 2000
 SCALE = 1_000_000
 #: Bytes of text whose windows a task counts before it sends them on.
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 8_000_000
 #: Bytes of text whose windows meet in one bucket; the number of buckets grows with the corpus.
-BUCKET_BYTES = 8_000_000
+BUCKET_BYTES = 4_000_000
 #: Candidates that are ranked in one task before the languages' best are ranked.
 RANKED = 1_000_000
 

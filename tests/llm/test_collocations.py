@@ -56,7 +56,7 @@ def corpus(rng, n):
     return rows
 
 
-@pytest.mark.parametrize("chunk,piece,bucket,ranked", [(16_000_000, 1_000_000, 8_000_000, 1_000_000), (300, 20, 500, 7)])
+@pytest.mark.parametrize("chunk,piece,bucket,ranked", [(8_000_000, 1_000_000, 4_000_000, 1_000_000), (300, 20, 500, 7)])
 def test_against_brute_force(texts, monkeypatch, chunk, piece, bucket, ranked):
     monkeypatch.setattr(module, "CHUNK_BYTES", chunk)
     monkeypatch.setattr(module, "SLICE_BYTES", piece)
