@@ -128,5 +128,6 @@ def clean_frame(
 def clean_csv(spark: SparkSession, path: str | Path, data_dir: str | Path | None = None, **options) -> CleanRun:
     """`clean_frame` for one CSV file; the file's name names the dataset.  Options of `read_csv` go to it."""
     reading = {n: options.pop(n) for n in ("encoding", "multi_line", "missing_words", "strict") if n in options}
-    df = read_csv(spark, path, data_dir, **reading)
-    return clean_frame(df, Path(str(path)).stem, load=False, **options)
+    workspace = options.pop("workspace", None) or Workspace(spark)
+    df = read_csv(spark, path, data_dir, workspace=workspace, **reading)
+    return clean_frame(df, Path(str(path)).stem, load=False, workspace=workspace, **options)

@@ -13,11 +13,12 @@ from sluicebox.functions.parsing import parse_number
 from sluicebox.functions.text import clean_text, null_missing
 from sluicebox.operators.columns import clean_names, header_names
 from sluicebox.operators.profile import ROW_ORDER, column, data_columns, kinds, stack
+from sluicebox.plans.workspace import Workspace
+from sluicebox.sources.records import read_records
 
 log = logging.getLogger(__name__)
 
-FALLBACK_ENCODING = "ISO-8859-1"
-REPLACEMENT = "�"
+LATIN_NAMES = ("iso-8859-1", "latin-1", "latin1")
 MALFORMED = "_malformed_record"
 
 
@@ -36,42 +37,46 @@ def resolve(path: str | Path, data_dir: str | Path | None = None) -> str:
     return str(found)
 
 
-def _reader(spark: SparkSession, encoding: str, multi_line: bool):
-    return (
-        spark.read.option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
-        .option("encoding", encoding).option("multiLine", multi_line)
-    )
+def _read_whole(spark: SparkSession, path: str, encoding: str) -> tuple[DataFrame, list[str], int]:
+    """Files in encodings whose lines cannot be told apart as bytes, each file in one task."""
+    reader = spark.read.option("quote", '"').option("escape", '"').option("encoding", encoding).option("multiLine", True)
+    head = reader.option("header", False).csv(path).first()
+    if head is None:
+        raise ValueError(f"no header in {path}")
+    fields = [T.StructField(f"c{i}", T.StringType()) for i in range(len(head))]
+    df = reader.option("header", True).option("columnNameOfCorruptRecord", MALFORMED).schema(
+        T.StructType([*fields, T.StructField(MALFORMED, T.StringType())])).csv(path)
+    return df.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), "*"), list(head), len(df.inputFiles())
 
 
-def read_strings(spark: SparkSession, path: str, encoding: str = "utf-8", multi_line: bool = True) -> tuple[DataFrame, list[str]]:
+def read_strings(
+    spark: SparkSession, path: str, encoding: str = "utf-8", multi_line: bool = True, work: Workspace | None = None
+) -> tuple[DataFrame, list[str]]:
     """The file as strings under positional names, with the order of its rows, and its header.
 
     Records with more or fewer cells than the header are also kept whole in the
-    column MALFORMED.  Quoted cells may span lines; ``multi_line=False`` reads
-    large files in splits where no cell does.
+    column MALFORMED.  Quoted cells may span lines, and files are read in splits
+    all the same; ``multi_line=False`` spares the look at quotes.  Files read as
+    UTF-8 whose bytes are not valid are read as Latin-1, each by itself.
     """
-    head = _reader(spark, encoding, multi_line).option("header", False).csv(path).first()
-    if head is None:
-        raise ValueError(f"no header in {path}")
+    charset = encoding.lower().replace("_", "-")
+    if charset in ("utf-8", "utf8", *LATIN_NAMES):
+        found = read_records(spark, path, multi_line, True if charset in LATIN_NAMES else None, work)
+        if found.latin:
+            log.warning("not valid UTF-8, read as Latin-1: %s", ", ".join(found.latin))
+        head, files = found.header, found.files
+        cells = ", ".join(f"c{i} string" for i in range(len(head)))
+        options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+        parsed = F.from_csv("record", f"{cells}, {MALFORMED} string", options)
+        df = found.df.select("file", "block", "row", parsed.alias("cells")).select("file", "block", "row", "cells.*")
+    else:
+        df, head, files = _read_whole(spark, path, encoding)
     names = header_names([(n.lstrip("\ufeff").strip() or None) if n else None for n in head])
-    # Under the header's own names every file's header is compared with the first one's.
-    plain = all(head) and len({n.lower() for n in head}) == len(head) and MALFORMED not in head and "\ufeff" not in head[0]
-    fields = [T.StructField(n if plain else f"c{i}", T.StringType()) for i, n in enumerate(head)]
-    df = (
-        _reader(spark, encoding, multi_line).option("header", True).option("enforceSchema", not plain)
-        .option("columnNameOfCorruptRecord", MALFORMED)
-        .schema(T.StructType([*fields, T.StructField(MALFORMED, T.StringType())])).csv(path)
-    )
-    df = df.select(*[column(f.name).alias(f"c{i}") for i, f in enumerate(fields)], MALFORMED, F.col("_metadata").alias("_file"))
-    order = F.monotonically_increasing_id()
-    if len(df.inputFiles()) > 1:
-        # Scans pack several files by size; the path and offset restore the order across files.
-        order = F.struct(
-            F.col("_file.file_path").alias("file"),
-            F.col("_file.file_block_start").alias("block"),
-            order.alias("row"),
-        )
-    return df.select("*", order.alias(ROW_ORDER)).drop("_file"), names
+    # Scans pack several files by size; the path and offset restore the order across files.
+    order = F.struct("file", "block", "row") if files > 1 else F.col("row")
+    return df.withColumn(ROW_ORDER, order).drop("file", "block", "row"), names
 
 
 def _digits(txt):
@@ -79,7 +84,7 @@ def _digits(txt):
 
 
 def _value_kinds(df: DataFrame) -> dict[str, dict]:
-    """Per string column: how many cells are filled, whole, numeric, boolean, or hold undecodable bytes."""
+    """Per string column: how many cells are filled, whole, numeric or boolean."""
     columns = [c for c, k in kinds(df).items() if k == "text" and c != ROW_ORDER]
     if not columns:
         return {}
@@ -92,7 +97,6 @@ def _value_kinds(df: DataFrame) -> dict[str, dict]:
         F.count_if(_digits(txt).cast("double").try_cast("bigint") != _digits(txt)).alias("beyond_double"),
         F.count("number").alias("number"),
         F.count_if(txt.isin(*fv.CSV_BOOLEANS)).alias("boolean"),
-        F.count_if(txt.contains(REPLACEMENT)).alias("undecoded"),
     )
     return {columns[r["position"]]: r.asDict() for r in counted.collect()}
 
@@ -151,36 +155,28 @@ def read_csv(
     missing_words: Sequence[str] = fv.CSV_MISSING_WORDS,
     clean: bool = True,
     strict: bool = False,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """A CSV file or directory as a typed table with clean names and, unless switched off, clean text.
 
     Records that do not have as many cells as the header are counted and
     reported; ``strict`` refuses them.  Files whose headers differ are refused.
-    The pass that finds the types also finds bytes that are not valid UTF-8; a
-    file with such bytes is read again as Latin-1.
+    Files that are not valid UTF-8 are read as Latin-1, each by itself.  What
+    the reading stages goes to ``workspace``.
     """
     where = resolve(path, data_dir)
-
-    def scan(charset: str) -> tuple[DataFrame, dict[str, dict]]:
-        strings, header = read_strings(spark, where, charset, multi_line)
-        named = strings.toDF(*clean_names(header), MALFORMED, ROW_ORDER)
-        marked = named.select(*[
-            column(c) if c in (ROW_ORDER, MALFORMED) else null_missing(column(c), missing_words).alias(c) for c in named.columns
-        ])
-        found = _value_kinds(marked)
-        malformed = found.pop(MALFORMED, {}).get("filled", 0)
-        if malformed:
-            log.warning("%s: %s records do not have as many cells as the header", where, malformed)
-            if strict:
-                raise ValueError(f"{where}: {malformed} records do not have as many cells as the header")
-        return marked.drop(MALFORMED), found
-
-    df, found = scan(encoding)
-    if encoding.lower() in ("utf-8", "utf8") and any(v["undecoded"] for v in found.values()):
-        if not spark.read.text(where).where(~F.is_valid_utf8("value")).limit(1).isEmpty():
-            log.warning("%s is not valid UTF-8; reading it as Latin-1", where)
-            df, found = scan(FALLBACK_ENCODING)
-    typed = infer_types(df, found)
+    strings, header = read_strings(spark, where, encoding, multi_line, workspace)
+    named = strings.toDF(*clean_names(header), MALFORMED, ROW_ORDER)
+    marked = named.select(*[
+        column(c) if c in (ROW_ORDER, MALFORMED) else null_missing(column(c), missing_words).alias(c) for c in named.columns
+    ])
+    found = _value_kinds(marked)
+    malformed = found.pop(MALFORMED, {}).get("filled", 0)
+    if malformed:
+        log.warning("%s: %s records do not have as many cells as the header", where, malformed)
+        if strict:
+            raise ValueError(f"{where}: {malformed} records do not have as many cells as the header")
+    typed = infer_types(marked.drop(MALFORMED), found)
     return clean_text_columns(typed) if clean else typed
 
 
