@@ -1,9 +1,7 @@
 """Duplicate rows: which columns identify a row, how many repeat, and a guarded removal."""
 from __future__ import annotations
 
-import functools
 import logging
-import operator
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
@@ -14,12 +12,10 @@ from sluicebox.operators.profile import (
     ROW_ORDER, ColumnStats, collect_stats, column, data_columns, distinct_counts, kinds,
 )
 from sluicebox.operators.standardize import add_uniqueness, is_id
+from sluicebox.plans.workspace import Workspace
 
 log = logging.getLogger(__name__)
 
-#: Keys that repeat, at most, for them to be sent to all tasks.
-REPEATED_KEYS = 200_000
-
 
 @dataclass
 class DedupStatus:
@@ -85,10 +81,24 @@ def derive_keys(
     return choose_business_keys(schema, stats, year_names)
 
 
+def _hashes(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """128 bits of hash of the keys as h1 and h2; NULL equals NULL, and -0.0 equals 0.0."""
+    kind, parts = kinds(df), []
+    for k in keys:
+        value = column(k) + 0.0 if kind[k] == "fraction" and dict(df.dtypes)[k] in ("float", "double") else column(k)
+        # A hash passes over NULLs, so where they stand is hashed, too.
+        parts += [value, value.isNull()]
+    return [F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit(1), *parts).alias("h2")]
+
+
+def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """h1, h2, n: how often each key occurs; two numbers travel per key and task, however wide the keys are."""
+    return df.select(*_hashes(df, keys)).groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+
+
 def duplicate_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: all rows, distinct keys (NULL equals NULL) and rows beyond the first of each key."""
-    groups = df.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(
+    return key_counts(df, keys).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.count(F.lit(1)).alias("groups"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"),
@@ -127,21 +137,20 @@ def keep_one(df: DataFrame, keys: list[str], keep: str | bool = "first", order_b
     ])
 
 
-def keep_one_of_few(df: DataFrame, keys: list[str], repeats: int, keep: str | bool = "first", order_by: str | Column | None = None) -> DataFrame:
-    """`keep_one`, reducing only rows of keys that repeat; rows with a key of their own are passed on unshuffled.
+def keep_one_of_repeated(df: DataFrame, keys: list[str], repeated: DataFrame, keep: str | bool = "first", order_by: str | Column | None = None) -> DataFrame:
+    """`keep_one`, given the written table (h1, h2) of keys that repeat.
 
-    ``repeats`` bounds the number of keys that repeat.  Only up to REPEATED_KEYS of
-    them are sent to all tasks; with more, every row goes through `keep_one`.
+    Rows are tested against that table of two numbers per key: by a broadcast where it is below Spark's threshold in bytes,
+    and else by one shuffle, in whose partitions the rows of a key are then reduced.  Rows with a key of their own are passed on.
     """
-    if repeats > REPEATED_KEYS:
-        return keep_one(df, keys, keep, order_by)
-    names = [f"repeated_{i}" for i in range(len(keys))]
-    repeated = df.groupBy(*[column(k).alias(n) for k, n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("times")).where("times > 1").select(*names)
-    same = functools.reduce(operator.and_, [column(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
-    alone = df.join(F.broadcast(repeated), same, "left_anti")
+    names = df.columns
+    hashed = df.select("*", *[h.alias(f"_key_{h_name}") for h, h_name in zip(_hashes(df, keys), ("h1", "h2"))])
+    same = (F.col("_key_h1") == F.col("h1")) & (F.col("_key_h2") == F.col("h2"))
+    alone = hashed.join(repeated, same, "left_anti").select(*map(column, names))
     if keep is False:
         return alone
-    return alone.unionByName(keep_one(df.join(F.broadcast(repeated), same, "left_semi"), keys, keep, order_by))
+    twins = hashed.join(repeated, same, "left_semi")
+    return alone.unionByName(keep_one(twins, ["_key_h1", "_key_h2"], keep, order_by).select(*map(column, names)))
 
 
 def drop_repeated_rows(df: DataFrame, order_by: str | Column | None = None) -> DataFrame:
@@ -162,8 +171,12 @@ def remove_duplicates(
     limit: float = fv.REMOVAL_LIMIT,
     year_names: bool = True,
     stats: dict[str, ColumnStats] | None = None,
+    workspace: Workspace | None = None,
 ) -> Deduplicated:
-    """Remove repeats on the keys, unless that would cost more than ``limit`` of all rows."""
+    """Remove repeats on the keys, unless that would cost more than ``limit`` of all rows.
+
+    The hashes of keys that repeat are written to ``workspace``.
+    """
     status = DedupStatus()
     if keys is None:
         if schema is None:
@@ -177,12 +190,13 @@ def remove_duplicates(
         log.warning("no deduplication keys; nothing was removed")
         return Deduplicated(df, status)
 
-    counts = duplicate_counts(df, keys).first()
     status.keys = list(keys)
-    rows, removed = counts["rows"], counts["duplicates"]
-    if keep is False and removed:
-        groups = df.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
-        removed = groups.where("n > 1").agg(F.sum("n")).first()[0]
+    work = Workspace(df.sparkSession) if workspace is None else workspace
+    # The one shuffle of all keys; what repeats is written, and the rows are later tested against it.
+    repeated = work.stage(key_counts(df, keys).where("n > 1"), "repeated-keys")
+    found = repeated.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("keys")).first()
+    removed = found["rows"] - (0 if keep is False else found["keys"])
+    rows = df.count() if removed else 0
     ratio = removed / rows if rows else 0.0
     if ratio > limit:
         status.aborted = True
@@ -192,4 +206,4 @@ def remove_duplicates(
     status.executed, status.removed = True, removed
     if not removed:
         return Deduplicated(df, status)
-    return Deduplicated(keep_one_of_few(df, keys, removed, keep, order_by), status)
+    return Deduplicated(keep_one_of_repeated(df, keys, repeated.select("h1", "h2"), keep, order_by), status)

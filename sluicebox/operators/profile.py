@@ -11,11 +11,12 @@ import operator
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from sluicebox import fixed_values as fv
 from sluicebox.functions.parsing import is_whole, number_text, parse_date, parse_number
 from sluicebox.functions.text import is_one_of, strip
+from sluicebox.operators import sketches
 
 ROW_ORDER = "_row_ord"
 
@@ -384,32 +385,92 @@ def _hashed(long: DataFrame) -> DataFrame:
     return long.withColumn("h1", F.xxhash64(value)).withColumn("h2", F.xxhash64(F.lit(1), value))
 
 
-def mode_frame(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Most frequent value per column, the smallest among equally frequent ones.
+#: Values that are counted exactly for each column, as the most frequent may be among them.
+CANDIDATES = 20
+
+
+def _candidates(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[list[int], float]]:
+    """Per column: hashes of values that may be the most frequent, and how often any other value can occur."""
+    rows = _hashed(cells(df, columns))
+    summary = sketches.merged(rows, ["column"], {"items": sketches.frequent_items(F.col("h1")), "rows": sketches.counted()})
+    out = {}
+    for row in summary.select("column", "rows", sketches.most_frequent("items", CANDIDATES).alias("items")).collect():
+        estimates = [item["count"] for item in row["items"]]
+        out[row["column"]] = [item["item"] for item in row["items"]], sketches.unseen_bound(row["rows"], estimates, CANDIDATES)
+    return out
+
 
-    Values are counted by their hashes, so texts do not travel; only cells
-    whose hash has the greatest count are looked at again for the value itself,
-    and reduced to the smallest one inside each task.
+def _counted_candidates(df: DataFrame, hashes: dict[str, list[int]]) -> list[Row]:
+    """Exact counts and values of the candidates of each column; no other cell leaves its task."""
+    columns = list(hashes)
+    place = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("column")).cast("int") - 1
+    wanted = F.get(F.array(*[F.array(*[F.lit(h).cast("bigint") for h in hashes[c]]) for c in columns]), place)
+    value = F.min(F.struct("whole", "num", "txt")).alias("value")
+    return _hashed(cells(df, columns)).where(F.array_contains(wanted, F.col("h1"))).groupBy("column", "h1", "h2").agg(
+        F.count(F.lit(1)).alias("n"), value).select("column", "n", "value.*").collect()
+
+
+def _rare_modes(df: DataFrame, columns: Sequence[str]) -> list[Row]:
+    """Modes of columns in which no value stands out.
+
+    Hashes are counted first.  Where all occur once, the mode is the column's least value, and no value has to travel.
     """
-    hashed = _hashed(cells(df, columns))
-    counted = hashed.groupBy("column", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
-    most = counted.groupBy("column").agg(F.max("n").alias("most"))
-    # One row per column: never more than a table has columns.
-    best = counted.join(F.broadcast(most), "column").where("n = most").select("column", "n", "h1", "h2")
-    value = F.min(F.struct("whole", "num", "txt")).alias("best")
-    return hashed.join(best, ["column", "h1", "h2"]).groupBy("column").agg(F.first("n").alias("n"), value).select(
-        "column", "n", "best.whole", "best.num", "best.txt")
+    counts = _hashed(cells(df, columns)).groupBy("column", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+    most = {r["column"]: r["most"] for r in counts.groupBy("column").agg(F.max("n").alias("most")).collect()}
+    least = F.min(F.struct("whole", "num", "txt")).alias("value")
+    out = []
+    single = [c for c, n in most.items() if n == 1]
+    if single:
+        out += cells(df, single).groupBy("column").agg(F.lit(1).cast("bigint").alias("n"), least).select("column", "n", "value.*").collect()
+    several = {c: n for c, n in most.items() if n > 1}
+    if several:
+        valued = _hashed(cells(df, list(several))).groupBy("column", "h1", "h2").agg(F.count(F.lit(1)).alias("n"), least)
+        top = functools.reduce(operator.or_, [(F.col("column") == c) & (F.col("n") == n) for c, n in several.items()])
+        out += valued.where(top).groupBy("column").agg(F.first("n").alias("n"), F.min("value").alias("value")).select(
+            "column", "n", "value.*").collect()
+    return out
 
 
-def collect_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
-    """The mode of each column as a literal of the column's type; all-NULL columns are left out."""
+def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, Row]:
+    """column, n, and the value as whole, num or txt: the most frequent value, the smallest among equally frequent ones.
+
+    A summary of frequent items names a few candidates per column and bounds the count of all others; the candidates are
+    then counted exactly.  Where the best of them beats the bound it is the mode, and no values were
+    shuffled.  Only the remaining columns have all their values counted.
+    """
     columns = list(columns)
     if not columns:
         return {}
+    found = _candidates(df, columns)
+    out, open_ = {}, []
+    counted: dict[str, list[Row]] = {c: [] for c in found}
+    for row in _counted_candidates(df, {c: hashes for c, (hashes, _) in found.items() if hashes}) if any(h for h, _ in found.values()) else []:
+        counted[row["column"]].append(row)
+    for name, (_, bound) in found.items():
+        most = max((r["n"] for r in counted[name]), default=0)
+        if most > bound:
+            best = [r for r in counted[name] if r["n"] == most]
+            out[name] = min(best, key=lambda r: next(v for v in (r["whole"], r["num"], r["txt"].encode() if r["txt"] is not None else None) if v is not None))
+        else:
+            open_.append(name)
+    if open_:
+        out.update({r["column"]: r for r in _rare_modes(df, open_)})
+    return {c: out[c] for c in columns if c in out}
+
+
+MODE_SCHEMA = "column string, n bigint, whole bigint, num double, txt string"
+
+
+def mode_frame(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """`modes` as a table; columns without values have no row."""
+    return df.sparkSession.createDataFrame([tuple(r[c] for c in ("column", "n", "whole", "num", "txt")) for r in modes(df, columns).values()], MODE_SCHEMA)
+
+
+def collect_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
+    """The mode of each column as a literal of the column's type; all-NULL columns are left out."""
     types = {f.name: f.dataType for f in df.schema.fields}
     out = {}
-    for row in mode_frame(df, columns).collect():
-        name = row["column"]
+    for name, row in modes(df, columns).items():
         value = next(v for v in (row["whole"], row["num"], row["txt"]) if v is not None)
         out[name] = F.lit(value).cast(types[name])
     return out

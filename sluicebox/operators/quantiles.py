@@ -1,12 +1,13 @@
 """Exact linear quantiles of many columns without holding a column in one task.
 
 A quantile between two ranks is the line between two order statistics.  A first
-scan draws an evenly spaced grid of approximate quantiles per column; the grid
-cells around a wanted rank, widened by the sketch's error, must hold it.  The
-next scan counts the values left of that interval.  If the interval can only
+scan draws an evenly spaced grid of approximate quantiles per column from KLL
+sketches, which are merged in levels; the grid cells around a wanted rank,
+widened by the sketch's error, must hold it.  The next scan counts the values
+left of that interval.  If the interval can only
 hold a few values they are gathered in the same scan and the rank is read off;
-otherwise a new grid inside the interval narrows it several hundredfold.  So
-10^12 rows take about four scans, and no scan shuffles the values.
+otherwise a new grid inside the interval narrows it more than hundredfold.  So
+10^12 rows take about five scans, and no scan shuffles the values.
 """
 from __future__ import annotations
 
@@ -15,12 +16,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from sluicebox.operators import sketches
 from sluicebox.operators.profile import cell_number, kinds, stack
 
 # At most so many values are gathered per interval.
 BOUND = 200_000
-GRID = 500
-ACCURACY = 10_000
+GRID = 1000
 # Spark sorts its input once an aggregate of objects sees more groups than this.
 GROUPS = 100
 
@@ -76,11 +77,11 @@ class _Interval:
 
     def __init__(self, grid: Sequence[float], inner: int, size: int):
         steps = len(grid) - 1
-        slack = 2 * size / ACCURACY + 1
+        slack = sketches.KLL_ERROR * size + 1
         left = max(0, math.floor((inner - slack) / size * steps))
         right = min(steps, math.ceil((inner + 1 + slack) / size * steps))
         self.low, self.high = grid[left], grid[right]
-        self.most = (right - left) / steps * size + 2 * size / ACCURACY
+        self.most = (right - left) / steps * size + 2 * sketches.KLL_ERROR * size
 
     @classmethod
     def between(cls, low: float, high: float):
@@ -102,11 +103,11 @@ def _order_statistics(df, ranks, filled, bound):
         wanted.setdefault(c, []).append(r)
 
     for columns in _chunks(list(wanted)):
-        first = _numbers(df, columns).groupBy("position").agg(
-            F.percentile_approx("value", fractions, ACCURACY).alias("grid"),
-            F.min("value").alias("low"), F.max("value").alias("high"),
-        )
-        for row in first.collect():
+        first = sketches.merged(_numbers(df, columns), ["position"], {
+            "sketch": sketches.quantile_sketch(F.col("value")),
+            "low": (F.min("value"), F.min), "high": (F.max("value"), F.max),
+        })
+        for row in first.select("position", sketches.sketch_quantiles("sketch", fractions).alias("grid"), "low", "high").collect():
             c = columns[row["position"]]
             ends[c] = row["low"], row["high"]
             for r in wanted[c]:
@@ -130,14 +131,14 @@ def _order_statistics(df, ranks, filled, bound):
                 rows.append((F.lit(i), cell_number(c, kind[c]), F.lit(low), F.lit(high), F.lit(gather)))
             value, low, high = F.col("value"), F.col("low"), F.col("high")
             inside = (value > low) & (value < high)
-            scanned = stack(df, rows, ("target", "value", "low", "high", "gather")).groupBy("target").agg(
-                F.count_if(value < low).alias("before"),
-                F.count_if(value == low).alias("at_low"),
-                F.count_if(inside).alias("inside"),
-                F.count_if(value == high).alias("at_high"),
-                F.sort_array(F.collect_list(F.when(inside & F.col("gather"), value))).alias("values"),
-                F.percentile_approx(F.when(inside & ~F.col("gather"), value), fractions, ACCURACY).alias("grid"),
-            )
+            scanned = sketches.merged(stack(df, rows, ("target", "value", "low", "high", "gather")), ["target"], {
+                "before": sketches.counted(value < low),
+                "at_low": sketches.counted(value == low),
+                "inside": sketches.counted(inside),
+                "at_high": sketches.counted(value == high),
+                "values": (F.collect_list(F.when(inside & F.col("gather"), value)), lambda name: F.flatten(F.collect_list(name))),
+                "sketch": sketches.quantile_sketch(F.when(inside & ~F.col("gather"), value)),
+            }).withColumn("values", F.sort_array("values")).withColumn("grid", sketches.sketch_quantiles("sketch", fractions))
             # Only the wanted entries of a gathered interval come back, not its values.
             wanted_ranks = F.get(
                 F.array(*[F.array(*[F.lit(r).cast("bigint") for r, _ in targets[key]]) for key in part]),
@@ -145,7 +146,7 @@ def _order_statistics(df, ranks, filled, bound):
             )
             inner = F.col("before") + F.col("at_low")
             picked = F.transform(wanted_ranks, lambda r: F.get("values", (r - inner).cast("int")))
-            for row in scanned.withColumn("picked", picked).drop("values").collect():
+            for row in scanned.withColumn("picked", picked).drop("values", "sketch").collect():
                 c, low_value, high_value = part[row["target"]]
                 start = row["before"] + row["at_low"]
                 for (r, interval), picked in zip(targets[part[row["target"]]], row["picked"]):

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from sluicebox.operators.profile import (
-    ColumnStats, cell_number, collect_stats, column, data_columns, gap_stats, kinds, measure, stack, value_counts,
+    ColumnStats, cell_number, collect_stats, column, data_columns, distinct_counts, gap_stats, kinds, measure, modes, stack,
 )
 from sluicebox.operators.quantiles import exact_quantiles
 from sluicebox.operators.validate import is_structural
@@ -57,17 +57,13 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     ]) if numbers else None
     out = None
     if words:
-        counted = value_counts(df, words).withColumn(
-            "word", F.coalesce("txt", F.col("whole").cast("boolean").cast("string"))
-        )
-        out = counted.groupBy("column").agg(
-            F.sum("n").alias("count"),
-            F.count(F.lit(1)).alias("unique"),
-            F.min(F.struct((-F.col("n")).alias("minus_n"), "word")).alias("best"),
-        ).select(
-            "column", "count", "unique", F.col("best.word").alias("top"), (-F.col("best.minus_n")).alias("freq"),
-            *[F.lit(None).cast("double").alias(s) for s in ("mean", "std", "min", "q25", "q50", "q75", "max")],
-        )
+        filled, distinct = collect_stats(df, words), distinct_counts(df, words)
+        rows = [
+            (c, filled[c].filled, distinct[c], r["txt"] if r["whole"] is None else str(bool(r["whole"])).lower(), r["n"])
+            for c, r in modes(df, words).items()
+        ]
+        out = spark.createDataFrame(rows, "column string, count bigint, unique bigint, top string, freq bigint").select(
+            "*", *[F.lit(None).cast("double").alias(s) for s in ("mean", "std", "min", "q25", "q50", "q75", "max")])
     if numbers:
         quartiles = exact_quantiles(epoch, numbers, (0.25, 0.5, 0.75))
         rows = [

@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sluicebox import fixed_values as fv
 from sluicebox.functions.parsing import is_whole, parse_number, split_year
-from sluicebox.functions.text import normalize_delimiters, split_multi_values, strip
+from sluicebox.functions.text import multi_values, normalize_delimiters, split_multi_values, strip
 from sluicebox.operators.profile import (
     cell_number, collect_stats, column, distinct_counts, kinds,
 )
@@ -130,7 +130,8 @@ def apply_plan(df: DataFrame, plan: dict | None, dataset: str | None = None) ->
     """The enabled steps of every column, then the table-wide filter and grouping.
 
     Steps run in a fixed order per column: cast, lower case, strip, delimiters,
-    multi-values, year split, bins.  Everything is one projection; bins need one
+    multi-values, year split, bins.  Multi-values stay text, or become a list of
+    values where the plan says ``"as": "list"`` of them.  Everything is one projection; bins need one
     pass over the binned columns before it.
     """
     if not plan:
@@ -168,9 +169,13 @@ def apply_plan(df: DataFrame, plan: dict | None, dataset: str | None = None) ->
             if step in text_steps:
                 value = rewrite(value)
                 done.append(step)
+        as_list = suggested.get("split_multi_values", {}).get("as") == "list"
         if "split_multi_values" in text_steps:
-            value = split_multi_values(value)
-        if "split_year" in text_steps:
+            value = F.filter(multi_values(F.lower(strip(value))), lambda v: v != "") if as_list else split_multi_values(value)
+            if as_list:
+                k = "other"
+                done.append("split_to_list")
+        if "split_year" in text_steps and k == "text":
             added[f"{name}_start"], added[f"{name}_end"] = split_year(value)
             done.append("split_year")
         current[name] = value.alias(name)
@@ -208,19 +213,28 @@ def apply_plan(df: DataFrame, plan: dict | None, dataset: str | None = None) ->
 
 
 def filter_rows(df: DataFrame, bounds: dict[str, dict]) -> DataFrame:
-    """Rows within all bounds: ``{column: {">=": low, "<=": high}}``; a null bound is open."""
-    tests = {">=": Column.__ge__, "<=": Column.__le__, ">": Column.__gt__, "<": Column.__lt__}
+    """Rows within all bounds: ``{column: {">=": low, "<=": high}}``; a null bound is open.
+
+    ``{column: {"contains": value}}`` keeps rows whose list has the value.
+    """
+    tests = {">=": Column.__ge__, "<=": Column.__le__, ">": Column.__gt__, "<": Column.__lt__, "contains": F.array_contains}
     for name, limits in bounds.items():
         if name not in df.columns:
             raise ValueError(f"cannot filter on the missing column {name}")
         for sign, limit in limits.items():
             if sign not in tests:
                 raise ValueError(f"unknown comparison: {sign}")
+            if sign == "contains" and not _is_list(df, name):
+                raise ValueError(f"{name} is not a column of lists")
             if limit is not None:
                 df = df.where(tests[sign](column(name), F.lit(limit)))
     return df
 
 
+def _is_list(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.ArrayType)
+
+
 AGGREGATES = {
     "sum": F.sum, "mean": F.avg, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count,
     "nunique": F.count_distinct, "std": F.stddev_samp, "var": F.var_samp,
@@ -228,9 +242,15 @@ AGGREGATES = {
 
 
 def group_rows(df: DataFrame, by: Sequence[str], aggregates: dict) -> DataFrame:
-    """One row per group, with ``<column>_<function>`` for each aggregate; no keys means no change."""
+    """One row per group, with ``<column>_<function>`` for each aggregate; no keys means no change.
+
+    A key that is a list stands for each of its distinct values; rows whose list is empty or missing are in no group.
+    """
     if not by:
         return df
+    for name in by:
+        if _is_list(df, name):
+            df = df.withColumn(name, F.explode(F.array_distinct(column(name))))
     chosen = []
     for name, functions in aggregates.items():
         for function in [functions] if isinstance(functions, str) else functions:

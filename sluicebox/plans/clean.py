@@ -109,7 +109,7 @@ def clean_frame(
     box_after = _box_plots(kept, outliers.eligible_by_schema(kept, schema), typed.stats) if with_outliers else None
 
     kept_stats = {c: s for c, s in typed.stats.items() if c not in sparse}
-    unique = remove_duplicates(kept, schema=schema, order_by=order_by, stats=kept_stats)
+    unique = remove_duplicates(kept, schema=schema, order_by=order_by, stats=kept_stats, workspace=workspace)
     final = workspace.stage(unique.df, "unique") if unique.status.removed else unique.df
 
     final_stats = gap_stats(final)

@@ -173,6 +173,39 @@ def test_keep_and_null_keys(spark):
     assert dedup.keep_one(df, ["k"], "first", "i").columns == df.columns
 
 
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+@pytest.mark.parametrize("keep", ["first", "last", False])
+def test_repeats_by_hash(spark, threshold, keep):
+    """A hot key, gaps in different places, signed zeros, long keys; with and without a broadcast of what repeats."""
+    rows = [(k, None if k % 10 == 3 else f"{'key ' * 100}{min(k, 400) if k < 500 else k}", -0.0 if k % 2 else 0.0, "x" if k % 7 else None) for k in range(900)]
+    rows += [(900, None, 1.0, "x"), (901, "x", 1.0, None)]
+    df = spark.createDataFrame(rows, "i int, k string, d double, e string").repartition(7)
+    keys = ["k", "d", "e"]
+    first: dict[tuple, list[int]] = {}
+    for i, *key in rows:
+        first.setdefault(tuple(key), []).append(i)
+    wanted = {ids[0] if keep == "first" else ids[-1] for ids in first.values() if keep or len(ids) == 1}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        done = dedup.remove_duplicates(df, keys, keep=keep, order_by="i", limit=1.0)
+        got = done.df.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r["i"] for r in got} == wanted and len(got) == len(wanted) == 902 - done.status.removed
+    assert done.df.columns == df.columns
+    assert dedup.duplicate_counts(df, keys).first()["groups"] == len(first)
+
+
+def test_one_shuffle_of_the_keys(spark):
+    """Counting writes what repeats; rows whose key is their own are not shuffled again."""
+    df = spark.range(2000).select("id", (F.col("id") % 1900).alias("k"), F.lit("wide " * 20).alias("w"))
+    done = dedup.remove_duplicates(df, ["k"], order_by="id")
+    plan = done.df._jdf.queryExecution().executedPlan().toString()
+    assert done.status.removed == 100 and done.df.count() == 1900
+    assert plan.count("hashpartitioning") == 1 and "SortMergeJoin" not in plan
+
+
 def test_no_keys(spark):
     df = spark.range(5).select(F.col("id").alias("n"), F.lit(1).alias("v"))
     done = dedup.remove_duplicates(df, schema={"n": "integer", "v": "integer"})

@@ -1,9 +1,10 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from sluicebox.operators import profile, quantiles, schema, standardize
+from sluicebox.operators import profile, quantiles, schema, sketches, standardize
 from sluicebox.operators.profile import ColumnStats
 
 
@@ -151,3 +152,61 @@ def test_type_order_and_edges():
     assert t(made(distinct=10)) == "category"
     assert t(made(distinct=11)) == "text"
     assert t(made(kind="time")) == "datetime"
+
+
+def _plain_mode(values):
+    counts = Counter(v for v in values if v is not None)
+    most = max(counts.values())
+    return min(v for v, n in counts.items() if n == most), most
+
+
+def test_modes_of_every_sort(spark):
+    """One value stands out, ties, twice at most, all unique, long texts; more distinct values than a summary keeps."""
+    rng = random.Random(6)
+    n = 12_000
+    columns = {
+        "hot": [f"v{rng.randrange(9000)}" if rng.random() < 0.9 else "the hot one" for _ in range(n)],
+        "tied": [k % 3000 if k % 4 else k % 2 for k in range(n)],
+        "pairs": [f"{'long ' * 50}{k // 2 if k < 4000 else k}" for k in range(n)],
+        "unique": [f"unique {n - k}" for k in range(n)],
+        "number": [float(rng.randrange(5000)) if rng.random() < 0.5 else 0.5 for _ in range(n)],
+        "gaps": [None if k % 3 else k % 5 == 0 for k in range(n)],
+        "few": ["é" if k % 2 else "z" for k in range(n)],
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), "hot string, tied bigint, pairs string, unique string, number double, gaps boolean, few string")
+    df = df.repartition(37)
+    found = profile.modes(df, df.columns)
+    for name, values in columns.items():
+        row = found[name]
+        value, times = _plain_mode(values)
+        assert row["n"] == times and next(v for v in (row["whole"], row["num"], row["txt"]) if v is not None) == value, name
+    assert profile.modes(df.select(F.lit(None).cast("string").alias("x")), ["x"]) == {} and profile.modes(df.limit(0), ["hot"]) == {}
+
+
+def test_no_texts_are_shuffled_for_unique_columns(spark, monkeypatch):
+    """A column of unique values and one with a clear mode go without a shuffle of values and without a join."""
+    plans = []
+    original = type(spark.range(1)).collect
+
+    def collect(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return original(df)
+    df = spark.range(3000).selectExpr("concat('a long unique text ', id) AS u", "CASE WHEN id % 3 = 0 THEN concat('x', id) ELSE 'mode' END AS m")
+    monkeypatch.setattr(type(df), "collect", collect)
+    found = profile.modes(df, ["u", "m"])
+    assert found["u"]["txt"] == "a long unique text 0" and found["m"]["txt"] == "mode" and found["m"]["n"] == 2000
+    assert len(plans) == 4 and not any("Join" in p for p in plans)
+    assert "hashpartitioning(column" in plans[2] and "txt" not in plans[2].split("Exchange")[1].split("\n")[0]
+
+
+def test_summaries_merge_in_levels(spark):
+    df = spark.range(0, 50_000, 1, 200).selectExpr("id % 3 AS k", "cast(id AS double) AS v", "CASE WHEN id % 2 = 0 THEN 7 ELSE id END AS h")
+    row = {r["k"]: r for r in sketches.merged(df, ["k"], {
+        "n": sketches.counted(), "even": sketches.counted(F.col("v") % 2 == 0), "low": (F.min("v"), F.min),
+        "items": sketches.frequent_items(F.col("h")), "sketch": sketches.quantile_sketch(F.col("v")),
+    }).select("k", "n", "even", "low", sketches.most_frequent("items", 2).alias("items"),
+              sketches.sketch_quantiles("sketch", F.expr("array(0.0D, 0.5D, 1.0D)")).alias("q")).collect()}
+    assert sum(r["n"] for r in row.values()) == 50_000 and [row[k]["low"] for k in range(3)] == [0, 1, 2]
+    for r in row.values():
+        assert r["items"][0]["item"] == 7 and r["items"][0]["count"] >= r["even"]
+        assert abs(r["q"][1] - 25_000) <= 50_000 * sketches.KLL_ERROR

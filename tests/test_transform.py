@@ -137,3 +137,18 @@ def test_describe(spark, table):
     assert (got["n"]["mean"], got["n"]["min"], got["n"]["q25"], got["n"]["q50"], got["n"]["max"]) == (2.5, 1.0, 1.75, 2.5, 4.0)
     assert got["f"]["count"] == 3 and got["f"]["std"] == pytest.approx(0.5773502691896258)
     assert got["at"]["min"] == 60.0
+
+
+def test_lists_in_a_plan(spark):
+    """Multi-values as lists, filtered and grouped by their values."""
+    df = spark.createDataFrame([(1, " A;b / a", 5), (2, "B", 7), (3, None, 9), (4, " ; ", 1), (5, "c,c", 2)], "i int, t string, n int")
+    plan = {"columns": {"t": {"suggested": {"split_multi_values": {"as": "list"}}, "enabled": {"split_multi_values": True, "split_year": True}}}}
+    done = transform.apply_plan(df, plan)
+    assert [r["t"] for r in done.df.orderBy("i").collect()] == [["a", "b", "a"], ["b"], None, [], ["c", "c"]]
+    assert done.report["column_transformations"] == {"t": ["split_to_list"]} and done.report["generated_columns"] == []
+    plan["dataset_ops"] = {"groupby": {"by": ["t"], "agg": {"n": "sum"}}}
+    assert {tuple(r) for r in transform.apply_plan(df, plan).df.collect()} == {("a", 5), ("b", 12), ("c", 2)}
+    plan["dataset_ops"] = {"filter": {"t": {"contains": "b"}}}
+    assert {r["i"] for r in transform.apply_plan(df, plan).df.collect()} == {1, 2}
+    with pytest.raises(ValueError):
+        transform.filter_rows(df, {"n": {"contains": 5}})

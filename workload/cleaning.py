@@ -1,9 +1,9 @@
 """Standardising, missing cells, types and outliers."""
 from pyspark.sql import functions as F
 
-from sluicebox.operators import columns, missing, outliers, profile, schema, standardize
+from sluicebox.operators import columns, missing, outliers, profile, report, schema, standardize
 from workload.registry import (
-    LINES, ORDERS, query, sql_amount, sql_clean_text, sql_mode, sql_null_missing, sql_years, table,
+    LINES, ORDERS, query, sql_amount, sql_clean_text, sql_mode, sql_null_missing, sql_years, table, union_all,
 )
 
 _YEARS = sql_years("replace(years, '–', '-')")
@@ -75,6 +75,42 @@ def mode_values(spark, sf_dir):
     )
 
 
+_MODE_OF = (
+    "SELECT '{c}' AS \"column\", cast({c} AS VARCHAR) AS mode, count(*) AS n FROM documents WHERE {c} IS NOT NULL "
+    "GROUP BY {c} QUALIFY row_number() OVER (ORDER BY count(*) DESC, {c}) = 1"
+)
+
+
+@query("modes_documents", union_all([f"SELECT * FROM ({_MODE_OF.format(c=c)})" for c in ("doc_id", "text", "lang", "source", "n_chars")]))
+def modes_documents(spark, sf_dir):
+    """Unique ids, long texts with some copies, a language that stands out, sizes that hardly repeat."""
+    found = profile.mode_frame(table(spark, sf_dir, "documents"), ["doc_id", "text", "lang", "source", "n_chars"])
+    return found.select("column", F.coalesce("txt", F.col("whole").cast("string")).alias("mode"), "n")
+
+
+_SEGMENTS = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, CASE WHEN c_custkey % 4 > 0 THEN c_mktsegment END AS segment FROM customer"
+
+
+@query("impute_category", f"SELECT * REPLACE (coalesce(segment, {sql_mode('segment', _SEGMENTS)}) AS segment) FROM ({_SEGMENTS})")
+def impute_category(spark, sf_dir):
+    """Gaps of a column with few different values take the most frequent one."""
+    raw = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "CASE WHEN c_custkey % 4 > 0 THEN c_mktsegment END AS segment")
+    return missing.handle_missing(raw, "auto")
+
+
+@query(
+    "structural_ends",
+    "SELECT 'priority' AS \"column\", count(*) FILTER (WHERE o_orderkey % 4 = 0) AS missing FROM orders",
+)
+def structural_ends(spark, sf_dir):
+    """Gaps are expected in columns named ``*_end``, whatever they hold, and reported in others."""
+    raw = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "CASE WHEN o_orderkey % 4 > 0 THEN o_orderpriority END AS priority", "o_orderstatus", "o_totalprice",
+        "CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS priority_end", "CASE WHEN o_orderkey % 5 > 0 THEN o_totalprice END AS price_end")
+    return report.missing_counts(raw)
+
+
 @query(
     "impute_mode_numeric",
     f"SELECT order_key, line, coalesce(quantity, {sql_mode('quantity', LINES.sql)}) AS quantity, "

@@ -49,10 +49,10 @@ def dedup_guarded(spark, sf_dir):
     return _shown(dedup.remove_duplicates(table(spark, sf_dir, "lineitem"), _KEYS, order_by=_order()).df)
 
 
-@query("dedup_aborted", "SELECT * EXCLUDE (o_orderdate) FROM orders")
+@query("dedup_aborted", "SELECT * FROM orders")
 def dedup_aborted(spark, sf_dir):
     """One order per customer would drop most rows, so nothing is removed."""
-    return dedup.remove_duplicates(table(spark, sf_dir, "orders").drop("o_orderdate"), ["o_custkey"]).df
+    return dedup.remove_duplicates(table(spark, sf_dir, "orders"), ["o_custkey"]).df
 
 
 @query(
@@ -92,9 +92,11 @@ def duplicate_count(spark, sf_dir):
     return named[0].unionByName(named[1]).unionByName(named[2])
 
 
-@query("dedup_full_row", "SELECT DISTINCT user_id, event_type, value FROM events")
+@query("dedup_full_row", "SELECT DISTINCT * FROM (SELECT * FROM labels UNION ALL SELECT * FROM labels WHERE doc_id % 3 = 0)")
 def dedup_full_row(spark, sf_dir):
-    return dedup.drop_repeated_rows(table(spark, sf_dir, "events").select("user_id", "event_type", "value"))
+    """Whole rows, a third of them twice."""
+    labels = table(spark, sf_dir, "labels")
+    return dedup.drop_repeated_rows(labels.unionByName(labels.where("doc_id % 3 = 0")))
 
 
 _HALF_UNIQUE = (

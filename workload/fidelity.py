@@ -98,6 +98,19 @@ def load_csv_latin1(spark, sf_dir):
     return csv.read_csv(spark, path, clean=False).drop(ROW_ORDER)
 
 
+@query(
+    "load_csv_mixed_encodings",
+    "SELECT c_custkey AS k, 'é' || chr(10) || c_name || 'ü' AS name, c_acctbal AS balance FROM customer",
+)
+def load_csv_mixed_encodings(spark, sf_dir):
+    """One folder with files in UTF-8 and in Latin-1, cells over several lines in both: each file goes by its own bytes."""
+    path = _folder(spark, "csv")
+    raw = table(spark, sf_dir, "customer").selectExpr("c_custkey AS k", "concat('é', chr(10), c_name, 'ü') AS name", "c_acctbal AS balance")
+    for encoding, part in (("UTF-8", "k % 2 = 0"), ("ISO-8859-1", "k % 2 = 1")):
+        raw.where(part).write.mode("append").option("header", True).option("escape", '"').option("encoding", encoding).csv(path)
+    return csv.read_csv(spark, path, clean=False).drop(ROW_ORDER)
+
+
 _PADDED = "concat('                         ', cast(cast(o_orderdate AS date) AS string), '                              ')"
 
 

@@ -118,13 +118,12 @@ def full_clean_checks(spark, sf_dir):
 
 @query(
     "csv_round_trip",
-    "SELECT event_id, user_id, event_type, value, props FROM events",
+    "SELECT event_id, user_id, event_type, CAST(ts AS VARCHAR) AS ts, value, props FROM events",
 )
 def csv_round_trip(spark, sf_dir):
     """Written as CSV and read again with types found from the values."""
     path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
-    kept = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
-    tables.write_csv(kept, path)
+    tables.write_csv(table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("string")), path)
     return tables.read_cleaned(spark, path)
 
 
@@ -132,7 +131,7 @@ def csv_round_trip(spark, sf_dir):
     "load_csv",
     "SELECT o_orderkey AS order_id, CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE cast(o_custkey AS DOUBLE) END AS customer, "
     "regexp_replace(o_orderpriority, '^\\s+|\\s+$', '', 'g') AS priority, o_totalprice AS total_usd, o_orderstatus = 'O' AS open, "
-    "concat('say \"', o_orderstatus, '\", ok') AS quoted FROM orders",
+    "concat('say \"', o_orderstatus, '\", ok') AS quoted, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS day FROM orders",
 )
 def load_csv(spark, sf_dir):
     """Messy header and cells: notes, tabs, quotes, gaps; a whole column with gaps becomes double."""
@@ -141,7 +140,7 @@ def load_csv(spark, sf_dir):
         "o_orderkey AS `Order ID`", "CASE WHEN o_custkey % 7 = 0 THEN 'N/A' ELSE cast(o_custkey AS string) END AS ` Customer `",
         "concat('  ', o_orderpriority, ' [x]†') AS Priority", "o_totalprice AS `Total (USD)`",
         "CASE WHEN o_orderstatus = 'O' THEN 'True' ELSE 'False' END AS `Open?`",
-        "concat('say \"', o_orderstatus, '\", ok') AS Quoted",
+        "concat('say \"', o_orderstatus, '\", ok') AS Quoted", "cast(cast(o_orderdate AS date) AS string) AS Day",
     )
     tables.write_csv(raw, path)
     return csv.read_csv(spark, path).drop(ROW_ORDER)
@@ -181,11 +180,12 @@ def staged_table(spark, sf_dir):
 
 @query(
     "text_export",
-    "SELECT concat_ws('|', c_custkey, c_name, c_nationkey, c_mktsegment) AS value FROM customer",
+    "SELECT concat_ws('|', c_custkey, c_name, c_nationkey, CAST(round(c_acctbal * 100) AS BIGINT), c_mktsegment) AS value FROM customer",
 )
 def text_export(spark, sf_dir):
     path = f"{shared_folder(spark)}/text-{uuid.uuid4().hex}"
-    tables.write_text(table(spark, sf_dir, "customer").drop("c_acctbal"), path, "|")
+    cents = F.round(F.col("c_acctbal") * 100).cast("bigint")
+    tables.write_text(table(spark, sf_dir, "customer").withColumn("c_acctbal", cents), path, "|")
     return spark.read.text(path)
 
 

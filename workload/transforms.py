@@ -1,7 +1,11 @@
 """Transform plans: suggested, applied, and their table-wide operations."""
+import json
+import uuid
+
 from pyspark.sql import functions as F
 
 from sluicebox.operators import report, transform
+from sluicebox.sources import tables
 from workload.registry import LINES, PARTS, query, table, union_all
 
 _DELIMITER = "regexp_matches({c}, '[;/,:]')"
@@ -152,3 +156,22 @@ def plan_groupby(spark, sf_dir):
         "l_extendedprice": ["min", "max"], "l_suppkey": "nunique",
     })
     return df.withColumn("l_discount_mean", F.round("l_discount_mean", 8))
+
+
+_TAGS = "list_distinct(list_filter(list_transform(string_split_regex(lower(concat(p_brand, ';', p_type, ' / ', p_brand)), '[,;/:]'), lambda t: trim(t)), lambda t: t <> ''))"
+
+
+@query(
+    "group_by_list_value",
+    f"SELECT tag AS tags, count(*) AS p_partkey_count, sum(p_size) AS p_size_sum FROM (SELECT p_partkey, p_size, unnest({_TAGS}) AS tag FROM part "
+    "WHERE p_size >= 10) GROUP BY tag",
+)
+def group_by_list_value(spark, sf_dir):
+    """A plan that makes lists of multi-valued cells and groups by their values; the lists go through a stored table."""
+    df = table(spark, sf_dir, "part").withColumn("tags", F.expr("concat(p_brand, ';', p_type, ' / ', p_brand)"))
+    steps = {"lowercase": {}, "normalize_delimiters": {}, "split_multi_values": {"as": "list"}}
+    plan = {"dataset": "part", "columns": {"tags": {"suggested": steps, "enabled": dict.fromkeys(steps, True)}}}
+    listed = transform.apply_plan(df, json.loads(json.dumps(plan))).df
+    name = tables.write_table(listed, f"part_{uuid.uuid4().hex[:8]}")
+    operations = {"filter": {"p_size": {">=": 10}}, "groupby": {"by": ["tags"], "agg": {"p_partkey": "count", "p_size": "sum"}}}
+    return transform.apply_plan(spark.table(name), {"columns": {}, "dataset_ops": operations}).df
