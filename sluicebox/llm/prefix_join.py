@@ -3,7 +3,7 @@
 Two sets whose Jaccard similarity reaches the threshold share, under every
 total order of the tokens, one of the first ``n - least overlap + 1`` tokens.
 The first order puts rare tokens first: it ranks the tokens with the least
-hashes (a fixed share of the hash space) by document count, and all others
+hashes (twice the share of a prefix) by document count, and all others
 after them by hash, so counts are needed of that share only.  Tokens that occur
 once fill prefixes without ever making a candidate.  The other orders are
 permutations by multiplication.  A pair must pass the filters of all orders
@@ -11,10 +11,12 @@ before its sets are compared.  Ahead of that, while pairs are joined, a bitmap o
 each set (the parity of its tokens in BITS places) bounds their difference from
 below, so that pairs that only resemble each other are never written.
 
-Documents with equal sets are one class.  Links are first sought from a few
-pivots of each token's group; then only pairs of different components are
-compared, so a group of near copies costs about one comparison per member
-instead of one per pair, and no link that joins components is lost.
+Documents with equal sets are one class, and tokens that the same classes have
+are one group.  In each round the members of a group are compared with one of
+them, its pivot, and components are built from the links found; groups within
+one component are done.  What is still mixed after some rounds is
+compared pair by pair between components, so that no link that joins components
+is lost, while a group of near copies costs some comparisons per member.
 """
 from __future__ import annotations
 
@@ -23,22 +25,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicebox.llm.common import table, workspace
 from sluicebox.llm.components import components
 from sluicebox.llm.minhash import shingle_hashes
+from sluicebox.plans.workspace import Workspace
 
 SHINGLE = 3
 PERCENT = 90
-#: Share of the hash space whose tokens are counted.
-COUNTED = 0.16
+#: Seeds of pivots that take turns over the groups of a round, and rounds at most before pairs are compared.
 PIVOTS = 4
+ROUNDS = 3
+#: Groups of a class that its rows tell, the least ones, so that a pair need not be met in each group it shares.
+SHOWN = 24
 #: A table of at most so many rows of two numbers (16 MB) may be broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 1_000_000
 
-_THRESHOLD = np.uint64(int(COUNTED * 2 ** 64))
 #: Width of the bitmaps.
 BITS = 1024
 _PLACE = np.uint64(0x8CB92BA72F3D8DD7)
@@ -50,6 +54,11 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (-(-percent * n // 100)) + 1
 
 
+def counted_below(percent: int) -> np.uint64:
+    """Hashes below this are counted: twice the share of a prefix, so that its tokens can be chosen for being rare."""
+    return np.uint64(min(int((100 - percent) / 50 * 2 ** 64), 2 ** 64 - 1))
+
+
 def _sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     raw = [(t or "").encode() for t in texts]
@@ -72,8 +81,8 @@ def _bitmap(tokens: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(places, minlength=BITS) & 1).astype(np.uint8)).view(np.int64)
 
 
-def _class(tokens: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "big", signed=True)
+def _class(tokens: np.ndarray) -> bytes:
+    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -82,28 +91,30 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
 
 
-_MARKS = "doc_id bigint, n bigint, class bigint, counted int, pool array<bigint>, bits array<bigint>"
+_MARKS = "row string, doc_id bigint, n bigint, class binary, counted int, pool array<bigint>, bits array<bigint>"
 
 
 def _marks(size: int, percent: int):
     """Each document's set: its size, its class, and the tokens that can be in its first prefix."""
+    below = counted_below(percent)
+
     def run(batches):
         for batch in batches:
             n, classes, counted, pools, bits = [], [], [], [], []
             for tokens in _sets(batch.column("text").to_pylist(), size):
-                low = int(np.searchsorted(tokens, _THRESHOLD))
+                low = int(np.searchsorted(tokens, below))
                 n.append(len(tokens))
                 classes.append(_class(tokens))
                 counted.append(low)
                 bits.append(_bitmap(tokens))
                 pools.append(tokens[:max(low, prefix_length(len(tokens), percent))])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(classes, pa.int64()),
-                 pa.array(counted, pa.int32()), _lists(pools), _lists(bits)], names=["doc_id", "n", "class", "counted", "pool", "bits"])
+                [batch.column("row"), batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(classes, pa.binary()),
+                 pa.array(counted, pa.int32()), _lists(pools), _lists(bits)], names=["row", "doc_id", "n", "class", "counted", "pool", "bits"])
     return run
 
 
-_FULL = "class bigint, tokens array<bigint>, orders array<array<bigint>>"
+_FULL = "class binary, tokens array<bigint>, orders array<array<bigint>>"
 
 
 def _full(size: int, percent: int):
@@ -118,53 +129,64 @@ def _full(size: int, percent: int):
                 with np.errstate(over="ignore"):
                     orders.append([tokens[np.argsort(tokens * order, kind="stable")[:length]].view(np.int64) for order in _ORDERS])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(classes, pa.int64()), _lists(sets), pa.array(orders, pa.list_(pa.list_(pa.int64())))],
+                [pa.array(classes, pa.binary()), _lists(sets), pa.array(orders, pa.list_(pa.list_(pa.int64())))],
                 names=["class", "tokens", "orders"])
     return run
 
 
-def similar_components(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id: the least doc_id reachable by links of similarity >= percent / 100.
+def _row() -> Column:
+    """Names a row by its doc_id and text; never null."""
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64("text").cast("string"))
 
-    One row per input row.  Null texts and texts without words have an empty
-    set and are linked with nothing.  Copies share a component.  Rows that
-    repeat a doc_id with other texts are sets of their own.  A null doc_id
-    counts as no id: its component is that of the others.  An empty table
-    gives no rows.  Only doc_id and text are read.
-    """
-    work = workspace(documents)
-    marks = work.stage(documents.select("doc_id", "text").mapInArrow(_marks(size, percent), _MARKS), "marks")
-    classes = work.stage(marks.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least_id")), "classes")
-    pools = work.stage(
-        marks.where("n > 0").join(classes.withColumnRenamed("class", "c"), F.col("class").eqNullSafe(F.col("c")) & F.col("doc_id").eqNullSafe(F.col("least_id")))
-        .select("class", "n", "counted", "pool", "bits"), "pools")
 
+def _close(percent: int) -> Column:
+    """Sizes and bitmaps of a and b allow the similarity: (100 - percent)(n + n') >= (100 + percent) * difference."""
+    apart = F.lit(0)
+    for k in range(BITS // 64):
+        apart = apart + F.bit_count(F.col("bits_a")[k].bitwiseXOR(F.col("bits_b")[k]))
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & ((100 + percent) * apart <= (100 - percent) * (n_a + n_b))
+
+
+def _groups(pools: DataFrame, percent: int, work: Workspace) -> DataFrame:
+    """token, class, n, bits of the classes that have the token in their first prefix; groups of the same classes are one."""
+    tokens = pools.select("class", "n", "counted", F.explode("pool").alias("token"))
     # Tokens that at least two classes have; the others cannot make a candidate.
-    tokens = pools.select("class", F.explode("pool").alias("token"))
     repeated = work.stage(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "repeated")
-    own = tokens.join(repeated, "token").groupBy("class").agg(F.collect_list(F.struct("df", "token")).alias("shared"))
-    # Unsigned order of hashes: those that count as low are non-negative or below the threshold.
-    signed = int(np.array([_THRESHOLD], np.uint64).view(np.int64)[0])
-    low = lambda s: (s["token"] >= 0) & (s["token"] < F.lit(signed))
+    own = tokens.join(repeated, "token").groupBy("class", "n", "counted").agg(F.collect_list(F.struct("df", "token")).alias("shared"))
+    # Unsigned order of hashes in signed numbers.
+    below = int(np.array([counted_below(percent)], np.uint64).view(np.int64)[0])
+    low = lambda s: ((s["token"] >= 0) & (s["token"] < F.lit(below))) if below > 0 else ((s["token"] >= 0) | (s["token"] < F.lit(below)))
     n, counted = F.col("n"), F.col("counted")
     length = n - F.ceil(percent * n / 100) + 1
-    ranked = (
-        own.join(pools.select("class", "n", "counted"), "class")
-        .withColumn("low", F.array_sort(F.filter("shared", low)))
-        .withColumn("high", F.filter("shared", lambda s: ~low(s)))
-        .withColumn("room", F.greatest(F.lit(0), length - (counted - F.size("low"))).cast("int"))
-    )
+    ranked = own.withColumn("low", F.array_sort(F.filter("shared", low))).withColumn("high", F.filter("shared", lambda s: ~low(s))).withColumn(
+        "room", F.greatest(F.lit(0), length - (counted - F.size("low"))).cast("int"))
     prefixes = work.stage(
         ranked.select("class", "n", F.explode(F.concat(F.slice("low", F.lit(1), F.col("room")), F.when(
             length > counted, F.col("high")).otherwise(F.array().cast("array<struct<df:bigint,token:bigint>>")))).alias("s"))
-        .select("class", "n", "s.token").distinct(), "prefixes")
+        .select("class", "n", "s.token"), "prefixes")
+    # Shared passages and families of copies give many tokens with the same classes.
+    signature = [F.count("*").alias("m"), F.bit_xor(F.xxhash64("class")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "class")).alias("y")]
+    chosen = prefixes.groupBy("token").agg(*signature).where("m > 1").groupBy("m", "x", "y").agg(F.min("token").alias("kept"))
+    members = prefixes.join(chosen.select("kept"), F.col("token") == F.col("kept")).drop("kept")
+    return work.stage(members.join(pools.select("class", "bits"), "class").select("token", "class", "n", "bits"), "members")
+
+
+def _classified(documents: DataFrame, size: int, percent: int, work: Workspace) -> DataFrame:
+    """row, doc_id, n, class, least_id, component of every row; the last three are null without words, least_id also without ids."""
+    marks = documents.select(_row().alias("row"), "doc_id", "text").mapInArrow(_marks(size, percent), _MARKS)
+    marks = work.stage(marks.withColumn("at", F.monotonically_increasing_id()), "marks")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "at", "row")).alias("first")
+    classes = work.stage(marks.where("n > 0").groupBy("class").agg(first).select("class", "first.doc_id", "first.at", "first.row"), "classes")
+    pools = marks.join(classes.select("at"), "at").select("class", "n", "counted", "pool", "bits")
+    members = _groups(pools, percent, work)
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
         """Pairs (left, right) that pass the other orders and then the comparison of their sets."""
         involved = pairs.select(F.col("left").alias("class")).union(pairs.select("right")).distinct()
-        near = work.stage(involved.join(classes, "class").select("least_id").distinct(), f"{name}-near")
+        near = work.stage(involved.join(classes, "class").select(F.col("row").alias("wanted")).distinct(), f"{name}-near")
         chosen = F.broadcast(near) if near.count() <= BROADCAST_ROWS else near
-        texts = documents.select("doc_id", "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("least_id")), "left_semi")
+        texts = documents.select(_row().alias("row"), "text").join(chosen, F.col("row") == F.col("wanted"), "left_semi")
         sets = work.stage(texts.mapInArrow(_full(size, percent), _FULL).dropDuplicates(["class"]), f"{name}-sets")
         orders = sets.select("class", "orders")
         passed = pairs.join(orders.toDF("left", "a"), "left").join(orders.toDF("right", "b"), "right")
@@ -178,56 +200,98 @@ def similar_components(documents: DataFrame, size: int = SHINGLE, percent: int =
             .withColumn("both", both).where(100 * F.col("both") >= percent * (F.size("a") + F.size("b") - F.col("both")))
             .select("left", "right"), f"{name}-links")
 
-    def close(a: str, b: str):
-        """Sizes and bitmaps allow the similarity: (100 - percent)(n + n') >= (100 + percent) * difference."""
-        apart = sum((F.bit_count(F.col(f"bits_{a}")[k].bitwiseXOR(F.col(f"bits_{b}")[k])) for k in range(1, BITS // 64)),
-                    F.bit_count(F.col(f"bits_{a}")[0].bitwiseXOR(F.col(f"bits_{b}")[0])))
-        n_a, n_b = F.col(f"n_{a}"), F.col(f"n_{b}")
-        return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & ((100 + percent) * apart <= (100 - percent) * (n_a + n_b))
-
-    # A group's pivot is the least of its classes by a seeded hash; PIVOTS seeds take turns over the tokens.
-    bits = pools.select(F.col("class").alias("c"), "bits")
-    members = work.stage(prefixes.join(bits, F.col("class") == F.col("c")).select(
-        "token", F.col("class").alias("class_a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "members")
-    seed = F.pmod("token", F.lit(PIVOTS))
-    pivots = prefixes.groupBy("token").agg(F.min(F.struct(F.xxhash64("class", seed).alias("h"), "class", "n")).alias("p"), F.count("*").alias("m")).where(
-        "m > 1").select("token", F.col("p.class").alias("class_b"), F.col("p.n").alias("n_b"))
-    pivots = work.stage(pivots.join(bits, F.col("class_b") == F.col("c")).select("token", "class_b", "n_b", F.col("bits").alias("bits_b")), "pivots")
+    def still_open(labels: DataFrame | None, name: str) -> DataFrame:
+        """The members of groups that hold several components."""
+        if labels is None:
+            return members.withColumn("component", F.col("class"))
+        labelled = work.stage(members.join(labels, F.col("class") == F.col("node"), "left").select(
+            "token", "class", "n", "bits", F.coalesce("component", "class").alias("component")), f"{name}-labelled")
+        mixed = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+        return labelled.join(mixed.select(F.col("token").alias("several")), F.col("token") == F.col("several")).drop("several")
+
+    def sided(rows: DataFrame, side: str, *more: str) -> DataFrame:
+        return rows.select(*[F.col(c).alias(f"{c}_{side}") for c in ("token", "class", "n", "bits", "component", *more)])
+
+    same_group = (F.col("token_a") == F.col("token_b")) & (F.col("component_a") != F.col("component_b")) & _close(percent)
     pair = [F.least("class_a", "class_b").alias("left"), F.greatest("class_a", "class_b").alias("right")]
-    stars = work.stage(members.join(pivots, (members["token"] == pivots["token"]) & (F.col("class_a") != F.col("class_b")) & close("a", "b"))
-                       .select(*pair).distinct(), "stars")
-    found = linked(stars, "first")
-    joined = components(found, work, "first-components")
-
-    # Groups that still hold several components: each pair of different components is compared.
-    labelled = members.join(joined, F.col("class_a") == F.col("node"), "left").select(
-        "token", "class_a", "n_a", "bits_a", F.coalesce("component", "class_a").alias("component_a"))
-    labelled = work.stage(labelled, "labelled")
-    mixed = work.stage(labelled.groupBy("token").agg(F.min("component_a").alias("lo"), F.max("component_a").alias("hi")).where(
-        "lo <> hi").select(F.col("token").alias("several")), "mixed")
-    left = work.stage(labelled.join(mixed, F.col("token") == F.col("several")).drop("several"), "open")
-    right = left.select(*[F.col(c).alias(c.replace("_a", "_b") if c != "token" else "token_b") for c in left.columns])
-    rest = left.join(right, (F.col("token") == F.col("token_b")) & (F.col("class_a") < F.col("class_b"))
-                     & (F.col("component_a") != F.col("component_b")) & close("a", "b")).select(*pair).distinct()
-    rest = work.stage(rest.join(stars, ["left", "right"], "left_anti"), "rest")
-    links = found.unionByName(linked(rest, "second"))
-
-    labels = components(links, work, "components")
-    named = classes.join(labels, F.col("class") == F.col("node"), "left").select(
-        "class", "least_id", F.coalesce("component", "class").alias("component"))
-    ids = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = work.stage(named.join(ids, "component").select(F.col("class").alias("c"), "component_id"), "named")
-    return marks.select("doc_id", "n", "class").join(named, F.col("class") == F.col("c"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    links, labels = None, None
+    for k in range(ROUNDS):
+        rows = still_open(labels, f"round-{k}")
+        # The least by a seeded hash: groups that overlap have the same pivot, so a pair is met once and not once a token.
+        seed = F.pmod("token", F.lit(PIVOTS)) + k * PIVOTS
+        pivots = rows.groupBy("token").agg(F.min(F.struct(F.xxhash64("class", seed).alias("h"), "class")).alias("p")).select(
+            F.col("token").alias("at"), F.col("p.class").alias("pivot"))
+        chosen = rows.join(pivots, (F.col("token") == F.col("at")) & (F.col("class") == F.col("pivot"))).drop("at", "pivot")
+        stars = work.stage(sided(rows, "a").join(sided(chosen, "b"), same_group).select(*pair).distinct(), f"round-{k}-stars")
+        if stars.isEmpty():
+            continue
+        found = linked(stars, f"round-{k}")
+        if found.isEmpty():
+            continue
+        links = found if links is None else links.unionByName(found)
+        labels = components(links, work, f"round-{k}-components")
+
+    rows = work.stage(still_open(labels, "rest"), "rest-open")
+    shown = rows.groupBy("class").agg(F.slice(F.array_sort(F.collect_set("token")), 1, SHOWN).alias("shown"))
+    rows = work.stage(rows.join(shown, "class"), "rest-shown")
+    # A pair is left to the least group that it is seen to share; where none is seen below this one, it is met here.
+    earlier = lambda side: F.filter(F.col(f"shown_{side}"), lambda t: t < F.col("token_a"))
+    met = (F.col("class_a") < F.col("class_b")) & same_group & ~F.arrays_overlap(earlier("a"), F.col("shown_b"))
+    rest = work.stage(sided(rows, "a", "shown").join(sided(rows, "b", "shown"), met).select(*pair).distinct(), "rest")
+    if not rest.isEmpty():
+        found = linked(rest, "rest")
+        links = found if links is None else links.unionByName(found)
+        labels = components(links, work, "rest-components")
+
+    named = classes.select("class", F.col("doc_id").alias("id"))
+    if labels is None:
+        named = named.withColumn("component", F.col("class"))
+    else:
+        named = named.join(labels, F.col("class") == F.col("node"), "left").select("class", "id", F.coalesce("component", "class").alias("component"))
+    ids = named.groupBy("component").agg(F.min("id").alias("least_id"))
+    named = work.stage(named.join(ids, "component").select(F.col("class").alias("c"), "least_id", "component"), "named")
+    return marks.select("row", "doc_id", "n", "class").join(named, F.col("class") == F.col("c"), "left").select(
+        "row", "doc_id", "n", "class", "least_id", "component")
+
+
+def similar_components(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id: the least doc_id reachable by links of similarity >= percent / 100.
+
+    One row per input row.  Null texts and texts without words have an empty
+    set and are linked with nothing.  Copies share a component.  Rows that
+    repeat a doc_id with other texts are sets of their own.  A null doc_id
+    counts as no id: its component is that of the others.  An empty table
+    gives no rows.  Only doc_id and text are read.
+    """
+    rows = _classified(documents, size, percent, workspace(documents))
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def keep_one_per_component(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Of each component the rows of its least doc_id, all columns; documents without words stay."""
-    gone = similar_components(documents, size, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    gone = workspace(documents).stage(gone, "gone")
-    chosen = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    return documents.join(chosen, F.col("doc_id") == F.col("gone"), "left_anti")
+    """One row of each component, all columns: that of the least doc_id (rows without one come last).
+
+    Rows are told apart by doc_id and text, so a row with another's doc_id, or without any, goes only if its own text is
+    linked with that of the row that stays.  Of rows that are alike in both, any one stays.  Rows with null texts or texts without words
+    stay, all of them.  An empty table gives no rows.  Columns may have any names.
+    """
+    work = workspace(documents)
+    rows = work.stage(_classified(documents, size, percent, work).where("n > 0").select("row", "doc_id", "component"), "rows")
+    best = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("best"))
+    judged = rows.join(best.select(F.col("component").alias("c"), F.col("best.row").alias("kept")), F.col("component") == F.col("c"))
+    counts = work.stage(judged.groupBy(F.col("row").alias("judged_row"), (F.col("row") == F.col("kept")).alias("stays")).agg(F.count("*").alias("times")), "judged")
+    name = "judged_row"
+    while name in documents.columns:
+        name += "_"
+    keyed = documents.withColumn(name, _row())
+
+    def only(which: str, how: str) -> DataFrame:
+        rows = counts.where(which).select(F.col("judged_row").alias("other"))
+        return keyed.join(rows, F.col(name) == F.col("other"), how)
+
+    alone = only("NOT stays OR times > 1", "left_anti")
+    if not counts.where("stays AND times > 1").isEmpty():
+        alone = alone.unionByName(only("stays AND times > 1", "left_semi").dropDuplicates([name]))
+    return alone.select(*documents.columns)
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,9 +35,10 @@ def edited(words, edits, rng, vocabulary):
     return " ".join(words)
 
 
-@pytest.mark.parametrize("pivots", [1, 4])
-def test_components_against_brute_force(documents, monkeypatch, pivots):
+@pytest.mark.parametrize("pivots,rounds", [(1, 0), (4, 1), (4, 6)])
+def test_components_against_brute_force(documents, monkeypatch, pivots, rounds):
     monkeypatch.setattr(prefix_join, "PIVOTS", pivots)
+    monkeypatch.setattr(prefix_join, "ROUNDS", rounds)
     rng = random.Random(5)
     vocabulary = [f"v{k}" for k in range(60)]
     rows = []
@@ -60,3 +61,25 @@ def test_edges(documents):
     assert "shard" in kept.columns
     again = similar_components(documents([(2, "a b c d", "a"), (2, "a b c d", "a"), (None, "q r s t", "a")])).collect()
     assert len(again) == 3
+
+
+def test_no_distinct_text_is_deleted(spark, documents):
+    """Rows that share a doc_id, or have none, go only with the component of their own text."""
+    a, b, c = "one two three four five", "six seven eight nine ten", "eleven twelve thirteen"
+    kept = keep_one_per_component(documents([(1, a, "a"), (5, a, "a"), (5, b, "a")]))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(1, a), (5, b)]
+    kept = keep_one_per_component(documents([(None, a, "a"), (None, a, "b"), (None, b, "a"), (3, b, "a"), (3, b, "a"), (None, None, "a"), (None, "", "a"), (4, c, "a")]))
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == [(0, ""), (0, ""), (0, a), (3, b), (4, c)]
+    clash = spark.createDataFrame([(1, a, 7, 8), (2, a, 7, 8), (3, b, 7, 8)], "doc_id bigint, text string, gone int, judged_row int")
+    kept = keep_one_per_component(clash)
+    assert kept.columns == clash.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+    assert keep_one_per_component(documents([])).count() == 0
+
+
+def test_a_large_group_just_below_the_threshold(documents):
+    """Copies with many edits resemble each other just too little, and copies with few edits link through some of them."""
+    rng = random.Random(11)
+    base = [f"b{k}" for k in range(120)]
+    rows = [(k, edited(base, rng.choice([1, 2, 3, 4, 6, 9]), rng, [f"new{k}x{j}" for j in range(40)]), "a") for k in range(150)]
+    got = sorted(map(tuple, similar_components(documents(rows)).collect()))
+    assert got == brute(rows) and 1 < len({r[2] for r in got}) < 150
