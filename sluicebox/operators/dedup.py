@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sluicebox import fixed_values as fv
 from sluicebox.operators.profile import (
-    ROW_ORDER, ColumnStats, collect_stats, column, data_columns, distinct_counts, kinds,
+    ROW_ORDER, ColumnStats, collect_stats, column, data_columns, kinds, settle_distinct,
 )
 from sluicebox.operators.standardize import add_uniqueness, is_id
 from sluicebox.plans.workspace import Workspace
@@ -44,7 +44,7 @@ def choose_business_keys(schema: dict[str, str], stats: dict[str, ColumnStats],
             continue
         half_unique = (
             logical in ("category", "text") and s.rows > 0 and s.distinct is not None
-            and fv.KEY_UNIQUE_LOW < s.distinct / s.rows < fv.KEY_UNIQUE_HIGH
+            and fv.KEY_UNIQUE_LOW < s.least_distinct / s.rows < fv.KEY_UNIQUE_HIGH
         )
         if half_unique or (year_names and "year" in name.lower()):
             keys.append(name)
@@ -72,12 +72,9 @@ def derive_keys(
         return ids
     open_ = [
         c for c, s in stats.items()
-        if schema.get(c) in ("category", "text") and s.distinct is None and s.filled
-        and s.filled / s.rows > fv.KEY_UNIQUE_LOW
+        if schema.get(c) in ("category", "text") and s.filled and s.filled / s.rows > fv.KEY_UNIQUE_LOW
     ]
-    if open_:
-        for name, distinct in distinct_counts(df, open_).items():
-            stats[name].distinct = distinct
+    settle_distinct(df, stats, open_, lambda s: [fv.KEY_UNIQUE_LOW * s.rows, fv.KEY_UNIQUE_HIGH * s.rows])
     return choose_business_keys(schema, stats, year_names)
 
 

@@ -7,8 +7,9 @@ column and task.  Everything the driver reads is a handful of counts per column.
 from __future__ import annotations
 
 import functools
+import math
 import operator
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
@@ -85,6 +86,17 @@ def stack(df: DataFrame, rows: Sequence[Sequence[Column]], names: Sequence[str])
     return df.select(F.stack(F.lit(len(rows)), *flat).alias(*names))
 
 
+@dataclass(frozen=True)
+class DistinctRange:
+    """How many distinct values a column may have, as a sketch tells it: to be compared with limits outside of it, never shown."""
+
+    low: int
+    high: int
+
+    def holds(self, limit: float) -> bool:
+        return self.low <= limit <= self.high
+
+
 @dataclass
 class ColumnStats:
     """Counts of one column; ``counts`` holds whatever groups were measured."""
@@ -96,7 +108,7 @@ class ColumnStats:
     counts: dict[str, int] = field(default_factory=dict)
     low: float | None = None
     high: float | None = None
-    distinct: int | None = None
+    distinct: int | DistinctRange | None = None
 
     def changed(self, **changes) -> ColumnStats:
         """A copy with other counts, for a column that a step rewrote in a known way."""
@@ -117,10 +129,15 @@ class ColumnStats:
     def null_ratio(self) -> float:
         return self.nulls / self.rows if self.rows else 0.0
 
+    @property
+    def least_distinct(self) -> int:
+        """Distinct values, at least; on the right side of every limit that `settle_distinct` was given."""
+        return self.distinct.low if isinstance(self.distinct, DistinctRange) else self.distinct or 0
+
     @property
     def uniqueness(self) -> float:
-        """Distinct values per filled row."""
-        return self.distinct / self.filled if self.filled and self.distinct is not None else 0.0
+        """Distinct values per filled row, as `least_distinct` has them."""
+        return self.least_distinct / self.filled if self.filled else 0.0
 
     def best_date_format(self) -> tuple[str | None, int]:
         """The format most cells fit, and how many do; earlier formats win ties."""
@@ -379,6 +396,35 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     return {name: counts.get(name, 0) for name in columns}
 
 
+def distinct_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, DistinctRange]:
+    """Bounds of the distinct counts from sketches; one sketch per column and task travels, and no value."""
+    columns = list(columns)
+    if not columns:
+        return {}
+    merged = sketches.merged(_hashed(cells(df, columns)), ["column"], {"sketch": sketches.distinct_sketch(F.col("h1")), "filled": sketches.counted()})
+    out = dict.fromkeys(columns, DistinctRange(0, 0))
+    for row in merged.select("column", "filled", sketches.distinct_estimate("sketch").alias("n")).collect():
+        margin = sketches.HLL_ERROR * row["n"] + 1
+        out[row["column"]] = DistinctRange(max(math.floor(row["n"] - margin), 1), min(math.ceil(row["n"] + margin), row["filled"]))
+    return out
+
+
+def settle_distinct(df: DataFrame, stats: dict[str, ColumnStats], columns: Sequence[str], limits: Callable[[ColumnStats], Sequence[float]]) -> None:
+    """Know of each column on which side of its limits the number of distinct values lies.
+
+    A sketch decides for most; values are only counted where a limit lies within its bounds.
+    """
+    unknown = [c for c in columns if stats[c].distinct is None]
+    for name, bounds in distinct_ranges(df, unknown).items():
+        stats[name].distinct = bounds
+    near = [
+        c for c in columns
+        if isinstance(stats[c].distinct, DistinctRange) and any(stats[c].distinct.holds(limit) for limit in limits(stats[c]))
+    ]
+    for name, n in distinct_counts(df, near).items():
+        stats[name].distinct = n
+
+
 def _hashed(long: DataFrame) -> DataFrame:
     """Cells with 128 bits of hash of their value."""
     value = F.struct("txt", (F.col("num") + 0.0).alias("num"), "whole")

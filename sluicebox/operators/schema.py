@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from sluicebox import fixed_values as fv
 from sluicebox.functions.parsing import parse_boolean, parse_date, parse_number
 from sluicebox.operators.profile import (
-    ROW_ORDER, ColumnStats, cell_text, collect_stats, column, date_counts, distinct_counts, kinds,
+    ROW_ORDER, ColumnStats, cell_text, collect_stats, column, date_counts, kinds, settle_distinct,
 )
 
 log = logging.getLogger(__name__)
@@ -51,10 +51,9 @@ def profile_types(df: DataFrame, stats: dict[str, ColumnStats] | None = None) ->
     dates = [c for c, s in open_.items() if s.of_filled("date_like") >= fv.TYPE_THRESHOLD]
     for name, counts in date_counts(df, dates).items():
         stats[name] = stats[name].changed(counts=counts)
-    open_ = {c: stats[c] for c in open_ if type_before_distinct(stats[c]) is None}
-    if open_:
-        for name, distinct in distinct_counts(df, list(open_)).items():
-            stats[name] = stats[name].changed(distinct=distinct)
+    undecided = [c for c in open_ if type_before_distinct(stats[c]) is None]
+    stats.update({c: stats[c].changed(distinct=None) for c in undecided})
+    settle_distinct(df, stats, undecided, lambda s: [fv.CATEGORY_LIMIT * s.filled])
     return stats
 
 

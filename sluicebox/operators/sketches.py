@@ -50,6 +50,20 @@ def unseen_bound(rows: int, estimates: Sequence[int], k: int) -> float:
     return max(error, min(estimates)) if len(estimates) >= k else error
 
 
+# --- distinct values
+
+#: Size of a sketch of distinct values (2^17 bytes), and its relative error: six standard deviations of 1.04 / 2^8.5.
+HLL_SIZE, HLL_ERROR = 17, 0.018
+
+
+def distinct_sketch(item: Column) -> tuple[Column, Callable[[str], Column]]:
+    return F.hll_sketch_agg(item, HLL_SIZE), lambda name: F.hll_union_agg(name)
+
+
+def distinct_estimate(name: str) -> Column:
+    return F.hll_sketch_estimate(name)
+
+
 # --- quantiles
 
 #: Size of a quantile sketch, and how far its ranks may be off (thrice the error that it keeps to with 99 % certainty).

@@ -9,7 +9,7 @@ from sluicebox import fixed_values as fv
 from sluicebox.functions.parsing import clean_numeric_or_keep, parse_date, year_bounds
 from sluicebox.functions.text import clean_text, strip
 from sluicebox.operators.profile import (
-    ColumnStats, cell_text, collect_stats, column, data_columns, distinct_counts, kinds,
+    ColumnStats, cell_text, collect_stats, column, data_columns, kinds, settle_distinct,
 )
 
 ID, DATE, YEAR, MONEY, TEXT, STRIP, KEEP = "id", "date", "year", "numeric", "text", "strip", "keep"
@@ -50,11 +50,9 @@ def looks_like_text(stats: ColumnStats) -> bool:
 
 
 def add_uniqueness(df: DataFrame, stats: dict[str, ColumnStats]) -> None:
-    """Fill in `distinct` for the columns whose id decision depends on it."""
-    open_ = {c: s for c, s in stats.items() if s.filled and s.distinct is None and needs_uniqueness(s)}
-    if open_:
-        for name, distinct in distinct_counts(df, list(open_)).items():
-            stats[name].distinct = distinct
+    """Settle `distinct` for the columns whose id decision depends on it."""
+    open_ = [c for c, s in stats.items() if s.filled and needs_uniqueness(s)]
+    settle_distinct(df, stats, open_, lambda s: [fv.UNIQUE_THRESHOLD * s.filled])
 
 
 def route(stats: ColumnStats) -> str:

@@ -13,7 +13,7 @@ from sluicebox import fixed_values as fv
 from sluicebox.functions.parsing import is_whole, parse_number, split_year
 from sluicebox.functions.text import multi_values, normalize_delimiters, split_multi_values, strip
 from sluicebox.operators.profile import (
-    cell_number, collect_stats, column, distinct_counts, kinds,
+    cell_number, collect_stats, column, kinds, settle_distinct,
 )
 from sluicebox.operators.quantiles import exact_quantiles
 
@@ -29,7 +29,7 @@ def suggest_plan(df: DataFrame, dataset: str, enable_all: bool = False) -> dict:
     kind = kinds(df)
     numeric = [c for c, s in stats.items() if kind[c] in ("whole", "fraction", "flag") and s.filled]
     rows = max((s.rows for s in stats.values()), default=0)
-    distinct = distinct_counts(df, numeric)
+    settle_distinct(df, stats, numeric, lambda s: [fv.BIN_UNIQUE_LIMIT * max(rows, 1)])
     columns = {}
     for name, s in stats.items():
         steps: dict[str, dict] = {}
@@ -50,7 +50,7 @@ def suggest_plan(df: DataFrame, dataset: str, enable_all: bool = False) -> dict:
                 suggest("cast", "cast_year", True, type="int")
             else:
                 suggest("cast", "cast", True, type="float")
-            if distinct.get(name, 0) / max(rows, 1) > fv.BIN_UNIQUE_LIMIT:
+            if s.least_distinct / max(rows, 1) > fv.BIN_UNIQUE_LIMIT:
                 suggest("bins", "bins", False, type="auto")
         if steps:
             enabled = {step: enable_all or spec["default"] for step, spec in steps.items()}

@@ -210,3 +210,31 @@ def test_summaries_merge_in_levels(spark):
     for r in row.values():
         assert r["items"][0]["item"] == 7 and r["items"][0]["count"] >= r["even"]
         assert abs(r["q"][1] - 25_000) <= 50_000 * sketches.KLL_ERROR
+
+
+def test_distinct_values_settled_by_ranges(spark, monkeypatch):
+    """Far from a limit a sketch decides; at it, above it by one and below it by one, values are counted."""
+    n = 20_000
+    df = spark.range(0, n, 1, 16).selectExpr(
+        "concat('u', id) AS unique", "concat('h', id % 9000) AS half", f"concat('e', least(id, {n * 95 // 100} - 1)) AS exact",
+        f"concat('b', least(id, {n * 95 // 100} - 2)) AS below", "CAST(NULL AS STRING) AS empty")
+    counted = []
+    original = profile.distinct_counts
+    monkeypatch.setattr(profile, "distinct_counts", lambda df, columns: counted.extend(columns) or original(df, columns))
+    stats = profile.collect_stats(df)
+    profile.settle_distinct(df, stats, df.columns, lambda s: [0.95 * s.filled])
+    assert sorted(counted) == ["below", "empty", "exact"]
+    assert [stats[c].uniqueness >= 0.95 for c in df.columns] == [True, False, True, False, False]
+    assert isinstance(stats["unique"].distinct, profile.DistinctRange) and stats["unique"].distinct.holds(n) and stats["half"].distinct.holds(9000)
+    assert stats["exact"].distinct == n * 95 // 100 and stats["below"].distinct == n * 95 // 100 - 1
+    # Another limit asks again only where the range does not tell.
+    counted.clear()
+    profile.settle_distinct(df, stats, ["unique", "half"], lambda s: [0.3 * s.rows, 0.45 * s.rows])
+    assert counted == ["half"] and stats["half"].distinct == 9000
+
+
+def test_ranges_hold_the_counts(spark):
+    for n in (1, 50, 3000, 200_000):
+        df = spark.range(0, n, 1, 8).selectExpr("id AS a", "cast(id % 7 AS double) AS b")
+        ranges = profile.distinct_ranges(df, ["a", "b"])
+        assert ranges["a"].holds(n) and ranges["b"].holds(min(n, 7)) and ranges["a"].high <= n
