@@ -177,7 +177,7 @@ def _text_counters(groups: Sequence[str]) -> dict[str, Column]:
             "plain_number": number.isNotNull() & plain if "numbers" in groups else plain,
         },
         # "numbers" parses text, "values" only looks at columns that are numeric already.
-        "numbers": lambda: {**_number_counters(number), **_digit_counters(txt)},
+        "numbers": lambda: {**_number_counters(number), **_digit_counters(txt, number)},
         "values": lambda: {} if "numbers" in groups else dict.fromkeys(_number_counters(number), F.lit(False)),
         "flags": lambda: {"boolean_word": (F.octet_length(txt) <= 5) & F.lower(txt).isin(*fv.BOOLEAN_WORDS)},
         "dates": lambda: {"date_like": _date_like(txt)},
@@ -203,10 +203,10 @@ def _number_counters(number: Column) -> dict[str, Column]:
     }
 
 
-def _digit_counters(txt: Column) -> dict[str, Column]:
-    """Whole numbers of 64 bits, and those of them that a double cannot hold."""
-    digits = F.when(txt.rlike(fv.WHOLE_NUMBER), txt.try_cast("bigint"))
-    return {"fits": digits.isNotNull(), "beyond_double": digits.cast("double").try_cast("bigint") != digits}
+def _digit_counters(txt: Column, number: Column) -> dict[str, Column]:
+    """Whole numbers of 64 bits, and those of them that a double cannot hold; up to 15 digits it holds all."""
+    digits = F.when(number.isNotNull() & txt.rlike(fv.WHOLE_NUMBER), txt.try_cast("bigint"))
+    return {"fits": digits.isNotNull(), "beyond_double": (F.octet_length(txt) > 15) & (digits.cast("double").try_cast("bigint") != digits)}
 
 
 def _aggregate(long: DataFrame, counters: dict[str, Column], with_range: bool) -> DataFrame:

@@ -19,6 +19,8 @@ class Artifacts:
     """
 
     SCHEMA, VALIDATION, PLAN, EXECUTION = "schema_after", "validation", "transformation", "execution"
+    #: What a dataset's file looked like when it was last cleaned.
+    SOURCE = "source"
 
     def __init__(self, directory: str | Path):
         self.remote = "://" in str(directory)

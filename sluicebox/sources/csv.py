@@ -94,7 +94,7 @@ def _value_kinds(df: DataFrame) -> dict[str, dict]:
         F.count(F.lit(1)).alias("rows"),
         F.count("txt").alias("filled"),
         F.count_if(number.isNotNull() & txt.rlike(fv.WHOLE_NUMBER) & txt.try_cast("bigint").isNotNull()).alias("whole"),
-        F.count_if(_digits(txt).cast("double").try_cast("bigint") != _digits(txt)).alias("beyond_double"),
+        F.count_if(number.isNotNull() & (F.octet_length(txt) > 15) & (_digits(txt).cast("double").try_cast("bigint") != _digits(txt))).alias("beyond_double"),
         F.count("number").alias("number"),
         F.count_if(txt.isin(*fv.CSV_BOOLEANS)).alias("boolean"),
     )

@@ -101,6 +101,25 @@ def test_directory_to_tables(spark, source, tmp_path):
     assert again.report["column_transformations"] == report["column_transformations"]
 
 
+def test_a_grown_directory_reads_new_files_only(spark, source, tmp_path):
+    artifacts, target = Artifacts(tmp_path / "json"), str(tmp_path / "out")
+    (source / "second.csv").write_text("Word,Value\n" + "".join(f"w{i % 4},{i}.5\n" for i in range(20)))
+    run = lambda where=target, **more: {
+        r.dataset: r for r in batch.clean_directory(spark, source, where, artifacts, with_outliers=False, skip_unchanged=True, **more)}
+    first = run()
+    assert all(isinstance(r, clean.CleanRun) for r in first.values())
+    (source / "third.csv").write_text("Word,Value\na,1\nb,2\n")
+    (source / "second.csv").write_text("Word,Value\n" + "".join(f"w{i % 4},{i}.5\n" for i in range(21)))
+    second = run()
+    assert {n for n, r in second.items() if isinstance(r, batch.KeptRun)} == {"bridges"} and second["second"].df.count() == 21
+    full = {r.dataset: r for r in batch.clean_directory(spark, source, str(tmp_path / "full"), Artifacts(tmp_path / "other"), with_outliers=False)}
+    for name, r in second.items():
+        assert sorted(map(tuple, r.df.collect()), key=repr) == sorted(map(tuple, full[name].df.collect()), key=repr)
+    assert second["bridges"].schema == first["bridges"].schema and second["bridges"].validation["status"] == "PASS"
+    assert all(isinstance(r, clean.CleanRun) for r in run(strategy="drop").values())
+    assert all(isinstance(r, clean.CleanRun) for r in run(str(tmp_path / "elsewhere"), strategy="drop").values())
+
+
 def test_csv_directory_output(spark, source, tmp_path):
     target = str(tmp_path / "out")
     [run] = batch.clean_directory(spark, source, target, Artifacts(tmp_path / "json"), "csv", with_outliers=False)
