@@ -3,7 +3,7 @@
 Two sets whose Jaccard similarity reaches the threshold share, under every
 total order of the tokens, one of the first ``n - least overlap + 1`` tokens.
 The first order puts rare tokens first: it ranks the tokens with the least
-hashes (twice the share of a prefix) by document count, and all others
+hashes (one and a half times the share of a prefix) by document count, and all others
 after them by hash, so counts are needed of that share only.  Tokens that occur
 once fill prefixes without ever making a candidate.  The other orders are
 permutations by multiplication.  A pair must pass the filters of all orders
@@ -55,8 +55,15 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def counted_below(percent: int) -> np.uint64:
-    """Hashes below this are counted: twice the share of a prefix, so that its tokens can be chosen for being rare."""
-    return np.uint64(min(int((100 - percent) / 50 * 2 ** 64), 2 ** 64 - 1))
+    """Hashes below this are counted: one and a half times the share of a prefix, so that its tokens can be chosen for being rare."""
+    return np.uint64(min(int((100 - percent) * 3 / 200 * 2 ** 64), 2 ** 64 - 1))
+
+
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows, few at a time, as their sets take more room than their texts."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
 
 
 def _sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
@@ -99,7 +106,7 @@ def _marks(size: int, percent: int):
     below = counted_below(percent)
 
     def run(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             n, classes, counted, pools, bits = [], [], [], [], []
             for tokens in _sets(batch.column("text").to_pylist(), size):
                 low = int(np.searchsorted(tokens, below))
@@ -120,7 +127,7 @@ _FULL = "class binary, tokens array<bigint>, orders array<array<bigint>>"
 def _full(size: int, percent: int):
     """Whole sets, and their prefixes under the orders after the first."""
     def run(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             classes, sets, orders = [], [], []
             for tokens in _sets(batch.column("text").to_pylist(), size):
                 classes.append(_class(tokens))
@@ -149,11 +156,11 @@ def _close(percent: int) -> Column:
 
 
 def _groups(pools: DataFrame, percent: int, work: Workspace) -> DataFrame:
-    """token, class, n, bits of the classes that have the token in their first prefix; groups of the same classes are one."""
-    tokens = pools.select("class", "n", "counted", F.explode("pool").alias("token"))
+    """token, id, n, bits of the classes that have the token in their first prefix; groups of the same classes are one."""
+    tokens = pools.select("id", "n", "counted", F.explode("pool").alias("token"))
     # Tokens that at least two classes have; the others cannot make a candidate.
     repeated = work.stage(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "repeated")
-    own = tokens.join(repeated, "token").groupBy("class", "n", "counted").agg(F.collect_list(F.struct("df", "token")).alias("shared"))
+    own = tokens.join(repeated, "token").groupBy("id", "n", "counted").agg(F.collect_list(F.struct("df", "token")).alias("shared"))
     # Unsigned order of hashes in signed numbers.
     below = int(np.array([counted_below(percent)], np.uint64).view(np.int64)[0])
     low = lambda s: ((s["token"] >= 0) & (s["token"] < F.lit(below))) if below > 0 else ((s["token"] >= 0) | (s["token"] < F.lit(below)))
@@ -162,38 +169,41 @@ def _groups(pools: DataFrame, percent: int, work: Workspace) -> DataFrame:
     ranked = own.withColumn("low", F.array_sort(F.filter("shared", low))).withColumn("high", F.filter("shared", lambda s: ~low(s))).withColumn(
         "room", F.greatest(F.lit(0), length - (counted - F.size("low"))).cast("int"))
     prefixes = work.stage(
-        ranked.select("class", "n", F.explode(F.concat(F.slice("low", F.lit(1), F.col("room")), F.when(
+        ranked.select("id", "n", F.explode(F.concat(F.slice("low", F.lit(1), F.col("room")), F.when(
             length > counted, F.col("high")).otherwise(F.array().cast("array<struct<df:bigint,token:bigint>>")))).alias("s"))
-        .select("class", "n", "s.token"), "prefixes")
+        .select("id", "n", "s.token"), "prefixes")
     # Shared passages and families of copies give many tokens with the same classes.
-    signature = [F.count("*").alias("m"), F.bit_xor(F.xxhash64("class")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "class")).alias("y")]
+    signature = [F.count("*").alias("m"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y")]
     chosen = prefixes.groupBy("token").agg(*signature).where("m > 1").groupBy("m", "x", "y").agg(F.min("token").alias("kept"))
     members = prefixes.join(chosen.select("kept"), F.col("token") == F.col("kept")).drop("kept")
-    return work.stage(members.join(pools.select("class", "bits"), "class").select("token", "class", "n", "bits"), "members")
+    return work.stage(members.join(pools.select("id", "bits"), "id").select("token", "id", "n", "bits"), "members")
 
 
 def _classified(documents: DataFrame, size: int, percent: int, work: Workspace) -> DataFrame:
-    """row, doc_id, n, class, least_id, component of every row; the last three are null without words, least_id also without ids."""
+    """row, doc_id, n, least_id, component of every row; the last two are null without words, least_id also without ids."""
     marks = documents.select(_row().alias("row"), "doc_id", "text").mapInArrow(_marks(size, percent), _MARKS)
     marks = work.stage(marks.withColumn("at", F.monotonically_increasing_id()), "marks")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "at", "row")).alias("first")
     classes = work.stage(marks.where("n > 0").groupBy("class").agg(first).select("class", "first.doc_id", "first.at", "first.row"), "classes")
-    pools = marks.join(classes.select("at"), "at").select("class", "n", "counted", "pool", "bits")
+    # A class goes by the number of its first row.
+    pools = marks.join(classes.select("at"), "at").select(F.col("at").alias("id"), "n", "counted", "pool", "bits")
     members = _groups(pools, percent, work)
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
         """Pairs (left, right) that pass the other orders and then the comparison of their sets."""
-        involved = pairs.select(F.col("left").alias("class")).union(pairs.select("right")).distinct()
-        near = work.stage(involved.join(classes, "class").select(F.col("row").alias("wanted")).distinct(), f"{name}-near")
-        chosen = F.broadcast(near) if near.count() <= BROADCAST_ROWS else near
+        involved = pairs.select(F.col("left").alias("at")).union(pairs.select("right")).distinct()
+        near = work.stage(involved.join(classes, "at").select("class", F.col("at").alias("id"), F.col("row").alias("wanted")), f"{name}-near")
+        wanted = near.select("wanted")
+        chosen = F.broadcast(wanted) if near.count() <= BROADCAST_ROWS else wanted
         texts = documents.select(_row().alias("row"), "text").join(chosen, F.col("row") == F.col("wanted"), "left_semi")
-        sets = work.stage(texts.mapInArrow(_full(size, percent), _FULL).dropDuplicates(["class"]), f"{name}-sets")
-        orders = sets.select("class", "orders")
+        full = texts.mapInArrow(_full(size, percent), _FULL).join(near.select("class", "id"), "class")
+        sets = work.stage(full.dropDuplicates(["id"]).select("id", "tokens", "orders"), f"{name}-sets")
+        orders = sets.select("id", "orders")
         passed = pairs.join(orders.toDF("left", "a"), "left").join(orders.toDF("right", "b"), "right")
         for k in range(len(_ORDERS)):
             passed = passed.where(F.arrays_overlap(F.col("a")[k], F.col("b")[k]))
         passed = work.stage(passed.select("left", "right"), f"{name}-passed")
-        whole = sets.select("class", "tokens")
+        whole = sets.select("id", "tokens")
         both = F.size(F.array_intersect("a", "b"))
         return work.stage(
             passed.join(whole.toDF("left", "a"), "left").join(whole.toDF("right", "b"), "right")
@@ -203,25 +213,25 @@ def _classified(documents: DataFrame, size: int, percent: int, work: Workspace)
     def still_open(labels: DataFrame | None, name: str) -> DataFrame:
         """The members of groups that hold several components."""
         if labels is None:
-            return members.withColumn("component", F.col("class"))
-        labelled = work.stage(members.join(labels, F.col("class") == F.col("node"), "left").select(
-            "token", "class", "n", "bits", F.coalesce("component", "class").alias("component")), f"{name}-labelled")
+            return members.withColumn("component", F.col("id"))
+        labelled = work.stage(members.join(labels, F.col("id") == F.col("node"), "left").select(
+            "token", "id", "n", "bits", F.coalesce("component", "id").alias("component")), f"{name}-labelled")
         mixed = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
         return labelled.join(mixed.select(F.col("token").alias("several")), F.col("token") == F.col("several")).drop("several")
 
     def sided(rows: DataFrame, side: str, *more: str) -> DataFrame:
-        return rows.select(*[F.col(c).alias(f"{c}_{side}") for c in ("token", "class", "n", "bits", "component", *more)])
+        return rows.select(*[F.col(c).alias(f"{c}_{side}") for c in ("token", "id", "n", "bits", "component", *more)])
 
     same_group = (F.col("token_a") == F.col("token_b")) & (F.col("component_a") != F.col("component_b")) & _close(percent)
-    pair = [F.least("class_a", "class_b").alias("left"), F.greatest("class_a", "class_b").alias("right")]
+    pair = [F.least("id_a", "id_b").alias("left"), F.greatest("id_a", "id_b").alias("right")]
     links, labels = None, None
     for k in range(ROUNDS):
         rows = still_open(labels, f"round-{k}")
         # The least by a seeded hash: groups that overlap have the same pivot, so a pair is met once and not once a token.
         seed = F.pmod("token", F.lit(PIVOTS)) + k * PIVOTS
-        pivots = rows.groupBy("token").agg(F.min(F.struct(F.xxhash64("class", seed).alias("h"), "class")).alias("p")).select(
-            F.col("token").alias("at"), F.col("p.class").alias("pivot"))
-        chosen = rows.join(pivots, (F.col("token") == F.col("at")) & (F.col("class") == F.col("pivot"))).drop("at", "pivot")
+        pivots = rows.groupBy("token").agg(F.min(F.struct(F.xxhash64("id", seed).alias("h"), "id")).alias("p")).select(
+            F.col("token").alias("at"), F.col("p.id").alias("pivot"))
+        chosen = rows.join(pivots, (F.col("token") == F.col("at")) & (F.col("id") == F.col("pivot"))).drop("at", "pivot")
         stars = work.stage(sided(rows, "a").join(sided(chosen, "b"), same_group).select(*pair).distinct(), f"round-{k}-stars")
         if stars.isEmpty():
             continue
@@ -232,26 +242,26 @@ def _classified(documents: DataFrame, size: int, percent: int, work: Workspace)
         labels = components(links, work, f"round-{k}-components")
 
     rows = work.stage(still_open(labels, "rest"), "rest-open")
-    shown = rows.groupBy("class").agg(F.slice(F.array_sort(F.collect_set("token")), 1, SHOWN).alias("shown"))
-    rows = work.stage(rows.join(shown, "class"), "rest-shown")
+    shown = rows.groupBy("id").agg(F.slice(F.array_sort(F.collect_set("token")), 1, SHOWN).alias("shown"))
+    rows = work.stage(rows.join(shown, "id"), "rest-shown")
     # A pair is left to the least group that it is seen to share; where none is seen below this one, it is met here.
     earlier = lambda side: F.filter(F.col(f"shown_{side}"), lambda t: t < F.col("token_a"))
-    met = (F.col("class_a") < F.col("class_b")) & same_group & ~F.arrays_overlap(earlier("a"), F.col("shown_b"))
+    met = (F.col("id_a") < F.col("id_b")) & same_group & ~F.arrays_overlap(earlier("a"), F.col("shown_b"))
     rest = work.stage(sided(rows, "a", "shown").join(sided(rows, "b", "shown"), met).select(*pair).distinct(), "rest")
     if not rest.isEmpty():
         found = linked(rest, "rest")
         links = found if links is None else links.unionByName(found)
         labels = components(links, work, "rest-components")
 
-    named = classes.select("class", F.col("doc_id").alias("id"))
+    named = classes.select("class", "doc_id", F.col("at").alias("id"))
     if labels is None:
-        named = named.withColumn("component", F.col("class"))
+        named = named.withColumn("component", F.col("id"))
     else:
-        named = named.join(labels, F.col("class") == F.col("node"), "left").select("class", "id", F.coalesce("component", "class").alias("component"))
-    ids = named.groupBy("component").agg(F.min("id").alias("least_id"))
+        named = named.join(labels, F.col("id") == F.col("node"), "left").select("class", "doc_id", F.coalesce("component", "id").alias("component"))
+    ids = named.groupBy("component").agg(F.min("doc_id").alias("least_id"))
     named = work.stage(named.join(ids, "component").select(F.col("class").alias("c"), "least_id", "component"), "named")
     return marks.select("row", "doc_id", "n", "class").join(named, F.col("class") == F.col("c"), "left").select(
-        "row", "doc_id", "n", "class", "least_id", "component")
+        "row", "doc_id", "n", "least_id", "component")
 
 
 def similar_components(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
