@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from sluicebox.llm.common import WORD, lower_ascii, table, workspace
 
+#: What lower-casing A-Z turns into a word.
+ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 13
 GRAM = 7
 
@@ -22,6 +24,11 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(lower_ascii(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
+def count_words(text: Column) -> Column:
+    """How many words a text has; its letters need no lower case for that."""
+    return F.coalesce(F.regexp_count(text, F.lit(ANY_CASE_WORD)), F.lit(0)).cast("long")
+
+
 def let(value: Column, use) -> Column:
     """``use(value)`` with the value computed once a row, also where ``use`` reads it inside a lambda."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
@@ -136,7 +143,7 @@ def _contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     hit_items = hits.groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     found = work.stage(hit_words.join(hit_items, "row"), "found")
-    counted = documents.select(row_key().alias("row"), "doc_id", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    counted = documents.select(row_key().alias("row"), "doc_id", count_words(F.col("text")).alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     items = F.coalesce("items", F.array().cast("array<string>"))
     return counted.join(found, "row", "left").select(
