@@ -5,7 +5,7 @@ import re
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sluicebox import fixed_values as fv
 from sluicebox.operators.columns import clean_name
@@ -51,28 +51,67 @@ def read_table(spark: SparkSession, database: str, table: str) -> DataFrame:
     return spark.table(f"{_quoted(database)}.{_quoted(table)}")
 
 
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+
+
+def _files(spark: SparkSession, folder: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _point(spark: SparkSession, name: str, schema: T.StructType, file_format: str, where: str) -> str | None:
+    """Let the table ``name`` show the files at ``where``; the place it showed before.
+
+    A table of the same columns takes one change of its location, so readers see the old rows or the new ones.
+    Other columns need a new entry in the catalog: the old one steps aside until that stands, and comes back if it fails.
+    """
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, where, file_format, schema)
+        return None
+    before = _described(spark, name)
+    columns = lambda fields: [(f.name, f.dataType.simpleString()) for f in fields]
+    if before.get("Type") == "EXTERNAL" and before.get("Provider", "").lower() == file_format and columns(spark.table(name).schema) == columns(schema):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{where}'")
+        return before["Location"]
+    aside = f"{name[:-1]}_{uuid.uuid4().hex[:8]}`"
+    spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
+    try:
+        spark.catalog.createTable(name, where, file_format, schema)
+    except BaseException:
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+        raise
+    spark.sql(f"DROP TABLE {aside}")
+    return before.get("Location")
+
+
 def write_table(df: DataFrame, dataset: str, file_format: str = "parquet", check=None) -> str:
     """Replace ``<dataset>.transformed_<dataset>``, creating the database if needed.
 
-    With ``check`` the rows are first written under another name; only if
-    ``check(name)`` does not raise does that table take the place of the old one.
+    Rows are written to a new place under the database's location.  Only if ``check(source)``, which may read
+    them there, does not raise does the table change over to them.  The version before stays for
+    those who still read it; older ones are deleted.
     """
     base = clean_name(base_name(dataset))
-    spark = df.sparkSession
+    spark, rows = df.sparkSession, _public(df)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(base)}")
     name = f"{_quoted(base)}.{_quoted('transformed_' + base)}"
-    if check is None:
-        _public(df).write.mode("overwrite").format(file_format).saveAsTable(name)
-        return name
-    staged = f"{_quoted(base)}.{_quoted(f'staged_{base}_{uuid.uuid4().hex[:8]}')}"
-    _public(df).write.format(file_format).saveAsTable(staged)
+    folder = f"{spark.catalog.getDatabase(base).locationUri}/versions_{base}"
+    where = f"{folder}/{uuid.uuid4().hex}"
+    rows.write.format(file_format).save(where)
     try:
-        check(staged)
+        if check is not None:
+            check(f"{file_format}.`{where}`")
+        before = _point(spark, name, rows.schema, file_format, where)
     except BaseException:
-        spark.sql(f"DROP TABLE {staged}")
+        path, system = _files(spark, where)
+        system.delete(path, True)
         raise
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    kept = {where.rsplit("/", 1)[1], (before or "").rstrip("/").rsplit("/", 1)[-1]}
+    path, system = _files(spark, folder)
+    for version in system.listStatus(path):
+        if version.getPath().getName() not in kept:
+            system.delete(version.getPath(), True)
     return name
 
 

@@ -125,6 +125,47 @@ def test_catalog(spark):
         tables.find_table(spark, "no such table")
 
 
+def test_a_table_is_there_at_every_step(spark, monkeypatch):
+    """A failure of the check, or between the steps of a replacement, leaves the old rows; the new ones come at once."""
+    first = spark.createDataFrame([(1, "a")], "k int, t string")
+    name = tables.write_table(first, "steps")
+    read = lambda: sorted(map(tuple, spark.table(name).collect()))
+
+    def refuse(source):
+        assert spark.table(source).count() == 2 and read() == [(1, "a")]
+        raise AssertionError("refused")
+    two = spark.createDataFrame([(2, "b"), (3, "c")], "k int, t string")
+    with pytest.raises(AssertionError):
+        tables.write_table(two, "steps", check=refuse)
+    assert read() == [(1, "a")]
+    old = spark.table(name)
+    tables.write_table(two, "steps")
+    assert read() == [(2, "b"), (3, "c")] and old.count() == 1
+
+    wider = two.withColumn("w", F.lit(1.5))
+    real = type(spark.catalog).createTable
+    monkeypatch.setattr(type(spark.catalog), "createTable", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        tables.write_table(wider, "steps")
+    assert read() == [(2, "b"), (3, "c")]
+    monkeypatch.setattr(type(spark.catalog), "createTable", real)
+    tables.write_table(wider, "steps")
+    assert spark.table(name).columns == ["k", "t", "w"] and [t for _, t in tables.list_tables(spark, ["steps"])] == ["transformed_steps"]
+    tables.write_table(wider.limit(0), "steps")
+    assert read() == [] and spark.table(name).columns == ["k", "t", "w"]
+    for k in range(3):
+        tables.write_table(wider.withColumn("k", F.lit(k)), "steps")
+    path, system = tables._files(spark, spark.catalog.getDatabase("steps").locationUri + "/versions_steps")
+    assert len(system.listStatus(path)) == 2 and {r["k"] for r in spark.table(name).collect()} == {2}
+
+
+def test_a_managed_table_of_that_name_is_replaced(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS managed")
+    spark.range(3).write.saveAsTable("managed.transformed_managed")
+    name = tables.write_table(spark.range(5), "managed")
+    assert spark.table(name).count() == 5
+
+
 def test_artifacts(tmp_path):
     kept = Artifacts(tmp_path / "json")
     assert kept.load("d", kept.PLAN) is None
