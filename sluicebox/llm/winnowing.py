@@ -11,22 +11,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicebox.llm.common import WORD, lower_ascii, table, workspace
+from sluicebox.llm.common import lower_ascii, table, workspace
 
-#: What lower-casing A-Z turns into a word.
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What stands between words, after A-Z were lower-cased and before; splitting there is far cheaper than extracting words.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 13
 GRAM = 7
 
 
 def words_of(text: Column) -> Column:
     """The words of a text; null has none."""
-    return F.regexp_extract_all(lower_ascii(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), BETWEEN), "")
 
 
 def count_words(text: Column) -> Column:
     """How many words a text has; its letters need no lower case for that."""
-    return F.coalesce(F.regexp_count(text, F.lit(ANY_CASE_WORD)), F.lit(0)).cast("long")
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), BETWEEN_ANY_CASE), "")).cast("long")
 
 
 def let(value: Column, use) -> Column:
@@ -39,15 +40,36 @@ def _starts(count: Column, length: int) -> Column:
     return F.when(count >= length, F.sequence(F.lit(0), count - length)).otherwise(F.array().cast("array<int>"))
 
 
+def _joined(values: Column, shift: int, join) -> Column:
+    """``join`` of each value with the one ``shift`` places on."""
+    return let(values, lambda v: F.transform(_starts(F.size(v), shift + 1), lambda i: join(F.get(v, i), F.get(v, i + shift))))
+
+
 def gram_hashes(words: Column, length: int) -> Column:
-    return let(words, lambda w: F.transform(
-        _starts(F.size(w), length), lambda i: F.xxhash64(F.slice(w, i + 1, length))))
+    """A hash of every ``length`` consecutive words: words are hashed once, runs of 2, 4, ... of them from two halves."""
+    def runs(values: Column, size: int, parts: list[tuple[Column, int]]) -> Column:
+        # parts: the runs that make up the gram, from its end, and where they begin in it
+        used = sum(n for _, n in parts)
+        if length // size % 2:
+            parts = [*parts, (values, size)]
+            used += size
+        if used == length:
+            offsets, at = [], length
+            for run, n in parts:
+                at -= n
+                offsets.append((run, at))
+            return F.transform(_starts(F.size(values) + size - 1, length), lambda i: F.xxhash64(*[F.get(run, i + at) for run, at in reversed(offsets)]))
+        return let(_joined(values, size, F.xxhash64), lambda longer: runs(longer, 2 * size, parts))
+    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda hashes: runs(hashes, 1, []))
 
 
 def fingerprints(hashes: Column, window: int) -> Column:
     """Least hash of every ``window`` consecutive ones, each once."""
-    return F.array_distinct(let(hashes, lambda h: F.transform(
-        _starts(F.size(h), window), lambda i: F.array_min(F.slice(h, i + 1, window)))))
+    width = 1
+    while width < window:
+        shift = min(width, window - width)
+        hashes, width = _joined(hashes, shift, F.least), width + shift
+    return F.array_distinct(hashes)
 
 
 def _spans(words: Column, length: int) -> Column:
@@ -110,7 +132,8 @@ def hit_spans(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     def near_spans(words, hashes, length):
         """Spans that hold a gram whose hash met an item's."""
         if length < window:
-            return F.filter(_spans(words, length), lambda s: F.array_contains(hashes, F.xxhash64(F.split(s["span"], " "))))
+            return let(gram_hashes(words, length), lambda grams: F.filter(
+                _spans(words, length), lambda s: F.array_contains(hashes, F.get(grams, s["start"]))))
         places = F.filter(
             F.transform(gram_hashes(words, gram), lambda h, i: F.when(F.array_contains(hashes, h), i)),
             lambda i: i.isNotNull())
