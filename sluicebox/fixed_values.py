@@ -7,8 +7,8 @@ MONEY_SUFFIX = r"(?d)\d[KMBkmb]$"
 YEAR = r"(19\d{2}|20\d{2})"
 YEAR_RANGE = r"(?d)(19\d{2}|20\d{2}).*(19\d{2}|20\d{2})"
 
-# Any cell that fits TEXT_DIRTY holds one of these characters; a cheaper test to make first.
-TEXT_DIRTY_CHARACTERS = r"[\[†‡*\x00-\x1F\x7F]"
+# Any cell that fits TEXT_DIRTY holds "[", "*" or one of these characters; a cheaper test to make first.
+TEXT_DIRTY_CHARACTERS = r"[^\x20-\x7E]"
 
 # --- patterns that describe a clean cell
 ID_VALUE = r"^(?=.*[A-Za-z])(?=.*\d)[A-Za-z0-9\-_]{8,}$"

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from sluicebox import fixed_values as fv
 from sluicebox.functions.parsing import is_whole, number_text, parse_date, parse_number
-from sluicebox.functions.text import is_one_of, strip
+from sluicebox.functions.text import is_one_of, may_have_edge_space, strip
 from sluicebox.operators import sketches
 
 ROW_ORDER = "_row_ord"
@@ -150,7 +150,10 @@ class ColumnStats:
 
 def _date_like(txt: Column) -> Column:
     shapes = "|".join(shape.strip("^$") for _, shape, _ in fv.DATE_FORMATS)
-    return (F.octet_length(txt) >= 8) & txt.rlike(f"^(?:{shapes})$")
+    # Every shape holds a separator and ends in a digit, which white space may follow.
+    last = F.right(txt, F.lit(1))
+    ends = (last < ":") | (last >= "\x7f")
+    return (F.octet_length(txt) >= 8) & ends & _any(txt.contains(c) for c in "-/ ") & txt.rlike(f"^(?:{shapes})$")
 
 
 def _any(tests: Iterable[Column]) -> Column:
@@ -164,7 +167,7 @@ def _text_counters(groups: Sequence[str]) -> dict[str, Column]:
     plain = txt.rlike(fv.PLAIN_NUMBER)
     of = {
         "dirt": lambda: {
-            "text_dirty": txt.rlike(fv.TEXT_DIRTY_CHARACTERS) & txt.rlike(fv.TEXT_DIRTY),
+            "text_dirty": (_any(txt.contains(c) for c in "[*") | txt.rlike(fv.TEXT_DIRTY_CHARACTERS)) & txt.rlike(fv.TEXT_DIRTY),
             "money_dirty": _any(txt.contains(c) for c in fv.MONEY_CHARACTERS) | suffixed,
             "year_range": (txt.contains("19") | txt.contains("20")) & txt.rlike(fv.YEAR_RANGE),
         },
@@ -188,7 +191,7 @@ def _text_counters(groups: Sequence[str]) -> dict[str, Column]:
         },
         "missing": lambda: {
             "missing_word": is_one_of(txt, fv.MISSING_WORDS),
-            "edge_space": F.octet_length(strip(txt)) < F.octet_length(txt),
+            "edge_space": may_have_edge_space(txt) & (F.octet_length(strip(txt)) < F.octet_length(txt)),
         },
     }
     return {name: test for group in groups for name, test in of[group]().items()}

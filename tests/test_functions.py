@@ -123,3 +123,34 @@ def test_number_text_round_trips(one):
     shown = one(parsing.number_text, cells, "double")
     assert shown[:4] == ["12345678.0", "1000000000000000.0", "0.5", "-3.0"]
     assert [None if s is None else float(s) for s in shown] == cells
+
+
+def test_quick_looks_before_the_patterns_change_no_answer(spark):
+    """What a look at bytes and lengths rules out, the patterns would have refused."""
+    from sluicebox import fixed_values as fv
+    from sluicebox.functions.parsing import parse_number
+    from sluicebox.functions.text import is_one_of, may_have_edge_space, needs_cleaning, strip
+    from sluicebox.operators.profile import _date_like
+
+    cells = [
+        "", " ", "1", " 1 ", "+1.5e3", "-.5", "1e999", "9" * 310, "inf", "-Infinity", "iNF", "i", "$5", "1/2", "\t7\n", "12:3", "1d", "é1",
+        "2020-01-02", "2020/1/2 ", "2020-01-02 ", "Jan 2, 2020", "2020-01-02x", " a", "a ", "a\x1f", "*", "[x", "a  b", "†", "—", "<NA>", "<NA>x", None,
+    ]
+    shapes = "|".join(shape.strip("^$") for _, shape, _ in fv.DATE_FORMATS)
+    c = F.col("c")
+    rows = spark.createDataFrame([(v,) for v in cells], "c string").select(
+        "c", parse_number(c).alias("number"), F.when(c.rlike(fv.NUMBER), c.try_cast("double")).alias("cast"),
+        _date_like(c).alias("date"), ((F.octet_length(c) >= 8) & c.rlike(f"^(?:{shapes})$")).alias("date_shape"),
+        needs_cleaning(c).alias("dirty"), may_have_edge_space(c).alias("edge"), (F.octet_length(strip(c)) < F.octet_length(c)).alias("stripped"),
+        is_one_of(c, fv.MISSING_WORDS).alias("missing"),
+    ).collect()
+    for r in rows:
+        if r["c"] is None:
+            assert all(v is None for v in r)
+            continue
+        beyond = r["cast"] is not None and abs(r["cast"]) == float("inf") and "inf" not in r["c"].lower()
+        assert r["number"] == (None if beyond else r["cast"]), r
+        assert r["date"] == r["date_shape"], r
+        assert r["dirty"] == bool(re.search(r"[^\x20-\x7E]|[\[*]|  |^ | \Z", r["c"])), r
+        assert r["edge"] or not r["stripped"], r
+        assert r["missing"] == (r["c"] in fv.MISSING_WORDS), r
