@@ -12,17 +12,22 @@ that the training texts never show leaves its share to its parent.
 A byte's code length depends on its gram, the byte and its context.  Grams are
 counted over the texts, and the tree is computed from them: its two upper levels
 have at most 256 * 255 nodes; below them, contexts that end in the same two
-bytes make one group.  Texts are dealt into chunks; a chunk asks for each of its
-grams and words once, in lists by bucket, and its texts add up the answers.  No
-table that grows with the corpus is broadcast.
+bytes make one group.  Each task packs what is coded of its texts into chunks,
+which are written once and read by every later pass; a chunk asks for each of its
+grams and words once, in lists by bucket, and its texts add up the answers.  Only
+compressed chunks meet the answers by a shuffle.  No table that grows with the
+corpus is broadcast.
 """
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -185,19 +190,56 @@ def tokens_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+_CHUNKS = "chunk bigint, doc_id array<bigint>, held_out array<boolean>, packed binary"
+_CHUNKS_ARROW = pa.schema([("chunk", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("packed", pa.binary())])
+#: Chunks of one task, at most.
+_TASK_CHUNKS = 1 << 24
+
+
+def _pack(chunk_bytes):
+    """What is coded of a task's texts, in chunks: one compressed string each, as a line feed ends every text and stands nowhere else."""
+    def run(batches):
+        packer = zstandard.ZstdCompressor(level=3)
+        first = TaskContext.get().partitionId() * _TASK_CHUNKS
+        ids, outs, streams, room, made = [], [], [], 0, 0
+
+        def chunk():
+            packed = packer.compress(b"".join(streams))
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((first + made, ids, outs, packed), _CHUNKS_ARROW)], schema=_CHUNKS_ARROW)
+
+        for batch in batches:
+            for doc_id, held_out, text in zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(), batch.column("text")):
+                stream = stream_of(tokens_of(text.as_py()))
+                if streams and room + len(stream) > chunk_bytes:
+                    yield chunk()
+                    ids, outs, streams, room, made = [], [], [], 0, made + 1
+                ids.append(doc_id)
+                outs.append(held_out)
+                streams.append(stream)
+                room += len(stream)
+        if streams:
+            yield chunk()
+    return run
+
+
+def _streams(packed) -> list[bytes]:
+    """The texts of a chunk, as they are coded."""
+    return [line + bytes([END]) for line in zstandard.ZstdDecompressor().decompress(packed.as_py())[:-1].split(bytes([END]))]
+
+
 def _count_words(batches):
-    """Distinct words of a task's texts with their number in training texts."""
+    """Distinct words of each chunk with their number in training texts."""
     for batch in batches:
-        counts: dict[bytes, int] = {}
-        for text, held_out in zip(batch.column("text"), batch.column("held_out").to_pylist()):
-            words = tokens_of(text.as_py())
-            if held_out:
-                for word in words:
-                    counts.setdefault(word, 0)
-            else:
-                for word in words:
-                    counts[word] = counts.get(word, 0) + 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+        for outs, packed in zip(batch.column("held_out").to_pylist(), batch.column("packed")):
+            counts: Counter[bytes] = Counter()
+            for stream, held_out in zip(_streams(packed), outs):
+                words = stream.split()
+                if held_out:
+                    for word in words:
+                        counts.setdefault(word, 0)
+                else:
+                    counts.update(words)
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
 
 def _added(names: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,15 +254,15 @@ def _count_grams(batches):
     """Grams of a task's texts with their number in training texts."""
     names, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for batch in batches:
-        held_out = np.array(batch.column("held_out").to_pylist(), bool)
-        for out in (False, True):
-            streams = [stream_of(tokens_of(t.as_py())) for t, o in zip(batch.column("text"), held_out) if o == out]
-            for group in in_groups(streams, len):
-                own, count = np.unique(grams_of(group), return_counts=True)
-                names, n = _added(np.concatenate([names, own]), np.concatenate([n, 0 * count if out else count]))
-                if len(names) > HELD_GRAMS:
-                    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(n)], names=["gram", "n"])
-                    names, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for outs, packed in zip(batch.column("held_out").to_pylist(), batch.column("packed")):
+            listed = list(zip(_streams(packed), outs))
+            for out in (False, True):
+                for group in in_groups([s for s, o in listed if o == out], len):
+                    own, count = np.unique(grams_of(group), return_counts=True)
+                    names, n = _added(np.concatenate([names, own]), np.concatenate([n, 0 * count if out else count]))
+                    if len(names) > HELD_GRAMS:
+                        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(n)], names=["gram", "n"])
+                        names, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
     yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(n)], names=["gram", "n"])
 
 
@@ -252,35 +294,36 @@ def _log10(upper: Upper, buckets: int):
     return run
 
 
-_WANTED = "chunk int, bucket int, grams binary, words array<binary>"
+_WANTED = "chunk bigint, bucket int, grams binary, words array<binary>"
 
 
 def _chunk_wanted(buckets: int):
-    """The distinct grams and words of a chunk, a row for each bucket."""
-    def run(rows: pa.Table) -> pa.Table:
+    """The distinct grams and words of each chunk, a row for each bucket."""
+    def wanted(chunk: int, packed) -> pa.RecordBatch:
         words, grams = {bytes([END])}, np.zeros(0, np.int64)
-        texts = [t.as_py() or "" for t in rows.column("text")]
-        for group in in_groups(texts, len):
-            streams = []
-            for text in group:
-                tokens = tokens_of(text)
-                words.update(tokens)
-                streams.append(stream_of(tokens))
-            grams = np.union1d(grams, grams_of(streams))
+        for group in in_groups(_streams(packed), len):
+            for stream in group:
+                words.update(stream.split())
+            grams = np.union1d(grams, grams_of(group))
         at = _bucket(grams, buckets)
         by = np.argsort(at, kind="stable")
         edges = np.searchsorted(at[by], np.arange(buckets + 1))
         listed = [[] for _ in range(buckets)]
         for word in words:
             listed[zlib.crc32(word) % buckets].append(word)
-        return pa.Table.from_arrays(
-            [pa.array([rows.column("chunk")[0].as_py()] * buckets, pa.int32()), pa.array(range(buckets), pa.int32()),
+        return pa.RecordBatch.from_arrays(
+            [pa.array([chunk] * buckets, pa.int64()), pa.array(range(buckets), pa.int32()),
              pa.array([grams[by[edges[k]:edges[k + 1]]].tobytes() for k in range(buckets)], pa.binary()),
              pa.array(listed, pa.list_(pa.binary()))], names=["chunk", "bucket", "grams", "words"])
+
+    def run(batches):
+        for batch in batches:
+            for chunk, packed in zip(batch.column("chunk").to_pylist(), batch.column("packed")):
+                yield wanted(chunk, packed)
     return run
 
 
-_ANSWERS = "chunk int, grams binary, logs binary, words array<binary>, numbers binary"
+_ANSWERS = "chunk bigint, grams binary, logs binary, words array<binary>, numbers binary"
 
 
 def _answer(wanted: pa.Table, known: pa.Table) -> pa.Table:
@@ -334,7 +377,7 @@ _SCORES = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, tr
 
 
 def _score_texts(total: int, distinct: int):
-    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         whole = lambda name, kind: np.frombuffer(b"".join(answers.column(name).to_pylist()), kind)
         places = Places(whole("grams", np.int64), whole("logs", np.float64))
         words = [w for listed in answers.column("words").to_pylist() for w in listed]
@@ -342,13 +385,13 @@ def _score_texts(total: int, distinct: int):
         base = np.log10((n + 0.5) / (total + 0.5 * (distinct + 1)))
         end = place[bytes([END])]
         rows = []
-        given = list(zip(texts.column("doc_id").to_pylist(), texts.column("held_out").to_pylist(), texts.column("text").to_pylist()))
-        for group in in_groups(given, lambda r: len(r[2] or "")):
-            listed = [tokens_of(text) for _, _, text in group]
-            streams = [stream_of(tokens) for tokens in listed]
+        given = list(zip(chunk.column("doc_id")[0].as_py(), chunk.column("held_out")[0].as_py(), _streams(chunk.column("packed")[0])))
+        for group in in_groups(given, lambda r: len(r[2])):
+            streams = [stream for _, _, stream in group]
             begin = np.cumsum([0, *map(len, streams)])[:-1]
             scores = np.add.reduceat(places.of(grams_of(streams)), begin)
-            for (doc_id, held_out, _), tokens, stream, score in zip(group, listed, streams, scores.tolist()):
+            for (doc_id, held_out, stream), score in zip(group, scores.tolist()):
+                tokens = stream.split()
                 at = np.append(np.fromiter((place[t] for t in tokens), np.int64, len(tokens)), end)
                 rows.append((doc_id, held_out, len(at), int((n[at] > 0).sum()), total, float(base[at].sum()), score,
                              len(stream), -score / np.log10(2.0) / len(stream)))
@@ -373,19 +416,20 @@ def score_texts(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     work = workspace(documents)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False)).alias("held_out")
-    rows = documents.select("doc_id", held_out, "text")
-    facts = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.sum((~F.col("held_out")).cast("long")).alias("ends")).first()
-    if facts["ends"] is None:
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out, "text")
+    ends = rows.agg(F.sum((~F.col("held_out")).cast("long")).alias("ends")).first()["ends"]
+    if ends is None:
         return spark.createDataFrame([], _SCORES)
-    ends = facts["ends"]
+    # Each pass reads the written chunks; a chunk's number is part of what is written, so it does not depend on how they are read.
+    chunks = work.stage(rows.mapInArrow(_pack(CHUNK_BYTES), _CHUNKS), "chunks")
 
-    counted = rows.select("text", "held_out").mapInArrow(_count_words, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = chunks.select("held_out", "packed").mapInArrow(_count_words, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     ending = spark.createDataFrame([(bytearray([END]), ends)], "word binary, n bigint")
     words = work.stage(counted.unionByName(ending), "words")
     known = words.agg(F.sum("n").alias("total"), F.sum((F.col("n") > 0).cast("long")).alias("distinct"), F.count("*").alias("words")).first()
 
     # Unseen grams of held-out texts ride along with count 0, so that each has its prediction.
-    grams = work.stage(rows.select("text", "held_out").mapInArrow(_count_grams, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+    grams = work.stage(chunks.select("held_out", "packed").mapInArrow(_count_grams, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
     buckets = parts(grams.count() + known["words"], BUCKET_GRAMS)
     recent = F.shiftright("gram", 8 * (DEPTH - 1)).alias("recent")  # the last two bytes before the decision
     grouped = grams.groupBy(recent)
@@ -396,11 +440,9 @@ def score_texts(documents: DataFrame) -> DataFrame:
     vocabulary = words.select((F.crc32("word") % buckets).cast("int").alias("bucket"), "word", "n")
     answers = work.stage(predicted.unionByName(vocabulary, allowMissingColumns=True), "answers")
 
-    chunks = parts(facts["bytes"], CHUNK_BYTES)
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(chunks)).cast("int"))
-    wanted = dealt.select("chunk", "text").groupBy("chunk").applyInArrow(_chunk_wanted(buckets), _WANTED)
+    wanted = chunks.select("chunk", "packed").mapInArrow(_chunk_wanted(buckets), _WANTED)
     answered = wanted.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_answer, _ANSWERS)
-    return dealt.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(_score_texts(known["total"], known["distinct"]), _SCORES)
+    return chunks.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(_score_texts(known["total"], known["distinct"]), _SCORES)
 
 
 def op1_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:

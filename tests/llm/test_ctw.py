@@ -139,3 +139,24 @@ def test_contexts_reach_across_words(documents, monkeypatch, small):
         assert a[:2] == b[:2] and math.isclose(a[2], b[2], rel_tol=1e-6)
     one, other = ([r["score"] for r in got if r["doc_id"] == k][0] for k in held)
     assert abs(one - other) > 1e-3
+
+
+def test_texts_are_packed_once(documents, monkeypatch):
+    """The tasks' chunks are written compressed, much smaller than the texts, and hold every one of them."""
+    monkeypatch.setattr(ctw, "CHUNK_BYTES", 50_000)
+    staged = {}
+    stage = ctw.workspace
+
+    def kept(df):
+        work = stage(df)
+        write = work.stage
+        work.stage = lambda frame, name: staged.setdefault(name, write(frame, name))
+        return work
+
+    monkeypatch.setattr(ctw, "workspace", kept)
+    rows = [(k, f"Word number {k} of a longer text " * 40, "a") for k in range(200)]
+    assert score_texts(documents(rows)).count() == 200
+    chunks = staged["chunks"].collect()
+    assert sorted(i for c in chunks for i in c["doc_id"]) == list(range(200))
+    assert len({c["chunk"] for c in chunks}) == len(chunks) > 1
+    assert 4 * sum(len(c["packed"]) for c in chunks) < sum(len(t) for _, t, _ in rows)
