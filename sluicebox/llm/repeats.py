@@ -1,10 +1,12 @@
 """Removal of repeated byte strings by threshold-bounded interval expansion on a Burrows-Wheeler transform.
 
 Every string of LENGTH bytes has an anchor: of its GRAM-byte substrings the
-leftmost with the least hash, which depends on the string alone.  Consecutive
-strings with one anchor form a piece.  Equal strings have equal anchors, so
-pieces can be dealt out by anchor; anchors that stand once in the corpus are
-dropped before any text is moved.  Pieces are first dealt out as digests, and of
+leftmost with the least hash, which depends on the string alone.  It is named by
+its bytes and those that half of the rest of the string holds before it or, if
+there are not so many before it, after it; so a phrase in other surroundings is
+another anchor.  Consecutive strings with one anchor form a piece.  Equal strings
+have equal anchors, so pieces can be dealt out by anchor; anchors that stand once
+in the corpus are dropped before any text is moved.  Pieces are first dealt out as digests, and of
 equal ones only the first goes on; only anchors with different pieces need their
 bytes.  In each bin these are sorted into a Burrows-Wheeler transform;
 breadth-first backward extension gives the common prefixes by increasing value
@@ -35,6 +37,8 @@ LENGTH = 100
 GRAM = 24
 HOT = 1000
 BIN_BYTES = 1_000_000
+#: Texts up to so many bytes together are looked at at once; arrays of that size stay in a processor's cache.
+TOGETHER = 1 << 15
 #: A table of at most so many rows of two numbers (16 MB) may be broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 1_000_000
 
@@ -64,7 +68,18 @@ def gram_hashes(raw: bytes, gram: int = GRAM) -> np.ndarray:
         return out ^ (out >> np.uint64(29))
 
 
-def _anchors(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
+def _reach(length: int) -> tuple[int, list[int]]:
+    """How far the bytes that name an anchor reach to one side of it, and the places of grams that cover them.
+
+    A string holds so many bytes before its anchor, or else after it.
+    """
+    gram = min(GRAM, length)
+    reach = (length - gram) // 2
+    return reach, [*range(0, reach, gram), reach]
+
+
+def _anchors(raw: bytes, length: int, sizes: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``sizes``: of texts that follow one another in ``raw``; no string lies across two."""
     value = gram_hashes(raw, min(GRAM, length))
     # High bits of the hash, then the place: the least is the leftmost of the least.
     best = (value & ~_PLACES) | np.arange(len(value), dtype=np.uint64)
@@ -74,16 +89,58 @@ def _anchors(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
         best = np.minimum(best[:len(best) - shift], best[shift:])
         width += shift
     place = (best & _PLACES).astype(np.int64)
-    return place, value[place]
+    begin, end = _runs(place)
+    if sizes is not None:
+        # An anchor lies in one text: of its strings those are left that do not begin in the one before or end in the next.
+        stops = np.cumsum(sizes)
+        text = np.searchsorted(stops, place[begin], "right")
+        begin, end = np.maximum(begin, (stops - sizes)[text]), np.minimum(end, stops[text] - length + 1)
+        begin, end = begin[begin < end], end[begin < end]
+    place = place[begin]
+    # Strings with enough bytes before the anchor are named by these, the others by those after it.
+    reach, covers = _reach(length)
+    border = np.clip(place - reach + 1, begin, end)
+    with np.errstate(over="ignore"):
+        names = []
+        for at in (np.maximum(place - reach, 0), np.minimum(place, len(value) - 1 - reach)):
+            name = value[at]
+            for k in covers:
+                name = (name ^ (name >> np.uint64(32))) * _BASE + value[at + k]
+            names.append(name)
+    # Before and after by turns; empty ones are left out.
+    begin, end = np.column_stack([begin, border]).ravel(), np.column_stack([border, end]).ravel()
+    some = begin < end
+    return begin[some], end[some], np.repeat(place, 2)[some], np.column_stack(names).ravel()[some]
+
+
+def anchor_runs(raw: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of strings of ``length`` bytes with one anchor: first start, end of the starts, place and name of the anchor."""
+    step = int(_PLACES) - length
+    found = [_anchors(raw[at:at + step + length - 1], length) for at in range(0, len(raw) - length + 1, step)]
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    begin, end, place = (np.concatenate([part[c] + k * step for k, part in enumerate(found)]) for c in range(3))
+    return begin, end, place, np.concatenate([part[3] for part in found])
+
+
+def text_runs(raws: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of several texts: number of the text, first start in it, end of the starts, name of the anchor."""
+    at = [k for k, raw in enumerate(raws) if len(raw) >= length]
+    sizes = np.array([len(raws[k]) for k in at], np.int64)
+    if len(at) > 1 and sizes.sum() <= int(_PLACES):
+        begin, end, place, name = _anchors(b"".join([raws[k] for k in at]), length, sizes)
+        stops = np.cumsum(sizes)
+        text = np.searchsorted(stops, place, "right")
+        start = (stops - sizes)[text]
+        return np.array(at)[text], begin - start, end - start, name
+    found = [(np.full(len(run[0]), k), run[0], run[1], run[3]) for k in at for run in [anchor_runs(raws[k], length)]]
+    return tuple(np.concatenate(c) for c in zip(*found)) if found else (*[np.zeros(0, np.int64)] * 3, np.zeros(0, np.uint64))
 
 
 def anchors(raw: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """Of each string of ``length`` bytes, by its start: place and hash of its anchor."""
-    step = int(_PLACES) - length
-    parts = [_anchors(raw[at:at + step + length - 1], length) for at in range(0, len(raw) - length + 1, step)]
-    if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate([p + k * step for k, (p, _) in enumerate(parts)]), np.concatenate([v for _, v in parts])
+    """Of each string of ``length`` bytes, by its start: place and name of its anchor."""
+    begin, end, place, value = anchor_runs(raw, length)
+    return np.repeat(place, end - begin), np.repeat(value, end - begin)
 
 
 def _runs(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,6 +151,10 @@ def _runs(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # --- the transform
 
+#: Two ranks and a place below this fit into one number, and sorting numbers is cheaper than sorting their places.
+_PACKED = 1 << 21
+
+
 def sorted_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
     """Starts of all suffixes in the order of their first ``depth`` symbols (int64, below 512; 0 past the end)."""
     n, known = len(text), 7
@@ -102,7 +163,7 @@ def sorted_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
     for k in range(known):
         key = key << 9 | padded[k:k + n]
     while True:
-        order = np.argsort(key)
+        order = np.argsort(key) if known == 7 or n + 2 > _PACKED else np.sort(key * _PACKED + np.arange(n)) % _PACKED
         if known >= depth:
             return order
         changed = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
@@ -123,38 +184,39 @@ def bounded_prefixes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndar
     # Where each row goes when its symbol is put before it: rows by symbol, then by place.
     step = np.empty(n, np.int64)
     step[np.argsort(transform.astype(np.uint16), kind="stable")] = np.arange(n)
+    border = np.concatenate([[True], np.diff(text[order]) != 0])
     common = np.full(n + 1, length, np.int64)
     common[0] = common[n] = 0
-    begin, end = np.zeros(1, np.int64), np.full(1, n, np.int64)
+    # Rows of the intervals in order, and the interval of each; rows that are an interval of their own need no sort.
+    rows, interval, single = np.arange(n), np.zeros(n, np.int64), np.zeros(0, np.int64)
     for value in range(length):
-        sizes = end - begin
-        offsets = np.cumsum(sizes) - sizes
-        rows = np.arange(int(sizes.sum())) - np.repeat(offsets - begin, sizes)
-        interval = np.repeat(np.arange(len(begin)), sizes)
-        to = step[rows]
-        by = np.argsort(interval * n + to)
-        to, interval, symbol = to[by], interval[by], transform[rows[by]]
-        new = np.concatenate([[True], (interval[1:] != interval[:-1]) | (symbol[1:] != symbol[:-1])])
+        single = step[single]
+        single = single[common[single + 1] == length]
+        moved = np.sort(step[rows] << 32 | interval)
+        rows, interval = moved >> 32, moved & 0xFFFFFFFF
+        new = np.concatenate([[True], (np.diff(interval) != 0) | (np.diff(rows) != 1)])[:len(rows)] | border[rows]
         first = np.flatnonzero(new)
-        last = np.concatenate([first[1:], [len(to)]]) - 1
-        starts, ends = to[first], to[last] + 1
+        sizes = np.diff(first, append=len(rows))
+        ends = rows[first] + sizes
         if value == 0:  # at the symbols' own borders nothing is shared
             common[ends] = 0
             fresh = np.ones(len(ends), bool)
         else:
             fresh = common[ends] == length
             common[ends[fresh]] = value
-        begin, end = starts[fresh], ends[fresh]
-        if not len(begin):
+            common[single + 1] = value
+        single = np.concatenate([single, rows[first[fresh & (sizes == 1)]]])
+        fresh &= sizes > 1
+        rows, interval = rows[np.repeat(fresh, sizes)], np.repeat(np.arange(int(fresh.sum())), sizes[fresh])
+        if not len(rows) and not len(single):
             break
     return order, common[:n]
 
 
-def first_strings(pieces: list[bytes], keys: list[np.ndarray], length: int) -> list[np.ndarray]:
-    """Of each piece, which of its strings of ``length`` bytes stand nowhere earlier in the given pieces.
-
-    ``keys`` are columns (most significant first) that order the pieces' beginnings; the last is the place in the document.
-    """
+def _first(pieces: list[bytes], keys: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each string of the pieces: number of its piece, place in it, and whether it stands nowhere earlier."""
+    by = np.lexsort(tuple(reversed(keys)))
+    pieces = [pieces[k] for k in by.tolist()]
     sizes = np.array([len(p) for p in pieces])
     text = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8).astype(np.int64) + 1
     begins = np.cumsum(sizes + 1) - (sizes + 1)
@@ -162,65 +224,89 @@ def first_strings(pieces: list[bytes], keys: list[np.ndarray], length: int) -> l
     order, common = bounded_prefixes(text, length)
     counts = sizes - length + 1
     piece = np.repeat(np.arange(len(pieces)), counts)
-    offset = np.arange(len(piece)) - np.repeat(np.cumsum(counts) - counts, counts)
+    at = np.arange(len(piece))
+    offset = at - np.repeat(np.cumsum(counts) - counts, counts)
     string = np.zeros(len(text), np.int64)
     string[order] = np.cumsum(common < length)
     name = string[begins[piece] + offset]
-    *high, place = [k[piece] for k in keys]
-    by = np.lexsort((place + offset, *reversed(high), name))
-    first = np.concatenate([[True], np.diff(name[by]) != 0])
-    kept = np.zeros(len(piece), bool)
-    kept[by] = first
-    return np.split(kept, np.cumsum(counts)[:-1])
+    first = np.zeros(len(text) + 1, np.int64)
+    first[name[::-1]] = at[::-1]  # the last value put stays: the first string
+    return by[piece], offset, first[name] == at
+
+
+def first_strings(pieces: list[bytes], keys: list[np.ndarray], length: int) -> list[np.ndarray]:
+    """Of each piece, which of its strings of ``length`` bytes stand nowhere earlier in the given pieces.
+
+    ``keys`` are columns (most significant first) that order the pieces; the last is the place in the document.  No two
+    pieces hold one string of one document.
+    """
+    piece, offset, kept = _first(pieces, keys, length)
+    out = [np.zeros(len(p) - length + 1, bool) for p in pieces]
+    for k, o in zip(piece[kept].tolist(), offset[kept].tolist()):
+        out[k][o] = True
+    return out
 
 
 # --- tasks
 
-def _count(length):
-    def run(batches):
-        for batch in batches:
-            found = []
-            for text in batch.column("text"):
-                place, value = anchors((text.as_py() or "").encode(), length)
-                if len(place):
-                    found.append(value[_runs(place)[0]])
-            values, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n, pa.int64())], names=["anchor", "n"])
-    return run
+def _raw(column: pa.Array) -> Iterator[bytes]:
+    return (b.as_py() or b"" for b in column.cast(pa.binary()))
+
+
+_RUNS = "anchor bigint, row bigint, run bigint"
+_PLACE_BITS = 31
+
+
+def _mark(salt, length: int):
+    """The bits of a salt that fit into one number with a place and a number of strings."""
+    return np.asarray(salt, np.int64) & (1 << 63 - _PLACE_BITS - length.bit_length()) - 1
 
 
 def _list(length):
+    """The runs of every text, each in one number: bits of the salt, place, number of strings.  Short texts are looked at together."""
     def run(batches):
         for batch in batches:
-            ids, found = [], []
-            for row, text in zip(batch.column("row").to_pylist(), batch.column("text")):
-                place, value = anchors((text.as_py() or "").encode(), length)
-                if len(place):
-                    found.append(np.unique(value[_runs(place)[0]]))
-                    ids.append(np.full(len(found[-1]), row, np.int64))
-            values = np.concatenate(found) if found else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values.view(np.int64)), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int64))], names=["anchor", "row"])
+            rows, marks = batch.column("row").to_numpy(), _mark(batch.column("salt").to_numpy(), length)
+            begun, size, raws, found, listed = 0, 0, [], [], 0
+            for k, raw in enumerate(_raw(batch.column("text"))):
+                raws.append(raw)
+                size += len(raw)
+                if size >= TOGETHER or k + 1 == len(rows):
+                    text, begin, end, name = text_runs(raws, length)
+                    text += begun
+                    found.append((name.view(np.int64), rows[text], (marks[text] << _PLACE_BITS | begin) << length.bit_length() | end - begin))
+                    begun, size, raws, listed = k + 1, 0, [], listed + len(text)
+                    if listed > 100_000 or k + 1 == len(rows):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], names=["anchor", "row", "run"])
+                        found, listed = [], 0
     return run
 
 
+def _flagged(anchors, runs, salt: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, begin, n) by place of the runs listed for a row, without what another row of the same number lists."""
+    run, first = np.unique(runs.values.to_numpy(), return_index=True)  # equal rows list the same
+    bits = length.bit_length()
+    own = run >> _PLACE_BITS + bits == _mark(salt, length)
+    run, anchor = run[own], anchors.values.to_numpy()[first[own]]
+    return anchor, run >> bits & (1 << _PLACE_BITS) - 1, run & (1 << bits) - 1
+
+
 def _pack(batches):
     """Texts as compressed bytes, so that less is shuffled."""
     packer = zstandard.ZstdCompressor(level=3)
     for batch in batches:
-        packed = [packer.compress((t.as_py() or "").encode()) for t in batch.column("text")]
+        packed = [packer.compress(raw) for raw in _raw(batch.column("text"))]
         yield pa.RecordBatch.from_arrays(
             [batch.column("rank"), batch.column("salt"), pa.array(packed, pa.binary())], names=["rank", "salt", "packed"])
 
 
-def _repeated(raw: bytes, flagged: np.ndarray, length: int):
-    """(place, value, hit): anchors by start, and which of them the corpus repeats."""
-    place, value = anchors(raw, length)
-    return place, value, np.isin(value, flagged)
-
-
-def _ids(flagged) -> np.ndarray:
-    return np.asarray(flagged.values.to_numpy() if flagged.is_valid else [], np.int64).view(np.uint64)
+def _listed(structs, salt: int, *names: str) -> list[np.ndarray]:
+    """Fields of a row's list as arrays, without what another row of the same number lists."""
+    if not structs.is_valid:
+        return [np.zeros(0, np.int64) for _ in names]
+    values = structs.values
+    salts = values.field("salt").to_numpy()
+    return [values.field(n).to_numpy(zero_copy_only=False)[salts == salt] for n in names]
 
 
 _DIGESTS = "anchor bigint, digest binary, rank bigint, salt bigint, at bigint, n bigint"
@@ -235,23 +321,22 @@ def _digests(length):
     def run(batches):
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            for rank, salt, packed, flagged in zip(*[batch.column(n) for n in ("rank", "salt", "packed", "flagged")]):
+            digests, parts = [], []
+            for row, (salt, packed, anchor, runs) in enumerate(zip(*[batch.column(c) for c in ("salt", "packed", "anchors", "runs")])):
                 raw = unpack.decompress(packed.as_py())
-                place, value, hit = _repeated(raw, _ids(flagged), length)
-                begins, ends = _runs(place)
-                seen, rows = set(), []
-                for k in np.flatnonzero(hit[begins]).tolist():
-                    begin, end = int(begins[k]), int(ends[k])
-                    digest = _digest(raw[begin:end + length - 1])
-                    if digest not in seen:  # a later one in this document is never the first
-                        seen.add(digest)
-                        rows.append((begin, digest, end - begin))
-                if rows:
-                    at = np.array([r[0] for r in rows], np.int64)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(value[at].view(np.int64)), pa.array([r[1] for r in rows], pa.binary()),
-                        pa.array(np.full(len(rows), rank.as_py())), pa.array(np.full(len(rows), salt.as_py())), pa.array(at),
-                        pa.array([r[2] for r in rows], pa.int64())], names=["anchor", "digest", "rank", "salt", "at", "n"])
+                anchor, at, n = _flagged(anchor, runs, salt.as_py(), length)
+                found = {}
+                for k, (b, e) in enumerate(zip(at.tolist(), (at + n + length - 1).tolist())):
+                    found.setdefault(_digest(raw[b:e]), k)  # a later one in this document is never the first
+                first = np.fromiter(found.values(), np.int64, len(found))
+                digests += found
+                parts.append((anchor[first], np.full(len(first), row), at[first], n[first]))
+                if digests and (len(digests) > 100_000 or row + 1 == len(batch)):
+                    values, rows, at, n = map(np.concatenate, zip(*parts))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(values), pa.array(digests, pa.binary()), *[batch.column(c).take(pa.array(rows)) for c in ("rank", "salt")],
+                         pa.array(at), pa.array(n)], names=["anchor", "digest", "rank", "salt", "at", "n"])
+                    digests, parts = [], []
     return run
 
 
@@ -267,13 +352,17 @@ def _pieces(length, bins):
         for batch in batches:
             rows = []
             for rank, salt, packed, wanted in zip(*[batch.column(n) for n in ("rank", "salt", "packed", "wanted")]):
-                rank, salt, wanted = rank.as_py(), salt.as_py(), wanted.as_py()
-                raw = unpack.decompress(packed.as_py()) if any(w["salt"] == salt for w in wanted) else b""
-                for w in wanted:
-                    if w["salt"] == salt and w["hot"]:
-                        rows += [(_STRING, _digest(raw[k:k + length]), rank, salt, k) for k in range(w["at"], w["at"] + w["n"])]
-                    elif w["salt"] == salt:
-                        rows.append(((w["anchor"] & 0x7FFFFFFFFFFFFFFF) // 64 % bins, raw[w["at"]:w["at"] + w["n"] + length - 1], rank, salt, w["at"]))
+                rank, salt = rank.as_py(), salt.as_py()
+                at, n, hot, anchor = _listed(wanted, salt, "at", "n", "hot", "anchor")
+                if not len(at):
+                    continue
+                raw = unpack.decompress(packed.as_py())
+                bin_ = (anchor & 0x7FFFFFFFFFFFFFFF) // 64 % bins
+                for a, m, h, b in zip(at.tolist(), n.tolist(), hot.tolist(), bin_.tolist()):
+                    if h:
+                        rows += [(_STRING, _digest(raw[k:k + length]), rank, salt, k) for k in range(a, a + m)]
+                    else:
+                        rows.append((b, raw[a:a + m + length - 1], rank, salt, a))
                 if len(rows) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _PIECES_ARROW)], schema=_PIECES_ARROW)
                     rows = []
@@ -287,39 +376,45 @@ _KEPT = "rank bigint, salt bigint, at bigint, n bigint"
 
 def _expand(length):
     def run(bin_rows: pa.Table) -> pa.Table:
-        pieces = bin_rows.column("piece").to_pylist()
         rank, salt, at = (bin_rows.column(n).to_numpy() for n in ("rank", "salt", "at"))
-        out = []
-        for k, kept in enumerate(first_strings(pieces, [rank, salt, at], length)):
-            edges = np.flatnonzero(np.diff(np.concatenate([[False], kept, [False]]).view(np.int8)))
-            out += [(rank[k], salt[k], at[k] + b, e - b) for b, e in zip(edges[::2], edges[1::2])]
-        columns = zip(*out) if out else [()] * 4
-        return pa.Table.from_arrays([pa.array(np.array(c, np.int64)) for c in columns], names=["rank", "salt", "at", "n"])
+        piece, offset, kept = _first(bin_rows.column("piece").to_pylist(), [rank, salt, at], length)
+        edge = np.concatenate([[True], np.diff(piece) != 0])
+        begin = np.flatnonzero(kept & (edge | ~np.roll(kept, 1)))
+        end = np.flatnonzero(kept & np.roll(edge | ~kept, -1)) + 1
+        k = piece[begin]
+        return pa.Table.from_arrays([pa.array(c) for c in (rank[k], salt[k], at[k] + offset[begin], end - begin)], names=["rank", "salt", "at", "n"])
     return run
 
 
 _RESULT = "rank bigint, salt bigint, n_removed bigint, n_spans bigint, kept_text binary"
 
 
+def _within(begin: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:
+    """Which of ``size`` places lie in the ranges, no two of which overlap."""
+    change = np.zeros(size + 1, np.int8)
+    change[begin] += 1
+    change[end] -= 1
+    return np.cumsum(change[:-1], dtype=np.int8).view(bool)
+
+
 def _remove(length):
     """Each document without the bytes of repeated strings that are not among the kept ones."""
     def run(batches):
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             rows = []
-            for rank, salt, packed, flagged, kept in zip(*[batch.column(n) for n in ("rank", "salt", "packed", "flagged", "kept")]):
+            for rank, salt, packed, anchors, runs, kept in zip(*[batch.column(n) for n in ("rank", "salt", "packed", "anchors", "runs", "kept")]):
                 raw, salt = unpack.decompress(packed.as_py()), salt.as_py()
-                _, _, gone = _repeated(raw, _ids(flagged), length)
-                for k in kept.as_py() or []:
-                    if k["salt"] == salt:
-                        gone[k["at"]:k["at"] + k["n"]] = False
-                starts = np.flatnonzero(gone)
-                change = np.zeros(len(raw) + 1, np.int32)
-                change[starts] += 1
-                change[starts + length] -= 1
-                covered = np.cumsum(change[:-1]) > 0
-                spans = int(covered[:1].sum() + (np.diff(covered.view(np.int8)) == 1).sum())
-                rows.append((rank.as_py(), salt, int(covered.sum()), spans, np.frombuffer(raw, np.uint8)[~covered].tobytes()))
+                _, begin, count = _flagged(anchors, runs, salt, length)
+                at, n = _listed(kept, salt, "at", "n")
+                gone = np.concatenate([[False], _within(begin, begin + count, len(raw)) & ~_within(at, at + n, len(raw)), [False]])
+                edges = np.flatnonzero(gone[1:] != gone[:-1])
+                # Bytes of the strings that go; runs that overlap or touch are one span.
+                begin, end = edges[::2], edges[1::2] + length - 1
+                apart = begin[1:] > end[:-1]
+                begin, end = begin[np.concatenate([[True], apart])[:len(begin)]], end[np.concatenate([apart, [True]])[:len(end)]]
+                left = b"".join([raw[e:b] for e, b in zip([0, *end.tolist()], [*begin.tolist(), len(raw)])])
+                rows.append((rank.as_py(), salt, len(raw) - len(left), len(begin), left))
             columns = list(zip(*rows)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [*[pa.array(c, pa.int64()) for c in columns[:4]], pa.array(columns[4], pa.binary())],
@@ -364,11 +459,10 @@ def shortened(documents: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Da
     originals = documents.select(_rank().alias("rank"), _salt().alias("salt"), "text").where(F.octet_length("text") >= length).join(
         left_out, ["rank", "salt"], "left_anti").select("rank", "salt", "text")
 
-    repeated = work.stage(
-        originals.select("text").mapInArrow(_count(length), "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n"))
-        .where("n > 1").select("anchor"), "repeated")
-    flagged = originals.select(_row(), "text").mapInArrow(_list(length), "anchor bigint, row bigint").join(repeated, "anchor").groupBy(
-        "row").agg(F.collect_set("anchor").alias("flagged"))
+    # Listed twice: that is cheaper than the room a table of all runs takes.
+    listed = originals.select(_row(), "salt", "text").mapInArrow(_list(length), _RUNS)
+    repeated = work.stage(listed.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "repeated")
+    flagged = listed.join(repeated.hint("shuffle_hash"), "anchor").groupBy("row").agg(F.collect_list("anchor").alias("anchors"), F.collect_list("run").alias("runs"))
     packed = originals.mapInArrow(_pack, "rank bigint, salt bigint, packed binary").select(_row(), "rank", "salt", "packed")
     # Bucketed as the join left it: later joins by document do not move the texts again.
     near_name = f"repeats_near_{uuid.uuid4().hex}"

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sluicebox.llm import repeats
@@ -70,6 +71,45 @@ def test_anchors_of_long_texts_in_parts(monkeypatch):
     assert len(parts[0]) == len(whole[0])
 
 
+def test_a_phrase_in_two_texts_is_no_common_anchor():
+    rng = random.Random(8)
+    word = lambda n: bytes(rng.choice(b"abcdefgh ") for _ in range(n))
+    phrase, passage = word(60), word(100)
+    texts = [word(300) + phrase + word(300) for _ in range(20)]
+    names = [set(anchors(raw)[1].tolist()) for raw in texts]
+    assert len(set().union(*names)) == sum(map(len, names))
+    a, b = (set(anchors(word(300) + passage + word(300))[1].tolist()) for _ in range(2))
+    assert a & b
+
+
+@pytest.mark.parametrize("length", [3, 24, 25, 40, 73, 100, 131])
+def test_texts_looked_at_together(monkeypatch, length):
+    rng = random.Random(length)
+    word = lambda n: bytes(rng.choice(b"ab ") for _ in range(n))
+    raws = [word(rng.randrange(400)) for _ in range(30)] + [b"", b"x" * 700, word(length), word(length - 1)]
+    raws += raws[3:5] + [raws[3] + raws[4]]
+    text, begin, end, name = repeats.text_runs(raws, length)
+    names = {}
+    for k, raw in enumerate(raws):
+        b, e, place, n = repeats.anchor_runs(raw, length)
+        here = text == k
+        assert (begin[here].tolist(), end[here].tolist(), name[here].tolist()) == (b.tolist(), e.tolist(), n.tolist())
+        assert [p for x, y in zip(b, e) for p in range(x, y)] == list(range(len(raw) - length + 1))
+        for x, y, z in zip(b.tolist(), e.tolist(), n.tolist()):
+            assert all(names.setdefault(raw[p:p + length], z) == z for p in range(x, y))
+    monkeypatch.setattr(repeats, "_PLACES", np.uint64(1023))
+    assert [len(raw) for raw in raws if len(raw) >= length] == [len(anchors(raw, length)[0]) + length - 1 for raw in raws if len(raw) >= length]
+
+
+def test_runs_of_another_row_of_the_same_number():
+    salt, other = 5, 6
+    mark = [int(repeats._mark(s, 100)) << repeats._PLACE_BITS for s in (salt, other)]
+    runs = [(mark[0] | 70) << 7 | 9, (mark[1] | 20) << 7 | 3, (mark[0] | 40) << 7 | 77, (mark[0] | 70) << 7 | 9]
+    row = pa.array([runs], pa.list_(pa.int64()))[0]
+    anchor, begin, n = repeats._flagged(pa.array([[11, 12, 13, 11]], pa.list_(pa.int64()))[0], row, salt, 100)
+    assert (anchor.tolist(), begin.tolist(), n.tolist()) == ([13, 11], [40, 70], [77, 9])
+
+
 @pytest.mark.parametrize("hot", [1000, 2])
 def test_against_brute_force(documents, monkeypatch, hot):
     monkeypatch.setattr(repeats, "HOT", hot)
