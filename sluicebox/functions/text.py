@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -16,12 +16,22 @@ def strip(cell: Column) -> Column:
     return F.trim(cell, F.lit(WHITE_SPACE))
 
 
+def strip_edges(cell: Column) -> Column:
+    """`strip` that passes most cells by; for a cell that is a column, as it is looked at several times."""
+    return F.when(may_have_edge_space(cell), strip(cell)).otherwise(cell)
+
+
+def is_wide(cell: Column) -> Column:
+    """Whether the cell holds a character beyond ASCII."""
+    return F.octet_length(cell) > F.length(cell)
+
+
 def nfkc(cell: Column) -> Column:
     """Unicode NFKC by the ICU library that ships with Spark; pure ASCII cells pass untouched."""
     composed = F.java_method(
         F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), cell, F.lit(True)
     )
-    return F.when(F.octet_length(cell) > F.length(cell), composed).otherwise(cell)
+    return F.when(is_wide(cell), composed).otherwise(cell)
 
 
 def fix_mojibake(cell: Column) -> Column:
@@ -52,19 +62,40 @@ def clean_text(cell: Column, keep_punctuation: bool = False, mend: bool = False)
     ``keep_punctuation`` typographic quotes and dashes become ASCII first
     instead of being dropped; with ``mend`` broken encodings are mended first.
     """
-    raw = fix_mojibake(cell) if mend else cell
-    if keep_punctuation:
-        raw = plain_punctuation(raw)
-    kept = F.regexp_replace(F.replace(nfkc(raw), F.lit("*"), F.lit("")), r"\[[^\]]*\]|[^\x20-\x7E]", "")
-    cleaned = F.trim(F.regexp_replace(kept, " {2,}", " "))
-    return F.when(needs_cleaning(cell), cleaned).otherwise(cell)
+    steps = clean_text_steps(cell, keep_punctuation, mend)
+    cleaned = steps[0](cell)
+    for step in steps[1:]:
+        cleaned = step(cleaned)
+    return F.coalesce(cleaned, cell)
+
+
+def clean_text_steps(cell: Column, keep_punctuation: bool = False, mend: bool = False) -> list[Callable[[Column], Column]]:
+    """What `clean_text` does to ``cell``, one step after the other; NULL from the first on where there is nothing to clean.
+
+    A step looks at its input several times, so in a projection of its own each of them is computed once for a cell.
+    """
+    def raw(given):
+        # Only characters beyond ASCII are mended, put in another form or told as ASCII.
+        out = fix_mojibake(given) if mend else given
+        out = plain_punctuation(out) if keep_punctuation else out
+        out = F.when(is_wide(given), out).otherwise(given) if mend or keep_punctuation else given
+        return nfkc(F.when(needs_cleaning(cell), out))
+
+    return [raw, _printable, _single_blanks]
+
+
+def _printable(cell: Column) -> Column:
+    return F.regexp_replace(F.replace(cell, F.lit("*"), F.lit("")), r"\[[^\]]*\]|[^\x20-\x7E]", "")
+
+
+def _single_blanks(cell: Column) -> Column:
+    return F.trim(F.when(cell.contains("  "), F.regexp_replace(cell, " {2,}", " ")).otherwise(cell))
 
 
 def is_one_of(cell: Column, words: Sequence[str]) -> Column:
-    """Whether the cell is one of the words; the list is one literal, whatever its length."""
-    listed = F.array_contains(F.split(F.lit("\x00".join(words)), "\x00"), cell)
-    # Longer cells need no look at the list; a NULL cell stays NULL.
-    return (F.octet_length(cell) <= max((len(w.encode()) for w in words), default=0)) & listed
+    """Whether the cell is one of the words, by a look into a set of them."""
+    # Longer cells need no look; a NULL cell stays NULL.
+    return (F.octet_length(cell) <= max((len(w.encode()) for w in words), default=0)) & cell.isin(list(words))
 
 
 def may_have_edge_space(cell: Column) -> Column:

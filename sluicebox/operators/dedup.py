@@ -33,6 +33,9 @@ class DedupStatus:
 class Deduplicated:
     df: DataFrame
     status: DedupStatus = field(default_factory=DedupStatus)
+    #: Where rows were removed: the written rows with a key of their own, and the rows kept of the others.
+    alone: DataFrame | None = None
+    firsts: DataFrame | None = None
 
 
 def choose_business_keys(schema: dict[str, str], stats: dict[str, ColumnStats], year_names: bool = True) -> list[str]:
@@ -134,20 +137,26 @@ def keep_one(df: DataFrame, keys: list[str], keep: str | bool = "first", order_b
     ])
 
 
-def keep_one_of_repeated(df: DataFrame, keys: list[str], repeated: DataFrame, keep: str | bool = "first", order_by: str | Column | None = None) -> DataFrame:
-    """`keep_one`, given the written table (h1, h2) of keys that repeat.
+def keep_one_of_repeated(
+    df: DataFrame, keys: list[str], repeated: DataFrame, keep: str | bool = "first", order_by: str | Column | None = None,
+    workspace: Workspace | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """`keep_one`, given the written table (h1, h2) of keys that repeat: rows with a key of their own, and those kept of others.
 
     Rows are tested against that table of two numbers per key: by a broadcast where it is below Spark's threshold in bytes,
-    and else by one shuffle, in whose partitions the rows of a key are then reduced.  Rows with a key of their own are passed on.
+    and else by one shuffle.  One pass writes both kinds of rows apart; only those whose key repeats are then reduced.
     """
     names = df.columns
+    work = Workspace(df.sparkSession) if workspace is None else workspace
     hashed = df.select("*", *[h.alias(f"_key_{h_name}") for h, h_name in zip(_hashes(df, keys), ("h1", "h2"))])
     same = (F.col("_key_h1") == F.col("h1")) & (F.col("_key_h2") == F.col("h2"))
-    alone = hashed.join(repeated, same, "left_anti").select(*map(column, names))
-    if keep is False:
-        return alone
-    twins = hashed.join(repeated, same, "left_semi")
-    return alone.unionByName(keep_one(twins, ["_key_h1", "_key_h2"], keep, order_by).select(*map(column, names)))
+    told = hashed.join(repeated.select("h1", "h2"), same, "left").withColumn("_twin", F.col("h1").isNotNull())
+    # Keys that repeat tell rows apart by their hashes; the others need not keep them.
+    kept_hashes = [F.when(F.col("_twin"), F.col(h)).alias(h) for h in ("_key_h1", "_key_h2")]
+    told = work.stage(told.select(*map(column, names), *kept_hashes, "_twin"), "told-apart", by="_twin")
+    alone = told.where(~F.col("_twin")).select(*map(column, names))
+    twins = told.where("_twin").select(*map(column, names), "_key_h1", "_key_h2")
+    return alone, keep_one(twins, ["_key_h1", "_key_h2"], keep, order_by).select(*map(column, names))
 
 
 def drop_repeated_rows(df: DataFrame, order_by: str | Column | None = None) -> DataFrame:
@@ -172,7 +181,7 @@ def remove_duplicates(
 ) -> Deduplicated:
     """Remove repeats on the keys, unless that would cost more than ``limit`` of all rows.
 
-    The hashes of keys that repeat are written to ``workspace``.
+    The hashes of keys that repeat, and the rows told apart by them, are written to ``workspace``.
     """
     status = DedupStatus()
     if keys is None:
@@ -203,4 +212,5 @@ def remove_duplicates(
     status.executed, status.removed = True, removed
     if not removed:
         return Deduplicated(df, status)
-    return Deduplicated(keep_one_of_repeated(df, keys, repeated.select("h1", "h2"), keep, order_by), status)
+    alone, firsts = keep_one_of_repeated(df, keys, repeated, keep, order_by, work)
+    return Deduplicated(alone if keep is False else alone.unionByName(firsts), status, alone, firsts)

@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from sluicebox import fixed_values as fv
 from sluicebox.functions.parsing import is_whole, number_text, parse_date, parse_number
-from sluicebox.functions.text import is_one_of, may_have_edge_space, strip
+from sluicebox.functions.text import is_one_of, is_wide, may_have_edge_space, strip
 from sluicebox.operators import sketches
+from sluicebox.operators.distinct_cells import distinct_cells, weighted
 
 ROW_ORDER = "_row_ord"
 
@@ -80,6 +81,18 @@ def cell_number(name: str, kind: str) -> Column:
     return F.lit(None).cast("double")
 
 
+def in_steps(df: DataFrame, steps: dict[str, Sequence[Column | Callable[[Column], Column]]]) -> DataFrame:
+    """The table with added columns, each computed from an expression and then step by step from its own last value.
+
+    Every step is a projection of its own: an expression that a rule names several times would be computed as often.
+    """
+    for i in range(max((len(s) for s in steps.values()), default=0)):
+        df = df.withColumns({
+            name: s[i] if isinstance(s[i], Column) else s[i](column(name)) for name, s in steps.items() if i < len(s)
+        })
+    return df
+
+
 def stack(df: DataFrame, rows: Sequence[Sequence[Column]], names: Sequence[str]) -> DataFrame:
     """One output row per entry of ``rows`` for each input row."""
     flat = [value for row in rows for value in row]
@@ -150,10 +163,15 @@ class ColumnStats:
 
 def _date_like(txt: Column) -> Column:
     shapes = "|".join(shape.strip("^$") for _, shape, _ in fv.DATE_FORMATS)
-    # Every shape holds a separator and ends in a digit, which white space may follow.
+    # Every shape holds two separators with something between them and ends in a digit, which white space may follow.
     last = F.right(txt, F.lit(1))
     ends = (last < ":") | (last >= "\x7f")
-    return (F.octet_length(txt) >= 8) & ends & _any(txt.contains(c) for c in "-/ ") & txt.rlike(f"^(?:{shapes})$")
+    return (F.octet_length(txt) >= 8) & ends & _any(txt.contains(c) for c in "-/ ") & txt.rlike("[-/ ][^-/ ]++[-/ ]") & txt.rlike(f"^(?:{shapes})$")
+
+
+def _has_letter(txt: Column) -> Column:
+    """Letters have two cases; only cells beyond ASCII need the pattern."""
+    return F.when(is_wide(txt), txt.rlike(fv.HAS_LETTER)).otherwise(F.upper(txt) != F.lower(txt))
 
 
 def _any(tests: Iterable[Column]) -> Column:
@@ -164,7 +182,7 @@ def _text_counters(groups: Sequence[str]) -> dict[str, Column]:
     """The tests on a text cell.  Plain substring looks spare most cells the regex behind them."""
     txt, number = F.col("txt"), F.col("number")
     suffixed = _any(txt.endswith(c) for c in "KMBkmb\n") & txt.rlike(fv.MONEY_SUFFIX)
-    plain = txt.rlike(fv.PLAIN_NUMBER)
+    plain, letters = txt.rlike(fv.PLAIN_NUMBER), _has_letter(txt)
     of = {
         "dirt": lambda: {
             "text_dirty": (_any(txt.contains(c) for c in "[*") | txt.rlike(fv.TEXT_DIRTY_CHARACTERS)) & txt.rlike(fv.TEXT_DIRTY),
@@ -173,10 +191,10 @@ def _text_counters(groups: Sequence[str]) -> dict[str, Column]:
         },
         "years": lambda: {"year": txt.rlike(fv.YEAR)},
         "identity": lambda: {
-            "id_value": (F.octet_length(txt) >= 8) & ~txt.contains(" ") & txt.rlike(fv.ID_VALUE)
+            "id_value": (F.octet_length(txt) >= 8) & letters & ~txt.contains(" ") & txt.rlike(fv.ID_VALUE)
         },
         "letters": lambda: {
-            "letters": txt.rlike(fv.HAS_LETTER),
+            "letters": letters,
             "plain_number": number.isNotNull() & plain if "numbers" in groups else plain,
         },
         # "numbers" parses text, "values" only looks at columns that are numeric already.
@@ -212,10 +230,10 @@ def _digit_counters(txt: Column, number: Column) -> dict[str, Column]:
     return {"fits": digits.isNotNull(), "beyond_double": (F.octet_length(txt) > 15) & (digits.cast("double").try_cast("bigint") != digits)}
 
 
-def _aggregate(long: DataFrame, counters: dict[str, Column], with_range: bool) -> DataFrame:
+def _aggregate(long: DataFrame, counters: dict[str, Column], with_range: bool, count: Callable[[Column], Column] = F.count_if) -> DataFrame:
     """Grouped by a small integer instead of the column's name."""
-    out = [F.count(F.lit(1)).alias("rows"), F.count_if("is_filled").alias("filled")]
-    out += [F.count_if(test).alias(name) for name, test in counters.items()]
+    out = [count(F.lit(True)).alias("rows"), count(F.col("is_filled")).alias("filled")]
+    out += [count(test).alias(name) for name, test in counters.items()]
     if with_range:
         finite = F.when(F.abs(F.col("number")) < F.lit(float("inf")), F.col("number"))
         out += [F.min(finite).alias("low"), F.max(finite).alias("high")]
@@ -223,13 +241,13 @@ def _aggregate(long: DataFrame, counters: dict[str, Column], with_range: bool) -
 
 
 def _count_text(df: DataFrame, texts: Sequence[tuple[int, str]], counters: dict[str, Column], groups: Sequence[str]) -> DataFrame:
-    long = stack(df, [(F.lit(i), column(c)) for i, c in texts], ("position", "txt"))
+    long = distinct_cells(df, dict(texts))
     added = [F.col("txt").isNotNull().alias("is_filled")]
     if "numbers" in groups:
         added.append(parse_number(F.col("txt")).alias("number"))
     elif "values" in groups:
         added.append(F.lit(None).cast("double").alias("number"))
-    return _aggregate(long.select("*", *added), counters, len(added) > 1)
+    return _aggregate(long.select("*", *added), counters, len(added) > 1, weighted)
 
 
 def _count_others(df: DataFrame, others: Sequence[tuple[int, str]], wanted: Iterable[str], groups: Sequence[str]) -> DataFrame:
@@ -316,14 +334,13 @@ def gap_stats(df: DataFrame) -> dict[str, ColumnStats]:
 
 def date_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, int]]:
     """How many cells of each text column can be read with each date format."""
-    wanted = [(c, name) for c in columns for name, _, _ in fv.DATE_FORMATS]
-    found: dict[str, dict[str, int]] = {c: {} for c in columns}
-    if wanted:
-        counts = df.agg(*[
-            F.count(parse_date(column(c), name)).alias(str(i)) for i, (c, name) in enumerate(wanted)
-        ]).first()
-        for i, (c, name) in enumerate(wanted):
-            found[c][f"date_{name}"] = counts[i]
+    columns = list(columns)
+    names = [name for name, _, _ in fv.DATE_FORMATS]
+    found = {c: {f"date_{name}": 0 for name in names} for c in columns}
+    if columns:
+        counts = [weighted(parse_date(F.col("txt"), name).isNotNull()).alias(f"date_{name}") for name in names]
+        for row in distinct_cells(df, dict(enumerate(columns))).groupBy("position").agg(*counts).collect():
+            found[columns[row["position"]]].update({f"date_{name}": row[f"date_{name}"] for name in names})
     return found
 
 
@@ -454,9 +471,9 @@ def _counted_candidates(df: DataFrame, hashes: dict[str, list[int]]) -> list[Row
     columns = list(hashes)
     place = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("column")).cast("int") - 1
     wanted = F.get(F.array(*[F.array(*[F.lit(h).cast("bigint") for h in hashes[c]]) for c in columns]), place)
-    value = F.min(F.struct("whole", "num", "txt")).alias("value")
-    return _hashed(cells(df, columns)).where(F.array_contains(wanted, F.col("h1"))).groupBy("column", "h1", "h2").agg(
-        F.count(F.lit(1)).alias("n"), value).select("column", "n", "value.*").collect()
+    # The few values that pass are the keys of the groups: numbers to add up, and nothing to sort.
+    return _hashed(cells(df, columns)).where(F.array_contains(wanted, F.col("h1"))).groupBy("column", "whole", "num", "txt").agg(
+        F.count(F.lit(1)).alias("n")).collect()
 
 
 def _rare_modes(df: DataFrame, columns: Sequence[str]) -> list[Row]:

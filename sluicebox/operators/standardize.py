@@ -3,13 +3,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from sluicebox import fixed_values as fv
-from sluicebox.functions.parsing import clean_numeric_or_keep, parse_date, year_bounds
-from sluicebox.functions.text import clean_text, strip
+from sluicebox.functions.parsing import amount_digits, amount_number, bare_amount, bounds_of, number_text, parse_date, years_in
+from sluicebox.functions.text import clean_text, strip_edges
 from sluicebox.operators.profile import (
-    ColumnStats, cell_text, collect_stats, column, data_columns, kinds, settle_distinct,
+    ColumnStats, cell_text, collect_stats, column, data_columns, in_steps, kinds, settle_distinct,
 )
 
 ID, DATE, YEAR, MONEY, TEXT, STRIP, KEEP = "id", "date", "year", "numeric", "text", "strip", "keep"
@@ -141,27 +141,34 @@ def lasting_stats(standard: Standardized) -> dict[str, ColumnStats]:
 def standardize(df: DataFrame, stats: dict[str, ColumnStats] | None = None) -> Standardized:
     """Each column cleaned by its route, in one lazy projection."""
     routes, stats = profile_routes(df, stats)
-    kind = kinds(df)
-    projected, extra = [], []
-    for name in df.columns:
+    kind, names = kinds(df), df.columns
+    projected, extra, steps = [], [], {}
+    for i, name in enumerate(names):
         cell = column(name)
         chosen = routes.get(name, KEEP)
+        # The long rules go step by step, in columns of their own.
         if chosen == DATE:
             date_format = stats[name].counts["clean_date_format"] or stats[name].best_date_format()[0]
-            projected.append(parse_date(clean_text(cell), date_format).alias(name))
+            steps[f"_step_{i}"] = [clean_text(cell), lambda text, date_format=date_format: parse_date(text, date_format)]
+            projected.append(F.col(f"_step_{i}").alias(name))
         elif chosen == YEAR:
-            first, last = year_bounds(cell_text(name, kind[name]))
+            steps[f"_step_{i}"] = [years_in(cell_text(name, kind[name]))]
+            first, last = bounds_of(F.col(f"_step_{i}"))
             projected.append(first.alias(name))
             extra.append((f"{name}_end", last))
         elif chosen == MONEY:
-            projected.append(clean_numeric_or_keep(cell).alias(name))
+            amount = F.col(f"_amount_{i}")
+            steps[f"_amount_{i}"] = [bare_amount(cell.cast("string"))]
+            steps[f"_step_{i}"] = [F.lit(None).cast("string"), lambda _, amount=amount: amount_digits(amount),
+                                   lambda digits, amount=amount: amount_number(amount, digits)]
+            projected.append(F.coalesce(number_text(F.col(f"_step_{i}")), cell).alias(name))
         elif chosen == TEXT:
             projected.append(clean_text(cell).alias(name))
         elif chosen in (ID, STRIP) and kind[name] != "whole":
-            projected.append(strip(cell_text(name, kind[name])).alias(name))
+            projected.append(strip_edges(cell_text(name, kind[name])).alias(name))
         else:
             projected.append(cell)
     taken = {name for name, _ in extra}
-    projected = [p for p, name in zip(projected, df.columns) if name not in taken]
-    out = df.select(*projected, *[value.alias(name) for name, value in extra])
+    projected = [p for p, name in zip(projected, names) if name not in taken]
+    out = in_steps(df, steps).select(*projected, *[value.alias(name) for name, value in extra])
     return Standardized(out, routes, stats)

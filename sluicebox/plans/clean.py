@@ -63,8 +63,8 @@ def clean_frame(
 
     The only actions are aggregates with one row per column (or per key for the
     duplicate count) and the tables written between passes: one after loading,
-    so that raw text is parsed once, one after imputation, and one after a
-    deduplication that removed rows.  A column is profiled once and again only
+    so that raw text is parsed once, one after imputation, and one by a
+    deduplication that removes rows.  A column is profiled once and again only
     if a step rewrote its cells; how coercing and filling change its counts is
     known without a look.  ``order_by`` tells which of several
     duplicates comes first; without it the row order of the source decides, or
@@ -110,7 +110,8 @@ def clean_frame(
 
     kept_stats = {c: s for c, s in typed.stats.items() if c not in sparse}
     unique = remove_duplicates(kept, schema=schema, order_by=order_by, stats=kept_stats, workspace=workspace)
-    final = workspace.stage(unique.df, "unique") if unique.status.removed else unique.df
+    # Where rows were removed, most of the others have been written.
+    final = unique.df if unique.alone is None else unique.alone.unionByName(workspace.stage(unique.firsts, "firsts"))
 
     final_stats = gap_stats(final)
     missing_after = missing_counts(final, final_stats)

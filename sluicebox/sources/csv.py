@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sluicebox import fixed_values as fv
 from sluicebox.functions.parsing import parse_number
-from sluicebox.functions.text import clean_text, null_missing
+from sluicebox.functions.text import clean_text_steps, null_missing
 from sluicebox.operators.columns import clean_names, header_names
-from sluicebox.operators.profile import ROW_ORDER, column, data_columns, kinds, stack
+from sluicebox.operators.distinct_cells import distinct_cells, weighted
+from sluicebox.operators.profile import ROW_ORDER, column, data_columns, in_steps, kinds
 from sluicebox.plans.workspace import Workspace
 from sluicebox.sources.records import read_records
 
@@ -89,14 +90,14 @@ def _value_kinds(df: DataFrame) -> dict[str, dict]:
     if not columns:
         return {}
     txt, number = F.col("txt"), F.col("number")
-    long = stack(df, [(F.lit(i), column(c)) for i, c in enumerate(columns)], ("position", "txt"))
-    counted = long.withColumn("number", parse_number(txt)).groupBy("position").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count("txt").alias("filled"),
-        F.count_if(number.isNotNull() & txt.rlike(fv.WHOLE_NUMBER) & txt.try_cast("bigint").isNotNull()).alias("whole"),
-        F.count_if(number.isNotNull() & (F.octet_length(txt) > 15) & (_digits(txt).cast("double").try_cast("bigint") != _digits(txt))).alias("beyond_double"),
-        F.count("number").alias("number"),
-        F.count_if(txt.isin(*fv.CSV_BOOLEANS)).alias("boolean"),
+    cells = distinct_cells(df, dict(enumerate(columns)))
+    counted = cells.withColumn("number", parse_number(txt)).groupBy("position").agg(
+        F.sum("n").alias("rows"),
+        weighted(txt.isNotNull()).alias("filled"),
+        weighted(number.isNotNull() & txt.rlike(fv.WHOLE_NUMBER) & txt.try_cast("bigint").isNotNull()).alias("whole"),
+        weighted(number.isNotNull() & (F.octet_length(txt) > 15) & (_digits(txt).cast("double").try_cast("bigint") != _digits(txt))).alias("beyond_double"),
+        weighted(number.isNotNull()).alias("number"),
+        weighted(txt.isin(*fv.CSV_BOOLEANS)).alias("boolean"),
     )
     return {columns[r["position"]]: r.asDict() for r in counted.collect()}
 
@@ -127,10 +128,12 @@ def infer_types(df: DataFrame, found: dict[str, dict] | None = None) -> DataFram
 def clean_text_columns(df: DataFrame, keep_punctuation: bool = False) -> DataFrame:
     """Every text column with broken encodings mended and reduced to clean ASCII."""
     kind = kinds(df)
-    return df.select(*[
-        clean_text(column(c), keep_punctuation, mend=True).alias(c)
-        if kind[c] == "text" and c != ROW_ORDER else column(c)
-        for c in df.columns
+    texts = {f"_cleaned_{i}": column(c) for i, c in enumerate(df.columns) if kind[c] == "text" and c != ROW_ORDER}
+    steps = {name: clean_text_steps(cell, keep_punctuation, mend=True) for name, cell in texts.items()}
+    out = in_steps(df, {name: [steps[name][0](cell), *steps[name][1:]] for name, cell in texts.items()})
+    return out.select(*[
+        F.coalesce(F.col(f"_cleaned_{i}"), column(c)).alias(c) if f"_cleaned_{i}" in texts else column(c)
+        for i, c in enumerate(df.columns)
     ])
 
 
