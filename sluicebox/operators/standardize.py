@@ -157,10 +157,9 @@ def standardize(df: DataFrame, stats: dict[str, ColumnStats] | None = None) -> S
             projected.append(first.alias(name))
             extra.append((f"{name}_end", last))
         elif chosen == MONEY:
-            amount = F.col(f"_amount_{i}")
-            steps[f"_amount_{i}"] = [bare_amount(cell.cast("string"))]
-            steps[f"_step_{i}"] = [F.lit(None).cast("string"), lambda _, amount=amount: amount_digits(amount),
-                                   lambda digits, amount=amount: amount_number(amount, digits)]
+            amount = bare_amount(cell.cast("string"))
+            steps[f"_amount_{i}"] = [amount]
+            steps[f"_step_{i}"] = [amount_digits(amount), lambda digits, i=i: amount_number(F.col(f"_amount_{i}"), digits)]
             projected.append(F.coalesce(number_text(F.col(f"_step_{i}")), cell).alias(name))
         elif chosen == TEXT:
             projected.append(clean_text(cell).alias(name))

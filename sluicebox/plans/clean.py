@@ -72,7 +72,7 @@ def clean_frame(
     """
     workspace = Workspace(df.sparkSession) if workspace is None else workspace
     if load:
-        df = load_frame(df)
+        df = load_frame(df, workspace=workspace)
     df = workspace.stage(df, "loaded")
 
     # One pass counts for the missing-value report, outlier columns, routes and types alike.

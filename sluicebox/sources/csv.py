@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sluicebox import fixed_values as fv
 from sluicebox.functions.parsing import parse_number
-from sluicebox.functions.text import clean_text_steps, null_missing
+from sluicebox.functions.text import clean_text, clean_text_steps, null_missing
 from sluicebox.operators.columns import clean_names, header_names
 from sluicebox.operators.distinct_cells import distinct_cells, weighted
 from sluicebox.operators.profile import ROW_ORDER, column, data_columns, in_steps, kinds
@@ -84,15 +84,19 @@ def _digits(txt):
     return F.when(txt.rlike(fv.WHOLE_NUMBER), txt.try_cast("bigint"))
 
 
-def _value_kinds(df: DataFrame) -> dict[str, dict]:
-    """Per string column: how many cells are filled, whole, numeric or boolean."""
-    columns = [c for c, k in kinds(df).items() if k == "text" and c != ROW_ORDER]
+def _texts(df: DataFrame) -> dict[int, str]:
+    return dict(enumerate(c for c, k in kinds(df).items() if k == "text" and c != ROW_ORDER))
+
+
+def _value_kinds(df: DataFrame, cells: DataFrame | None = None) -> dict[str, dict]:
+    """Per string column: how many cells are filled, whole, numeric or boolean; ``cells`` are its `distinct_cells`, if at hand."""
+    columns = _texts(df)
     if not columns:
         return {}
     txt, number = F.col("txt"), F.col("number")
-    cells = distinct_cells(df, dict(enumerate(columns)))
+    cells = distinct_cells(df, columns) if cells is None else cells
     counted = cells.withColumn("number", parse_number(txt)).groupBy("position").agg(
-        F.sum("n").alias("rows"),
+        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("different"),
         weighted(txt.isNotNull()).alias("filled"),
         weighted(number.isNotNull() & txt.rlike(fv.WHOLE_NUMBER) & txt.try_cast("bigint").isNotNull()).alias("whole"),
         weighted(number.isNotNull() & (F.octet_length(txt) > 15) & (_digits(txt).cast("double").try_cast("bigint") != _digits(txt))).alias("beyond_double"),
@@ -125,20 +129,61 @@ def infer_types(df: DataFrame, found: dict[str, dict] | None = None) -> DataFram
     return df.select(*out)
 
 
-def clean_text_columns(df: DataFrame, keep_punctuation: bool = False) -> DataFrame:
-    """Every text column with broken encodings mended and reduced to clean ASCII."""
-    kind = kinds(df)
-    texts = {f"_cleaned_{i}": column(c) for i, c in enumerate(df.columns) if kind[c] == "text" and c != ROW_ORDER}
-    steps = {name: clean_text_steps(cell, keep_punctuation, mend=True) for name, cell in texts.items()}
-    out = in_steps(df, {name: [steps[name][0](cell), *steps[name][1:]] for name, cell in texts.items()})
+#: A column of at most so many different texts, and so many bytes of them, has each of them cleaned once.
+WORDS, WORD_BYTES = 10_000, 1 << 20
+#: Share of its cells that `distinct_cells` leaves of such a column, at most.
+WORD_SHARE = 0.1
+
+
+def _cleaned_words(texts: dict[int, str], cells: DataFrame, found: dict[str, dict], work: Workspace) -> dict[str, DataFrame]:
+    """For those of the text columns, under their positions in ``cells``, that hold few texts: the table of these (word, cleaned)."""
+    columns = {c: i for i, c in texts.items() if c in found and found[c]["different"] <= WORD_SHARE * found[c]["rows"]}
+    if not columns:
+        return {}
+    words = cells.where(F.col("position").isin(list(columns.values())) & F.col("txt").isNotNull()).groupBy("position", "txt").agg(F.sum("n").alias("n"))
+    words = work.stage(words, "words")
+    sizes = words.groupBy("position").agg(F.count(F.lit(1)).alias("words"), F.sum(F.octet_length("txt")).alias("bytes")).collect()
+    few = {r["position"] for r in sizes if r["words"] <= WORDS and r["bytes"] <= WORD_BYTES}
+    if not few:
+        return {}
+    cleaned = work.stage(words.where(F.col("position").isin(list(few))).select("position", "txt", clean_text(F.col("txt"), mend=True).alias("cleaned")), "cleaned-words")
+    return {
+        c: cleaned.where(F.col("position") == i).select(F.col("txt").alias(f"_word_{i}"), F.col("cleaned").alias(f"_known_{i}"))
+        for c, i in columns.items() if i in few
+    }
+
+
+def clean_text_columns(df: DataFrame, keep_punctuation: bool = False, words: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Every text column with broken encodings mended and reduced to clean ASCII.
+
+    ``words`` has tables of the texts of some columns with what cleaning makes of them; a cell that is not among them is cleaned here.
+    """
+    kind, names = kinds(df), df.columns
+    steps, known = {}, {}
+    for i, c in enumerate(names):
+        if kind[c] != "text" or c == ROW_ORDER:
+            continue
+        cell = column(c)
+        if words and c in words:
+            word, cleaned = words[c].columns
+            df = df.join(F.broadcast(words[c]), column(c) == F.col(word), "left")
+            known[c], cell = F.col(cleaned), F.when(F.col(word).isNull(), cell)
+        first, *rest = clean_text_steps(cell, keep_punctuation, mend=True)
+        steps[f"_cleaned_{i}"] = [first(cell), *rest]
+    out = in_steps(df, steps)
     return out.select(*[
-        F.coalesce(F.col(f"_cleaned_{i}"), column(c)).alias(c) if f"_cleaned_{i}" in texts else column(c)
-        for i, c in enumerate(df.columns)
+        F.coalesce(*([known[c]] if c in known else []), F.col(f"_cleaned_{i}"), column(c)).alias(c) if f"_cleaned_{i}" in steps else column(c)
+        for i, c in enumerate(names)
     ])
 
 
-def load_frame(df: DataFrame, missing_words: Sequence[str] = fv.CSV_MISSING_WORDS, infer: bool = True) -> DataFrame:
-    """What reading a CSV does after the scan, for any table: names, gaps, types, clean text."""
+def load_frame(
+    df: DataFrame, missing_words: Sequence[str] = fv.CSV_MISSING_WORDS, infer: bool = True, workspace: Workspace | None = None
+) -> DataFrame:
+    """What reading a CSV does after the scan, for any table: names, gaps, types, clean text.
+
+    With a ``workspace`` its different texts are written, and those of columns with few of them are cleaned once.
+    """
     kind = kinds(df)
     names = data_columns(df)
     new = dict(zip(names, clean_names(names)))
@@ -146,7 +191,16 @@ def load_frame(df: DataFrame, missing_words: Sequence[str] = fv.CSV_MISSING_WORD
         (null_missing(column(c), missing_words) if kind[c] == "text" else column(c)).alias(new.get(c, c))
         for c in df.columns
     ])
-    return clean_text_columns(infer_types(df) if infer else df)
+    if not infer:
+        return clean_text_columns(df)
+    if workspace is None or not _texts(df):
+        return clean_text_columns(infer_types(df))
+    cells = workspace.stage(distinct_cells(df, _texts(df)), "cells")
+    found = _value_kinds(df, cells)
+    typed = infer_types(df, found)
+    still = set(_texts(typed).values())
+    words = _cleaned_words({i: c for i, c in _texts(df).items() if c in still}, cells, found, workspace)
+    return clean_text_columns(typed, words=words)
 
 
 def read_csv(

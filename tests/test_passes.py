@@ -7,7 +7,8 @@ from sluicebox.functions import parsing, text
 from sluicebox.operators import dedup, profile, quantiles, standardize
 from sluicebox.operators.distinct_cells import distinct_cells
 from sluicebox.plans.workspace import HUGE_METHOD, OPEN_FILES, Workspace
-from sluicebox.sources.csv import clean_text_columns
+from sluicebox.sources import csv
+from sluicebox.sources.csv import clean_text_columns, load_frame
 
 ODD = [
     None, "", " ", "a", "Ä", "é1234567", "ǆ", "ſ", "İ", "ß", "12345678", "abc-1234", "ABCDEFG1\n", "12ab cd34", "a1" * 5 + "é", "x\ny1234567",
@@ -53,6 +54,23 @@ def test_rules_in_steps_do_what_they_do_at_once(spark, one):
         assert [r["c"] for r in done.orderBy("i").collect()] == one(rule, ODD)
 
 
+def test_columns_of_few_texts_are_cleaned_once_for_each(spark, monkeypatch):
+    df = spark.range(4000, numPartitions=2).select(
+        F.element_at(F.array(*[F.lit(c) for c in ODD]), (F.col("id") % len(ODD) + 1).cast("int")).alias("Odd one"),
+        F.concat(F.lit("†"), F.col("id"), F.lit(" [x]")).alias("all"), F.col("id"), F.lit("7").alias("whole"))
+    plain, seen = load_frame(df), []
+    made = csv._cleaned_words
+    monkeypatch.setattr(csv, "_cleaned_words", lambda *given: seen.append(made(*given)) or seen[-1])
+    known = load_frame(df, workspace=Workspace(spark))
+    assert list(seen[0]) == ["odd_one"] and dict(known.dtypes)["whole"] == "bigint"
+    assert known.dtypes == plain.dtypes and known.exceptAll(plain).count() == plain.exceptAll(known).count() == 0
+    # A text that the table of words lacks is cleaned all the same.
+    fewer = {c: words.limit(3) for c, words in seen[0].items()}
+    named = df.toDF("odd_one", "all", "id", "whole")
+    some, none = clean_text_columns(named, words=fewer), clean_text_columns(named)
+    assert some.exceptAll(none).count() == none.exceptAll(some).count() == 0
+
+
 @pytest.mark.parametrize("keep", ["first", "last", False])
 def test_rows_are_told_apart_in_one_pass(spark, keep):
     df = spark.range(2000).select("id", F.when(F.col("id") % 1900 > 0, F.col("id") % 1900).alias("k"))
